@@ -26,7 +26,7 @@ FRESH, IN_LETTER, IN_NUMBER, IN_MARK, IN_SPACE, LEAD, ONE_MORE, TWO_MORE = range
 #: Columns of the blocks that are scanned at once.
 BLOCK = 64
 #: Longest slice that is cached, and cached slices of one worker at most.
-CACHE_BYTES, CACHE = 48, 500_000
+CACHE_BYTES, CACHE = 48, 120_000
 #: Table of the pairs: 2 to the TABLE places; a multiplicative hash; marks of an empty place and of a pair without a rank.
 TABLE, HASH, EMPTY, NONE = 20, np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFFFFFFFFFFFFFFFF), np.int32(2**31 - 1)
 # White space of the pattern's \s.
@@ -304,7 +304,7 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _batches(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
+def _batches(texts: list[str], most: int = 300_000) -> Iterator[list[str]]:
     part, size = [], 0
     for t in texts:
         if part and size + len(t) > most:
