@@ -92,7 +92,7 @@ def followers(keys: DataFrame) -> DataFrame:
 
 
 def fingerprints_and_edits(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) for each row.
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_doc_id) for each row.
 
     The edit replaces the last floor(n_chars / 4) code points by the first as many (or all) of the next document's.
     The next document is the next by (doc_id with null first, hash of the text), after the last the first; repeated
@@ -108,15 +108,19 @@ def fingerprints_and_edits(docs: DataFrame) -> DataFrame:
     order = followers(rows.select("doc_id", "h", "n").distinct())
     order = order.select(key(F.col("doc_id"), F.col("h")).alias("key"), key(F.col("prev_id"), F.col("prev_h")).alias("prev"), "prev_n")
     full = with_fingerprint(rows.withColumn("key", key(F.col("doc_id"), F.col("h"))), "text", "fingerprint").drop("h")
-    once = full.withColumn("_rank", F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))).where("_rank = 1")
+    # a running count, as a rank would be cut before the shuffle; all columns are used on both sides, so that the
+    # shuffle of the texts is one and is read twice
+    running = Window.partitionBy("key").orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    once = full.withColumn("_count", F.count("*").over(running)).where("_count = 1")
     given = once.join(order, "key").select(
         F.col("prev").alias("key"),
-        F.expr("substring(text, 1, cast(prev_n div 4 as int))").alias("start"),
+        F.expr("substring(text, 1, cast(least(n, prev_n div 4) as int))").alias("start"),
         F.col("fingerprint").alias("next_fingerprint"),
+        F.col("doc_id").alias("next_doc_id"),
     )
     edited = F.concat(F.expr("substring(text, 1, cast(n - n div 4 as int))"), F.col("start"))
     both = full.join(given, "key").withColumn("edited", edited).drop("text", "start")
     out = with_fingerprint(both, "edited", "edited_fingerprint").withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
     out = with_likeness(out, "fingerprint", "edited_fingerprint", "near_edited")
     out = with_likeness(out, "fingerprint", "next_fingerprint", "near_next")
-    return out.select("doc_id", F.col("n").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return out.select("doc_id", F.col("n").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "next_doc_id")
