@@ -141,6 +141,14 @@ def test_trim_report(spark, js, min_length, reason):
         assert [r.i for r in motion.trimmed(df, report, ["e"], "i").orderBy("i").collect()] == [1, 2, 3]
 
 
+@pytest.mark.parametrize("values", [[], [2.0], [1.0, 1.0, 2.0], [1e-300, 5.0, 7.5, float("nan"), 0.0, None], [round(float(x), 2) for x in np.random.default_rng(3).exponential(1, 3000)]])
+def test_percentiles(spark, values):
+    got = motion.delta_percentiles(spark.createDataFrame([(x,) for x in values], "delta double")).collect()
+    held = [x for x in values if x is not None and x > 0]
+    want = np.percentile(held, [5, 25, 50]).tolist() if held else [None] * 3
+    assert len(got) == 1 and list(got[0]) == pytest.approx(want)
+
+
 def test_quaternions(spark):
     a = lambda *v: F.array(*[F.lit(float(x)) for x in v])
     assert one(spark, Q.normalize(a(2, 0, 0, 0))) == [1, 0, 0, 0]
