@@ -149,6 +149,14 @@ def test_percentiles(spark, values):
     assert len(got) == 1 and list(got[0]) == pytest.approx(want)
 
 
+def test_roll_up(spark):
+    rows = [(i, "ERROR" if i % 5 == 0 else "WARNING" if i % 3 == 0 else "INFO", None if i % 7 == 0 else f"c{i % 2}", None if i == 5 else f"m{i}") for i in range(30)]
+    found = quality.roll_up(spark.createDataFrame(rows, "seq long, level string, category string, message string"))
+    want = {(None, 1, 1, False, "m0|m21|m7"), ("c0", 2, 4, False, "m10|m20|m6"), ("c1", 3, 3, False, "m15|m25")}
+    assert {tuple(r) for r in found.collect()} == want
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quaternions(spark):
     a = lambda *v: F.array(*[F.lit(float(x)) for x in v])
     assert one(spark, Q.normalize(a(2, 0, 0, 0))) == [1, 0, 0, 0]

@@ -85,7 +85,10 @@ def roll_up(findings: DataFrame, first: int = 3) -> DataFrame:
     """
     rank = F.when(F.col("level") == "ERROR", 0).when(F.col("level") == "WARNING", 1).otherwise(2)
     w = Window.partitionBy("category").orderBy(rank, "seq")
-    r = findings.withColumn("_k", F.row_number().over(w))
     count = lambda level: F.count_if(F.col("level") == level)
-    kept = F.array_sort(F.collect_list(F.when(F.col("_k") <= first, F.struct("_k", "message"))))
-    return r.groupBy("category").agg(count("ERROR").alias("errors"), count("WARNING").alias("warnings"), (count("ERROR") == 0).alias("compliant"), F.array_join(F.transform(kept, lambda x: x["message"]), "|").alias("messages"))
+    counts = findings.groupBy("category").agg(count("ERROR").alias("errors"), count("WARNING").alias("warnings"), (count("ERROR") == 0).alias("compliant"))
+    # a filter on the row number limits each category before the shuffle, so no task sorts a whole category
+    top = findings.select(F.col("category").alias("_c"), "message", F.row_number().over(w).alias("_k")).where(F.col("_k") <= first)
+    lines = top.groupBy("_c").agg(F.array_sort(F.collect_list(F.struct("_k", "message"))).alias("_kept"))
+    messages = F.coalesce(F.array_join(F.transform("_kept", lambda x: x["message"]), "|"), F.lit(""))
+    return counts.join(lines, F.col("category").eqNullSafe(F.col("_c")), "left").select("category", "errors", "warnings", "compliant", messages.alias("messages"))
