@@ -105,6 +105,44 @@ def test_keep_one_of_each(odd, clashing):
     kept = simhash.keep_one_of_each(odd).collect()
     assert sorted((r.doc_id for r in kept), key=str) == sorted([1, 4, 5, 6, 7, 8, 9, 12, None], key=str)
     assert simhash.keep_one_of_each(clashing).columns == clashing.columns
+    assert simhash.keep_one_of_each(odd.where("false")).count() == 0
+
+
+def edited(rng, words, changes):
+    out = list(words)
+    for _ in range(changes):
+        out[rng.randrange(len(out))] = str(rng.random())
+    return out
+
+
+@pytest.mark.parametrize("cap", [2, 16])
+def test_wide_components_against_brute_force(spark, monkeypatch, cap):
+    monkeypatch.setattr(simhash, "WIDE_PAIRS", cap)
+    rng, texts = random.Random(2), []
+    for size in (60, 25, 8, 2, 1, 1, 1):
+        base = [str(rng.randrange(3000)) for _ in range(rng.randint(40, 300))]
+        for _ in range(size):
+            texts.append(edited(rng, base, rng.randint(0, 4)))
+            base = edited(rng, base, 1) if rng.random() < 0.3 else base
+    wide = [simhash.wide_simhash(" ".join(t)).tolist() for t in texts]
+    wide = [list(w) for w in sorted({tuple(w) for w in wide})]
+    label = list(range(len(wide)))
+    near = [(a, b) for a in label for b in range(a) if any(x == y for x, y in zip(wide[a], wide[b], strict=True)) and sum((x ^ y).bit_count() for x, y in zip(wide[a], wide[b], strict=True)) <= simhash.NEAR_BITS]
+    for a, b in near:
+        old, new = max(label[a], label[b]), min(label[a], label[b])
+        label = [new if x == old else x for x in label]
+    nodes = spark.createDataFrame(list(enumerate(wide)), "fp long, wide array<int>")
+    got = {r.fp: r.label for r in simhash.wide_components(nodes).collect()}
+    assert [got.get(i, i) for i in range(len(wide))] == label and len(set(label)) < len(label)
+
+
+def test_keep_one_of_near_copies(make):
+    rng, rows = random.Random(3), []
+    for i in range(20):
+        base = [str(rng.randrange(3000)) for _ in range(200)]
+        rows += [(10 * i + 1, " ".join(base)), (10 * i + 2, " ".join(edited(rng, base, 2))), (10 * i + 3, " ".join(edited(rng, base, 150)))]
+    kept = sorted(r.doc_id for r in simhash.keep_one_of_each(make(rows)).collect())
+    assert kept == sorted(10 * i + k for i in range(20) for k in (1, 3))
 
 
 # ---- 2
