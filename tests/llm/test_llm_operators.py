@@ -340,6 +340,26 @@ def test_battery_tells_random_tokens(spark):
     assert 0.3 < np.mean(p) < 0.75
 
 
+def passed(spark, rows):
+    judged = spark.createDataFrame(rows, "encoding string, band int, v string, p double")
+    return {r.v for r in judged.join(secrets.thresholds(judged), ["encoding", "band"]).where("p >= least").collect()}
+
+
+def test_copies_of_a_token_are_one_test(spark):
+    slugs, keys = [("b64", 3, f"slug{i}", 0.001) for i in range(1000)], [("b64", 3, f"key{i}", (i + 0.5) / 1000) for i in range(1000)]
+    assert passed(spark, [("b64", 3, "copied", 0.6)] * 3000 + slugs) == {"copied"}
+    assert passed(spark, [("b64", 3, "copied", 0.2)] * 3000 + keys) >= {f"key{i}" for i in range(20, 1000)}
+
+
+def test_lone_random_tokens(spark, make):
+    for p in (0.1, 0.45, 0.6, 0.99):
+        assert passed(spark, [("b64", 6, "lone", p), ("b64", 0, "words", 0.001)]) == {"lone"}
+    rng = random.Random(12)
+    lone = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(44))
+    rows = secrets.secret_scan(make([(1, f"a key {lone} here"), (2, "the_name_of_a_function_of_many_words_in_it")])).collect()
+    assert {r.doc_id: r.spans for r in rows} == {1: "random:6:50", 2: ""}
+
+
 def test_redacted(odd, clashing):
     for df in (odd, clashing):
         out = secrets.redacted(df)

@@ -18,12 +18,15 @@ HEX = "[0-9a-f]{24,}"
 ASSIGN_CHARS = 6
 KINDS = ("assign", "access", "hex", "random")
 
-#: Tokens that the battery judges: at least this long, with a digit and a letter.
+#: Tokens that the battery judges: at least this long.
 TOKEN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 #: Lengths at which a band of tokens ends; each band and encoding has a threshold of its own.
 BANDS = (24, 32, 40, 48, 64, 96)
 #: Bins of the combined p-value in a band's histogram, and the share of false discoveries that a band may keep.
 BINS, FALSE_SHARE = 200, 0.1
+#: A band with fewer distinct tokens in the upper half of p than this has the fixed edge of its length: slugs of words
+#: pass an edge more rarely the longer they are, so that longer tokens need a lower one.
+FEW, FIXED_EDGES = 100, (0.05, 0.05, 0.02, 0.01, 0.005, 0.005, 0.005)
 
 
 def _spans(text: Column, pattern: str, kind: int, keep: Column | None = None) -> Column:
@@ -124,30 +127,32 @@ def judged_tokens(tokens: DataFrame) -> DataFrame:
 
 
 def thresholds(judged: DataFrame) -> DataFrame:
-    """(encoding, band, least): the smallest p from which tokens of a band count as random.
-
-    Random tokens have uniform p, all others pile up near 0. As many random ones as the upper half of p shows twice are
-    expected; a threshold is the least edge above which the tokens beyond what uniform p accounts for stay within
-    FALSE_SHARE. Short tokens give the tests little power, so their bands need a higher edge: the control follows the
-    length. Built on a histogram of at most BINS rows a band, summed over the whole corpus.
+    """(encoding, band, least): the smallest p from which tokens of a band count as random; a row for each band.
+
+    Each distinct token is one test, however often it stands in the corpus. Random tokens have uniform p, all others
+    pile up near 0. As many random ones as the upper half of p shows twice are expected; a threshold is the least edge
+    above which the tokens beyond what uniform p accounts for stay within FALSE_SHARE. Short tokens give the tests
+    little power, so their bands need a higher edge: the control follows the length. Where too few tokens are in the
+    upper half to tell, or no edge stays within the share, the fixed edge of the band's length holds. Built on a
+    histogram of at most BINS rows a band, summed over the whole corpus.
     """
     by = ("encoding", "band")
-    bins = judged.groupBy(*by, F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    distinct = judged.select(*by, "v", "p").distinct()
+    bins = distinct.groupBy(*by, F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
     above = Window.partitionBy(*by).orderBy(F.desc("bin"))
     upper = F.sum(F.when(F.col("bin") >= BINS // 2, F.col("n")).otherwise(0)).over(Window.partitionBy(*by))
     kept = F.sum("n").over(above)
     expected = 2 * upper * (1 - F.col("bin") / BINS)
-    fine = (kept - expected <= FALSE_SHARE * kept) & (upper > 0)
-    return bins.withColumn("fine", fine).where("fine").groupBy(*by).agg((F.min("bin") / BINS).alias("least"))
+    fine = (kept - expected <= FALSE_SHARE * kept) & (upper >= FEW)
+    fixed = F.element_at(F.array(*[F.lit(x) for x in FIXED_EDGES]), F.col("band") + 1)
+    return bins.withColumn("fine", fine).groupBy(*by).agg((F.min(F.when(F.col("fine"), F.col("bin"))) / BINS).alias("least")).withColumn("least", F.coalesce("least", fixed))
 
 
 def scanned(docs: DataFrame, *carry: str) -> DataFrame:
     """``carry`` columns, base (spans of the three patterns) and tokens (spans for the battery) of each whole text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     base = F.concat(_assign_spans(text), _spans(text, ACCESS, 1), _spans(text, HEX, 2))
-    mixed = lambda x: x["v"].rlike("[0-9]") & x["v"].rlike("[A-Za-z]")
-    tokens = F.filter(_spans(text, TOKEN, 3), mixed)
-    return docs.select(*carry, F.array_sort(base).alias("base"), tokens.alias("tokens"))
+    return docs.select(*carry, F.array_sort(base).alias("base"), _spans(text, TOKEN, 3).alias("tokens"))
 
 
 def found_secrets(docs: DataFrame, carry: list[str]) -> DataFrame:
