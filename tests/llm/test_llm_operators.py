@@ -145,6 +145,26 @@ def test_keep_one_of_near_copies(make):
     assert kept == sorted(10 * i + k for i in range(20) for k in (1, 3))
 
 
+def shingles(text):
+    w = text.split()
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_near_copies_are_exact(make):
+    rng, rows = random.Random(4), []
+    for i in range(150):  # pairs at 0.8 to 0.9, and at 0.7 to below 0.8, by the share of words at the end that differ
+        base = [str(rng.randrange(10**6)) for _ in range(rng.randint(10, 120))]
+        for k in range(1, len(base)):
+            other = base[:-k] + [str(rng.randrange(10**6)) for _ in range(k)]
+            a, b = shingles(" ".join(base)), shingles(" ".join(other))
+            if len(a & b) < (0.9 if i % 2 else 0.8) * len(a | b):
+                break
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other[: len(base)]))]
+    near = [len(shingles(a) & shingles(b)) * 5 >= len(shingles(a) | shingles(b)) * 4 for (_, a), (_, b) in zip(rows[::2], rows[1::2], strict=True)]
+    want = sorted([2 * i for i in range(150)] + [2 * i + 1 for i in range(150) if not near[i]])
+    assert 30 < sum(near) < 120 and sorted(r.doc_id for r in simhash.keep_one_of_each(make(rows)).collect()) == want
+
+
 # ---- 2
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -25,6 +25,11 @@ WIDE_BLOCKS, WIDE_WIDTH = 128, 24
 NEAR_BITS = 485
 #: Wide buckets above this size are linked by stars first, then across the parts that these leave.
 WIDE_PAIRS = 16
+#: Near copies: Jaccard similarity of the shingle sets, as a fraction.
+NEAR = (4, 5)
+#: Blocks of least shingle hashes: a pair at similarity s shares a block with a chance of 1 - (1 - s^6)^48, so that of
+#: pairs at exactly 0.8 five in ten million share none, and fewer of closer ones.
+MIN_BLOCKS, MIN_WIDTH = 48, 6
 
 
 def _shingle_digests(text: str | None, shingle_words: int) -> bytes:
@@ -65,6 +70,33 @@ def wide_simhash(text: str | None, shingle_words: int = 5) -> np.ndarray:
     return (2 * ones > len(hashes)).reshape(WIDE_BLOCKS, WIDE_WIDTH) @ (1 << np.arange(WIDE_WIDTH, dtype=np.int32))
 
 
+def shingle_set(text: str | None, shingle_words: int = 5) -> np.ndarray:
+    """Sorted distinct shingle hashes of a text; none without words."""
+    return np.unique(np.frombuffer(_shingle_digests(text, shingle_words), ">u8").astype(np.uint64))
+
+
+def _mixed(z: np.ndarray) -> np.ndarray:
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+_SEEDS = _mixed(np.arange(1, 2 * MIN_BLOCKS * MIN_WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, -1)
+
+
+def block_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key for each of MIN_BLOCKS blocks of MIN_WIDTH least hashes of a set; none for the empty set."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    least = np.full(MIN_BLOCKS * MIN_WIDTH, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 256):
+        np.minimum(least, ((hashes[at : at + 256, None] ^ _SEEDS[0]) * (_SEEDS[1] | np.uint64(1))).min(axis=0), out=least)
+    keys = np.arange(1, MIN_BLOCKS + 1, dtype=np.uint64)
+    for part in least.reshape(MIN_BLOCKS, MIN_WIDTH).T:
+        keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) ^ part)
+    return keys.view(np.int64)
+
+
 def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: tuple[str, ...] = ("doc_id",), name: str = "fp") -> DataFrame:
     """The ``carry`` columns and ``name``, the fingerprint as a signed long, of each row of ``docs``."""
     prepare(docs.sparkSession)
@@ -160,20 +192,6 @@ def fingerprint_text(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def wide_fingerprints(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
-    """(doc_id, own, wide) of each row: a hash of the text and its wide fingerprint as an array of blocks."""
-    prepare(docs.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            wide = [wide_simhash(t, shingle_words).astype(np.int32) for t in batch["_text"]]
-            yield batch.drop(columns="_text").assign(wide=wide)
-
-    rows = docs.select("doc_id", F.xxhash64("text").alias("own"), F.col("text").alias("_text"))
-    schema = rows.drop("_text").withColumn("wide", F.array(F.lit(0))).schema
-    return rows.mapInPandas(run, schema)
-
-
 def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The ``pairs`` (u, v, ...) whose wide fingerprints differ in NEAR_BITS bits or fewer."""
     differ = F.aggregate(F.zip_with("_wu", "_wv", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
@@ -181,50 +199,102 @@ def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.where(differ <= NEAR_BITS).select(*pairs.columns)
 
 
+def shared_cells(cells: DataFrame) -> DataFrame:
+    """The ``cells`` (fp, key) of keys that several hold, with their number n and their smallest fp as low."""
+    bucket = Window.partitionBy("key")
+    return checkpointed(cells.select("fp", "key", F.count("*").over(bucket).alias("n"), F.min("fp").over(bucket).alias("low")).where("n > 1"))
+
+
 def wide_components(nodes: DataFrame) -> DataFrame:
-    """(fp, label) for the ``nodes`` (fp, wide) linked to others: all that share a block and differ in NEAR_BITS or fewer.
+    """(fp, label) for the ``nodes`` (fp, wide) linked to others: all that share a block and differ in NEAR_BITS or fewer."""
+    cells = nodes.select("fp", F.posexplode("wide").alias("_k", "_bits")).select("fp", F.shiftleft(F.col("_k").cast("long"), WIDE_WIDTH).bitwiseOR(F.col("_bits").cast("long")).alias("key"))
+    return linked_components(shared_cells(cells), lambda pairs: _verified(pairs, nodes))
 
-    Small buckets are paired. In a larger one each member is first compared with the smallest; the parts that all
-    verified links leave are then compared across: every member outside of a bucket's largest part with all members of
-    other parts. Pairs within one part are never needed, so large groups of near copies cost a few pairs a member and
-    no component is lost.
+
+def linked_components(shared: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(fp, label) for each fp of ``shared`` linked to others: all that share a key and that ``verified`` keeps as pair.
+
+    Small buckets are paired. In a larger one each member is first compared with its neighbour in the order of fp; the
+    parts that all verified links leave are then compared across: every member outside of a bucket's largest part with
+    all members of other parts. Pairs within one part are never needed, so large groups of near copies cost a few pairs
+    a member and no component is lost. Neighbours, unlike a bucket's smallest member, make no hub.
     """
-    cells = nodes.select("fp", F.posexplode("wide").alias("_k", "_bits")).select("fp", F.shiftleft(F.col("_k").cast("long"), WIDE_WIDTH).bitwiseOR(F.col("_bits").cast("long")).alias("key"))
-    bucket = Window.partitionBy("key")
-    shared = checkpointed(cells.select("fp", "key", F.count("*").over(bucket).alias("n"), F.min("fp").over(bucket).alias("low")).where("n > 1"))
     few, many = shared.where(F.col("n") <= WIDE_PAIRS), shared.where(F.col("n") > WIDE_PAIRS)
     pairs = few.select("key", F.col("fp").alias("u")).join(few.select("key", F.col("fp").alias("v")), "key").where("u < v").select("u", "v")
-    stars = many.where("low < fp").select(F.col("low").alias("u"), F.col("fp").alias("v"))
-    first = connected(_verified(pairs.unionAll(stars).distinct(), nodes)).withColumnRenamed("id", "fp")
+    chains = many.select(F.lag("fp").over(Window.partitionBy("key").orderBy("fp")).alias("u"), F.col("fp").alias("v")).where("u IS NOT NULL")
+    first = connected(verified(pairs.unionAll(chains).distinct())).withColumnRenamed("id", "fp")
 
     placed = many.select("key", "fp").join(first, "fp", "left").select("key", "fp", F.coalesce("label", "fp").alias("part"))
     counts = placed.groupBy("key", "part").agg(F.count("*").alias("_n"))
     main = counts.groupBy("key").agg(F.max_by("part", F.struct("_n", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     mixed = checkpointed(placed.join(main, "key").select("key", "fp", "part", "main"))
     left = mixed.where("part <> main").select("key", F.col("fp").alias("u"), F.col("part").alias("pu"))
-    across = left.join(mixed.select("key", F.col("fp").alias("v"), F.col("part").alias("pv")), "key").where("pu <> pv").select("u", "v", "pu", "pv").distinct()
-    joined = connected(_verified(across, nodes).select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct()).select(F.col("id").alias("part"), F.col("label").alias("later"))
+    across = left.join(mixed.select("key", F.col("fp").alias("v"), F.col("part").alias("pv"), "main"), "key").where("pu <> pv AND (pv = main OR u < v)").select("u", "v", "pu", "pv").distinct()
+    joined = connected(verified(across).select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct()).select(F.col("id").alias("part"), F.col("label").alias("later"))
     ends = first.unionAll(mixed.select("fp", F.col("part").alias("label"))).distinct()
     return ends.join(joined, ends["label"] == joined["part"], "left").select("fp", F.coalesce("later", "label").alias("label"))
 
 
+def shingle_blocks(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
+    """(doc_id, own, fp, keys) of each row: hashes of the text and of its shingle set, and the set's block keys."""
+    prepare(docs.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_set(t, shingle_words) for t in batch["_text"]]
+            marks = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
+            yield batch.drop(columns="_text").assign(fp=marks, keys=[block_keys(x) for x in sets])
+
+    rows = docs.select("doc_id", F.xxhash64("text").alias("own"), F.col("text").alias("_text"))
+    schema = rows.drop("_text").withColumn("fp", F.lit(0).cast("long")).withColumn("keys", F.array(F.lit(0).cast("long"))).schema
+    return rows.mapInPandas(run, schema)
+
+
+def shingle_sets(texts: DataFrame, shingle_words: int = 5) -> DataFrame:
+    """(fp, shingles) of each row of ``texts`` (fp, text): its distinct shingle hashes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"fp": batch["fp"], "shingles": [shingle_set(t, shingle_words).view(np.int64) for t in batch["text"]]})
+
+    return texts.select("fp", "text").mapInPandas(run, "fp long, shingles array<long>")
+
+
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs`` (u, v, ...) whose shingle sets have a Jaccard similarity of NEAR or more, exactly."""
+    end = lambda name: sets.select(F.col("fp").alias(name), F.col("shingles").alias(f"_s{name}"), F.size("shingles").alias(f"_n{name}"))
+    sizes = lambda name: sets.select(F.col("fp").alias(name), F.size("shingles").alias(f"_n{name}"))
+    part, whole = NEAR
+    # sizes that differ more than the similarity allows are left out before any set is moved
+    sized = pairs.join(sizes("u"), "u").join(sizes("v"), "v").where(F.least("_nu", "_nv") * whole >= F.greatest("_nu", "_nv") * part).select(*pairs.columns)
+    both = sized.join(end("u"), "u").join(end("v"), "v").withColumn("_both", F.size(F.array_intersect("_su", "_sv")))
+    return both.where(F.col("_both") * whole >= (F.col("_nu") + F.col("_nv") - F.col("_both")) * part).select(*pairs.columns)
+
+
 def keep_one_of_each(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
     """One row of each group of near copies: the one with the smallest doc_id. Columns stay as they are.
 
-    Near copies are texts whose wide fingerprints share a block and differ in NEAR_BITS bits or fewer, a similarity of
-    about 0.8 or more on ``shingle_words``-word shingles. Null, empty and wordless texts are one group. Of repeated rows
-    of the kept id and text one stays, and of several texts of that id the one with the smallest hash; an id is
-    preferred to a null one. An empty table stays empty.
+    Near copies are texts whose sets of ``shingle_words``-word shingles have a Jaccard similarity of NEAR or more; groups
+    are what such links connect. Candidates share a block of least shingle hashes, each is verified by its whole sets.
+    Null, empty and wordless texts are one group. Of repeated rows of the kept id and text one stays, and of several
+    texts of that id the one with the smallest hash; an id is preferred to a null one. An empty table stays empty.
     """
     names = docs.columns
-    marked = checkpointed(wide_fingerprints(docs, shingle_words).withColumn("fp", F.xxhash64("wide")))
+    marked = checkpointed(shingle_blocks(docs, shingle_words))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")
-    nodes = checkpointed(marked.groupBy("fp").agg(F.min(order).alias("best"), F.first("wide").alias("wide")))
-    labels = wide_components(nodes.select("fp", "wide"))
+    nodes = checkpointed(marked.groupBy("fp").agg(F.min(order).alias("best"), F.first("keys").alias("keys")))
+    shared = shared_cells(nodes.select("fp", F.explode("keys").alias("key")))
+    wanted = nodes.join(shared.select("fp").distinct(), "fp").select("fp", F.col("best.doc_id").alias("_want"), F.col("best.own").alias("_mark"))
+    texts = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_own"), "text")
+    # rows repeated with id and text come as often; one of each set stays
+    found = texts.join(wanted, F.col("_id").eqNullSafe(F.col("_want")) & (F.col("_own") == F.col("_mark"))).select("fp", "text")
+    repeated = not marked.groupBy("doc_id", "own").count().where("count > 1").isEmpty()
+    sets = checkpointed(shingle_sets(found.dropDuplicates(["fp"]) if repeated else found, shingle_words))
+    labels = linked_components(shared, lambda pairs: _alike(pairs, sets))
     placed = nodes.select("fp", "best").join(labels, "fp", "left").select("best", F.coalesce("label", "fp").alias("label"))
     kept = placed.groupBy("label").agg(F.min("best").alias("b")).select(F.col("b.doc_id").alias("_keep"), F.col("b.own").alias("_mark"))
     rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_own"))
     held = rows.join(kept, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_own") == F.col("_mark")))
-    if not marked.groupBy("doc_id", "own").count().where("count > 1").isEmpty():
+    if repeated:
         held = held.dropDuplicates(["_id", "_own"])
     return held.select("_row.*")
