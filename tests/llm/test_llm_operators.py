@@ -419,6 +419,41 @@ def test_license_rules():
     assert all(a[1] <= b[0] for a, b in zip(kept, kept[1:], strict=False))
 
 
+def alternatives(tree):
+    """Each text of a license's pattern, with a space for a gap: all branches, with and without optional parts."""
+    out = [""]
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            some = [chr(arg)]
+        elif name == "IN":
+            some = [chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0])]
+        elif name == "BRANCH":
+            some = [x for branch in arg[1] for x in alternatives(branch)]
+        elif name == "SUBPATTERN":
+            some = alternatives(arg[3])
+        else:
+            some = alternatives(arg[2]) + ([""] if arg[0] == 0 else [])
+        out = [a + b for a in out for b in some]
+    return out
+
+
+def test_every_alternative_passes_the_gate():
+    seen = 0
+    for label, keywords, pattern, _ in licenses.LICENSES:
+        for text in alternatives(re._parser.parse(pattern.replace("~", " "))):
+            assert any(k in text for k in keywords.split("|")) and licenses.detections(text.encode()), (label, text)
+            seen += 1
+    assert seen > 150
+    for text, label in (("Server Side Public License", "sspl-1.0"), ("Zero-Clause BSD License", "bsd-0-clause"), ("University of Illinois Open Source License", "ncsa"), ("reproduction is strictly prohibited", "no-redistribution")):
+        assert label in licenses.scan_text(text)[5].split(","), text
+
+
+def test_names_over_wide_gaps():
+    assert "gpl-3.0" in licenses.scan_text("GNU General\n        *        Public License, version 3")[5].split(",")
+    assert licenses.scan_text("gpl" + " " * 300000 + "x")[5] == ""
+
+
 # ---- 7
 
 

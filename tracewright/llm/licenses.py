@@ -17,7 +17,7 @@ from tracewright.llm.common import prepare
 # Phrases of the base and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-# Each license: label, keyword that a text must hold, pattern of its name, and its SPDX identifiers. Names are matched in
+# Each license: label, keywords ("|" between them) of which a text must hold one, pattern of its name, and its SPDX identifiers. Names are matched in
 # lower-cased text; "~" stands for any run of characters that are not part of words.
 LICENSES = (
     ("apache-1.1", "apache", r"apache~(?:software~)?license,?~(?:version~|v\.?~?)?1[.]1", "apache-1.1"),
@@ -29,7 +29,7 @@ LICENSES = (
     ("bsd-4-clause", "bsd", r"(?:4|four)~clause~bsd(?:~license)?|original~bsd~license", "bsd-4-clause"),
     ("bsd-3-clause", "bsd", r"(?:3|three)~clause~bsd(?:~license)?|(?:new|modified|revised)~bsd(?:~license)?", "bsd-3-clause"),
     ("bsd-2-clause", "bsd", r"(?:2|two)~clause~bsd(?:~license)?|simplified~bsd(?:~license)?|freebsd~license", "bsd-2-clause"),
-    ("bsd-0-clause", "0bsd", r"0bsd|zero~clause~bsd(?:~license)?", "0bsd"),
+    ("bsd-0-clause", "0bsd|zero", r"0bsd|zero~clause~bsd(?:~license)?", "0bsd"),
     ("bsd", "bsd", r"bsd~(?:style~)?licen[sc]e", ""),
     ("gpl-1.0", "gpl", r"gpl~?v?~?1(?:[.]0)?", "gpl-1.0(?:-only|-or-later)?"),
     ("gpl-2.0", "gpl", r"gpl~?v?~?2(?:[.]0)?", "gpl-2.0(?:-only|-or-later)?"),
@@ -40,7 +40,7 @@ LICENSES = (
     ("lgpl-2.0", "lgpl", r"lgpl~?v?~?2(?:[.]0)?", "lgpl-2.0(?:-only|-or-later)?"),
     ("lgpl-2.1", "lgpl", r"lgpl~?v?~?2[.]1", "lgpl-2.1(?:-only|-or-later)?"),
     ("lgpl-3.0", "lgpl", r"lgpl~?v?~?3(?:[.]0)?", "lgpl-3.0(?:-only|-or-later)?"),
-    ("lgpl", "lesser", r"(?:gnu~)?(?:lesser|library)~general~public~license", ""),
+    ("lgpl", "lesser|library", r"(?:gnu~)?(?:lesser|library)~general~public~license", ""),
     ("agpl-3.0", "agpl", r"agpl~?v?~?3(?:[.]0)?", "agpl-3.0(?:-only|-or-later)?"),
     ("agpl", "affero", r"(?:gnu~)?affero~general~public~license", ""),
     ("gfdl", "documentation", r"gnu~free~documentation~license", "gfdl-1.[123](?:-only|-or-later)?"),
@@ -64,12 +64,12 @@ LICENSES = (
     ("artistic-1.0", "artistic", r"artistic~license,?~(?:version~)?1(?:[.]0)?", "artistic-1.0"),
     ("artistic-2.0", "artistic", r"artistic~license,?~(?:version~)?2(?:[.]0)?", "artistic-2.0"),
     ("artistic", "artistic", r"(?:perl~)?artistic~license", ""),
-    ("psf-2.0", "python", r"(?:psf|python(?:~software~foundation)?)~license(?:~agreement)?", "psf-2.0|python-2.0"),
+    ("psf-2.0", "python|psf", r"(?:psf|python(?:~software~foundation)?)~license(?:~agreement)?", "psf-2.0|python-2.0"),
     ("ruby", "ruby", r"ruby~license", "ruby"),
     ("php-3.01", "php", r"php~license", "php-3.0[1]?"),
     ("openssl", "openssl", r"openssl~license", "openssl"),
     ("curl", "curl", r"curl~license", "curl"),
-    ("ncsa", "ncsa", r"(?:university~of~illinois|ncsa)~(?:open~source~)?license", "ncsa"),
+    ("ncsa", "ncsa|illinois", r"(?:university~of~illinois|ncsa)~(?:open~source~)?license", "ncsa"),
     ("postgresql", "postgresql", r"postgresql~license", "postgresql"),
     ("ofl-1.1", "font", r"(?:sil~)?open~font~license", "ofl-1.[01]"),
     ("eupl-1.2", "european", r"european~union~public~licen[cs]e", "eupl-1.[012]"),
@@ -92,7 +92,7 @@ LICENSES = (
     ("cc-by", "creative", r"creative~commons~attribution(?:~[1-4][.][05])?(?:~international|~unported|~generic)?~license", "cc-by-[1-4].0"),
     ("creative-commons", "creative", r"creative~commons~licen[sc]e", ""),
     ("elastic-2.0", "elastic", r"elastic~license", "elastic-2.0"),
-    ("sspl-1.0", "sspl", r"sspl|server~side~public~license", "sspl-1.0"),
+    ("sspl-1.0", "sspl|server", r"sspl|server~side~public~license", "sspl-1.0"),
     ("busl-1.1", "business", r"business~source~license", "busl-1.1"),
     ("polyform", "polyform", r"polyform~(?:noncommercial|small~business|strict|shield)~license", "polyform-[a-z-]+-1.0.0"),
     ("openrail", "rail", r"(?:creativeml~)?open~?rail~?[ms]?(?:~license)?", "creativeml-openrail-m"),
@@ -100,7 +100,7 @@ LICENSES = (
     ("gemma", "gemma", r"gemma~terms~of~use", ""),
     ("public-domain", "domain", r"(?:in|into|to)~the~public~domain|public~domain~work", ""),
     ("proprietary", "proprietary", r"proprietary~and~confidential|confidential~and~proprietary", ""),
-    ("no-redistribution", "redistribut", r"(?:redistribution|reproduction)~(?:is~)?(?:strictly~)?(?:prohibited|forbidden)", ""),
+    ("no-redistribution", "redistribut|reproduction", r"(?:redistribution|reproduction)~(?:is~)?(?:strictly~)?(?:prohibited|forbidden)", ""),
     ("reserved", "rights", r"all~rights~reserved", ""),
     ("reserved", "rechte", r"alle~rechte~vorbehalten", ""),
     ("reserved", "droits", r"tous~droits~réservés", ""),
@@ -116,7 +116,7 @@ FORMS = (
     ("header", 0.9, r"licen[sc]e~(?:is~)?(?:the~)?(?:{})"),
     ("name", 0.6, r"(?:{})"),
 )
-OWN, GAP = r"0-9a-z\x80-\xff", r"[\x00-\x2f\x3a-\x60\x7b-\x7f]{1,8}"
+OWN, GAP = r"0-9a-z\x80-\xff", r"(?:[\x00-\x2f\x3a-\x60\x7b-\x7f]++)"
 WORD_BYTES = np.zeros(256, bool)
 WORD_BYTES[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
@@ -127,11 +127,11 @@ _ALSO = ((b"",), (b"under",), (b"under", b"subject"), (b"licen",))
 
 @dataclass(frozen=True)
 class Rule:
-    """``priority`` orders the rules: a smaller one wins where detections overlap. ``keyword`` and one of ``also`` gate the pattern."""
+    """``priority`` orders the rules: a smaller one wins where detections overlap. One of ``keywords`` and one of ``also`` gate the pattern."""
 
     label: str
     form: str
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     also: tuple[bytes, ...]
     pattern: re.Pattern[bytes]
     weight: float
@@ -151,7 +151,7 @@ def rules() -> tuple[Rule, ...]:
             pass
         if form == "name" and all("licen" in x for x in bare.split("|")):
             also = (b"licen",)
-        out.append(Rule(label, form, keyword.encode(), also, re.compile(body), weight, len(out)))
+        out.append(Rule(label, form, tuple(keyword.encode().split(b"|")), also, re.compile(body), weight, len(out)))
 
     for label, _, _, tag in LICENSES:
         if tag:
@@ -163,11 +163,11 @@ def rules() -> tuple[Rule, ...]:
 
 
 @lru_cache(1)
-def _gates() -> tuple[re.Pattern[bytes], dict[bytes, list[Rule]]]:
-    by: dict[bytes, list[Rule]] = {}
+def _gates() -> tuple[re.Pattern[bytes], dict[tuple[bytes, ...], list[Rule]]]:
+    by: dict[tuple[bytes, ...], list[Rule]] = {}
     for rule in rules():
-        by.setdefault(rule.keyword, []).append(rule)
-    keys = sorted(by, key=lambda k: (-len(k), k))
+        by.setdefault(rule.keywords, []).append(rule)
+    keys = sorted({k for own in by for k in own}, key=lambda k: (-len(k), k))
     return re.compile(b"|".join(map(re.escape, keys))), by
 
 
@@ -175,14 +175,14 @@ _PHRASES = tuple((re.compile(f"(?<![{OWN}])".encode("latin-1") + r"[\x00-\x2f\x3
 
 
 def detections(raw: bytes) -> list[tuple[int, int, Rule]]:
-    """(start, end, rule) in lower-cased bytes, by start: rules run only if their keyword occurs; a detection within or
+    """(start, end, rule) in lower-cased bytes, by start: rules run only if one of their keywords occurs; a detection within or
     across one of a rule with higher priority gives way, and one that holds another of lower priority swallows it."""
     gate, by = _gates()
     # keywords may overlap one another, so each that the gate lets through is looked for by itself
     if not gate.search(raw):
         return []
     seen = {also: any(word in raw for word in also) for also in _ALSO}
-    found = [(m.start(), m.end(), rule) for key, own in by.items() if key in raw for rule in own if seen[rule.also] for m in rule.pattern.finditer(raw)]
+    found = [(m.start(), m.end(), rule) for keys, own in by.items() if any(k in raw for k in keys) for rule in own if seen[rule.also] for m in rule.pattern.finditer(raw)]
     kept: list[tuple[int, int, Rule]] = []
     # of two that overlap the longer wins, and of equal ones the earlier rule
     for s, e, rule in sorted(found, key=lambda x: (-(x[1] - x[0]), x[2].priority, x[0])):
