@@ -587,3 +587,13 @@ def test_merkle_roots_and_branches(spark):
     df = merkle.with_likeness(merkle.with_likeness(df, "fa", "fb", "x"), "fa", "fc", "y")
     r = df.withColumn("at", merkle.differing_sections(F.col("fa"), F.col("fb"))).first()
     assert r.fa == r.fc and r.fa != r.fb and r.y == 1.0 and 0.99 < r.x < 1.0 and len(r["at"]) == 1
+
+
+def test_merkle_likeness_counts_repeats_and_order(spark):
+    line, new = "The same line.\n", "".join(f"New sentence {i}.\n" for i in range(100))
+    pairs = [(line * 400, line * 300 + new, 0.75), (line * 5, line * 5000, 0.001), ("One.\nTwo.\nThree.\n", "Three.\nOne.\nTwo.\n", 0.75), (line, line, 1.0), ("", "", 1.0), ("", line, 0.0)]
+    df = spark.createDataFrame(pairs, "a string, b string, want double")
+    for c in "ab":
+        df = merkle.with_fingerprint(df, c, f"f{c}")
+    for r in merkle.with_likeness(merkle.with_likeness(df, "fa", "fb", "x"), "fb", "fa", "y").collect():
+        assert r.x == r.y == pytest.approx(r.want)

@@ -42,23 +42,28 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
 def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """``df`` with the likeness, 0 to 1, of its fingerprint columns ``a`` and ``b``.
 
-    Equal roots give 1. Else it is the share of the larger tree's distinct paragraphs that both hold: sections that
-    both hold count whole, and only differing branches are compared by paragraph. Two empty trees are equal.
+    Equal roots give 1, and only they. Else it is the share of the larger tree's paragraphs that both hold, each as often
+    as both do; trees of the same n paragraphs in another order have n / (n + 1), as if the root were one more. Two
+    empty trees are equal.
     """
 
-    def leaves(sections: Column) -> Column:
-        return F.array_distinct(F.regexp_extract_all(F.array_join(sections, ""), F.lit("[0-9a-f]{8}"), F.lit(0)))
+    def leaves(f: str, side: int) -> Column:
+        found = F.regexp_extract_all(F.substring_index(f, ROOT_SEP, -1), F.lit("[0-9a-f]{8}"), F.lit(0))
+        return F.transform(found, lambda x: F.struct(x.alias("x"), F.lit(side).alias("side")))
 
-    out = df
-    for c, f in (("_a", a), ("_b", b)):
-        out = out.withColumn(c, F.array_distinct(F.split(F.substring_index(f, ROOT_SEP, -1), SECTION_SEP)))
-    out = out.withColumn("_same", leaves(F.array_intersect("_a", "_b")))
-    out = out.withColumn("_l", F.array_except(leaves(F.array_except("_a", "_b")), "_same")).withColumn("_r", F.array_except(leaves(F.array_except("_b", "_a")), "_same"))
-    shared = F.size("_same") + F.size(F.array_intersect("_l", "_r"))
-    most = F.size("_same") + F.greatest(F.size("_l"), F.size("_r"))
+    def step(acc: Column, leaf: Column) -> Column:
+        # of a run of equal leaves, first those of a, then those of b: each of b takes one of a that is left
+        left = F.when(leaf["x"] == acc["x"], acc["left"]).otherwise(F.lit(0))
+        taken = (leaf["side"] == 1) & (left > 0)
+        return F.struct(leaf["x"].alias("x"), F.when(leaf["side"] == 0, left + 1).when(taken, left - 1).otherwise(left).alias("left"), (acc["both"] + taken.cast("int")).alias("both"))
+
+    start = F.struct(F.lit("").alias("x"), F.lit(0).alias("left"), F.lit(0).alias("both"))
+    out = df.withColumn("_a", leaves(a, 0)).withColumn("_b", leaves(b, 1))
+    out = out.withColumn("_both", F.aggregate(F.sort_array(F.concat("_a", "_b")), start, step, lambda acc: acc["both"]))
+    most = F.greatest(F.size("_a"), F.size("_b"))
     equal = F.substring_index(a, ROOT_SEP, 1) == F.substring_index(b, ROOT_SEP, 1)
-    value = F.when(equal, F.lit(1.0)).when(most == 0, F.lit(0.0)).otherwise(shared.cast("double") / most)
-    return out.withColumn(name, value).drop("_a", "_b", "_same", "_l", "_r")
+    value = F.when(equal, F.lit(1.0)).otherwise(F.col("_both").cast("double") / F.when(F.col("_both") == most, most + 1).otherwise(most))
+    return out.withColumn(name, value).drop("_a", "_b", "_both")
 
 
 def differing_sections(a: Column, b: Column) -> Column:
