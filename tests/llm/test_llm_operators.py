@@ -115,25 +115,66 @@ def edited(rng, words, changes):
     return out
 
 
+def near_labels(sets):
+    """Smallest index reachable over pairs at a Jaccard similarity of 0.8 or more."""
+    label = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) * 5 >= len(sets[a] | sets[b]) * 4 and label[a] != label[b]:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def families(rng):
+    """Families of copies with up to a fifth of their words edited, cut or added, some of copies of copies, some without their base."""
+    texts = []
+    for size in (80, 40, 25, 8, 2, 1, 1, 1):
+        base = [str(rng.randrange(3000)) for _ in range(rng.randint(40, 150))]
+        for k in range(size):
+            own = edited(rng, base, rng.randint(0 if size > 30 else 1, 1 + len(base) // 45))
+            own = own[: len(own) - rng.randint(0, 3)] if k % 3 == 0 else own + [str(rng.random()) for _ in range(rng.randint(0, 2))] if k % 3 == 1 else own
+            texts.append(own)
+            base = edited(rng, base, 1) if rng.random() < 0.1 else base
+    return sorted({" ".join(t) for t in texts})
+
+
 @pytest.mark.parametrize("cap", [2, 16])
-def test_wide_components_against_brute_force(spark, monkeypatch, cap):
+@pytest.mark.parametrize("one_bucket", [True, False])
+def test_near_copies_of_families_against_brute_force(spark, make, monkeypatch, cap, one_bucket):
     monkeypatch.setattr(simhash, "WIDE_PAIRS", cap)
-    rng, texts = random.Random(2), []
-    for size in (60, 25, 8, 2, 1, 1, 1):
-        base = [str(rng.randrange(3000)) for _ in range(rng.randint(40, 300))]
-        for _ in range(size):
-            texts.append(edited(rng, base, rng.randint(0, 4)))
-            base = edited(rng, base, 1) if rng.random() < 0.3 else base
-    wide = [simhash.wide_simhash(" ".join(t)).tolist() for t in texts]
-    wide = [list(w) for w in sorted({tuple(w) for w in wide})]
-    label = list(range(len(wide)))
-    near = [(a, b) for a in label for b in range(a) if any(x == y for x, y in zip(wide[a], wide[b], strict=True)) and sum((x ^ y).bit_count() for x, y in zip(wide[a], wide[b], strict=True)) <= simhash.NEAR_BITS]
-    for a, b in near:
-        old, new = max(label[a], label[b]), min(label[a], label[b])
-        label = [new if x == old else x for x in label]
-    nodes = spark.createDataFrame(list(enumerate(wide)), "fp long, wide array<int>")
-    got = {r.fp: r.label for r in simhash.wide_components(nodes).collect()}
-    assert [got.get(i, i) for i in range(len(wide))] == label and len(set(label)) < len(label)
+    texts = families(random.Random(cap))
+    want = near_labels([shingles(t) for t in texts])
+    assert 15 < len(set(want)) < len(want) - 50
+    if not one_bucket:
+        kept = simhash.keep_one_of_each(make(list(enumerate(texts)))).collect()
+        assert sorted(r.doc_id for r in kept) == sorted(set(want))
+        return
+    own = [simhash.shingle_set(t) for t in texts]
+    nodes = spark.createDataFrame([(i, np.packbits(simhash.wide_simhash(x)).view(np.int64).tolist(), len(x)) for i, x in enumerate(own)], "fp long, wide array<long>, size int")
+    sets = spark.createDataFrame([(i, x.view(np.int64).tolist()) for i, x in enumerate(own)], "fp long, shingles array<long>")
+    shared = spark.createDataFrame([(i, 7, len(texts)) for i in range(len(texts))], "fp long, key long, n long")
+    got = {r.fp: r.label for r in simhash.near_copy_labels(nodes, sets, shared).collect()}
+    assert [got.get(i, i) for i in range(len(texts))] == want
+
+
+def test_family_pairs_grow_with_its_size(spark, monkeypatch):
+    rng, counts = random.Random(9), []
+    for size in (200, 800):
+        base = [str(rng.randrange(10**6)) for _ in range(120)]
+        own = [simhash.shingle_set(" ".join(edited(rng, base, k % 9))) for k in range(size)]
+        sets = spark.createDataFrame([(i, x.view(np.int64).tolist()) for i, x in enumerate(own)], "fp long, shingles array<long>")
+        shared = spark.createDataFrame([(i, 7, size) for i in range(size)], "fp long, key long, n long")
+        nodes = spark.createDataFrame([(i, np.packbits(simhash.wide_simhash(x)).view(np.int64).tolist(), len(x)) for i, x in enumerate(own)], "fp long, wide array<long>, size int")
+        made = []
+
+        def counted(pairs, nodes=nodes, sets=sets, made=made):
+            made.append(pairs.count())
+            return simhash._alike(pairs, nodes, sets)
+
+        simhash.linked_components(shared, sets, counted)
+        counts.append(sum(made))
+    assert counts[0] <= 2 * 200 and counts[1] <= 2 * 800
 
 
 def test_keep_one_of_near_copies(make):

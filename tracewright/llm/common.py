@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,16 +18,28 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``, else one set before, else a new one."""
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``, else one set on the context.
+
+    Without either this raises, as a folder of the driver's own machine would be lost on executors; only a local master,
+    where all share one machine, gets a folder of its own under the working directory of Spark.
+    """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        context.setCheckpointDir(f"{spark.conf.get('spark.local.dir', '/tmp')}/checkpoints-{context.applicationId}")
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file systems, wherever it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage."""
     spark = df.sparkSession
@@ -39,6 +49,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a few numbers each that may be broadcast; larger tables are shuffled instead.
+BROADCAST_ROWS = 200_000
+#: Keys with more than one in HOT of all rows are at most HOT.
+HOT = 1000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (narrow, and cheap to read twice) marked for broadcast if it has at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def join_hot(rows: DataFrame, groups: DataFrame, key: str, counts: DataFrame, total: int) -> DataFrame:
+    """The inner join of ``rows`` and ``groups`` (one row a key), where a few keys may hold most rows.
+
+    ``counts`` has (key, n), the rows of each key. Keys with more than one in HOT of ``total`` rows are at most HOT: their
+    groups are broadcast, so that no task gets all rows of one key. The other keys are shuffled as usual.
+    """
+    hot = F.broadcast(counts.where(F.col("n") * HOT > total).select(key))
+    few = groups.join(hot, key, "left_semi")
+    return rows.join(F.broadcast(few), key).unionByName(rows.join(hot, key, "left_anti").join(groups, key))
+
+
 def ascii_lower(column: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -8,28 +8,28 @@ from itertools import accumulate, combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import checkpointed, prepare
+from tracewright.llm.common import broadcast_if_small, checkpointed, join_hot, prepare
 
 BITS = 64
 #: Blocks of equal width; two fingerprints at MAX_BITS or fewer differing bits agree on BLOCKS - MAX_BITS of them.
 BLOCKS, MAX_BITS = 4, 2
 #: Buckets above this size are not paired; their members meet at common midpoints instead.
 PAIR_CAP = 64
-#: Wide fingerprints, of 3,072 bits: two texts share a block with a chance of about 0.92 at a Jaccard similarity of 0.8
-#: on their shingles, 0.99 at 0.85 and over 0.999 at 0.9; unrelated texts share one with a chance of 128 / 2^24.
-WIDE_BLOCKS, WIDE_WIDTH = 128, 24
-#: Wide fingerprints of similarity 0.8 differ in 15.2 % of their bits (arccos(2 * 0.8 / 1.8) / pi), 465 +- 20.
-NEAR_BITS = 485
-#: Wide buckets above this size are linked by stars first, then across the parts that these leave.
+#: Wide fingerprints for near copies: blocks of equal width, each joined on together with an anchor, the least of the
+#: text's shingles under the block's own order. Texts of Jaccard similarity s agree on an anchor with chance s and on a
+#: bit with chance 1 - arccos(2s / (1 + s)) / pi, so a pair at exactly 0.8 shares no block with a chance of 8 in 100,000
+#: (4 in 1,000 for sets of four and five shingles, the worst case), closer pairs with a far smaller one. The anchor keeps
+#: unrelated texts apart at any table size, the bits those that share no more than a frequent passage.
+WIDE_BLOCKS, WIDE_WIDTH = 80, 12
+#: Of the 960 bits 145 +- 11 differ at a similarity of 0.8, 180 +- 12 for sets of four and five shingles, 480 +- 15 by chance.
+NEAR_BITS = 230
+#: Buckets above this size are linked by their centre first, then by what their members share beyond it.
 WIDE_PAIRS = 16
 #: Near copies: Jaccard similarity of the shingle sets, as a fraction.
 NEAR = (4, 5)
-#: Blocks of least shingle hashes: a pair at similarity s shares a block with a chance of 1 - (1 - s^6)^48, so that of
-#: pairs at exactly 0.8 five in ten million share none, and fewer of closer ones.
-MIN_BLOCKS, MIN_WIDTH = 48, 6
 
 
 def _shingle_digests(text: str | None, shingle_words: int) -> bytes:
@@ -55,21 +55,6 @@ def simhash(text: str | None, shingle_words: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def wide_simhash(text: str | None, shingle_words: int = 5) -> np.ndarray:
-    """Fingerprint of WIDE_BLOCKS blocks of WIDE_WIDTH bits over a text's distinct shingles; all 0 without words."""
-    hashes = np.unique(np.frombuffer(_shingle_digests(text, shingle_words), ">u8").astype(np.uint64))
-    bits = WIDE_BLOCKS * WIDE_WIDTH
-    steps = np.arange(1, bits // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    ones = np.zeros(bits, np.int64)
-    for at in range(0, len(hashes), 255):  # 255 rows at most, so that the counts of a part fit a byte
-        z = hashes[at : at + 255, None] + steps
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        z ^= z >> np.uint64(31)
-        ones += np.unpackbits(z.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
-    return (2 * ones > len(hashes)).reshape(WIDE_BLOCKS, WIDE_WIDTH) @ (1 << np.arange(WIDE_WIDTH, dtype=np.int32))
-
-
 def shingle_set(text: str | None, shingle_words: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes of a text; none without words."""
     return np.unique(np.frombuffer(_shingle_digests(text, shingle_words), ">u8").astype(np.uint64))
@@ -81,20 +66,30 @@ def _mixed(z: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-_SEEDS = _mixed(np.arange(1, 2 * MIN_BLOCKS * MIN_WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, -1)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_LANES = np.arange(1, WIDE_BLOCKS * WIDE_WIDTH // 64 + 1, dtype=np.uint64) * _STEP
+_ORDERS = _mixed(np.arange(1, 2 * WIDE_BLOCKS + 1, dtype=np.uint64) * _STEP).reshape(2, -1)
+_NUMBERS = np.arange(1, WIDE_BLOCKS + 1, dtype=np.uint64) * _STEP
+
+
+def wide_simhash(hashes: np.ndarray) -> np.ndarray:
+    """Bits of the wide fingerprint of a set of shingle hashes; all 0 for the empty set."""
+    ones = np.zeros(WIDE_BLOCKS * WIDE_WIDTH, np.int64)
+    for at in range(0, len(hashes), 255):  # 255 rows at most, so that the counts of a part fit a byte
+        z = _mixed(hashes[at : at + 255, None] + _LANES)
+        ones += np.unpackbits(z.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return 2 * ones > len(hashes)
 
 
-def block_keys(hashes: np.ndarray) -> np.ndarray:
-    """A key for each of MIN_BLOCKS blocks of MIN_WIDTH least hashes of a set; none for the empty set."""
+def block_keys(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """A key for each block of the fingerprint, of its bits and its anchor; none for the empty set."""
     if not len(hashes):
         return np.zeros(0, np.int64)
-    least = np.full(MIN_BLOCKS * MIN_WIDTH, np.iinfo(np.uint64).max)
+    anchors = np.full(WIDE_BLOCKS, np.iinfo(np.uint64).max)
     for at in range(0, len(hashes), 256):
-        np.minimum(least, ((hashes[at : at + 256, None] ^ _SEEDS[0]) * (_SEEDS[1] | np.uint64(1))).min(axis=0), out=least)
-    keys = np.arange(1, MIN_BLOCKS + 1, dtype=np.uint64)
-    for part in least.reshape(MIN_BLOCKS, MIN_WIDTH).T:
-        keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) ^ part)
-    return keys.view(np.int64)
+        np.minimum(anchors, ((hashes[at : at + 256, None] ^ _ORDERS[0]) * (_ORDERS[1] | np.uint64(1))).min(axis=0), out=anchors)
+    blocks = (bits.reshape(WIDE_BLOCKS, WIDE_WIDTH) @ (1 << np.arange(WIDE_WIDTH))).astype(np.uint64)
+    return _mixed(_mixed(_NUMBERS ^ blocks) ^ anchors).view(np.int64)
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: tuple[str, ...] = ("doc_id",), name: str = "fp") -> DataFrame:
@@ -152,27 +147,34 @@ def connected(edges: DataFrame) -> DataFrame:
     """(id, label) for each end of ``edges`` (u, v): the smallest id that can be reached.
 
     Labels flow along edges and jump to their own label's label, so the rounds grow with the logarithm of a chain's
-    length. Each round is written to the checkpoint folder.
+    length. Each round is written to the checkpoint folder. Ends with very many edges and labels of very many ends are
+    joined by broadcast (join_hot), so that no task gets all of them.
     """
     both = checkpointed(edges.select("u", "v").unionAll(edges.select(F.col("v"), F.col("u"))))
-    labels = checkpointed(both.groupBy(F.col("u").alias("id")).agg(F.least(F.first("u"), F.min("v")).alias("label")))
-    while True:
-        offered = both.join(labels.select(F.col("id").alias("v"), "label"), "v").groupBy(F.col("u").alias("id")).agg(F.min("label").alias("near"))
-        closer = labels.join(offered, "id").select("id", F.least("label", "near").alias("mid"), F.col("label").alias("was"))
+    labels = checkpointed(both.groupBy(F.col("u").alias("id")).agg(F.least(F.first("u"), F.min("v")).alias("label"), F.count("*").alias("n")))
+    degrees, ends, ids = labels.select(F.col("id").alias("v"), "n"), both.count(), labels.count()
+    labels = labels.select("id", "label")
+    while ids:
+        offered = join_hot(both, labels.select(F.col("id").alias("v"), "label"), "v", degrees, ends).groupBy(F.col("u").alias("id")).agg(F.min("label").alias("near"))
+        closer = checkpointed(labels.join(offered, "id").select("id", F.least("label", "near").alias("mid"), F.col("label").alias("was")))
         jump = closer.select(F.col("id").alias("mid"), F.col("mid").alias("far"))
-        labels = checkpointed(closer.join(jump, "mid").select("id", F.least("mid", "far").alias("label"), "was"))
-        if labels.where("label <> was").isEmpty():
-            return labels.select("id", "label")
+        held = closer.groupBy("mid").agg(F.count("*").alias("n"))
+        labels = checkpointed(join_hot(closer, jump, "mid", held, ids).select("id", F.least("mid", "far").alias("label"), "was"))
+        done = labels.where("label <> was").isEmpty()
+        labels = labels.select("id", "label")
+        if done:
+            break
+    return labels
 
 
 def grouped_fingerprints(marked: DataFrame) -> DataFrame:
-    """(fp, first_id, component_id) for each distinct ``fp`` of ``marked`` (doc_id, fp); first_id is its smallest doc_id."""
-    distinct = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    """(fp, first_id, n, component_id) for each distinct ``fp`` of ``marked`` (doc_id, fp): its smallest doc_id and its rows."""
+    distinct = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")))
     parts = connected(links(distinct)).withColumnRenamed("id", "fp")
     linked = parts.join(distinct, "fp")
     lowest = linked.groupBy("label").agg(F.min("first_id").alias("low"))
     moved = linked.join(lowest, "label").select("fp", "low")
-    return distinct.join(moved, "fp", "left").select("fp", "first_id", F.coalesce("low", "first_id").alias("component_id"))
+    return distinct.join(moved, "fp", "left").select("fp", "first_id", "n", F.coalesce("low", "first_id").alias("component_id"))
 
 
 def near_duplicate_groups(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
@@ -184,69 +186,84 @@ def near_duplicate_groups(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     component); repeated rows stay; an empty table gives an empty result.
     """
     marked = checkpointed(fingerprints(docs, shingle_words))
-    groups = grouped_fingerprints(marked).select("fp", "component_id")
-    return marked.join(groups, "fp").select("doc_id", "fp", "component_id")
+    groups = checkpointed(grouped_fingerprints(marked))
+    return join_hot(marked, groups.select("fp", "component_id"), "fp", groups.select("fp", "n"), marked.count()).select("doc_id", "fp", "component_id")
 
 
 def fingerprint_text(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The ``pairs`` (u, v, ...) whose wide fingerprints differ in NEAR_BITS bits or fewer."""
-    differ = F.aggregate(F.zip_with("_wu", "_wv", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
-    both = pairs.join(nodes.select(F.col("fp").alias("u"), F.col("wide").alias("_wu")), "u").join(nodes.select(F.col("fp").alias("v"), F.col("wide").alias("_wv")), "v")
-    return both.where(differ <= NEAR_BITS).select(*pairs.columns)
-
-
 def shared_cells(cells: DataFrame) -> DataFrame:
-    """The ``cells`` (fp, key) of keys that several hold, with their number n and their smallest fp as low."""
-    bucket = Window.partitionBy("key")
-    return checkpointed(cells.select("fp", "key", F.count("*").over(bucket).alias("n"), F.min("fp").over(bucket).alias("low")).where("n > 1"))
+    """The ``cells`` (fp, key) of keys that several hold, with their number n.
 
+    The numbers are pre-aggregated before the shuffle, so that a key of very many cells makes few rows of it.
+    """
+    sizes = checkpointed(cells.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    return checkpointed(cells.join(broadcast_if_small(sizes), "key").select("fp", "key", "n"))
 
-def wide_components(nodes: DataFrame) -> DataFrame:
-    """(fp, label) for the ``nodes`` (fp, wide) linked to others: all that share a block and differ in NEAR_BITS or fewer."""
-    cells = nodes.select("fp", F.posexplode("wide").alias("_k", "_bits")).select("fp", F.shiftleft(F.col("_k").cast("long"), WIDE_WIDTH).bitwiseOR(F.col("_bits").cast("long")).alias("key"))
-    return linked_components(shared_cells(cells), lambda pairs: _verified(pairs, nodes))
 
+def linked_components(shared: DataFrame, sets: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(fp, label) for each fp linked to others: all that share a key of ``shared`` and that ``verified`` keeps as pair.
 
-def linked_components(shared: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(fp, label) for each fp of ``shared`` linked to others: all that share a key and that ``verified`` keeps as pair.
+    ``sets`` has (fp, shingles). Small buckets are paired. Buckets of more than WIDE_PAIRS members, where pairs would grow
+    with the square of their size, are linked without listing pairs, and still lose none. Shingles of more than WIDE_PAIRS
+    of their members are the core of such families, the others are rare.
 
-    Small buckets are paired. In a larger one each member is first compared with its neighbour in the order of fp; the
-    parts that all verified links leave are then compared across: every member outside of a bucket's largest part with
-    all members of other parts. Pairs within one part are never needed, so large groups of near copies cost a few pairs
-    a member and no component is lost. Neighbours, unlike a bucket's smallest member, make no hub.
+    1. Each member is compared with its bucket's centre, the member with the largest share of core shingles.
+    2. Members of different parts that share a rare shingle are compared: at most WIDE_PAIRS members hold one.
+    3. Two members x, y that share core shingles only can reach the similarity of a part in a whole only if
+       part * (|x| + |y|) <= (part + whole) * (core shingles of either). Members outside of their centre's part are
+       compared with those that this leaves, as a rule none: both would be near the centre.
     """
-    few, many = shared.where(F.col("n") <= WIDE_PAIRS), shared.where(F.col("n") > WIDE_PAIRS)
+    few, hot = shared.where(F.col("n") <= WIDE_PAIRS), shared.where(F.col("n") > WIDE_PAIRS).select("key", "fp")
     pairs = few.select("key", F.col("fp").alias("u")).join(few.select("key", F.col("fp").alias("v")), "key").where("u < v").select("u", "v")
-    chains = many.select(F.lag("fp").over(Window.partitionBy("key").orderBy("fp")).alias("u"), F.col("fp").alias("v")).where("u IS NOT NULL")
-    first = connected(verified(pairs.unionAll(chains).distinct())).withColumnRenamed("id", "fp")
-
-    placed = many.select("key", "fp").join(first, "fp", "left").select("key", "fp", F.coalesce("label", "fp").alias("part"))
-    counts = placed.groupBy("key", "part").agg(F.count("*").alias("_n"))
-    main = counts.groupBy("key").agg(F.max_by("part", F.struct("_n", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    mixed = checkpointed(placed.join(main, "key").select("key", "fp", "part", "main"))
-    left = mixed.where("part <> main").select("key", F.col("fp").alias("u"), F.col("part").alias("pu"))
-    across = left.join(mixed.select("key", F.col("fp").alias("v"), F.col("part").alias("pv"), "main"), "key").where("pu <> pv AND (pv = main OR u < v)").select("u", "v", "pu", "pv").distinct()
-    joined = connected(verified(across).select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct()).select(F.col("id").alias("part"), F.col("label").alias("later"))
-    ends = first.unionAll(mixed.select("fp", F.col("part").alias("label"))).distinct()
-    return ends.join(joined, ends["label"] == joined["part"], "left").select("fp", F.coalesce("later", "label").alias("label"))
-
-
-def shingle_blocks(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
-    """(doc_id, own, fp, keys) of each row: hashes of the text and of its shingle set, and the set's block keys."""
+    if hot.isEmpty():
+        return connected(verified(pairs.distinct())).withColumnRenamed("id", "fp")
+    held = sets.join(hot.select("fp").distinct(), "fp").select("fp", F.explode("shingles").alias("shingle"))
+    often = checkpointed(held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"))
+    marks = checkpointed(held.join(broadcast_if_small(often), "shingle"))
+    cores = marks.where(F.col("n") > WIDE_PAIRS).groupBy("fp").agg(F.count("*").alias("core"))
+    members = checkpointed(hot.join(sets.select("fp", F.size("shingles").alias("size")).join(cores, "fp"), "fp"))
+    central = members.groupBy("key").agg(F.max_by("fp", F.struct(F.col("core") / F.col("size"), "fp")).alias("centre"))
+    central = checkpointed(central)
+    stars = members.select("key", "fp").join(broadcast_if_small(central), "key").where("fp <> centre").select(F.col("centre").alias("u"), F.col("fp").alias("v"))
+    first = checkpointed(connected(verified(pairs.unionAll(stars).distinct()))).withColumnRenamed("id", "fp")
+
+    part = lambda df: df.join(first, "fp", "left").withColumn("part", F.coalesce("label", "fp")).drop("label")
+    rare = checkpointed(part(marks.where(F.col("n") <= WIDE_PAIRS).select("fp", "shingle")))
+    end = lambda df, name, *more: df.select(F.col("fp").alias(name), F.col("part").alias(f"p{name}"), *more)
+    beyond = end(rare, "u", "shingle").join(end(rare, "v", "shingle"), "shingle").where("pu <> pv AND u < v").select("u", "v", "pu", "pv")
+
+    one, whole = NEAR
+    heavy = checkpointed(part(members.where(F.col("core") * whole >= F.col("size") * one)))
+    middle = central.select("key", F.col("centre").alias("fp"))
+    outside = heavy.join(broadcast_if_small(checkpointed(part(middle).select("key", F.col("part").alias("main")))), "key").where("part <> main")
+    sized = lambda df, name, *more: end(df, name, "key", F.col("core").alias(f"c{name}"), F.col("size").alias(f"s{name}"), *more)
+    reach = (F.col("su") + F.col("sv")) * one <= F.least("cu", "cv") * (one + whole)
+    within = sized(outside, "u", "main").join(sized(heavy, "v"), "key").where(reach & F.expr("pu <> pv AND (pv = main OR u < v)")).select("u", "v", "pu", "pv")
+    across = connected(verified(beyond.unionAll(within).distinct()).select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct())
+    joined = across.select(F.col("id").alias("part"), F.col("label").alias("later"))
+    ends = part(first.select("fp").unionAll(rare.select("fp")).unionAll(heavy.select("fp")).distinct())
+    return ends.join(joined, "part", "left").select("fp", F.coalesce("later", "part").alias("label"))
+
+
+def wide_fingerprints(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
+    """(doc_id, own, fp, wide, size, keys) of each row: hashes of the text and of its shingle set, the wide fingerprint
+    (as longs), the set's size and a key for each block. Texts without words have the empty set and no keys."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(t, shingle_words) for t in batch["_text"]]
+            bits = [wide_simhash(x) for x in sets]
             marks = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
-            yield batch.drop(columns="_text").assign(fp=marks, keys=[block_keys(x) for x in sets])
+            wide, keys = [np.packbits(b).view(np.int64) for b in bits], [block_keys(x, b) for x, b in zip(sets, bits, strict=True)]
+            yield batch.drop(columns="_text").assign(fp=marks, wide=wide, size=[len(x) for x in sets], keys=keys)
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("own"), F.col("text").alias("_text"))
-    schema = rows.drop("_text").withColumn("fp", F.lit(0).cast("long")).withColumn("keys", F.array(F.lit(0).cast("long"))).schema
+    longs = F.array(F.lit(0).cast("long"))
+    schema = rows.drop("_text").withColumns({"fp": F.lit(0).cast("long"), "wide": longs, "size": F.lit(0).cast("int"), "keys": longs}).schema
     return rows.mapInPandas(run, schema)
 
 
@@ -260,41 +277,57 @@ def shingle_sets(texts: DataFrame, shingle_words: int = 5) -> DataFrame:
     return texts.select("fp", "text").mapInPandas(run, "fp long, shingles array<long>")
 
 
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The ``pairs`` (u, v, ...) whose shingle sets have a Jaccard similarity of NEAR or more, exactly."""
-    end = lambda name: sets.select(F.col("fp").alias(name), F.col("shingles").alias(f"_s{name}"), F.size("shingles").alias(f"_n{name}"))
-    sizes = lambda name: sets.select(F.col("fp").alias(name), F.size("shingles").alias(f"_n{name}"))
+def _alike(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs`` (u, v, ...) whose wide fingerprints differ in NEAR_BITS bits or fewer and whose shingle sets then have a
+    Jaccard similarity of NEAR or more, exactly."""
     part, whole = NEAR
-    # sizes that differ more than the similarity allows are left out before any set is moved
-    sized = pairs.join(sizes("u"), "u").join(sizes("v"), "v").where(F.least("_nu", "_nv") * whole >= F.greatest("_nu", "_nv") * part).select(*pairs.columns)
-    both = sized.join(end("u"), "u").join(end("v"), "v").withColumn("_both", F.size(F.array_intersect("_su", "_sv")))
-    return both.where(F.col("_both") * whole >= (F.col("_nu") + F.col("_nv") - F.col("_both")) * part).select(*pairs.columns)
+    side = lambda name: nodes.select(F.col("fp").alias(name), F.col("wide").alias(f"_w{name}"), F.col("size").alias(f"_n{name}"))
+    differ = F.aggregate(F.zip_with("_wu", "_wv", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
+    close = (F.least("_nu", "_nv") * whole >= F.greatest("_nu", "_nv") * part) & (differ <= NEAR_BITS)
+    near = checkpointed(pairs.join(side("u"), "u").join(side("v"), "v").where(close).select(*pairs.columns))
+    end = lambda name: sets.select(F.col("fp").alias(name), F.col("shingles").alias(f"_s{name}"))
+    both = near.join(end("u"), "u").join(end("v"), "v").withColumn("_both", F.size(F.array_intersect("_su", "_sv")))
+    return both.where(F.col("_both") * whole >= (F.size("_su") + F.size("_sv") - F.col("_both")) * part).select(*pairs.columns)
+
+
+def near_copy_labels(nodes: DataFrame, sets: DataFrame, shared: DataFrame) -> DataFrame:
+    """(fp, label) for each text of ``nodes`` that is linked to others over ``shared`` cells."""
+    small = nodes.join(shared.select("fp").distinct(), "fp", "left_semi").select("fp", "wide", "size")
+    small = checkpointed(small)
+    return linked_components(shared, sets, lambda pairs: _alike(pairs, small, sets))
 
 
 def keep_one_of_each(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
     """One row of each group of near copies: the one with the smallest doc_id. Columns stay as they are.
 
     Near copies are texts whose sets of ``shingle_words``-word shingles have a Jaccard similarity of NEAR or more; groups
-    are what such links connect. Candidates share a block of least shingle hashes, each is verified by its whole sets.
-    Null, empty and wordless texts are one group. Of repeated rows of the kept id and text one stays, and of several
-    texts of that id the one with the smallest hash; an id is preferred to a null one. An empty table stays empty.
+    are what such links connect. Candidates share a block of their wide SimHash and its anchor; each is verified by the
+    Hamming distance of the fingerprints and then by its whole sets. Null, empty and wordless texts are one group. Of
+    repeated rows of the kept id and text one stays, and of several texts of that id the one with the smallest hash; an
+    id is preferred to a null one. An empty table stays empty.
     """
     names = docs.columns
-    marked = checkpointed(shingle_blocks(docs, shingle_words))
+    marked = checkpointed(wide_fingerprints(docs, shingle_words))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")
-    nodes = checkpointed(marked.groupBy("fp").agg(F.min(order).alias("best"), F.first("keys").alias("keys")))
+    firsts = [F.first(c).alias(c) for c in ("wide", "size", "keys")]
+    nodes = checkpointed(marked.groupBy("fp").agg(F.min(order).alias("best"), F.count("*").alias("n"), *firsts))
     shared = shared_cells(nodes.select("fp", F.explode("keys").alias("key")))
-    wanted = nodes.join(shared.select("fp").distinct(), "fp").select("fp", F.col("best.doc_id").alias("_want"), F.col("best.own").alias("_mark"))
+    wanted = nodes.join(shared.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("best.doc_id").alias("_want"), F.col("best.own").alias("_mark"))
     texts = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_own"), "text")
     # rows repeated with id and text come as often; one of each set stays
-    found = texts.join(wanted, F.col("_id").eqNullSafe(F.col("_want")) & (F.col("_own") == F.col("_mark"))).select("fp", "text")
+    same = F.col("_id").eqNullSafe(F.col("_want")) & (F.col("_own") == F.col("_mark"))
+    found = texts.join(broadcast_if_small(checkpointed(wanted)), same).select("fp", "text")
     repeated = not marked.groupBy("doc_id", "own").count().where("count > 1").isEmpty()
     sets = checkpointed(shingle_sets(found.dropDuplicates(["fp"]) if repeated else found, shingle_words))
-    labels = linked_components(shared, lambda pairs: _alike(pairs, sets))
-    placed = nodes.select("fp", "best").join(labels, "fp", "left").select("best", F.coalesce("label", "fp").alias("label"))
-    kept = placed.groupBy("label").agg(F.min("best").alias("b")).select(F.col("b.doc_id").alias("_keep"), F.col("b.own").alias("_mark"))
+    labels = near_copy_labels(nodes, sets, shared)
+    placed = checkpointed(nodes.select("fp", "best", "n").join(labels, "fp", "left").select("fp", "best", "n", F.coalesce("label", "fp").alias("label")))
+    kept = placed.groupBy("label").agg(F.min("best").alias("kept"))
+    members = placed.groupBy("label").agg(F.count("*").alias("n"))
+    chosen = checkpointed(join_hot(placed.select("fp", "label", F.col("n").alias("rows")), kept, "label", members, placed.count()))
+    gone = join_hot(marked.select("fp", order.alias("here")), chosen.select("fp", "kept"), "fp", chosen.select("fp", F.col("rows").alias("n")), marked.count())
+    gone = checkpointed(gone.where(F.col("here") != F.col("kept")).select(F.col("here.doc_id").alias("_gone"), F.col("here.own").alias("_mark")).distinct())
     rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_own"))
-    held = rows.join(kept, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_own") == F.col("_mark")))
+    held = rows.join(broadcast_if_small(gone), F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_own") == F.col("_mark")), "left_anti")
     if repeated:
         held = held.dropDuplicates(["_id", "_own"])
     return held.select("_row.*")
