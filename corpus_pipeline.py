@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewright.llm import bpe, bytecnn, mixing, secrets, simhash
-from tracewright.llm.common import shared_folder, table
+from tracewright.llm.common import removed, shared_folder, table
 from tracewright.llm.queries import tokenizer_path
 
 
@@ -53,11 +53,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies STAGES to ``documents``; each result is written as Parquet in the shared checkpoint folder and read again."""
+    """Applies STAGES to ``documents``; each result is written as Parquet in the shared checkpoint folder and read again.
+
+    A stage's folder is removed as soon as the next stage is written; the last one stays, as the result reads it.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            removed(spark, f"{folder}/{k - 1}")
     return docs
