@@ -307,14 +307,61 @@ def test_url_model(spark):
 # ---- 4 and 8
 
 
+def clause_weight(model, text):
+    sums = [sum(w * np.exp(sum(v for k, v in model.modifiers.items() if marks & k)) for w, marks in found) for found in model.matches(text)]
+    return max(sums, default=0.0)
+
+
 def test_grammar():
     m = toxicity.ToxicityModel()
-    f = lambda t: m.features(t)[0]
-    assert f("you idiot") > f("idiot") > f("he said idiot") and f("idiot") > f("not idiot") > 0
-    assert f("not at all a clear idiot") == f("idiot") == f("not. idiot") and f("kill time") < f("kill") + 1e-9 < f("I kill you and you kill")
+    f = lambda t: clause_weight(m, t)
+    assert f("you idiot") > f("idiot") > f("someone said idiot") > 0 and f("idiot") > f("not an idiot") > 0 and f("idiot scum") > f("idiot") + f("scum")
+    assert f("idiots. not") == 0 and f("not. idiot") == f("idiot") == f("no one two three idiot") and f("idiot like you") > 2 * f("idiot")
+    assert f("kill time") == f("kill") == 0 < f("never kill you") < f("I kill you") and f("kill. you") == 0
     assert f("") == f(None) == 0.0 and f("idiotic") == 0.0
-    a, b = toxicity._machine(2, lambda s, c: (1 - s, 0.5)), toxicity._machine(3, lambda s, c: ((s + 1) % 3, c / 10))
-    assert len(a.compose(b).arcs) == 6 and a.compose(b).arcs[0][2][1] == pytest.approx(0.7)
+    assert m.score("you idiot") > m.score("idiot") > m.score("not an idiot") > m.score("") == m.score("kill")
+    a, b = toxicity._machine(2, lambda s, c: (1 - s, 1)), toxicity._machine(3, lambda s, c: ((s + 1) % 3, 2 * (c % 2)))
+    assert len(a.compose(b).arcs) == 6 and a.compose(b).arcs[0][3][1] == 3 and a.compose(b).arcs[0][2][1] == 1
+
+
+def slow_marks(classes):
+    """(place, marks) of each match in one clause, from its definition."""
+    t = toxicity
+    out = []
+    for i, c in enumerate(classes):
+        before = lambda kind, reach: any(classes[j] == kind and t.TARGET not in classes[j + 1 : i] for j in range(max(0, i - reach), i))  # noqa: B023, E731
+        marks = 0
+        if c == t.INSULT:
+            marks = t.HIT | (t.PILED if before(t.INSULT, t.REACH) else 0) | (t.AIMED if t.TARGET in classes[:i] else 0)
+        elif c == t.TARGET and (before(t.INSULT, t.REACH) or before(t.THREAT, t.REACH)):
+            marks = t.HIT | t.AIMED
+        if marks:
+            reach = t.REACH + (2 if c == t.TARGET else 0)
+            marks |= (t.NEGATED if t.NEGATION in classes[max(0, i - reach) : i] else 0) | (t.REPORTED if t.REPORT in classes[:i] else 0)
+            out.append((i, marks))
+    return out
+
+
+def test_grammar_against_brute_force():
+    rng, arcs = random.Random(5), toxicity.grammar().arcs
+    for _ in range(3000):
+        classes = [rng.randrange(6) for _ in range(rng.randint(0, 12))]
+        state, got = 0, []
+        for i, c in enumerate(classes):
+            state, marks = arcs[state][c]
+            if marks & toxicity.HIT:
+                got.append((i, marks))
+        assert got == slow_marks(classes), classes
+
+
+def test_score_needs_the_grammar(docs, labels):
+    y = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = [(r.text, y[r.doc_id]) for r in docs.collect() if r.doc_id in y and r.text]
+    model = toxicity.ToxicityModel().fit(rows)
+    toxic = [t for t, mark in rows if mark]
+    assert np.mean([model.score(t) >= toxicity.THRESHOLD for t in toxic]) > 0.5 and min(model.weights[1:]) >= 0
+    model.grammar = [[(0, 0)] * 6]
+    assert not any(model.score(t) >= toxicity.THRESHOLD for t, _ in rows)
 
 
 def fold(i):

@@ -17,8 +17,11 @@ from tracewright.llm.common import held_out, labelled_sample, prepare
 
 #: Labelled training texts at most, of each class.
 SAMPLE = {0: 4000, 1: 3000}
-#: Words and word beginnings that the training rows may add to the lexicon at most, and the least evidence for one.
-LEXICON, LEAST_ODDS, LEAST_TOXIC = 4000, 1.5, 3
+#: Words and word beginnings that the training rows may add to the lexicon at most, the toxic texts that must hold one,
+#: their least share of all that do, and the accidental ones expected among all words tried.
+LEXICON, LEAST_TOXIC, LEAST_SHARE, ACCIDENT = 4000, 3, 0.95, 1.0
+#: Parts of the training rows: each one's matches come from a lexicon that the others teach.
+PARTS = 3
 PREFIXES = (4, 5, 6, 7)
 #: Words of each class that need no training, in the languages of the corpus.
 SEED_INSULTS = "idiot moron imbecile stupid scum trash pathetic worthless disgusting loser clown dumbass bastard vermin idioten trottel arschloch abschaum dumm crétin abruti ordure salaud débile imbécil estúpido basura escoria".split()
@@ -26,11 +29,13 @@ SEED_THREATS = "kill hurt destroy stab töten umbringen verletzen tuer frapper d
 TARGETS = "you your he she they them him her people du ihr sie euch er tu vous il elle ils elles vosotros tú usted ellos ella él ustedes".split()
 NEGATIONS = "not never no nobody nicht kein keine niemals nie ne pas jamais aucun nunca ningún jamás".split()
 REPORTS = "said says wrote quoted claimed reported sagte schrieb behauptete dit écrit déclara dijo escribió según".split()
-#: Log-weights of the transducers.
-NEGATED, REPORTED, TARGETED = math.log(0.6), math.log(0.8), math.log(1.1)
-#: Words that a negation reaches.
-REACH = 2
+#: Words that an insult, a threat or a negation reaches.
+REACH = 3
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
+#: Output marks of the transducers: a match, and what modifies it.
+HIT, PILED, AIMED, NEGATED, REPORTED = 1, 2, 4, 8, 16
+#: Log-weight of each modifier before training, the sign that training may not turn, and how firmly it is held.
+MODIFIERS, FIRMNESS = {PILED: 0.2, AIMED: 0.7, NEGATED: -1.5, REPORTED: -0.7}, 3.0
 THRESHOLD = 0.7
 TOKEN = re.compile(r"\w+|[.!?;\n]")
 ENDS = frozenset(".!?;\n")
@@ -40,22 +45,22 @@ CACHE = 300_000
 
 @dataclass
 class Transducer:
-    """Deterministic letter transducer over the word classes: arcs[state][class] = (next state, log-weight)."""
+    """Deterministic transducer that reads word classes and writes sets of marks: arcs[state][class] = (next state, marks)."""
 
-    arcs: list[list[tuple[int, float]]] = field(default_factory=list)
+    arcs: list[list[tuple[int, int]]] = field(default_factory=list)
 
     def compose(self, other: Transducer) -> Transducer:
-        """Both read the same classes; weights add up. States are the reachable pairs."""
+        """Both read the same classes and write side by side: states are the reachable pairs, marks are joined."""
         names, todo, out = {(0, 0): 0}, [(0, 0)], []
         while todo:
             a, b = todo.pop(0)
             row = []
             for c in range(6):
-                (na, wa), (nb, wb) = self.arcs[a][c], other.arcs[b][c]
+                (na, ma), (nb, mb) = self.arcs[a][c], other.arcs[b][c]
                 if (na, nb) not in names:
                     names[na, nb] = len(names)
                     todo.append((na, nb))
-                row.append((names[na, nb], wa + wb))
+                row.append((names[na, nb], ma | mb))
             out.append(row)
         return Transducer(out)
 
@@ -65,36 +70,35 @@ def _machine(states: int, step) -> Transducer:
 
 
 def grammar() -> Transducer:
-    """insult, threat, target, negation and reported-speech transducers, composed.
-
-    A clause starts in state 0. Insults and threats are the classes that carry weight; a target earlier in the clause
-    raises it, a negation within REACH words and a verb of reported speech earlier in the clause lower it. A threat
-    without a target before it weighs a third.
+    """insult, threat, target, negation and reported-speech transducers, composed. A clause starts in state 0.
+
+    The insult machine matches an insult, marks one that follows another within REACH words as piled on it, and matches
+    once more, as aimed, when a target comes within REACH words after one ("idiots like you"). The threat machine
+    matches when a target comes within REACH words after a threat word: a threat word alone is no match. The target
+    machine marks insults after a target in their clause as aimed, the negation machine matches within REACH words after
+    a negation as negated (two words longer where a threat waits for its target), the report machine those after a verb
+    of reported speech. Only marked matches carry weight.
     """
-    hit = (INSULT, THREAT)
-    target = _machine(2, lambda s, c: (1 if c == TARGET else s, TARGETED if s and c in hit else 0.0))
-    negation = _machine(REACH + 1, lambda s, c: (REACH if c == NEGATION else max(0, s - 1), NEGATED if s and c in hit else 0.0))
-    report = _machine(2, lambda s, c: (1 if c == REPORT else s, REPORTED if s and c in hit else 0.0))
-    threat = _machine(2, lambda s, c: (1 if c == TARGET else s, math.log(1 / 3) if c == THREAT and not s else 0.0))
-    insult = _machine(1, lambda s, c: (0, 0.0))
+    far = REACH + 2
+    insult = _machine(REACH + 1, lambda s, c: (REACH, HIT | (PILED if s else 0)) if c == INSULT else (0, HIT | AIMED) if c == TARGET and s else (max(0, s - 1), 0))
+    threat = _machine(REACH + 1, lambda s, c: (REACH, 0) if c == THREAT else (0, HIT | AIMED) if c == TARGET and s else (max(0, s - 1), 0))
+    target = _machine(2, lambda s, c: (1 if c == TARGET else s, AIMED if s and c == INSULT else 0))
+    negation = _machine(far + 1, lambda s, c: (far if c == NEGATION else max(0, s - 1), NEGATED if s > (0 if c == TARGET else 2) else 0))
+    report = _machine(2, lambda s, c: (1 if c == REPORT else s, REPORTED if s else 0))
     return insult.compose(threat).compose(target).compose(negation).compose(report)
 
 
 class Lexicon(dict):
     """word -> (class, weight), or None for others; unseen words are looked up by their longest known beginning."""
 
-    def __init__(self, words: dict[str, float], starts: dict[str, float]):
+    def __init__(self, words: dict[str, tuple[int, float]], starts: dict[str, float]):
         self.words, self.starts = words, starts
         self.fixed = {w: (c, 0.0) for c, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
         super().__init__()
 
     def __missing__(self, word: str):
-        if word in self.fixed:
-            out = self.fixed[word]
-        elif word in self.words:
-            out = (THREAT if word in SEED_THREATS else INSULT, self.words[word])
-        else:
-            out = None
+        out = self.fixed.get(word) or self.words.get(word)
+        if out is None:
             for n in reversed(PREFIXES):
                 if len(word) > n and word[:n] in self.starts:
                     out = (INSULT, self.starts[word[:n]])
@@ -105,90 +109,138 @@ class Lexicon(dict):
         return out
 
 
+def newton(a: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic weights of ``a`` (first column 1) with a small ridge; none but the first is negative."""
+    free, w = list(range(a.shape[1])), np.zeros(a.shape[1])
+    while True:
+        w[:] = 0
+        b, v, ridge = a[:, free], np.zeros(len(free)), np.diag([1e-6] + [1e-2] * (len(free) - 1))
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(b @ v, -30, 30)))
+            v = v - np.linalg.solve((b * (p * (1 - p))[:, None]).T @ b + ridge + 1e-9 * np.eye(len(free)), b.T @ (p - y) + ridge @ v)
+        w[free] = v
+        low = [k for k in free[1:] if w[k] < 0]
+        if not low:
+            return w
+        free = [k for k in free if k not in low]
+
+
 class ToxicityModel:
     def __init__(self):
         self.grammar = grammar().arcs
-        self.words = {w: 3.0 for w in SEED_INSULTS} | {w: 1.5 for w in SEED_THREATS}
+        self.words = {w: (INSULT, 3.0) for w in SEED_INSULTS} | {w: (THREAT, 3.0) for w in SEED_THREATS}
         self.starts: dict[str, float] = {}
-        self.weights, self.mean, self.spread = np.array([-4.0, 1.5, 0.6, 0.2]), np.zeros(3), np.ones(3)
+        self.modifiers = dict(MODIFIERS)
+        self.weights = np.array([-4.0, 1.0, 1.0])
         self.lexicon: Lexicon | None = None
 
     def __getstate__(self):
         return self.__dict__ | {"lexicon": None}
 
-    def features(self, text: str | None) -> list[float]:
-        """Largest clause weight, log of the sum of clause weights, and that sum's share of the words."""
+    def matches(self, text: str | None) -> list[list[tuple[float, int]]]:
+        """For each clause with a match, its matches as (weight of the word, marks). Clauses end at ENDS."""
         if self.lexicon is None:
             self.lexicon = Lexicon(self.words, self.starts)
         tokens = TOKEN.findall((text or "").lower())
         classes = list(map(self.lexicon.__getitem__, tokens))
-        most, total, start = 0.0, 0.0, 0
-        hits = [i for i, c in enumerate(classes) if c is not None and c[0] <= THREAT]
-        done = -1
-        for i in hits:
-            if i < done:
+        out, done = [], -1
+        for i, c in enumerate(classes):
+            if c is None or c[0] > THREAT or i < done:
                 continue
-            start = i
-            while start > 0 and tokens[start - 1] not in ENDS:
-                start -= 1
-            state, clause, at = 0, 0.0, start
+            at = i
+            while at > 0 and tokens[at - 1] not in ENDS:
+                at -= 1
+            state, found, heavy = 0, [], 0.0
             while at < len(tokens) and tokens[at] not in ENDS:
                 c, weight = classes[at] or (OTHER, 0.0)
-                state, change = self.grammar[state][c]
-                if c <= THREAT:
-                    clause += weight * math.exp(change)
+                state, marks = self.grammar[state][c]
+                heavy = weight if c <= THREAT else heavy
+                if marks & HIT:
+                    found.append((heavy, marks))
                 at += 1
             done = at
-            most, total = max(most, clause), total + clause
-        return [most, math.log1p(total), total / math.sqrt(len(tokens) + 1)]
+            if found:
+                out.append(found)
+        return out
+
+    def features(self, clauses: list[list[tuple[float, int]]]) -> list[float]:
+        """Heaviest clause and log of the sum of all clauses' weights; a match weighs its word's evidence times its modifiers."""
+        factor = [math.exp(sum(v for k, v in self.modifiers.items() if marks & k)) for marks in range(32)]
+        sums = [sum(w * factor[marks] for w, marks in found) for found in clauses]
+        return [1.0, math.log1p(max(sums, default=0.0)), math.log1p(sum(sums))]
 
     def score(self, text: str | None) -> float:
-        x = (np.array(self.features(text)) - self.mean) / self.spread
-        return float(1 / (1 + math.exp(-max(-30.0, min(30.0, self.weights[0] + float(x @ self.weights[1:]))))))
+        z = float(np.array(self.features(self.matches(text))) @ self.weights)
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
     def fit(self, rows: list[tuple[str, int]]) -> ToxicityModel:
-        """Lexicon weights are smoothed log-odds of documents; the clause features are then calibrated by a logistic fit
-        on the part of the rows that gave no lexicon weight. Without rows of both classes the built-in lexicon stands."""
-        ys = np.array([y for _, y in rows], float)
-        if len(rows) == 0 or ys.min() == ys.max():
+        """Lexicon from all rows; modifiers and clause weights by a logistic fit on matches that each row has under a
+        lexicon learned without its own part. Without rows of both classes the built-in lexicon and weights stand."""
+        y = np.array([y for _, y in rows], float)
+        if len(rows) == 0 or y.min() == y.max():
             return self
-        part = np.array([i % 4 for i in range(len(rows))])
-        self.learn([r for r, p in zip(rows, part, strict=True) if p])
-        held = part == 0
-        # few rows: calibrate on all of them
-        held = held if min(ys[held].sum(), (1 - ys[held]).sum()) >= 40 else np.ones(len(rows), bool)
-        x = np.array([self.features(t) for (t, _), h in zip(rows, held, strict=True) if h])
-        y = ys[held]
-        self.mean, self.spread = x.mean(axis=0), x.std(axis=0) + 1e-9
-        a = np.column_stack([np.ones(len(x)), (x - self.mean) / self.spread])
-        w = np.zeros(4)
-        for _ in range(50):  # Newton steps with a small ridge
-            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-            ridge = np.diag([1e-6, 1e-2, 1e-2, 1e-2])
-            w = w - np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge + 1e-9 * np.eye(4), a.T @ (p - y) + ridge @ w)
-        self.weights = w
+        seeds, found = dict(self.words), [[] for _ in rows]
+        for part in range(PARTS):
+            self.words, self.starts = dict(seeds), {}
+            self.learn([r for i, r in enumerate(rows) if i % PARTS != part])
+            for i in range(part, len(rows), PARTS):
+                found[i] = self.matches(rows[i][0])
+        self.words, self.starts = dict(seeds), {}
+        self.learn(rows)
+
+        def loss() -> float:
+            a = np.array([self.features(f) for f in found])
+            self.weights = newton(a, y)
+            p = np.clip(1 / (1 + np.exp(-np.clip(a @ self.weights, -30, 30))), 1e-9, 1 - 1e-9)
+            firm = sum((self.modifiers[k] - v) ** 2 for k, v in MODIFIERS.items())
+            return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).sum() + FIRMNESS * firm)
+
+        best = loss()
+        for k, usual in MODIFIERS.items():  # one after the other, at a few strengths of the modifier's own sign
+            for strength in (0.25, 0.5, 1.5, 2.0):
+                was, self.modifiers[k] = self.modifiers[k], usual * strength
+                if (now := loss()) < best - 1e-9:
+                    best = now
+                else:
+                    self.modifiers[k] = was
+        loss()
         return self
 
     def learn(self, rows: list[tuple[str, int]]) -> None:
+        """Add words and word beginnings whose texts are toxic too often for an accident, with smoothed log-odds as weight.
+
+        A word whose occurrences are followed by a target within REACH words more often than not is a threat word.
+        """
         seen = {0: Counter(), 1: Counter()}
         for text, y in rows:
             words = {w for w in TOKEN.findall(text.lower()) if len(w) > 2}
             seen[y].update(words)
             seen[y].update({w[:n] + "*" for w in words for n in PREFIXES if len(w) > n})
         n1, n0 = sum(y for _, y in rows), sum(1 - y for _, y in rows)
-        odds = {}
-        for w, k in seen[1].items():
-            if k >= LEAST_TOXIC:
-                value = math.log((k + 0.5) / (n1 + 1)) - math.log((seen[0][w] + 0.5) / (n0 + 1))
-                # the lower end of the estimate, so that rare words need clearer evidence
-                value -= 1.5 * math.sqrt(1 / (k + 0.5) + 1 / (seen[0][w] + 0.5)) if seen[0][w] else 0.8 / math.sqrt(k)
-                if value >= LEAST_ODDS:
-                    odds[w] = value
-        for w, value in sorted(odds.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]:
+        tried = [w for w, k in seen[1].items() if k >= LEAST_TOXIC]
+        rate, odds = n1 / (n1 + n0), {}
+        for w in tried:
+            k, m = seen[1][w], seen[0][w]
+            share = k / (k + m)
+            # Chernoff's bound on the chance of k toxic texts or more among k + m
+            bits = (k + m) * (share * math.log(share / rate) + (0 if share == 1 else (1 - share) * math.log((1 - share) / (1 - rate))))
+            if share > max(LEAST_SHARE, rate) and bits > math.log(len(tried) / ACCIDENT):
+                odds[w] = math.log((k + 0.5) / (n1 + 1)) - math.log((m + 0.5) / (n0 + 1))
+        chosen = sorted(odds.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]
+        aimed, all_of = Counter(), Counter()
+        plain = {w for w, _ in chosen if not w.endswith("*")}
+        for text, y in rows:
+            if y:
+                tokens = TOKEN.findall(text.lower())
+                for i, w in enumerate(tokens):
+                    if w in plain:
+                        all_of[w] += 1
+                        aimed[w] += any(t in TARGETS for t in tokens[i + 1 : i + 1 + REACH])
+        for w, value in chosen:
             if w.endswith("*"):
                 self.starts[w[:-1]] = value
             else:
-                self.words[w] = value
+                self.words[w] = (THREAT if w in SEED_THREATS or (w not in SEED_INSULTS and 2 * aimed[w] > all_of[w]) else INSULT, value)
         self.lexicon = None
 
 
