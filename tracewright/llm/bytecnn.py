@@ -15,7 +15,7 @@ from tracewright.llm.common import held_out, labelled_sample, prepare
 WIDTH, FILTERS, CHUNK = 6, 16, 512
 #: Labelled training texts at most, of each class.
 SAMPLE = {0: 500, 1: 1000}
-EPOCHS, RATE, DECAY, SEED = 12, 0.05, 1e-4, 11
+EPOCHS, RATE, DECAY, SEED = 12, 0.1, 1e-4, 11
 #: From this score a document is predicted to be good.
 THRESHOLD = 0.5
 #: A filter rejects only below this score, so that a doubtful document stays.
@@ -88,10 +88,6 @@ class ByteCNN:
             rate = RATE / (1 + epoch / 4)
             for i in rng.permutation(len(data)):
                 raw, y = data[i]
-                # a training step sees one stretch of a long document; scoring always sees all of it
-                if len(raw) > 8 * CHUNK:
-                    start = int(rng.integers(0, len(raw) - 8 * CHUNK))
-                    raw = raw[start : start + 8 * CHUNK]
                 z, at = self.pooled(raw, True)
                 h = np.maximum(z, 0)
                 mean, best = h.mean(axis=0), h.argmax(axis=0)
@@ -127,10 +123,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = No
 
 
 def score_documents(docs: DataFrame, model: ByteCNN) -> DataFrame:
-    """All columns of ``docs`` and ``quality_score`` (0 to 1, higher: better) of each whole text.
+    """All columns of ``docs`` (``quality_score`` and ``_text`` apart) and ``quality_score`` (0 to 1, higher: better).
 
-    Null texts are empty texts, which have a score like any other. Repeated rows have equal scores. An empty table
-    gives an empty result.
+    Null texts are empty texts, which have a score like any other. Repeated rows have equal scores. A column of the same
+    name as the score is replaced by it. An empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 3 tables of 65,536 x FILTERS floats: 12 MB, whatever the input
@@ -140,20 +136,27 @@ def score_documents(docs: DataFrame, model: ByteCNN) -> DataFrame:
         for batch in batches:
             yield batch.assign(quality_score=np.array([net.score(t) for t in batch["_text"]], float)).drop(columns="_text")
 
-    names = [f"`{n}`" for n in docs.columns]
-    flat = docs.select(*names, F.col("text").alias("_text"))
-    schema = docs.withColumn("quality_score", F.lit(0.0)).schema
+    own = docs.drop("quality_score", "_text")
+    flat = own.withColumn("_text", F.col("text"))
+    schema = own.withColumn("quality_score", F.lit(0.0)).schema
     return flat.mapInPandas(run, schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row of ``docs``; only texts enter a score."""
+    """(doc_id, held_out, score, predicted) for each row of ``docs``; only texts enter a score.
+
+    Null and empty texts have the score of the empty text, null ids are not held out, repeated rows each come back with
+    equal scores, other columns are not looked at, and an empty table gives an empty result.
+    """
     scored = score_documents(docs.select("doc_id", "text"), train(docs, labels))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = KEEP_FROM) -> DataFrame:
-    """The rows of ``docs`` that score ``least`` or more, with their columns as they are."""
+    """The rows of ``docs`` that score ``least`` or more, with their columns as they are.
+
+    Null and empty texts are judged as the empty text; equal texts stay or go together; an empty table stays empty.
+    """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
