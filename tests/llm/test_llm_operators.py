@@ -220,10 +220,43 @@ def test_apportion_is_highest_quotients():
         assert mixing.apportion(seats, votes) == got
 
 
-def test_targets():
-    assert mixing.targets([100, 100, 100]) == pytest.approx([200.0, 500 / 3, 250 / 3])
-    assert mixing.targets([10, 1000]) == [20.0, 1495.0]
-    assert mixing.targets([]) == [] and mixing.targets([0, 0]) == [0.0, 0.0]
+def slow_targets(sizes):
+    rest, out, weight = 1.5 * sum(sizes), [0.0] * len(sizes), [(5.0, 2.0, 1.0)[i % 3] for i in range(len(sizes))]
+    free = set(range(len(sizes)))
+    while free:
+        total = sum(weight[i] for i in free)
+        full = [i for i in free if rest * weight[i] / total > 2 * sizes[i]]
+        for i in full or free:
+            out[i] = 2.0 * sizes[i] if full else rest * weight[i] / total
+        if not full:
+            break
+        free -= set(full)
+        rest -= sum(out[i] for i in full)
+    return out
+
+
+def test_targets_and_seats_against_the_list(spark):
+    rng = random.Random(6)
+    for sizes in ([100, 100, 100], [10, 1000], [], [rng.choice([0, 3, 50, rng.randrange(10**6)]) for _ in range(300)], [7] * 40):
+        names = [None, "", *(f"s{i:03}é" for i in range(len(sizes)))][: len(sizes)]
+        names.sort(key=lambda s: (s is None, (s or "").encode()))
+        found = spark.createDataFrame(list(zip(names, sizes, strict=True)), "source string, n long")
+        rows = mixing.with_targets(found).orderBy("rank").collect()
+        assert [r.source for r in rows] == names and [r["rank"] for r in rows] == list(range(len(sizes)))
+        assert [r.target for r in rows] == pytest.approx(slow_targets(sizes))
+        for seats in (1, 1000):
+            table = spark.createDataFrame([(r["rank"], r.target) for r in rows], "rank long, target double")
+            got = [r.blocks for r in mixing.with_seats(table, seats).orderBy("rank").collect()]
+            assert got == mixing.apportion(seats, [r.target for r in rows])
+
+
+def test_mix_with_more_sources_than_are_broadcast(make, monkeypatch):
+    rows = make([(i, "word " * (i % 50)) for i in range(300)]).withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("doc_id") % 40).cast("string"))))
+    want = sorted(mixing.mix(rows).collect())
+    assert want and sorted(map(str, mixing.mixed_documents(rows).collect()))
+    texts = sorted(map(str, mixing.mixed_documents(rows).collect()))
+    monkeypatch.setattr("tracewright.llm.common.BROADCAST_ROWS", 3)
+    assert sorted(mixing.mix(rows).collect()) == want and sorted(map(str, mixing.mixed_documents(rows).collect())) == texts
 
 
 @pytest.mark.parametrize("which", ["docs", "odd", "clashing"])
@@ -236,12 +269,12 @@ def test_mix(request, which):
     assert all(0 <= r.taken <= 2 * r["size"] for r in rows)
     by = defaultdict(lambda: [0, 0.0, 0])
     source = df.select("doc_id", "source").distinct()
-    for r in mixing.mixed(mixing.sized(df)).collect():
+    for r in mixing.mixed(mixing.sized(df), mixing.plan_sources(mixing.sized(df))).collect():
         by[r.source][0] += r.taken
         by[r.source][1], by[r.source][2] = r.target, r.source_size
     assert len(by) == source.select("source").distinct().count()
     names = sorted(by, key=lambda s: (s is None, (s or "").encode()))
-    assert [by[s][1] for s in names] == mixing.targets([by[s][2] for s in names])
+    assert [by[s][1] for s in names] == pytest.approx(slow_targets([by[s][2] for s in names]))
     assert all(abs(t - want) <= mixing.BLOCK * 2 for t, want, _ in by.values())
 
 

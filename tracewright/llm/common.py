@@ -55,9 +55,9 @@ BROADCAST_ROWS = 200_000
 HOT = 1000
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (narrow, and cheap to read twice) marked for broadcast if it has at most ``rows`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` (narrow, and cheap to read twice) marked for broadcast if it has at most BROADCAST_ROWS rows, else as it is."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 def join_hot(rows: DataFrame, groups: DataFrame, key: str, counts: DataFrame, total: int) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from fractions import Fraction
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import checkpointed
+from tracewright.llm.common import broadcast_if_small, checkpointed, join_hot
 
 #: Weights of the sources in order of their names (null last), repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -16,28 +17,69 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, REPEATS = 1.5, 2
 #: Words in a block; words in a shard at least, and shards in a mix at most (but for one a source).
 BLOCK, SHARD_WORDS, SHARDS = 16, 1_000_000, 4096
-#: Sources are metadata of the corpus, held on the driver; more than this is refused.
-MOST_SOURCES = 1_000_000
 SEED = 17
 
 
-def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: float = REPEATS) -> list[float]:
-    """Words to take of each source: shares by weight, held at ``repeats`` times its size, the excess reshared by weight."""
-    rest, out = share * sum(sizes), [0.0] * len(sizes)
-    weight = [weights[i % len(weights)] for i in range(len(sizes))]
-    free = set(range(len(sizes)))
-    while free:
-        total = sum(weight[i] for i in sorted(free))
-        full = [i for i in sorted(free) if rest * weight[i] / total > repeats * sizes[i]]
-        if not full:
-            for i in free:
-                out[i] = rest * weight[i] / total
+def ranked(found: DataFrame) -> DataFrame:
+    """``found`` (source, n) with rank, its place (from 0) in the order of the names by code point, null last.
+
+    Rows are dealt by ranges of names; a range's first rank is the number of rows in the ranges before it.
+    """
+    order = [F.col("source").isNull(), F.col("source")]
+    ranges = max(1, int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = checkpointed(found.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()))
+    # one row for each range: at most spark.sql.shuffle.partitions
+    starts = dealt.groupBy("part").agg(F.count("*").alias("rows"))
+    starts = starts.select("part", (F.sum("rows").over(Window.orderBy("part")) - F.col("rows")).alias("start"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    return dealt.withColumn("_place", place).join(F.broadcast(starts), "part").select("source", "n", (F.col("start") + F.col("_place")).alias("rank"))
+
+
+def with_targets(found: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
+    """``found`` (source, n) with rank and target: shares by weight, held at ``repeats`` times n, the excess reshared by weight.
+
+    All targets are least(weight * level, repeats * n); the level rises with the sources that are full until none is
+    added. Each round is one aggregate of the sources.
+    """
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
+    out = checkpointed(ranked(found).withColumn("weight", weight))
+    size, total = out.agg(F.sum("n"), F.sum("weight")).first()
+    level = share * (size or 0) / total if total else 0.0
+    while True:
+        full = F.col("weight") * level > repeats * F.col("n")
+        held, free = out.agg(F.sum(F.when(full, F.col("n"))), F.sum(F.when(~full, F.col("weight")))).first()
+        rise = (share * (size or 0) - repeats * (held or 0)) / free if free else level
+        if rise <= level:
+            return out.withColumn("target", F.least(F.col("weight") * level, repeats * F.col("n").cast("double"))).drop("weight")
+        level = rise
+
+
+def with_seats(rows: DataFrame, seats: int, ways: int = 32) -> DataFrame:
+    """``rows`` (rank, target, ...) with blocks: ``seats`` apportioned by Sainte-Lague, as apportion() does for a list.
+
+    The divisor is searched for between ``ways`` candidates a round, each round one aggregate of the rows. Of quotients
+    that tie at the last seats the earlier ranks get one.
+    """
+    most = rows.agg(F.max("target")).first()[0]
+    if seats <= 0 or not most:
+        return rows.withColumn("blocks", F.lit(0).cast("long"))
+    count = lambda d: F.floor(F.col("target") / (2 * d) + 0.5).cast("long")
+    low, high, got = 1e-12 * most / seats, 2.0 * most + 1, 0
+    while got != seats and high / low > 1 + 1e-14:
+        tried = sorted({float(d) for d in np.geomspace(low, high, ways + 1)[1:-1] if low < d < high})
+        if not tried:
             break
-        for i in full:
-            out[i] = float(repeats * sizes[i])
-            free.discard(i)
-        rest -= sum(out[i] for i in full)
-    return out
+        sums = list(rows.agg(*[F.sum(count(d)).alias(f"d{i}") for i, d in enumerate(tried)]).first())
+        fit = [i for i, n in enumerate(sums) if n <= seats]
+        if fit:
+            high, got = tried[fit[0]], sums[fit[0]]
+        low = tried[fit[0] - 1] if fit and fit[0] else (low if fit else tried[-1])
+    out = rows.withColumn("blocks", count(high))
+    left = seats - (out.agg(F.sum("blocks")).first()[0] or 0)
+    if left <= 0:
+        return out
+    last = out.orderBy((F.col("target") / (2 * F.col("blocks") + 1)).desc(), "rank").limit(left).select("rank", F.lit(1).alias("_more"))
+    return out.join(last, "rank", "left").withColumn("blocks", F.col("blocks") + F.coalesce("_more", F.lit(0))).drop("_more")
 
 
 def apportion(seats: int, votes: list[float]) -> list[int]:
@@ -67,59 +109,69 @@ def sized(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(*keep, F.col("doc_id"), F.col("source"), size.alias("size"), seeded.alias("_order"))
 
 
-def plan_shards(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sources, shards) of ``rows`` from sized(): targets of each source, and the words to take of each shard.
+def _key() -> Column:
+    """The source as a join key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
+
 
-    Shards are hash buckets of a source, so that a source with a third of all rows is spread as far as its size asks.
+def plan_sources(rows: DataFrame) -> DataFrame:
+    """(key, rank, source_size, target, blocks, shards, n) of each source of ``rows`` from sized(); n is its rows.
+
+    Everything stays in tables, however many sources there are; the driver sees sums only.
     """
-    spark = rows.sparkSession
-    found = rows.groupBy("source").agg(F.sum("size").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8")))
-    sizes = [int(r["n"] or 0) for r in found]
-    wanted = targets(sizes)
-    per_shard = max(SHARD_WORDS, -(-sum(sizes) // SHARDS))
-    table = [(r["source"], n, t, max(1, -(-n // per_shard))) for r, n, t in zip(found, sizes, wanted, strict=True)]
-    sources = spark.createDataFrame(table, "source string, source_size long, target double, shards int")
-    held = {}
-    for r in with_shard(rows, sources).groupBy("source", "shard").agg(F.sum("size").alias("n")).collect():
-        held.setdefault(r["source"], []).append((r["shard"], int(r["n"] or 0)))
-    quota = dict(zip((t[0] for t in table), apportion(round(sum(wanted) / BLOCK), wanted), strict=True))
-    plan = []
-    for source, shards in held.items():
-        shards.sort()
-        blocks = apportion(quota[source], [float(n) for _, n in shards])
-        for (shard, n), q in zip(shards, blocks, strict=True):
-            plan.append((source, shard, n, min(q * BLOCK, REPEATS * n)))
-    return sources, spark.createDataFrame(plan, "source string, shard int, shard_size long, take long")
-
-
-def with_shard(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    named = F.broadcast(sources.withColumnRenamed("source", "_source"))  # at most MOST_SOURCES rows
+    found = checkpointed(rows.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n"), F.count("*").alias("rows")))
+    wanted = checkpointed(with_targets(found.select("source", "n")))
+    total = found.agg(F.sum("n")).first()[0]
+    per_shard = max(SHARD_WORDS, -(-(total or 0) // SHARDS))
+    seats = round(min(SHARE, REPEATS) * (total or 0) / BLOCK)
+    shards = F.greatest(F.lit(1), F.ceil(F.col("n") / per_shard)).cast("int")
+    planned = with_seats(wanted, seats).select(_key().alias("key"), "rank", F.col("n").alias("source_size"), "target", "blocks", shards.alias("shards"))
+    return checkpointed(planned.join(found.select(_key().alias("key"), F.col("rows").alias("n")), "key"))
+
+
+def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """``rows`` with their source's plan and their shard, a hash bucket, so that a source with a third of all rows is
+    spread as far as its size asks."""
+    keyed, plan = rows.withColumn("key", _key()), sources.drop("n")
+    small = broadcast_if_small(plan)
+    both = join_hot(keyed, plan, "key", sources.select("key", "n"), sources.agg(F.sum("n")).first()[0] or 0) if small is plan else keyed.join(small, "key")
     shard = F.pmod(F.xxhash64(F.lit(SEED + 1), F.col("_order"), F.col("doc_id")), F.col("shards")).cast("int")
-    return rows.join(named, rows["source"].eqNullSafe(F.col("_source"))).withColumn("shard", shard).drop("_source", "shards")
+    return both.withColumn("shard", shard).drop("key", "shards")
+
+
+def plan_shards(spread: DataFrame) -> DataFrame:
+    """(rank, shard, shard_size, take) of rows from with_source(): each source's blocks apportioned to its shards.
+
+    A source has at most SHARDS + 1 shards, which are planned together.
+    """
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("shard")
+        blocks = apportion(int(group["blocks"].iloc[0]), group["shard_size"].astype(float).tolist())
+        take = np.minimum(np.array(blocks, np.int64) * BLOCK, REPEATS * group["shard_size"].to_numpy(np.int64))
+        return group[["rank", "shard", "shard_size"]].assign(take=take)
+
+    held = spread.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size"), F.max("blocks").alias("blocks"))
+    return held.groupBy("rank").applyInPandas(run, "rank long, shard int, shard_size long, take long")
 
 
-def mixed(rows: DataFrame) -> DataFrame:
+def mixed(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """``rows`` of sized(), with source_size, target, taken (words, repeats counted) and the part of the text they are.
 
     In each shard the documents stand in seeded order as one stream of words, cut into equal blocks; the shard's quota
     is that many whole passes of the stream and then its first blocks. So a document is taken whole ``passes`` times
     and by its first ``extra`` words once more, and only the last document of a shard's quota is cut.
     """
-    sources, plan = plan_shards(rows)
-    # one row a shard: at most SHARDS and one a source
-    quota = F.broadcast(plan.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "shard_size", "take"))
-    spread = with_shard(rows, sources)
-    spread = spread.join(quota, spread["source"].eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard"))).drop("_source", "_shard")
-    order = Window.partitionBy("source", "shard").orderBy("_order", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spread = with_source(rows, sources)
+    quota = broadcast_if_small(checkpointed(plan_shards(spread)))
+    spread = spread.join(quota, ["rank", "shard"])
+    order = Window.partitionBy("rank", "shard").orderBy("_order", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.sum("size").over(order) - F.col("size")
     whole = F.when(F.col("shard_size") > 0, F.expr("take div shard_size")).otherwise(F.lit(0))
     left = F.col("take") - F.col("passes") * F.col("shard_size")
     out = spread.withColumn("_before", before).withColumn("passes", whole)
     out = out.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("_before"))))
-    return out.withColumn("taken", F.col("passes") * F.col("size") + F.col("extra")).drop("_before", "shard_size", "take")
+    return out.withColumn("taken", F.col("passes") * F.col("size") + F.col("extra")).drop("_before", "shard_size", "take", "blocks")
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -129,28 +181,28 @@ def mix(docs: DataFrame) -> DataFrame:
     rows are ordered by a seeded hash of id and text (equal rows may change places, which changes nothing but which of
     them is cut). An empty table gives an empty result.
     """
-    return mixed(checkpointed(sized(docs))).select("doc_id", "size", "source_size", "target", "taken")
+    rows = checkpointed(sized(docs))
+    return mixed(rows, plan_sources(rows)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as rows of ``docs``: a document once for each whole pass and once more with its first extra words.
 
-    Each shard's choice comes down to a point in its order, so the texts are joined to one broadcast row a shard and
-    are not shuffled. Equal rows at such a point share its words evenly, rounded down. The columns stay as they are and
+    Each shard's choice comes down to a point in its order, so the texts are joined to one row a source and one a shard
+    and are not shuffled, unless these are too many to broadcast. Equal rows at such a point share its words evenly, rounded down. The columns stay as they are and
     n_chars is counted again. Documents without words, and those of which nothing is taken, do not come back.
     """
     names = docs.columns
     counts = checkpointed(sized(docs))
-    chosen = mixed(counts).groupBy("source", "shard", "_order", "doc_id", "passes")
+    sources = plan_sources(counts)
+    chosen = mixed(counts, sources).groupBy("rank", "shard", "_order", "doc_id", "passes")
     chosen = chosen.agg(F.sum("extra").alias("extra"), F.sum("size").alias("size"), F.count("*").alias("rows"))
     open_at = F.when(F.col("extra") < F.col("size"), F.struct(F.col("_order").alias("o"), F.col("doc_id").alias("d"), F.expr("extra div rows").alias("part")))
-    cuts = chosen.groupBy("source", "shard").agg(F.first("passes").alias("_passes"), F.min(open_at).alias("_cut"))
-    cuts = F.broadcast(checkpointed(cuts.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "_passes", "_cut")))
-    sources, _ = plan_shards(counts)
+    cuts = chosen.groupBy("rank", "shard").agg(F.first("passes").alias("_passes"), F.min(open_at).alias("_cut"))
+    cuts = broadcast_if_small(checkpointed(cuts))
     rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), "doc_id", "source", "text")
     rows = rows.withColumn("_order", F.xxhash64(F.lit(SEED), F.col("doc_id"), F.col("text"))).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    spread = with_shard(rows, sources)
-    both = spread.join(cuts, spread["source"].eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")))
+    both = with_source(rows, sources).join(cuts, ["rank", "shard"])
     here, cut = F.struct(F.col("_order"), F.col("doc_id")), F.struct(F.col("_cut.o"), F.col("_cut.d"))
     words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     more = (
