@@ -170,9 +170,9 @@ def test_family_pairs_grow_with_its_size(spark, monkeypatch):
 
         def counted(pairs, nodes=nodes, sets=sets, made=made):
             made.append(pairs.count())
-            return simhash._alike(pairs, nodes, sets)
+            return simhash._overlaps(pairs, nodes, sets)
 
-        simhash.linked_components(shared, sets, counted)
+        simhash.linked_components(shared, nodes, sets, counted)
         counts.append(sum(made))
     assert counts[0] <= 2 * 200 and counts[1] <= 2 * 800
 

@@ -18,16 +18,18 @@ BITS = 64
 BLOCKS, MAX_BITS = 4, 2
 #: Buckets above this size are not paired; their members meet at common midpoints instead.
 PAIR_CAP = 64
-#: Wide fingerprints for near copies: blocks of equal width, each joined on together with an anchor, the least of the
-#: text's shingles under the block's own order. Texts of Jaccard similarity s agree on an anchor with chance s and on a
-#: bit with chance 1 - arccos(2s / (1 + s)) / pi, so a pair at exactly 0.8 shares no block with a chance of 8 in 100,000
-#: (4 in 1,000 for sets of four and five shingles, the worst case), closer pairs with a far smaller one. The anchor keeps
-#: unrelated texts apart at any table size, the bits those that share no more than a frequent passage.
-WIDE_BLOCKS, WIDE_WIDTH = 80, 12
-#: Of the 960 bits 145 +- 11 differ at a similarity of 0.8, 180 +- 12 for sets of four and five shingles, 480 +- 15 by chance.
-NEAR_BITS = 230
+#: Wide fingerprints for near copies have WIDE_BITS bits, of which the first are split into blocks of equal width. A block is
+#: joined on together with its ANCHORS, the least of the text's shingles under as many orders of the block's own. Texts of
+#: Jaccard similarity s agree on an anchor with chance s and on a bit with chance 1 - arccos(2s / (1 + s)) / pi, so a pair
+#: at exactly 0.8 shares no block with a chance of 4 in 100,000 (5 in 10,000 for sets of four and five shingles, the
+#: worst case), closer pairs with a far smaller one. The anchors keep unrelated texts apart at any table size, together
+#: with the bits also those that share no more than a frequent passage.
+WIDE_BITS, WIDE_BLOCKS, WIDE_WIDTH, ANCHORS = 960, 48, 6, 3
+#: At a similarity of 0.8 145 +- 11 bits differ; 180 +- 12 for sets of four and five shingles, so that sets below SMALL_SET
+#: have a limit of their own. At 0.6 it is 221 +- 13, by chance 480 +- 15.
+NEAR_BITS, SMALL_BITS, SMALL_SET = 190, 230, 20
 #: Buckets above this size are linked by their centre first, then by what their members share beyond it.
-WIDE_PAIRS = 16
+WIDE_PAIRS = 8
 #: Near copies: Jaccard similarity of the shingle sets, as a fraction.
 NEAR = (4, 5)
 
@@ -67,14 +69,14 @@ def _mixed(z: np.ndarray) -> np.ndarray:
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_LANES = np.arange(1, WIDE_BLOCKS * WIDE_WIDTH // 64 + 1, dtype=np.uint64) * _STEP
-_ORDERS = _mixed(np.arange(1, 2 * WIDE_BLOCKS + 1, dtype=np.uint64) * _STEP).reshape(2, -1)
+_LANES = np.arange(1, WIDE_BITS // 64 + 1, dtype=np.uint64) * _STEP
+_ORDERS = _mixed(np.arange(1, 2 * WIDE_BLOCKS * ANCHORS + 1, dtype=np.uint64) * _STEP).reshape(2, -1)
 _NUMBERS = np.arange(1, WIDE_BLOCKS + 1, dtype=np.uint64) * _STEP
 
 
 def wide_simhash(hashes: np.ndarray) -> np.ndarray:
     """Bits of the wide fingerprint of a set of shingle hashes; all 0 for the empty set."""
-    ones = np.zeros(WIDE_BLOCKS * WIDE_WIDTH, np.int64)
+    ones = np.zeros(WIDE_BITS, np.int64)
     for at in range(0, len(hashes), 255):  # 255 rows at most, so that the counts of a part fit a byte
         z = _mixed(hashes[at : at + 255, None] + _LANES)
         ones += np.unpackbits(z.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
@@ -82,14 +84,17 @@ def wide_simhash(hashes: np.ndarray) -> np.ndarray:
 
 
 def block_keys(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """A key for each block of the fingerprint, of its bits and its anchor; none for the empty set."""
+    """A key for each block of the fingerprint, of its bits and its anchors; none for the empty set."""
     if not len(hashes):
         return np.zeros(0, np.int64)
-    anchors = np.full(WIDE_BLOCKS, np.iinfo(np.uint64).max)
+    least = np.full(WIDE_BLOCKS * ANCHORS, np.iinfo(np.uint64).max)
     for at in range(0, len(hashes), 256):
-        np.minimum(anchors, ((hashes[at : at + 256, None] ^ _ORDERS[0]) * (_ORDERS[1] | np.uint64(1))).min(axis=0), out=anchors)
-    blocks = (bits.reshape(WIDE_BLOCKS, WIDE_WIDTH) @ (1 << np.arange(WIDE_WIDTH))).astype(np.uint64)
-    return _mixed(_mixed(_NUMBERS ^ blocks) ^ anchors).view(np.int64)
+        np.minimum(least, ((hashes[at : at + 256, None] ^ _ORDERS[0]) * (_ORDERS[1] | np.uint64(1))).min(axis=0), out=least)
+    blocks = bits[: WIDE_BLOCKS * WIDE_WIDTH].reshape(WIDE_BLOCKS, WIDE_WIDTH) @ (1 << np.arange(WIDE_WIDTH))
+    keys = _mixed(_NUMBERS ^ blocks.astype(np.uint64))
+    for anchors in least.reshape(ANCHORS, WIDE_BLOCKS):
+        keys = _mixed(keys ^ anchors)
+    return keys.view(np.int64)
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: tuple[str, ...] = ("doc_id",), name: str = "fp") -> DataFrame:
@@ -197,55 +202,94 @@ def fingerprint_text(fp: Column) -> Column:
 def shared_cells(cells: DataFrame) -> DataFrame:
     """The ``cells`` (fp, key) of keys that several hold, with their number n.
 
-    The numbers are pre-aggregated before the shuffle, so that a key of very many cells makes few rows of it.
+    The numbers are pre-aggregated before the shuffle, so that a key of very many cells makes few rows of it. The two
+    members of a bucket of two, the usual kind, come with the numbers; only larger buckets are joined to the cells.
     """
-    sizes = checkpointed(cells.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    return checkpointed(cells.join(broadcast_if_small(sizes), "key").select("fp", "key", "n"))
+    ends = [F.min("fp").alias("low"), F.max("fp").alias("high")]
+    sizes = checkpointed(cells.groupBy("key").agg(F.count("*").alias("n"), *ends).where("n > 1"))
+    two = sizes.where("n = 2").select(F.explode(F.array("low", "high")).alias("fp"), "key", "n")
+    more = cells.join(broadcast_if_small(sizes.where("n > 2").select("key", "n")), "key").select("fp", "key", "n")
+    return checkpointed(two.unionAll(more))
 
 
-def linked_components(shared: DataFrame, sets: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(fp, label) for each fp linked to others: all that share a key of ``shared`` and that ``verified`` keeps as pair.
+def _close(u: str, v: str, n: Column, m: Column) -> Column:
+    """Whether two wide fingerprints, columns ``u`` and ``v`` of sets of n and m shingles, differ in few enough bits."""
+    differ = F.aggregate(F.zip_with(u, v, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda k, x: k + x)
+    return differ <= F.when(F.least(n, m) < SMALL_SET, SMALL_BITS).otherwise(NEAR_BITS)
 
-    ``sets`` has (fp, shingles). Small buckets are paired. Buckets of more than WIDE_PAIRS members, where pairs would grow
-    with the square of their size, are linked without listing pairs, and still lose none. Shingles of more than WIDE_PAIRS
-    of their members are the core of such families, the others are rare.
 
-    1. Each member is compared with its bucket's centre, the member with the largest share of core shingles.
-    2. Members of different parts that share a rare shingle are compared: at most WIDE_PAIRS members hold one.
-    3. Two members x, y that share core shingles only can reach the similarity of a part in a whole only if
-       part * (|x| + |y|) <= (part + whole) * (core shingles of either). Members outside of their centre's part are
-       compared with those that this leaves, as a rule none: both would be near the centre.
+def _enough(n: Column, m: Column, both: Column) -> Column:
+    """Whether sets of n and m shingles, ``both`` of them in common, have a Jaccard similarity of NEAR or more."""
+    part, whole = NEAR
+    return (n + m) * part <= both * (part + whole)
+
+
+def linked_components(shared: DataFrame, nodes: DataFrame, sets: DataFrame, overlaps: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(fp, label) for each fp linked to others: all that share a key of ``shared`` and are near by ``overlaps`` of the pair.
+
+    ``nodes`` has (fp, wide, size), ``sets`` (fp, shingles). Small buckets are paired. Buckets of more than WIDE_PAIRS members, where pairs would grow
+    with the square of their size, are linked without listing pairs, and still lose none. Of the shingles that several
+    of their members hold, those of more than WIDE_PAIRS are the core of such families, the others are rare. Whether two
+    texts are near follows from their sizes and the number of shingles in common, so bounds of that number leave out pairs.
+
+    0. A member with too few shared shingles to be near any other is left out.
+    1. Each other member is compared with its bucket's centre, the member with most core shingles
+       beyond its other ones.
+    2. Members of different parts that share rare shingles are paired by them (at most WIDE_PAIRS hold one), and compared
+       if these and the core shingles of either are enough.
+    3. Members that share core shingles only have no more in common than what either shares with a centre and what either
+       has beyond it. Members outside of their centre's part are compared with those that this and the Hamming distance
+       leave, as a rule none: both would be near the centre.
     """
     few, hot = shared.where(F.col("n") <= WIDE_PAIRS), shared.where(F.col("n") > WIDE_PAIRS).select("key", "fp")
     pairs = few.select("key", F.col("fp").alias("u")).join(few.select("key", F.col("fp").alias("v")), "key").where("u < v").select("u", "v")
+    linked = lambda found: found.where("near").select("u", "v")
     if hot.isEmpty():
-        return connected(verified(pairs.distinct())).withColumnRenamed("id", "fp")
+        return connected(linked(overlaps(pairs.distinct()))).withColumnRenamed("id", "fp")
     held = sets.join(hot.select("fp").distinct(), "fp").select("fp", F.explode("shingles").alias("shingle"))
     often = checkpointed(held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"))
     marks = checkpointed(held.join(broadcast_if_small(often), "shingle"))
-    cores = marks.where(F.col("n") > WIDE_PAIRS).groupBy("fp").agg(F.count("*").alias("core"))
-    members = checkpointed(hot.join(sets.select("fp", F.size("shingles").alias("size")).join(cores, "fp"), "fp"))
-    central = members.groupBy("key").agg(F.max_by("fp", F.struct(F.col("core") / F.col("size"), "fp")).alias("centre"))
-    central = checkpointed(central)
-    stars = members.select("key", "fp").join(broadcast_if_small(central), "key").where("fp <> centre").select(F.col("centre").alias("u"), F.col("fp").alias("v"))
-    first = checkpointed(connected(verified(pairs.unionAll(stars).distinct()))).withColumnRenamed("id", "fp")
+    one, whole = NEAR
+    counts = marks.groupBy("fp").agg(F.count("*").alias("known"), F.count(F.when(F.col("n") > WIDE_PAIRS, 1)).alias("core"))
+    texts = checkpointed(nodes.select("fp", "size").join(counts, "fp").where(F.col("known") * whole >= F.col("size") * one))
+    members = checkpointed(hot.join(texts, "fp"))
+    middle = F.struct(2 * F.col("core") - F.col("size"), F.col("fp").alias("centre"), F.col("size").alias("_size"), F.col("known").alias("_known"))
+    central = checkpointed(members.groupBy("key").agg(F.max(middle).alias("m")).select("key", "m.centre", "m._size", "m._known"))
+    cells = checkpointed(members.join(broadcast_if_small(central), "key"))
+    near = _enough(F.col("size"), F.col("_size"), F.least("known", "_known")) & F.expr("fp <> centre")
+    stars = overlaps(cells.where(near).select(F.col("centre").alias("u"), F.col("fp").alias("v")).distinct())
+    first = checkpointed(connected(linked(overlaps(pairs.distinct())).unionAll(linked(stars)).distinct())).withColumnRenamed("id", "fp")
 
     part = lambda df: df.join(first, "fp", "left").withColumn("part", F.coalesce("label", "fp")).drop("label")
-    rare = checkpointed(part(marks.where(F.col("n") <= WIDE_PAIRS).select("fp", "shingle")))
-    end = lambda df, name, *more: df.select(F.col("fp").alias(name), F.col("part").alias(f"p{name}"), *more)
-    beyond = end(rare, "u", "shingle").join(end(rare, "v", "shingle"), "shingle").where("pu <> pv AND u < v").select("u", "v", "pu", "pv")
-
-    one, whole = NEAR
-    heavy = checkpointed(part(members.where(F.col("core") * whole >= F.col("size") * one)))
-    middle = central.select("key", F.col("centre").alias("fp"))
-    outside = heavy.join(broadcast_if_small(checkpointed(part(middle).select("key", F.col("part").alias("main")))), "key").where("part <> main")
-    sized = lambda df, name, *more: end(df, name, "key", F.col("core").alias(f"c{name}"), F.col("size").alias(f"s{name}"), *more)
-    reach = (F.col("su") + F.col("sv")) * one <= F.least("cu", "cv") * (one + whole)
-    within = sized(outside, "u", "main").join(sized(heavy, "v"), "key").where(reach & F.expr("pu <> pv AND (pv = main OR u < v)")).select("u", "v", "pu", "pv")
-    across = connected(verified(beyond.unionAll(within).distinct()).select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct())
+    placed = part(texts)
+    rare = checkpointed(marks.where(F.col("n") <= WIDE_PAIRS).select("fp", "shingle").join(placed, "fp"))
+    end = lambda df, name, *more: df.select(F.col("fp").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("part", "core", "size", *more)])
+    reach = lambda both: _enough(F.col("size_u"), F.col("size_v"), both)
+    ends = ["u", "v", "part_u", "part_v"]
+    beyond = end(rare, "u", "shingle").withColumnRenamed("shingle_u", "shingle").join(end(rare, "v", "shingle").withColumnRenamed("shingle_v", "shingle"), "shingle").where("part_u <> part_v AND u < v")
+    beyond = beyond.groupBy(*ends, "core_u", "core_v", "size_u", "size_v").agg(F.count("*").alias("both")).where(reach(F.least("core_u", "core_v") + F.col("both"))).select(*ends)
+    # a text's home is, of the centres it was compared with and itself, the one compared with most texts
+    counted = stars.select(F.col("u").alias("home"), F.col("v").alias("fp"), F.col("both").alias("in"))
+    of_itself = counted.select("home").distinct().join(nodes.select(F.col("fp").alias("home"), F.col("size").alias("in")), "home").select("home", F.col("home").alias("fp"), "in")
+    popular = counted.groupBy("home").agg(F.count("*").alias("_texts"))
+    own = texts.select(F.col("fp").alias("home"), (F.col("known") - F.col("core")).alias("_rare"))
+    homes = counted.unionAll(of_itself).join(popular.join(own, "home"), "home").groupBy("fp").agg(F.max(F.struct("_texts", "home", "in", "_rare")).alias("h"))
+    homely = part(texts.where(F.col("core") * whole >= F.col("size") * one)).join(homes.select("fp", "h.home", "h.in", "h._rare"), "fp", "left").join(nodes.select("fp", "wide"), "fp")
+    # of the shared ones some may be rare shingles of the home, so as many more of the core may lie outside of it
+    out = F.greatest(F.lit(0), F.col("core") - F.col("in") + F.col("_rare"))
+    homely = homely.select("fp", "part", "core", "size", "home", F.least("in", "core").alias("in"), out.alias("out"), "wide")
+    heavy = checkpointed(hot.join(homely, "fp"))
+    mains = checkpointed(part(central.select("key", F.col("centre").alias("fp"))).select("key", F.col("part").alias("main")))
+    outside = heavy.join(broadcast_if_small(mains), "key").where("part <> main")
+    more = ("key", "home", "in", "out", "wide")
+    within = end(outside, "u", *more, "main").join(end(heavy, "v", *more), F.col("key_u") == F.col("key_v"))
+    within = within.where("part_u <> part_v AND (part_v = main_u OR u < v)").where(reach(F.when(F.expr("home_u = home_v"), F.least("in_u", "in_v") + F.least("out_u", "out_v")).otherwise(F.least("core_u", "core_v"))))
+    within = within.where(_close("wide_u", "wide_v", F.col("size_u"), F.col("size_v"))).select(*ends)
+    last = overlaps(beyond.unionAll(within).distinct()).where("near")
+    across = connected(last.select(F.col("part_u").alias("u"), F.col("part_v").alias("v")).distinct())
     joined = across.select(F.col("id").alias("part"), F.col("label").alias("later"))
-    ends = part(first.select("fp").unionAll(rare.select("fp")).unionAll(heavy.select("fp")).distinct())
-    return ends.join(joined, "part", "left").select("fp", F.coalesce("later", "part").alias("label"))
+    known = part(first.select("fp").unionAll(texts.select("fp")).distinct())
+    return known.join(joined, "part", "left").select("fp", F.coalesce("later", "part").alias("label"))
 
 
 def wide_fingerprints(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
@@ -277,24 +321,24 @@ def shingle_sets(texts: DataFrame, shingle_words: int = 5) -> DataFrame:
     return texts.select("fp", "text").mapInPandas(run, "fp long, shingles array<long>")
 
 
-def _alike(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The ``pairs`` (u, v, ...) whose wide fingerprints differ in NEAR_BITS bits or fewer and whose shingle sets then have a
-    Jaccard similarity of NEAR or more, exactly."""
+def _overlaps(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs`` (u, v, ...) whose sizes allow them to be near and whose wide fingerprints differ in few enough bits, with
+    both, the exact number of shingles in common, and near: whether their Jaccard similarity is NEAR or more."""
     part, whole = NEAR
     side = lambda name: nodes.select(F.col("fp").alias(name), F.col("wide").alias(f"_w{name}"), F.col("size").alias(f"_n{name}"))
-    differ = F.aggregate(F.zip_with("_wu", "_wv", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
-    close = (F.least("_nu", "_nv") * whole >= F.greatest("_nu", "_nv") * part) & (differ <= NEAR_BITS)
-    near = checkpointed(pairs.join(side("u"), "u").join(side("v"), "v").where(close).select(*pairs.columns))
+    close = (F.least("_nu", "_nv") * whole >= F.greatest("_nu", "_nv") * part) & _close("_wu", "_wv", F.col("_nu"), F.col("_nv"))
+    few = checkpointed(pairs.join(side("u"), "u").join(side("v"), "v").where(close).select(*pairs.columns))
     end = lambda name: sets.select(F.col("fp").alias(name), F.col("shingles").alias(f"_s{name}"))
-    both = near.join(end("u"), "u").join(end("v"), "v").withColumn("_both", F.size(F.array_intersect("_su", "_sv")))
-    return both.where(F.col("_both") * whole >= (F.size("_su") + F.size("_sv") - F.col("_both")) * part).select(*pairs.columns)
+    found = few.join(end("u"), "u").join(end("v"), "v").withColumn("both", F.size(F.array_intersect("_su", "_sv")))
+    near = _enough(F.size("_su"), F.size("_sv"), F.col("both"))
+    return checkpointed(found.select(*pairs.columns, "both", near.alias("near")))
 
 
 def near_copy_labels(nodes: DataFrame, sets: DataFrame, shared: DataFrame) -> DataFrame:
     """(fp, label) for each text of ``nodes`` that is linked to others over ``shared`` cells."""
     small = nodes.join(shared.select("fp").distinct(), "fp", "left_semi").select("fp", "wide", "size")
     small = checkpointed(small)
-    return linked_components(shared, sets, lambda pairs: _alike(pairs, small, sets))
+    return linked_components(shared, small, sets, lambda pairs: _overlaps(pairs, small, sets))
 
 
 def keep_one_of_each(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
