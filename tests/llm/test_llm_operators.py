@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -529,7 +530,7 @@ def test_licenses(docs, odd, clashing, make):
 
 
 def test_license_rules():
-    assert len(licenses.rules()) > 200
+    assert len(licenses.rules()) > 200 and len({(r.label, r.kind, r.pattern.pattern) for r in licenses.rules()}) == len(licenses.rules())
     label = lambda t: licenses.scan_text(t)[5]
     assert label("Licensed under the Apache License, Version 2.0.") == "apache-2.0"
     assert label("SPDX-License-Identifier: GPL-2.0-or-later") == "gpl-2.0"
@@ -538,6 +539,44 @@ def test_license_rules():
     assert label("tous droits réservés") == "reserved" and label("das mit dem") == "" and label("Released under the MIT License.") == "mit"
     kept = licenses.detections(b"released under the mit license, gnu general public license v3")
     assert all(a[1] <= b[0] for a, b in zip(kept, kept[1:], strict=False))
+    score = lambda t: licenses.scan_text(t)[6]
+    assert score("the MIT License") < score("licensed under the terms of the MIT License") == 1.0
+
+
+@pytest.mark.parametrize(
+    "text,label",
+    [
+        ("gplv3", "gpl-3.0"), ("gpl 3", "gpl-3.0"), ("GPL v3", "gpl-3.0"), ("gpl3", "gpl-3.0"), ("agplv3", "agpl-3.0"), ("agpl-3.0", "agpl-3.0"), ("lgplv2.1", "lgpl-2.1"),
+        ("bsd-3-clause", "bsd-3-clause"), ("under the BSD 3-Clause License", "bsd-3-clause"), ("Licensed under GPLv3", "gpl-3.0"), ("Apache-2.0 license", "apache-2.0"),
+        ("Affero General Public License version 3", "agpl-3.0,gpl"), ("https://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"), ("https://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit"), ("GNU Lesser General Public License v2.1", "gpl,lgpl-2.1"),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0", "apache-2.0,mit"), ("either version 2 of the License, or (at your option) any later version", "gpl-2.0"), ("mozilla.org/MPL/2.0", "mpl-2.0"),
+    ],
+)
+def test_license_spellings(text, label):
+    assert licenses.scan_text(text)[5] == label
+
+
+def test_suppression_against_brute_force():
+    rng, some = random.Random(8), licenses.rules()
+    for _ in range(400):
+        found = [(s, s + rng.randint(1, 9), rng.choice(some[:12])) for s in (rng.randrange(40) for _ in range(rng.randint(0, 14)))]
+        alone = [a for a in found if not any((b[0] <= a[0] and a[1] <= b[1]) and ((b[0], b[1]) != (a[0], a[1]) or b[2].priority < a[2].priority) for b in found)]
+        want = []
+        for a in sorted(set(alone), key=lambda x: (x[2].priority, x[0])):
+            if all(a[1] <= b[0] or b[1] <= a[0] for b in want):
+                want.append(a)
+        assert licenses.suppressed(found) == sorted(want, key=lambda x: x[0])
+
+
+def test_many_detections_take_linear_time():
+    text = "released under the mit license. gplv3 and apache-2.0 license; "
+    times = []
+    for n in (1500, 6000):
+        began = time.perf_counter()
+        assert licenses.scan_text(text * n)[5] == "apache-2.0,gpl-3.0,mit"
+        times.append(time.perf_counter() - began)
+    assert times[1] < 10 * times[0]
 
 
 def alternatives(tree):

@@ -22,6 +22,9 @@ PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights r
 LICENSES = (
     ("apache-1.1", "apache", r"apache~(?:software~)?license,?~(?:version~|v\.?~?)?1[.]1", "apache-1.1"),
     ("apache-2.0", "apache", r"apache~(?:software~)?license,?~(?:version~|v\.?~?)?2(?:[.]0)?", "apache-2.0"),
+    ("apache-2.0", "apache", r"apache~(?:v\.?)?2(?:[.]0)?(?:~licen[sc]ed?)?", ""),
+    ("apache-1.1", "apache", r"apache~(?:v\.?)?1[.]1(?:~licen[sc]ed?)?", ""),
+    ("asf", "asf", r"licen[sc]ed~to~the~apache~software~foundation~[(]?asf", ""),
     ("apache", "apache", r"apache~(?:software~)?license", ""),
     ("mit", "mit", r"(?:the~)?mit~(?:x11~)?licen[sc]e", "mit"),
     ("mit-0", "mit", r"mit~no~attribution(?:~license)?", "mit-0"),
@@ -29,11 +32,24 @@ LICENSES = (
     ("bsd-4-clause", "bsd", r"(?:4|four)~clause~bsd(?:~license)?|original~bsd~license", "bsd-4-clause"),
     ("bsd-3-clause", "bsd", r"(?:3|three)~clause~bsd(?:~license)?|(?:new|modified|revised)~bsd(?:~license)?", "bsd-3-clause"),
     ("bsd-2-clause", "bsd", r"(?:2|two)~clause~bsd(?:~license)?|simplified~bsd(?:~license)?|freebsd~license", "bsd-2-clause"),
+    ("bsd-4-clause", "bsd", r"bsd~(?:4|four)~clause(?:~licen[sc]e)?|bsd~license~with~advertising~clause", ""),
+    ("bsd-3-clause", "bsd", r"bsd~(?:3|three)~clause(?:~licen[sc]e)?|bsd~3(?:~licen[sc]e)?|3~bsd~licen[sc]e", ""),
+    ("bsd-2-clause", "bsd", r"bsd~(?:2|two)~clause(?:~licen[sc]e)?|bsd~2(?:~licen[sc]e)?|2~bsd~licen[sc]e", ""),
     ("bsd-0-clause", "0bsd|zero", r"0bsd|zero~clause~bsd(?:~license)?", "0bsd"),
     ("bsd", "bsd", r"bsd~(?:style~)?licen[sc]e", ""),
     ("gpl-1.0", "gpl", r"gpl~?v?~?1(?:[.]0)?", "gpl-1.0(?:-only|-or-later)?"),
     ("gpl-2.0", "gpl", r"gpl~?v?~?2(?:[.]0)?", "gpl-2.0(?:-only|-or-later)?"),
     ("gpl-3.0", "gpl", r"gpl~?v?~?3(?:[.]0)?", "gpl-3.0(?:-only|-or-later)?"),
+    ("lgpl-2.0", "lesser|library", r"(?:gnu~)?(?:lesser|library)~general~public~license,?~(?:version~|v\.?~?)?2(?:[.]0)?", ""),
+    ("lgpl-2.1", "lesser|library", r"(?:gnu~)?(?:lesser|library)~general~public~license,?~(?:version~|v\.?~?)?2[.]1", ""),
+    ("lgpl-3.0", "lesser|library", r"(?:gnu~)?(?:lesser|library)~general~public~license,?~(?:version~|v\.?~?)?3(?:[.]0)?", ""),
+    ("agpl-1.0", "affero", r"(?:gnu~)?affero~general~public~license,?~(?:version~|v\.?~?)?1(?:[.]0)?", "agpl-1.0(?:-only|-or-later)?"),
+    ("agpl-3.0", "affero", r"(?:gnu~)?affero~general~public~license,?~(?:version~|v\.?~?)?3(?:[.]0)?", ""),
+    ("gpl-2.0", "gnu", r"gnu~gpl~(?:version~)?2(?:[.]0)?", ""),
+    ("gpl-3.0", "gnu", r"gnu~gpl~(?:version~)?3(?:[.]0)?", ""),
+    ("lgpl", "lgpl", r"gnu~lgpl|lgpl~licen[sc]ed?|under~(?:the~)?lgpl", ""),
+    ("agpl", "agpl", r"gnu~agpl|agpl~licen[sc]ed?|under~(?:the~)?agpl", ""),
+    ("gpl", "gpl", r"gnu~gpl|gpl~licen[sc]ed?|under~(?:the~)?gpl|gpl~compatible", ""),
     ("gpl-1.0", "general", r"(?:gnu~)?general~public~license,?~(?:version~|v\.?~?)1", ""),
     ("gpl-2.0", "general", r"(?:gnu~)?general~public~license,?~(?:version~|v\.?~?)2", ""),
     ("gpl-3.0", "general", r"(?:gnu~)?general~public~license,?~(?:version~|v\.?~?)3", ""),
@@ -109,86 +125,197 @@ LICENSES = (
     ("bsd-text", "redistribution", r"redistribution~and~use~in~source~and~binary~forms", ""),
     ("warranty-text", "warranty", r"provided~as~is,?~without~warranty~of~any~kind", ""),
 )
-#: Forms in which each license's name stands, first the most telling: (form, weight, pattern around the name).
-FORMS = (
-    ("grant", 1.0, r"(?:licen[sc]ed|released|distributed|available|published|provided)~(?:to~you~)?under~(?:the~)?(?:terms~of~)?(?:the~)?(?:{})"),
-    ("terms", 0.9, r"(?:subject~to|under)~(?:the~)?(?:terms~(?:and~conditions~)?of~)?(?:the~)?(?:{})"),
-    ("header", 0.9, r"licen[sc]e~(?:is~)?(?:the~)?(?:{})"),
-    ("name", 0.6, r"(?:{})"),
+# Addresses of license texts: label, keyword, pattern after an optional "www.".
+ADDRESSES = (
+    ("apache-1.1", "apache", r"apache[.]org/licenses/license-1[.]1"),
+    ("apache-2.0", "apache", r"apache[.]org/licenses/license-2[.]0"),
+    ("gpl-1.0", "gnu.org", r"gnu[.]org/licenses/(?:old-licenses/)?gpl-1[.]0"),
+    ("gpl-2.0", "gnu.org", r"gnu[.]org/licenses/(?:old-licenses/)?gpl-2[.]0"),
+    ("gpl-3.0", "gnu.org", r"gnu[.]org/licenses/gpl-3[.]0"),
+    ("gpl", "gnu.org", r"gnu[.]org/(?:licenses|copyleft)/gpl"),
+    ("lgpl-2.0", "gnu.org", r"gnu[.]org/licenses/(?:old-licenses/)?lgpl-2[.]0"),
+    ("lgpl-2.1", "gnu.org", r"gnu[.]org/licenses/(?:old-licenses/)?lgpl-2[.]1"),
+    ("lgpl-3.0", "gnu.org", r"gnu[.]org/licenses/lgpl-3[.]0"),
+    ("lgpl", "gnu.org", r"gnu[.]org/(?:licenses|copyleft)/lgpl"),
+    ("agpl-3.0", "gnu.org", r"gnu[.]org/licenses/agpl(?:-3[.]0)?"),
+    ("gfdl", "gnu.org", r"gnu[.]org/licenses/fdl"),
+    ("mit", "opensource.org", r"opensource[.]org/licen[sc]es?/mit"),
+    ("isc", "opensource.org", r"opensource[.]org/licen[sc]es?/isc"),
+    ("zlib", "opensource.org", r"opensource[.]org/licen[sc]es?/zlib"),
+    ("apache-2.0", "opensource.org", r"opensource[.]org/licen[sc]es?/apache-2[.]0"),
+    ("bsd-2-clause", "opensource.org", r"opensource[.]org/licen[sc]es?/bsd-2-clause"),
+    ("bsd-3-clause", "opensource.org", r"opensource[.]org/licen[sc]es?/bsd-3-clause"),
+    ("bsd", "opensource.org", r"opensource[.]org/licen[sc]es?/bsd-license"),
+    ("gpl-2.0", "opensource.org", r"opensource[.]org/licen[sc]es?/gpl-2[.]0"),
+    ("gpl-3.0", "opensource.org", r"opensource[.]org/licen[sc]es?/gpl-3[.]0"),
+    ("mpl-2.0", "opensource.org", r"opensource[.]org/licen[sc]es?/mpl-2[.]0"),
+    ("artistic-2.0", "opensource.org", r"opensource[.]org/licen[sc]es?/artistic-2[.]0"),
+    ("mpl-1.1", "mozilla.org", r"mozilla[.]org/mpl/(?:mpl-)?1[.]1"),
+    ("mpl-2.0", "mozilla.org", r"mozilla[.]org/(?:en-us/)?mpl/2[.]0"),
+    ("mpl", "mozilla.org", r"mozilla[.]org/(?:en-us/)?mpl"),
+    ("epl-1.0", "eclipse.org", r"eclipse[.]org/legal/epl-v10"),
+    ("epl-2.0", "eclipse.org", r"eclipse[.]org/legal/epl-(?:v20|2[.]0)"),
+    ("edl-1.0", "eclipse.org", r"eclipse[.]org/org/documents/edl-v10"),
+    ("bsl-1.0", "boost.org", r"boost[.]org/license_1_0"),
+    ("unlicense", "unlicense.org", r"unlicense[.]org"),
+    ("wtfpl", "wtfpl.net", r"wtfpl[.]net"),
+    ("ofl-1.1", "sil.org", r"scripts[.]sil[.]org/ofl"),
+    ("cddl-1.0", "cddl", r"(?:opensource[.]org/licen[sc]es?|sun[.]com/cddl)/cddl(?:-1[.]0)?"),
+    ("cc0-1.0", "creativecommons", r"creativecommons[.]org/publicdomain/zero/1[.]0"),
+    ("public-domain", "creativecommons", r"creativecommons[.]org/(?:publicdomain/mark|licenses/publicdomain)"),
+    ("cc-by-nc-nd", "creativecommons", r"creativecommons[.]org/licenses/by-nc-nd/[1-4][.][05]"),
+    ("cc-by-nc-sa", "creativecommons", r"creativecommons[.]org/licenses/by-nc-sa/[1-4][.][05]"),
+    ("cc-by-nc", "creativecommons", r"creativecommons[.]org/licenses/by-nc/[1-4][.][05]"),
+    ("cc-by-nd", "creativecommons", r"creativecommons[.]org/licenses/by-nd/[1-4][.][05]"),
+    ("cc-by-sa", "creativecommons", r"creativecommons[.]org/licenses/by-sa/[1-4][.][05]"),
+    ("cc-by", "creativecommons", r"creativecommons[.]org/licenses/by/[1-4][.][05]"),
+    ("odbl-1.0", "opendatacommons", r"opendatacommons[.]org/licenses/odbl"),
+    ("odc-by", "opendatacommons", r"opendatacommons[.]org/licenses/by"),
+    ("pddl-1.0", "opendatacommons", r"opendatacommons[.]org/licenses/pddl"),
 )
+# Sentences of license texts and notices: label, keyword, pattern as for the names.
+SENTENCES = (
+    ("mit", "permission", r"permission~is~hereby~granted,?~free~of~charge,?~to~any~person~obtaining~a~copy~of~this~software"),
+    ("mit", "copyright", r"the~above~copyright~notice~and~this~permission~notice~shall~be~included~in~all~copies~or~substantial~portions"),
+    ("mit-0", "permission", r"permission~is~hereby~granted,?~free~of~charge,?~to~any~person~obtaining~a~copy~of~this~software~and~associated~documentation~files~(?:the~software~)?to~deal~in~the~software~without~restriction,?~including~without~limitation~the~rights~to~use,?~copy,?~modify,?~merge,?~publish,?~distribute,?~sublicense,?~and~or~sell~copies~of~the~software,?~and~to~permit~persons~to~whom~the~software~is~furnished~to~do~so[.]~the~software~is~provided"),
+    ("isc", "permission", r"permission~to~use,?~copy,?~modify,?~and~(?:or~)?distribute~this~software~for~any~purpose~with~or~without~fee~is~hereby~granted"),
+    ("bsd", "redistribution", r"redistribution~and~use~in~source~and~binary~forms,?~with~or~without~modification,?~are~permitted"),
+    ("bsd-3-clause", "endorse", r"may~be~used~to~endorse~or~promote~products~derived~from~this~software~without~specific~prior~written~permission"),
+    ("bsd-4-clause", "advertising", r"all~advertising~materials~mentioning~features~or~use~of~this~software~must~display~the~following~acknowledge?ment"),
+    ("apache-2.0", "apache", r"you~may~not~use~this~file~except~in~compliance~with~the~license[.]~you~may~obtain~a~copy~of~the~license~at~https?~(?:www[.])?apache[.]org"),
+    ("apache-2.0", "apache", r"apache~license~version~2[.]0,?~january~2004"),
+    ("gpl", "redistribute", r"you~can~redistribute~it~and~or~modify~it~under~the~terms~of~the~gnu~general~public~license"),
+    ("lgpl", "redistribute", r"you~can~redistribute~it~and~or~modify~it~under~the~terms~of~the~gnu~(?:lesser|library)~general~public~license"),
+    ("agpl", "redistribute", r"you~can~redistribute~it~and~or~modify~it~under~the~terms~of~the~gnu~affero~general~public~license"),
+    ("gpl-2.0", "version", r"either~version~2~of~the~license,?~or~(?:[(]?at~your~option[)]?~)?any~later~version"),
+    ("gpl-3.0", "version", r"either~version~3~of~the~license,?~or~(?:[(]?at~your~option[)]?~)?any~later~version"),
+    ("lgpl-2.1", "version", r"either~version~2[.]1~of~the~license,?~or~(?:[(]?at~your~option[)]?~)?any~later~version"),
+    ("gpl", "gnu", r"you~should~have~received~a~copy~of~the~gnu~general~public~license"),
+    ("lgpl", "gnu", r"you~should~have~received~a~copy~of~the~gnu~(?:lesser|library)~general~public~license"),
+    ("agpl", "gnu", r"you~should~have~received~a~copy~of~the~gnu~affero~general~public~license"),
+    ("gpl-2.0", "gnu", r"gnu~general~public~license~version~2,?~june~1991"),
+    ("gpl-3.0", "gnu", r"gnu~general~public~license~version~3,?~29~june~2007"),
+    ("gfdl", "copy", r"permission~is~granted~to~copy,?~distribute~and~or~modify~this~document~under~the~terms~of~the~gnu~free~documentation~license"),
+    ("mpl-2.0", "mozilla", r"this~source~code~form~is~subject~to~the~terms~of~the~mozilla~public~license,?~v[.]?~2[.]0"),
+    ("mpl-1.1", "mozilla", r"the~contents~of~this~file~are~subject~to~the~mozilla~public~license~version~1[.]1"),
+    ("epl-1.0", "eclipse", r"accompanying~materials~are~made~available~under~the~terms~of~the~eclipse~public~license~v1[.]0"),
+    ("epl-2.0", "eclipse", r"accompanying~materials~are~made~available~under~the~terms~of~the~eclipse~public~license~2[.]0"),
+    ("cddl-1.0", "development", r"subject~to~the~terms~of~the~common~development~and~distribution~license"),
+    ("zlib", "express", r"this~software~is~provided~as~is,?~without~any~express~or~implied~warranty"),
+    ("zlib", "misrepresented", r"the~origin~of~this~software~must~not~be~misrepresented"),
+    ("unlicense", "unencumbered", r"this~is~free~and~unencumbered~software~released~into~the~public~domain"),
+    ("bsl-1.0", "boost", r"distributed~under~the~boost~software~license,?~version~1[.]0"),
+    ("artistic", "artistic", r"under~the~(?:same~)?terms~(?:of~(?:either~)?(?:the~)?artistic~license|as~perl~itself~artistic)"),
+    ("perl", "perl", r"under~the~same~terms~as~perl~(?:5~)?itself"),
+    ("psf-2.0", "python", r"python~software~foundation~license~version~2"),
+    ("php-3.01", "php", r"subject~to~version~3[.]01~of~the~php~license"),
+    ("openssl", "openssl", r"this~product~includes~software~developed~by~the~openssl~project"),
+    ("ofl-1.1", "font", r"this~font~software~is~licensed~under~the~sil~open~font~license,?~version~1[.]1"),
+    ("wtfpl", "everyone", r"everyone~is~permitted~to~copy~and~distribute~verbatim~or~modified~copies~of~this~license~document,?~and~changing~it~is~allowed"),
+    ("cc0-1.0", "waived", r"has~(?:dedicated~the~work~to~the~public~domain~by~)?waiv(?:ed|ing)~all~(?:of~(?:his|her|their)~)?(?:copyright~and~related~or~neighbou?ring~)?rights~to~(?:the|this)~work"),
+    ("cc-by", "creative", r"licen[sc]ed~under~a~creative~commons~attribution~(?:[1-4][.][05]~)?(?:international~|unported~|generic~)?licen[sc]e"),
+    ("cc-by-sa", "creative", r"licen[sc]ed~under~a~creative~commons~attribution~share~?alike~(?:[1-4][.][05]~)?(?:international~|unported~|generic~)?licen[sc]e"),
+    ("public-domain", "domain", r"(?:dedicated|placed|released)~(?:in|into|to)~the~public~domain", ),
+    ("proprietary", "unauthorized", r"unauthorized~copying~of~this~file,?~via~any~medium,?~is~strictly~prohibited"),
+    ("proprietary", "trade", r"contains~(?:proprietary~and~confidential~information|trade~secrets)"),
+    ("no-redistribution", "permission", r"may~not~be~(?:copied|reproduced|redistributed|republished)~(?:or~[a-z]+~)?without~(?:the~)?(?:prior~)?(?:written~)?permission"),
+    ("non-commercial", "commercial", r"(?:for~)?non~?commercial~(?:use|purposes)~only"),
+    ("research-only", "research", r"for~(?:academic~)?research~(?:use|purposes)~only"),
+)
+#: Kinds of rules, first the most telling, with their weights; a name or an address after GRANT weighs as much as a sentence.
+WEIGHTS = {"sentence": 1.0, "spdx": 1.0, "address": 0.9, "name": 0.6}
+GRANT = re.compile(rb"(?:(?:licen[sc]ed|released|distributed|available|published|provided|subject|covered|governed)[\x00-\x2f\x3a-\x60\x7b-\x7f]+(?:to|by|under|with|at)|under|licen[sc]e:)(?:[\x00-\x2f\x3a-\x60\x7b-\x7f]+(?:the|terms|of|and|conditions|an?))*[\x00-\x2f\x3a-\x60\x7b-\x7f]*(?:https?://(?:www[.])?)?\Z")
+#: Bytes before a match in which GRANT may stand.
+BEFORE = 120
 OWN, GAP = r"0-9a-z\x80-\xff", r"(?:[\x00-\x2f\x3a-\x60\x7b-\x7f]++)"
 WORD_BYTES = np.zeros(256, bool)
 WORD_BYTES[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
-#: What texts must hold besides a rule's keyword, by form; a name that always says "license" needs that.
-_ALSO = ((b"",), (b"under",), (b"under", b"subject"), (b"licen",))
-
-
 @dataclass(frozen=True)
 class Rule:
-    """``priority`` orders the rules: a smaller one wins where detections overlap. One of ``keywords`` and one of ``also`` gate the pattern."""
+    """``priority`` orders the rules: of detections that cross, a smaller one wins. One of ``keywords`` gates the pattern."""
 
     label: str
-    form: str
+    kind: str
     keywords: tuple[bytes, ...]
-    also: tuple[bytes, ...]
     pattern: re.Pattern[bytes]
-    weight: float
     priority: int
 
 
 @lru_cache(1)
 def rules() -> tuple[Rule, ...]:
-    """The rules in order: SPDX tags of each license, then each form of each name, specific licenses before general ones."""
+    """The rules in order: sentences, SPDX tags, addresses, then names, specific licenses before general ones."""
     out: list[Rule] = []
 
-    def add(label: str, form: str, keyword: str, pattern: str, weight: float) -> None:
-        body = f"(?<![{OWN}])(?:{pattern.replace('~', GAP)})(?![{OWN}])".encode()
-        also = {"grant": (b"under",), "terms": (b"under", b"subject"), "header": (b"licen",)}.get(form, (b"",))
-        bare = pattern
-        while bare != (bare := re.sub(r"\(\?:[^()]*\)\?", "", bare)):
-            pass
-        if form == "name" and all("licen" in x for x in bare.split("|")):
-            also = (b"licen",)
-        out.append(Rule(label, form, tuple(keyword.encode().split(b"|")), also, re.compile(body), weight, len(out)))
+    def add(label: str, kind: str, keyword: str, pattern: str) -> None:
+        # a match ends before anything but a word; "2" is no beginning of "2.1"
+        body = f"(?<![{OWN}])(?:{pattern.replace('~', GAP)})(?![{OWN}])" + ("" if kind == "address" else r"(?![.][0-9])")
+        out.append(Rule(label, kind, tuple(keyword.encode().split(b"|")), re.compile(body.encode()), len(out)))
 
+    for label, keyword, pattern in SENTENCES:
+        add(label, "sentence", keyword, pattern)
     for label, _, _, tag in LICENSES:
         if tag:
-            add(label, "spdx", "spdx", r"spdx-license-identifier:[ \t]*(?:" + tag.replace(".", "[.]").replace("[[.]", "[.").replace("[.]]", ".]") + ")", 1.0)
-    for form, weight, around in FORMS:
-        for label, keyword, name, _ in LICENSES:
-            add(label, form, keyword, around.replace("{}", name), weight)
+            add(label, "spdx", "spdx", r"spdx-license-identifier:[^\n]*?(?<![-0-9a-z.])(" + tag.replace(".", "[.]").replace("[[.]", "[.").replace("[.]]", ".]") + ")(?!-)")
+    for label, keyword, pattern in ADDRESSES:
+        add(label, "address", keyword, pattern)
+    for label, keyword, name, _ in LICENSES:
+        add(label, "name", keyword, name)
     return tuple(out)
 
 
 @lru_cache(1)
-def _gates() -> tuple[re.Pattern[bytes], dict[tuple[bytes, ...], list[Rule]]]:
+def _gates() -> dict[tuple[bytes, ...], list[Rule]]:
     by: dict[tuple[bytes, ...], list[Rule]] = {}
     for rule in rules():
         by.setdefault(rule.keywords, []).append(rule)
-    keys = sorted({k for own in by for k in own}, key=lambda k: (-len(k), k))
-    return re.compile(b"|".join(map(re.escape, keys))), by
+    return by
 
 
 _PHRASES = tuple((re.compile(f"(?<![{OWN}])".encode("latin-1") + r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+".encode("latin-1").join(w.encode() for w in p.split()) + f"(?![{OWN}])".encode("latin-1")), p.split()[-1].encode(), label) for p, label in PHRASES)
 
 
+def suppressed(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
+    """``found`` (start, end, rule) without overlaps, by start, in n log n.
+
+    A detection that another one contains goes, whatever their rules; of equal intervals and of two that cross the rule
+    of higher priority (a smaller number) wins, then the earlier start. What a suppressed one would have crossed stays.
+    """
+    outer: list[tuple[int, int, Rule]] = []
+    reach = -1
+    for s, e, rule in sorted(found, key=lambda x: (x[0], -x[1], x[2].priority)):
+        if e > reach:
+            outer.append((s, e, rule))
+            reach = e
+    # no one contains another now, so starts and ends are in one order and a neighbour is all that can cross
+    kept = [False] * len(outer)
+    before, after = list(range(-1, len(outer) - 1)), list(range(1, len(outer) + 1))
+    gone = [False] * len(outer)
+    for i in sorted(range(len(outer)), key=lambda i: (outer[i][2].priority, outer[i][0])):
+        if gone[i]:
+            continue
+        kept[i] = True
+        j = before[i]
+        while j >= 0 and not kept[j] and outer[j][1] > outer[i][0]:
+            gone[j], j = True, before[j]
+        before[i] = j
+        if j >= 0:
+            after[j] = i
+        j = after[i]
+        while j < len(outer) and not kept[j] and outer[j][0] < outer[i][1]:
+            gone[j], j = True, after[j]
+        after[i] = j
+        if j < len(outer):
+            before[j] = i
+    return [d for d, stays in zip(outer, kept, strict=True) if stays]
+
+
 def detections(raw: bytes) -> list[tuple[int, int, Rule]]:
-    """(start, end, rule) in lower-cased bytes, by start: rules run only if one of their keywords occurs; a detection within or
-    across one of a rule with higher priority gives way, and one that holds another of lower priority swallows it."""
-    gate, by = _gates()
-    # keywords may overlap one another, so each that the gate lets through is looked for by itself
-    if not gate.search(raw):
-        return []
-    seen = {also: any(word in raw for word in also) for also in _ALSO}
-    found = [(m.start(), m.end(), rule) for keys, own in by.items() if any(k in raw for k in keys) for rule in own if seen[rule.also] for m in rule.pattern.finditer(raw)]
-    kept: list[tuple[int, int, Rule]] = []
-    # of two that overlap the longer wins, and of equal ones the earlier rule
-    for s, e, rule in sorted(found, key=lambda x: (-(x[1] - x[0]), x[2].priority, x[0])):
-        if all(e <= a or b <= s for a, b, _ in kept):
-            kept.append((s, e, rule))
-    return sorted(kept, key=lambda x: (x[0], x[1]))
+    """(start, end, rule) in lower-cased bytes, by start, overlaps suppressed. Rules run only if one of their keywords occurs;
+    of an SPDX line each tag is a detection of its own."""
+    found = [(*m.span(1 if rule.kind == "spdx" else 0), rule) for keys, own in _gates().items() if any(k in raw for k in keys) for rule in own for m in rule.pattern.finditer(raw)]
+    return suppressed(found)
 
 
 def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str, str, float]:
@@ -207,8 +334,11 @@ def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str,
                 places.append(int(np.searchsorted(starts, m.start())))
                 base.add(label)
     best = {label: 0.6 for label in base}
-    for _, _, rule in detections(raw):
-        best[rule.label] = max(best.get(rule.label, 0), rule.weight)
+    for start, _, rule in detections(raw):
+        weight = WEIGHTS[rule.kind]
+        if weight < 1 and GRANT.search(raw, max(0, start - BEFORE), start):
+            weight = 1.0
+        best[rule.label] = max(best.get(rule.label, 0), weight)
     score = 1 - float(np.prod([1 - w for w in best.values()])) if best else 0.0
     first, last = (min(places), max(places)) if places else (None, None)
     return len(starts), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(best)), min(1.0, max(0.0, score))
