@@ -738,22 +738,62 @@ def test_merkle(docs, odd, clashing, odd_rows, make):
     assert only.near_next == 1.0
 
 
-def test_merkle_roots_and_branches(spark):
-    text = "".join(f"Paragraph number {i}.\n" for i in range(200))
-    edited = text.replace("number 120.", "number one hundred twenty.")
-    df = spark.createDataFrame([(text, edited, text)], "a string, b string, c string")
-    for c in "abc":
-        df = merkle.with_fingerprint(df, c, f"f{c}")
-    df = merkle.with_likeness(merkle.with_likeness(df, "fa", "fb", "x"), "fa", "fc", "y")
-    r = df.withColumn("at", merkle.differing_sections(F.col("fa"), F.col("fb"))).first()
-    assert r.fa == r.fc and r.fa != r.fb and r.y == 1.0 and 0.99 < r.x < 1.0 and len(r["at"]) == 1
-
-
-def test_merkle_likeness_counts_repeats_and_order(spark):
+def slow_tree(text):
+    """Sections of paragraphs of sentences."""
+    lines, sections = [x for x in re.split("(?<=\n)", text) if x], []
+    for i, line in enumerate(lines):
+        blank = i > 0 and not lines[i - 1].strip(" \t\r\n") and line.strip(" \t\r\n")
+        if not sections or (blank and i > 1) or re.match("#{1,6} ", line):
+            sections.append([])
+        sections[-1].append([x for x in re.findall(r"[^.!?|]{0,200}[.!?|]*[ \t\n\x0b\f\r]*", line) if x])
+    return sections
+
+
+def slow_likeness(a, b):
+    x, y = (Counter(leaf for s in slow_tree(t) for p in s for leaf in p) for t in (a, b))
+    if a == b:
+        return 1.0, None
+    both, most = sum((x & y).values()), max(x.total(), y.total())
+    pa, pb = ([tuple(p) for s in slow_tree(t) for p in s] for t in (a, b))
+    first = next((i for i, (p, q) in enumerate(zip(pa, pb, strict=False)) if p != q), min(len(pa), len(pb)))
+    return both / (most + 1 if both == most else most), first
+
+
+def test_merkle_against_brute_force(spark):
+    rng, pairs = random.Random(7), []
+    bits = ["One. ", "Two!", "Three", "\n", "\n\n", " \n", "# Head\n", "x" * 450, "é? ", "a|b|", "Four. Five.\n", "\n\n\n"]
+    for _ in range(250):
+        a = [rng.choice(bits) for _ in range(rng.randint(0, 14))]
+        b = [x for x in a if rng.random() < 0.9] + ([rng.choice(bits)] if rng.random() < 0.5 else [])
+        pairs.append(("".join(a), "".join(b if rng.random() < 0.8 else rng.sample(a, len(a)))))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for c in "ab":
+        df = merkle.with_tree(df, c, f"t{c}")
+    for r in merkle.with_likeness(df, "ta", "tb", "x", "at").withColumn("text", merkle.fingerprint_text(F.col("ta"))).collect():
+        want, first = slow_likeness(r.a, r.b)
+        assert r.x == pytest.approx(want), (r.a, r.b)
+        assert [[len(p) for p in s] for s in r.ta.sections] == [[len(p) for p in s] for s in slow_tree(r.a)], r.a
+        assert (r.ta.root == r.tb.root) == (r.a == r.b) and (r["at"] is None) == (r.a == r.b)
+        shape = [[len(p) // 16 for p in s.split(",")] for s in r.text.split("|")[1].split("/")] if r.a else []
+        assert shape == [[len(p) for p in s] for s in r.ta.sections]
+        if r["at"] is not None:
+            sections = slow_tree(r.a)
+            assert r["at"].section <= len(sections) and sum(map(len, sections[: r["at"].section])) <= r["at"].paragraph >= first - 1
+
+
+def test_merkle_places_and_repeats(spark):
+    text = "".join(f"Paragraph number {i}. It goes on.\n" + ("\n" if i % 10 == 9 else "") for i in range(200))
+    edited = text.replace("number 124.", "number one hundred twenty-four.")
+    df = spark.createDataFrame([(text, edited)], "a string, b string")
+    for c in "ab":
+        df = merkle.with_tree(df, c, f"t{c}")
+    r = merkle.with_likeness(df, "ta", "tb", "x", "at").first()
+    assert len(r.ta.sections) == 20 and 0.99 < r.x < 1.0
+    assert (r["at"].section, r["at"].paragraph, r["at"].paragraphs) == (12, 124 + 12, 1)
     line, new = "The same line.\n", "".join(f"New sentence {i}.\n" for i in range(100))
     pairs = [(line * 400, line * 300 + new, 0.75), (line * 5, line * 5000, 0.001), ("One.\nTwo.\nThree.\n", "Three.\nOne.\nTwo.\n", 0.75), (line, line, 1.0), ("", "", 1.0), ("", line, 0.0)]
     df = spark.createDataFrame(pairs, "a string, b string, want double")
     for c in "ab":
-        df = merkle.with_fingerprint(df, c, f"f{c}")
-    for r in merkle.with_likeness(merkle.with_likeness(df, "fa", "fb", "x"), "fb", "fa", "y").collect():
+        df = merkle.with_tree(df, c, f"t{c}")
+    for r in merkle.with_likeness(merkle.with_likeness(df, "ta", "tb", "x"), "tb", "ta", "y").collect():
         assert r.x == r.y == pytest.approx(r.want)

@@ -2,54 +2,84 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.llm.common import checkpointed
 
-#: A paragraph ends at a line end, a sentence end or a cell border, or after this many characters.
-PARAGRAPH = r"[^.!?|\n]{0,200}[.!?|\n]*"
-#: A section ends after each paragraph whose digest is divisible by this: edits move no border but their own.
-SECTION = 8
-#: Parts of the fingerprint: root, then sections; a section is its paragraphs' digests of 8 hex digits.
-ROOT_SEP, SECTION_SEP = "|", "/"
+#: A section ends where blank lines end and before a heading line, a paragraph at a line end, a sentence (the leaves of the
+#: tree) after its marks and the blanks behind them, or after this many characters.
+SECTION = r"(?<=\n[ \t\r]{0,16}\n)(?![ \t\r]*\n)|(?<=\n)(?=#{1,6} )"
+PARAGRAPH = r"(?<=\n)"
+SENTENCE = r"[^.!?|]{0,200}[.!?|]*\s*"
+#: Parts of the written fingerprint: root, then sections, then paragraphs, which are their sentences' digests.
+ROOT_SEP, SECTION_SEP, PARAGRAPH_SEP = "|", "/", ","
 
 
 def _hex16(h: Column) -> Column:
     return F.lower(F.lpad(F.hex(h), 16, "0"))
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """``df`` with the fingerprint ``root|section/section/...`` of its non-null column ``text``.
-
-    The leaves are the digests of the paragraphs, a section's digest is that of its leaves, and the root (16 hex
-    digits) is that of the sections' digests and the full 64-bit leaves in order. The text without characters has no
-    section. Equal texts have equal fingerprints, and equal roots mean equal texts, but for collisions of 64-bit hashes.
-    """
+def _paragraph(leaves: Column) -> Column:
+    return F.xxhash64(leaves)
 
-    def leaf(h: Column) -> Column:
-        short = F.lower(F.lpad(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
-        return F.concat(short, F.when(F.pmod(h, F.lit(SECTION)) == 0, F.lit(SECTION_SEP)).otherwise(F.lit("")))
 
-    paragraphs = F.filter(F.regexp_extract_all(F.col(text), F.lit(PARAGRAPH), F.lit(0)), lambda p: p != "")
-    out = df.withColumn("_leaves", F.transform(paragraphs, lambda p: F.xxhash64(p)))
-    out = out.withColumn("_body", F.rtrim(F.array_join(F.transform("_leaves", leaf), ""), F.lit(SECTION_SEP)))
-    digests = F.transform(F.split("_body", SECTION_SEP), lambda s: _hex16(F.xxhash64(s)))
-    root = _hex16(F.xxhash64(F.array_join(digests, ""), F.col("_leaves")))
-    return out.withColumn(name, F.concat(root, F.lit(ROOT_SEP), F.col("_body"))).drop("_leaves", "_body")
+def _section(paragraphs: Column) -> Column:
+    return F.xxhash64(F.transform(paragraphs, _paragraph))
 
 
-def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
-    """``df`` with the likeness, 0 to 1, of its fingerprint columns ``a`` and ``b``.
+def with_tree(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` with the Merkle tree of its non-null column ``text``: struct(root, sections).
 
-    Equal roots give 1, and only they. Else it is the share of the larger tree's paragraphs that both hold, each as often
-    as both do; trees of the same n paragraphs in another order have n / (n + 1), as if the root were one more. Two
-    empty trees are equal.
+    Sections hold paragraphs, these the 64-bit digests of their sentences. A paragraph's digest is that of its
+    sentences', a section's that of its paragraphs' digests, the root that of the sections' digests and of nothing else,
+    so any branch can be checked by itself. The text without characters has no section. Equal texts have equal roots, and
+    equal roots mean equal texts, but for collisions of 64-bit hashes.
+    """
+    some = lambda parts: F.filter(parts, lambda p: p != "")
+    sentences = lambda p: F.transform(some(F.regexp_extract_all(p, F.lit(SENTENCE), F.lit(0))), lambda x: F.xxhash64(x))
+    paragraphs = lambda s: F.transform(some(F.split(s, PARAGRAPH)), sentences)
+    out = df.withColumn("_sections", F.transform(some(F.split(F.col(text), SECTION)), paragraphs))
+    return out.withColumn(name, F.struct(F.xxhash64(F.transform("_sections", _section)).alias("root"), F.col("_sections").alias("sections"))).drop("_sections")
+
+
+def fingerprint_text(tree: Column) -> Column:
+    """``root|section/section/...`` of a tree; a section is its paragraphs, joined by commas, of 16 hex digits a sentence."""
+    paragraph = lambda p: F.array_join(F.transform(p, _hex16), "")
+    section = lambda s: F.array_join(F.transform(s, paragraph), PARAGRAPH_SEP)
+    return F.concat(_hex16(tree["root"]), F.lit(ROOT_SEP), F.array_join(F.transform(tree["sections"], section), SECTION_SEP))
+
+
+def _split_equal(df: DataFrame, a: str, b: str, digest: Callable[[Column], Column], front: str, back: str) -> DataFrame:
+    """``df`` with the arrays ``a`` and ``b`` cut to the range in which the ``digest`` of their elements differ, and with the
+    numbers of equal elements before (``front``) and after it (``back``)."""
+    same = lambda x, y: F.zip_with(x, y, lambda p, q: p.isNotNull() & q.isNotNull() & (p == q))
+    run = lambda x, y: F.when(F.array_position(same(x, y), False) > 0, F.array_position(same(x, y), False) - 1).otherwise(F.size(x))
+    out = df.withColumn("_da", F.transform(a, digest)).withColumn("_db", F.transform(b, digest))
+    out = out.withColumn(front, run(F.col("_da"), F.col("_db")).cast("int"))
+    rest = lambda x: F.reverse(F.slice(x, F.col(front) + 1, F.size(x)))
+    out = out.withColumn("_ra", rest("_da")).withColumn("_rb", rest("_db")).withColumn(back, run(F.col("_ra"), F.col("_rb")).cast("int"))
+    middle = lambda x: F.slice(x, F.col(front) + 1, F.greatest(F.lit(0), F.size(x) - F.col(front) - F.col(back)))
+    return out.withColumn(a, middle(a)).withColumn(b, middle(b)).drop("_da", "_db", "_ra", "_rb")
+
+
+def with_likeness(df: DataFrame, a: str, b: str, name: str, where: str | None = None) -> DataFrame:
+    """``df`` with the likeness, 0 to 1, of its tree columns ``a`` and ``b``, and in ``where`` the place of the edit.
+
+    Both trees are descended where digests differ: equal sections at either end are left out, then equal paragraphs at
+    either end of what remains, then equal sentences; the sentences left are compared as often as both hold each. Equal
+    roots give 1, and only they. Else the likeness is the share of the larger tree's sentences that both hold; trees of
+    the same n sentences in another order have n / (n + 1), as if the root were one more. Two empty trees are equal.
+
+    ``where`` is struct(section, paragraph, paragraphs): the section of ``a`` in which it begins to differ from ``b``, the
+    first paragraph to differ (counted in all of ``a``) and how many paragraphs of ``a`` differ from there on; null for equal
+    trees. All count from 0.
     """
 
-    def leaves(f: str, side: int) -> Column:
-        found = F.regexp_extract_all(F.substring_index(f, ROOT_SEP, -1), F.lit("[0-9a-f]{8}"), F.lit(0))
-        return F.transform(found, lambda x: F.struct(x.alias("x"), F.lit(side).alias("side")))
+    def tagged(leaves: str, side: int) -> Column:
+        return F.transform(leaves, lambda x: F.struct(x.alias("x"), F.lit(side).alias("side")))
 
     def step(acc: Column, leaf: Column) -> Column:
         # of a run of equal leaves, first those of a, then those of b: each of b takes one of a that is left
@@ -57,20 +87,25 @@ def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
         taken = (leaf["side"] == 1) & (left > 0)
         return F.struct(leaf["x"].alias("x"), F.when(leaf["side"] == 0, left + 1).when(taken, left - 1).otherwise(left).alias("left"), (acc["both"] + taken.cast("int")).alias("both"))
 
-    start = F.struct(F.lit("").alias("x"), F.lit(0).alias("left"), F.lit(0).alias("both"))
-    out = df.withColumn("_a", leaves(a, 0)).withColumn("_b", leaves(b, 1))
-    out = out.withColumn("_both", F.aggregate(F.sort_array(F.concat("_a", "_b")), start, step, lambda acc: acc["both"]))
-    most = F.greatest(F.size("_a"), F.size("_b"))
-    equal = F.substring_index(a, ROOT_SEP, 1) == F.substring_index(b, ROOT_SEP, 1)
+    leaves = lambda c: F.aggregate(F.flatten(F.col(c)["sections"]), F.lit(0), lambda n, p: n + F.size(p))
+    equal = F.col(a)["root"] == F.col(b)["root"]
+    part = lambda c: F.when(equal, F.array().cast("array<array<array<bigint>>>")).otherwise(F.col(c)["sections"])
+    out = df.withColumn("_na", leaves(a)).withColumn("_nb", leaves(b)).withColumn("_a", part(a)).withColumn("_b", part(b))
+    out = _split_equal(out, "_a", "_b", _section, "_s", "_")
+    out = out.withColumn("_a", F.flatten("_a")).withColumn("_b", F.flatten("_b"))
+    out = _split_equal(out, "_a", "_b", _paragraph, "_p", "_").withColumn("_differ", F.size("_a"))
+    out = out.withColumn("_a", F.flatten("_a")).withColumn("_b", F.flatten("_b"))
+    out = _split_equal(out, "_a", "_b", lambda x: x, "_l", "_")
+    start = F.struct(F.lit(0).cast("long").alias("x"), F.lit(0).alias("left"), F.lit(0).alias("both"))
+    out = out.withColumn("_both", F.aggregate(F.sort_array(F.concat(tagged("_a", 0), tagged("_b", 1))), start, step, lambda acc: acc["both"]) + F.col("_na") - F.size("_a"))
+    most = F.greatest("_na", "_nb")
     value = F.when(equal, F.lit(1.0)).otherwise(F.col("_both").cast("double") / F.when(F.col("_both") == most, most + 1).otherwise(most))
-    return out.withColumn(name, value).drop("_a", "_b", "_both")
-
-
-def differing_sections(a: Column, b: Column) -> Column:
-    """Indices (from 0) of the sections of ``a`` that ``b`` does not hold: where the edits are."""
-    left, right = F.split(F.substring_index(a, ROOT_SEP, -1), SECTION_SEP), F.split(F.substring_index(b, ROOT_SEP, -1), SECTION_SEP)
-    marks = F.transform(left, lambda s, i: F.when(F.array_contains(right, s), F.lit(-1)).otherwise(i))
-    return F.filter(marks, lambda i: i >= 0)
+    out = out.withColumn(name, value)
+    if where:
+        before = F.aggregate(F.slice(F.col(a)["sections"], F.lit(1), F.col("_s")), F.lit(0), lambda n, s: n + F.size(s))
+        place = F.struct(F.col("_s").alias("section"), (before + F.col("_p")).alias("paragraph"), F.col("_differ").alias("paragraphs"))
+        out = out.withColumn(where, F.when(~equal, place))
+    return out.drop("_na", "_nb", "_a", "_b", "_s", "_p", "_l", "_", "_differ", "_both")
 
 
 def followers(keys: DataFrame) -> DataFrame:
@@ -97,7 +132,8 @@ def followers(keys: DataFrame) -> DataFrame:
 
 
 def fingerprints_and_edits(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_doc_id) for each row.
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_doc_id, edit) for each row;
+    edit is the place (section, paragraph, paragraphs) where the edited text differs, null where it does not.
 
     The edit replaces the last floor(n_chars / 4) code points by the first as many (or all) of the next document's.
     The next document is the next by (doc_id with null first, hash of the text), after the last the first; repeated
@@ -112,7 +148,7 @@ def fingerprints_and_edits(docs: DataFrame) -> DataFrame:
     key = lambda i, h: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("null")), h.cast("string"))
     order = followers(rows.select("doc_id", "h", "n").distinct())
     order = order.select(key(F.col("doc_id"), F.col("h")).alias("key"), key(F.col("prev_id"), F.col("prev_h")).alias("prev"), "prev_n")
-    full = with_fingerprint(rows.withColumn("key", key(F.col("doc_id"), F.col("h"))), "text", "fingerprint").drop("h")
+    full = with_tree(rows.withColumn("key", key(F.col("doc_id"), F.col("h"))), "text", "tree").drop("h")
     # a running count, as a rank would be cut before the shuffle; all columns are used on both sides, so that the
     # shuffle of the texts is one and is read twice
     running = Window.partitionBy("key").orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -120,12 +156,13 @@ def fingerprints_and_edits(docs: DataFrame) -> DataFrame:
     given = once.join(order, "key").select(
         F.col("prev").alias("key"),
         F.expr("substring(text, 1, cast(least(n, prev_n div 4) as int))").alias("start"),
-        F.col("fingerprint").alias("next_fingerprint"),
+        F.col("tree").alias("next_tree"),
         F.col("doc_id").alias("next_doc_id"),
     )
     edited = F.concat(F.expr("substring(text, 1, cast(n - n div 4 as int))"), F.col("start"))
     both = full.join(given, "key").withColumn("edited", edited).drop("text", "start")
-    out = with_fingerprint(both, "edited", "edited_fingerprint").withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    out = with_likeness(out, "fingerprint", "edited_fingerprint", "near_edited")
-    out = with_likeness(out, "fingerprint", "next_fingerprint", "near_next")
-    return out.select("doc_id", F.col("n").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "next_doc_id")
+    out = with_tree(both, "edited", "edited_tree").withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    out = with_likeness(out, "tree", "edited_tree", "near_edited", "edit")
+    out = with_likeness(out, "tree", "next_tree", "near_next")
+    written = [fingerprint_text(F.col("tree")).alias("fingerprint"), fingerprint_text(F.col("edited_tree")).alias("edited_fingerprint")]
+    return out.select("doc_id", F.col("n").alias("n_chars"), "edited_sha256", *written, "near_edited", "near_next", "next_doc_id", "edit")
