@@ -323,21 +323,62 @@ def test_url_rules(spark):
     assert urls.judged_urls(pages.limit(0)).count() == 0
 
 
-def test_url_model(spark):
-    counts = np.zeros(urls.CELLS)
-    for u in ("x://abab/1", "x://abac/2"):
-        np.add.at(counts, urls.cells(u), 1)
-    p = np.exp(urls.log_probabilities(counts)).reshape(-1, urls.SYMBOLS)
-    assert np.allclose(p.sum(axis=1), 1)
-    good = [(f"http://g{i}.com/news/{i}", 1) for i in range(60)]
-    bad = [(f"http://win-{i}.biz/casino/{i}", 0) for i in range(60)]
-    rows = spark.createDataFrame(good + bad, "url string, kind int")
-    d = urls.train(rows)
-    least = urls.calibrate(urls.with_ratio(rows, d))
-    assert urls.ratio("http://h.com/news/7", d) >= least > urls.ratio("http://bet-7.biz/casino/8", d)
+def symbols(url):
+    return [0] * urls.ORDER + [int(urls._TABLE[b]) for b in url.split("://", 1)[-1].encode()]
+
+
+def slow_probability(counts, context, x):
+    """Witten-Bell over dictionaries: counts[context][symbol], contexts as tuples."""
+    lower = 1 / urls.SYMBOLS if not context else slow_probability(counts, context[1:], x)
+    if context == () or context in counts:
+        own = counts[context]
+        return (own[x] + len(own) * lower) / (sum(own.values()) + len(own)) if own else lower
+    return lower
+
+
+def slow_ratio(good, bad, url):
+    models = []
+    for some in (good, bad):
+        counts = defaultdict(Counter)
+        for u in some:
+            c = symbols(u)
+            for i in range(urls.ORDER, len(c)):
+                for k in range(urls.ORDER + 1):
+                    counts[tuple(c[i - k : i])][c[i]] += 1
+        models.append(counts)
+    c = symbols(url)
+    logs = [np.log(slow_probability(models[0], tuple(c[i - urls.ORDER : i]), c[i])) - np.log(slow_probability(models[1], tuple(c[i - urls.ORDER : i]), c[i])) for i in range(urls.ORDER, len(c))]
+    return float(np.mean(logs)) if logs else 0.0
+
+
+@pytest.mark.parametrize("most", [200_000, 3])
+def test_url_model_against_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr("tracewright.llm.common.BROADCAST_ROWS", most)
+    good = [f"http://g{i}.com/news/{i}" for i in range(40)] + ["http://é.com/%20?a=b&c"]
+    bad = [f"http://win-{i}.biz/casino/{i}" for i in range(40)] * 2
+    new = ["http://h.com/news/7", "http://bet-7.biz/casino/8", "x", "", "http://"]
+    rows = spark.createDataFrame([(u, 1) for u in good] + [(u, 0) for u in bad] + [(u, None) for u in [*new, None]], "url string, kind int")
+    model = urls.train(rows.where("url IS NOT NULL"))
+    got = {r.url: r.ratio for r in urls.with_ratio(rows, model).collect()}
+    for u in [*new, good[3], bad[5], good[-1]]:
+        assert got[u] == pytest.approx(slow_ratio(good, bad, u), abs=1e-5), u
+    assert got[None] is None and got[new[0]] > 0 > got[new[1]]
+    least = urls.calibrate(urls.with_ratio(rows, model).where("kind IS NOT NULL"))
+    assert got[new[0]] >= least > got[new[1]]
     assert urls.train(rows.where("kind = 1")) is None
 
 
+def test_undecided_urls_follow_the_held_back_threshold(spark):
+    some = [f"http://www.site{i}.com/docs/{i}" for i in range(120)] + [f"http://shop{i}.net/es/oferta/{i}" for i in range(120)] + ["http://a.org/docs/1", "http://b.org/oferta/es/2"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(some)], "page_id long, url string")
+    rows = {r.page_id: r for r in urls.judged_urls(pages).collect()}
+    kinds = {i: 1 if i < 120 else 0 for i in range(240)}
+    held = [i for i in kinds if spark.sql(f"SELECT pmod(xxhash64('{some[i]}'), {urls.CALIBRATE}) h").first().h == 0]
+    good, bad = ([some[i] for i in kinds if kinds[i] == k and i not in held] for k in (1, 0))
+    assert held and all(rows[i].ratio == pytest.approx(slow_ratio(good, bad, some[i]), abs=1e-5) for i in (held[0], 240, 241))
+    assert rows[240].verdict == "allow" and rows[241].verdict == "block" and rows[240].rule is None
+
+
 # ---- 4 and 8
 
 

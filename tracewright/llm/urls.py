@@ -9,18 +9,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import ascii_lower, checkpointed, prepare
+from tracewright.llm.common import ascii_lower, broadcast_if_small, checkpointed, join_hot, prepare
 
 # The rules, as (verdict, host and path).
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 
-#: 32 symbols: the letters of either case, five marks that urls are made of, a digit, and 0 for anything else.
-SYMBOLS, MARKS = 32, "/.-_"
-DIGIT = 31
-#: Longest context in characters; the counts are a dense array of SYMBOLS ** (ORDER + 1) cells, whatever the input.
-ORDER = 3
-#: Bins of the calibration histogram over length-normalised differences, which reach from -SPAN to SPAN.
-CELLS, BINS, SPAN = SYMBOLS ** (ORDER + 1), 400, 4.0
+#: 64 symbols: 0 before a url's first character, letters of either case, digits, these marks, then any other ASCII
+#: character and any other byte.
+MARKS = "/.-_%?=&~:+,;@#!$'()*[]| "
+BITS = 6
+SYMBOLS = 1 << BITS
+#: Longest context in characters, and the order of the part of the model that is a dense array (SYMBOLS ** (BASE + 1) cells);
+#: longer contexts are a table with a row for each that occurs, so the model grows with the urls.
+ORDER, BASE = 8, 2
+#: Decided urls whose hash leaves 0 modulo this calibrate the threshold; the others teach.
+CALIBRATE = 4
+#: Bins of the calibration histogram over length-normalised differences, which reach from -SPAN to SPAN; a difference is
+#: kept as a whole number of parts, so that sums do not depend on their order.
+BINS, SPAN, PARTS = 400, 4.0, 1 << 20
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -40,91 +46,141 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RUL
     return out
 
 
-def codes(url: str) -> np.ndarray:
-    """Symbol of each byte of the url after its scheme."""
-    raw = url.split("://", 1)[-1].encode("utf-8", "replace").lower()
-    return _TABLE[np.frombuffer(raw, np.uint8)]
-
-
 def _table() -> np.ndarray:
-    out = np.zeros(256, np.int64)
-    for i in range(26):
-        out[ord("a") + i] = i + 1
-    for i, c in enumerate(MARKS):
-        out[ord(c)] = 27 + i
-    out[ord("0") : ord("9") + 1] = DIGIT
+    out = np.full(256, SYMBOLS - 1, np.int64)
+    out[:128] = SYMBOLS - 2
+    for i, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789" + MARKS):
+        out[ord(c)] = out[ord(c.upper())] = i + 1
     return out
 
 
 _TABLE = _table()
 
 
-def cells(url: str) -> np.ndarray:
-    """Cell of each character with its ORDER predecessors; before the url stands symbol 0."""
-    c = np.concatenate([np.zeros(ORDER, np.int64), codes(url)])
+def windows(url: str) -> np.ndarray:
+    """For each character of the url after its scheme: its symbol in the lowest bits, above it the ORDER symbols before it."""
+    raw = url.split("://", 1)[-1].encode("utf-8", "replace")
+    c = np.concatenate([np.zeros(ORDER, np.int64), _TABLE[np.frombuffer(raw, np.uint8)]])
     out = c[ORDER:].copy()
     for k in range(1, ORDER + 1):
-        out += c[ORDER - k : len(c) - k] * SYMBOLS**k
+        out |= c[ORDER - k : len(c) - k] << (BITS * k)
     return out
 
 
-def log_probabilities(counts: np.ndarray) -> np.ndarray:
-    """ln P(character | ORDER predecessors) of each cell: Witten-Bell smoothing from the longest context seen down.
+def _lower(w: np.ndarray, order: int) -> np.ndarray:
+    """The windows with no more than ``order`` symbols of context."""
+    return w & ((1 << BITS * (order + 1)) - 1)
 
-    A context's own counts and its shorter context are mixed by its number of different followers, so that a context
-    never seen falls back to the next shorter one: the order varies with the evidence.
-    """
+
+def _mix(total: np.ndarray, kinds: np.ndarray, n: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Witten-Bell: a context's own counts and the shorter context's estimate, mixed by its number of different followers.
+    A context never seen falls back to the shorter one: the order varies with the evidence."""
+    return np.where(total > 0, (n + kinds * lower) / np.maximum(total + kinds, 1), lower)
+
+
+def base_probabilities(counts: np.ndarray) -> np.ndarray:
+    """P(symbol | up to BASE symbols before it) of each cell, a window of order BASE."""
     p = np.full(SYMBOLS, 1 / SYMBOLS)
-    for order in range(ORDER + 1):
+    for order in range(BASE + 1):
         n = counts.reshape(-1, SYMBOLS ** (order + 1)).sum(axis=0).reshape(-1, SYMBOLS).astype(float)
-        total, kinds = n.sum(axis=1, keepdims=True), (n > 0).sum(axis=1, keepdims=True)
         lower = p if order == 0 else np.tile(p.reshape(-1, SYMBOLS), (SYMBOLS, 1))
-        lower = np.broadcast_to(lower, n.shape)
-        p = np.where(total > 0, (n + kinds * lower) / np.maximum(total + kinds, 1), lower)
-    return np.log(p).ravel()
+        p = _mix(n.sum(axis=1, keepdims=True), (n > 0).sum(axis=1, keepdims=True), n, np.broadcast_to(lower, n.shape))
+    return p.ravel()
 
 
-def train(rows: DataFrame) -> np.ndarray | None:
-    """Per cell ln P(accepted) - ln P(rejected) from all rows (url, kind: 1 accepted, 0 rejected); null without both kinds.
+def probabilities(w: np.ndarray, n: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """P(symbol | up to ORDER symbols before it) of each distinct window ``w`` with count ``n``.
 
-    Each task counts its own urls; the counts of all tasks meet by cell. At most CELLS rows come to the driver.
+    All windows whose contexts end in the same BASE + 1 symbols must be there.
     """
+    p = base[_lower(w, BASE)]
+    for order in range(BASE + 1, ORDER + 1):
+        gram, of_gram = np.unique(_lower(w, order), return_inverse=True)
+        held = np.bincount(of_gram, n, len(gram))
+        context, of_context = np.unique(gram >> BITS, return_inverse=True)
+        total = np.bincount(of_context, held, len(context))[of_context]
+        kinds = np.bincount(of_context, held > 0, len(context))[of_context]
+        p = _mix(total[of_gram], kinds[of_gram], held[of_gram], p)
+    return p
+
+
+def counted_windows(rows: DataFrame) -> DataFrame:
+    """(w, rejected, accepted) of each window that occurs in ``rows`` (url, kind: 1 accepted, 0 rejected, null neither)."""
     prepare(rows.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros((2, CELLS), np.int64)
         for batch in batches:
-            for kind in (0, 1):
-                found = [cells(u) for u in batch["url"][batch["kind"] == kind]]
-                if found:
-                    counts[kind] += np.bincount(np.concatenate(found), minlength=CELLS)
-        seen = np.flatnonzero(counts.any(axis=0))
-        yield pd.DataFrame({"cell": seen, "rejected": counts[0, seen], "accepted": counts[1, seen]})
-
-    got = rows.mapInPandas(run, "cell long, rejected long, accepted long").groupBy("cell").agg(F.sum("rejected").alias("r"), F.sum("accepted").alias("a")).toPandas()
-    counts = np.zeros((2, CELLS))
-    counts[:, got["cell"].to_numpy(np.int64)] = got[["r", "a"]].to_numpy(float).T
-    if not counts.any(axis=1).all():
+            found = [windows(u) for u in batch["url"]]
+            if not found:
+                continue
+            kind = np.repeat(batch["kind"].fillna(-1).to_numpy(np.int64), [len(f) for f in found])
+            w, of = np.unique(np.concatenate(found), return_inverse=True)
+            yield pd.DataFrame({"w": w, "r": np.bincount(of, kind == 0, len(w)).astype(np.int64), "a": np.bincount(of, kind == 1, len(w)).astype(np.int64)})
+
+    return rows.mapInPandas(run, "w long, r long, a long").groupBy("w").agg(F.sum("r").alias("rejected"), F.sum("a").alias("accepted"))
+
+
+def train(rows: DataFrame) -> DataFrame | None:
+    """(w, difference) of each window in ``rows`` (url, kind): ln P(accepted) - ln P(rejected), in PARTS; null without both kinds.
+
+    The counts are one table. Its part of order BASE, SYMBOLS ** (BASE + 1) cells at most, is an array; the longer
+    contexts are dealt by their last BASE + 1 symbols, and each task works out its own.
+    """
+    spark = rows.sparkSession
+    counts = checkpointed(counted_windows(rows))
+    cells = counts.groupBy(F.col("w").bitwiseAND(F.lit(SYMBOLS ** (BASE + 1) - 1)).alias("cell")).agg(F.sum("rejected").alias("r"), F.sum("accepted").alias("a")).toPandas()
+    dense = np.zeros((2, SYMBOLS ** (BASE + 1)))
+    dense[:, cells["cell"].to_numpy(np.int64)] = cells[["r", "a"]].to_numpy(float).T
+    if not dense.any(axis=1).all():
         return None
-    return (log_probabilities(counts[1]) - log_probabilities(counts[0])).astype(np.float32)
+    shared = spark.sparkContext.broadcast([base_probabilities(d) for d in dense])  # 4 MB, whatever the input
+
+    def worked(part: pd.DataFrame) -> pd.DataFrame:
+        w = part["w"].to_numpy(np.int64)
+        r, a = (probabilities(w, part[k].to_numpy(float), base) for k, base in zip(("rejected", "accepted"), shared.value, strict=True))
+        return pd.DataFrame({"w": w, "difference": np.rint((np.log(a) - np.log(r)) * PARTS).astype(np.int64)})
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # windows of the last context, of which the next batch may have more
+        for batch in batches:
+            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            last = int(np.searchsorted(held["context"].to_numpy(), held["context"].iloc[-1])) if len(held) else 0
+            if last:
+                yield worked(held.iloc[:last])
+                held = held.iloc[last:]
+        if held is not None and len(held):
+            yield worked(held)
 
-def ratio(url: str, difference: np.ndarray) -> float:
-    """Log-likelihood difference per character; 0 for an empty url."""
-    at = cells(url)
-    return float(difference[at].mean()) if len(at) else 0.0
+    context = F.shiftright("w", BITS).bitwiseAND(F.lit(SYMBOLS ** (BASE + 1) - 1))
+    dealt = counts.withColumn("context", context).repartition("context").sortWithinPartitions("context")
+    return checkpointed(dealt.mapInPandas(run, "w long, difference long"))
 
 
-def with_ratio(rows: DataFrame, difference: np.ndarray) -> DataFrame:
-    """``rows`` plus ratio of the column url (null for null)."""
+def with_ratio(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """``rows`` plus ratio of the column url: the mean difference of its characters (0 without any; null for null).
+
+    Each distinct url is scored once. Its windows are joined to the model, which is broadcast if small; windows that very
+    many urls hold are joined by broadcast in any case.
+    """
     prepare(rows.sparkSession)
-    shared = rows.sparkSession.sparkContext.broadcast(difference)  # CELLS floats: 4 MB, whatever the input
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(ratio=[None if u is None else ratio(u, shared.value) for u in batch["url"]])
-
-    return rows.mapInPandas(run, rows.withColumn("ratio", F.lit(None).cast("double")).schema)
+            yield batch[["_uid"]].assign(ws=[windows(u) for u in batch["url"]])
+
+    keyed = rows.withColumn("_uid", F.xxhash64("url"))
+    texts = keyed.where(F.col("url").isNotNull()).groupBy("_uid").agg(F.first("url").alias("url"))
+    held = texts.mapInPandas(run, "_uid long, ws array<long>").select("_uid", F.explode("ws").alias("w"))
+    small = broadcast_if_small(model)
+    if small is model:
+        held = checkpointed(held)
+        counts = checkpointed(held.groupBy("w").agg(F.count("*").alias("n")))
+        both = join_hot(held, model, "w", counts, held.count())
+    else:
+        both = held.join(small, "w")
+    means = both.groupBy("_uid").agg((F.sum("difference") / F.count("*") / PARTS).alias("_mean"))
+    scored = keyed.join(means, "_uid", "left")
+    return scored.withColumn("ratio", F.when(F.col("url").isNotNull(), F.coalesce("_mean", F.lit(0.0)))).drop("_uid", "_mean")
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -142,9 +198,10 @@ def calibrate(scored: DataFrame) -> float:
 def judged_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, ratio) for each row of ``pages``.
 
-    Urls that a rule decides teach the two models; all urls are scored by them, and the score decides where no rule
-    does. Null urls, and all undecided ones where the rules decide no url of one kind, are allowed. Repeated rows each
-    come back; an empty table gives an empty result; other columns are not looked at.
+    Of the urls that a rule decides some teach the two models and the others, chosen by a hash, calibrate the threshold.
+    All urls are scored, and the score decides where no rule does. Null urls, and all undecided ones where the rules
+    decide no url of one kind, are allowed, as there is nothing to hold against them. Repeated rows each come back; an
+    empty table gives an empty result; other columns are not looked at.
     """
     url = F.col("url")
     host, path = host_and_path(url)
@@ -152,14 +209,15 @@ def judged_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) ->
     rows = rows.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     allowed = F.col("rule").isin([r for v, r in rules if v == "allow"])
     rows = rows.withColumn("kind", F.when(F.col("rule").isNotNull(), allowed.cast("int")))
-    # one entry for each distinct url is enough evidence of a kind, but every row is counted: copies are part of the corpus
-    taught = rows.where("kind IS NOT NULL AND url IS NOT NULL").select("url", "kind")
-    difference = train(taught)
-    if difference is None:
+    # copies count as often as they come, and stay on one side of the calibration as they have one hash
+    held_back = F.pmod(F.xxhash64("url"), F.lit(CALIBRATE)) == 0
+    some = rows.where("url IS NOT NULL")
+    model = train(some.select("url", F.when(~held_back, F.col("kind")).alias("kind")))
+    if model is None:
         scored, least = rows.withColumn("ratio", F.lit(None).cast("double")), 0.0
     else:
-        scored = checkpointed(with_ratio(rows, difference))
-        least = calibrate(scored.where("kind IS NOT NULL AND ratio IS NOT NULL"))
+        scored = checkpointed(with_ratio(rows, model))
+        least = calibrate(scored.where(F.col("kind").isNotNull() & F.col("ratio").isNotNull() & held_back))
     method = F.when(F.coalesce(F.col("ratio") >= least, F.lit(True)), F.lit("allow")).otherwise(F.lit("block"))
     verdict = F.when(F.col("kind") == 1, F.lit("allow")).when(F.col("kind") == 0, F.lit("block")).otherwise(method)
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "ratio")
