@@ -273,7 +273,7 @@ def linked_components(shared: DataFrame, nodes: DataFrame, sets: DataFrame, over
     of_itself = counted.select("home").distinct().join(nodes.select(F.col("fp").alias("home"), F.col("size").alias("in")), "home").select("home", F.col("home").alias("fp"), "in")
     popular = counted.groupBy("home").agg(F.count("*").alias("_texts"))
     own = texts.select(F.col("fp").alias("home"), (F.col("known") - F.col("core")).alias("_rare"))
-    homes = counted.unionAll(of_itself).join(popular.join(own, "home"), "home").groupBy("fp").agg(F.max(F.struct("_texts", "home", "in", "_rare")).alias("h"))
+    homes = counted.unionAll(of_itself).join(broadcast_if_small(checkpointed(popular.join(own, "home"))), "home").groupBy("fp").agg(F.max(F.struct("_texts", "home", "in", "_rare")).alias("h"))
     homely = part(texts.where(F.col("core") * whole >= F.col("size") * one)).join(homes.select("fp", "h.home", "h.in", "h._rare"), "fp", "left").join(nodes.select("fp", "wide"), "fp")
     # of the shared ones some may be rare shingles of the home, so as many more of the core may lie outside of it
     out = F.greatest(F.lit(0), F.col("core") - F.col("in") + F.col("_rare"))
