@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tracewright import schema
 from tracewright.functions import names as N
 from tracewright.functions import quaternion as Q
-from tracewright.operators import align, asof, motion, planning, quality
+from tracewright.operators import align, asof, assemble, motion, planning, quality
 from tracewright.plans import pipelines
 from tracewright.sources import listing, metadata, readers, writers
 from tracewright.streaming import sync as live
@@ -225,13 +225,103 @@ def test_dataset_round_trip(spark, tmp_path):
     writers.write_dataset(rows, str(tmp_path))
     back = readers.dataset(spark, str(tmp_path), 1)
     assert [r.frame_index for r in back.orderBy("frame_index").collect()] == list(range(5))
-    assert quality.index_integrity(readers.dataset(spark, str(tmp_path)), ["episode_index"], "frame_index").where("NOT ok").count() == 0
+    names = sorted(str(f.relative_to(tmp_path)) for f in tmp_path.rglob("*.parquet"))
+    assert names == [f"data/chunk-000/episode_{e:06d}.parquet" for e in range(3)] == sorted(r.path for r in writers.file_manifest(rows).collect())
+    assert len(readers.dataset(spark, str(tmp_path), 1).inputFiles()) == 1 and readers.dataset(spark, str(tmp_path)).count() == 15
+    with pytest.raises(FileExistsError):
+        writers.write_dataset(rows, str(tmp_path))
+    ordered = readers.in_file_order(spark, f"{tmp_path}/data/chunk-*/*.parquet")
+    assert quality.index_integrity(ordered, ["_file"], "frame_index", ["_row"], "episode_index").where("NOT ok").count() == 0
     assert writers.file_manifest(rows).orderBy("path").first().path == "data/chunk-000/episode_000000.parquet"
     out = writers.write_splits(spark.createDataFrame([(10, 7, 3)], "n long, perfect long, recovery long"), str(tmp_path))
     assert out == {"train": "0:8", "val": "8:9", "test": "9:10", "perfect": "0:7", "recovery": "7:10"}
     assert json.load(open(tmp_path / "meta" / "info.json"))["splits"] == out
 
 
+def test_index_is_checked_in_file_order(spark, tmp_path):
+    spark.createDataFrame([(2, 0), (0, 0), (1, 0)], "frame_index int, episode_index int").coalesce(1).write.parquet(str(tmp_path / "mixed"))
+    spark.createDataFrame([(0, 0), (1, 0), (2, 7)], "frame_index int, episode_index int").coalesce(1).write.parquet(str(tmp_path / "two"))
+    for name in ("mixed", "two"):
+        rows = readers.in_file_order(spark, str(tmp_path / name))
+        assert not quality.index_integrity(rows, ["_file"], "frame_index", ["_row"], "episode_index").first().ok
+
+
+def test_tree_to_dataset(spark, tmp_path):
+    """Folders with equal leaf names stay apart from the listing to the dataset's files."""
+    root = tmp_path / "in put"
+    for k, e in enumerate(("t1/ep1", "t2/ep1", "t2/no_csv")):
+        for folder, camera in (("left_img_dir", "left"), ("right_img_dir", "right")):
+            (root / e / folder).mkdir(parents=True)
+            for i in range(20):
+                (root / e / folder / f"frame{1000 + 100 * i + k}_{camera}.jpg").write_bytes(b"")
+        if e != "t2/no_csv":
+            names = ["timestamp", *schema.STATE_COLUMNS, *schema.ACTION_COLUMNS]
+            lines = [",".join(names)] + [",".join([str(1000 + 50 * i + k), *[str(k + i + j / 100) for j in range(len(names) - 1)]]) for i in range(50)]
+            (root / e / "ee_csv.csv").write_text("\n".join(lines) + "\n")
+    entries = listing.listed(spark, str(root))
+    frames = listing.frames(entries, {"left": ("left_img_dir", "_left.jpg"), "right": ("right_img_dir", "_right.jpg")})
+    kin = readers.kinematics(spark, [str(root / e / "ee_csv.csv") for e in ("t1/ep1", "t2/ep1")], str(root))
+    assert sorted(r.episode_id for r in kin.select("episode_id").distinct().collect()) == ["t1/ep1", "t2/ep1"]
+    wanted = listing.episodes(entries)
+    left, right = (frames.where(f"camera = '{c}'").join(wanted, "episode_id").select("episode_id", "frame_name", "ts_ns") for c in ("left", "right"))
+    out = pipelines.filter_episodes(left, {"right": right}, kin, tolerance_ms=0.001)
+    assert sorted((r.episode_id, r.n_kept) for r in out.report.collect()) == [("t1/ep1", 20), ("t2/ep1", 20)]
+    rows = assemble.with_state_and_action(out.kinematics)
+    rows = planning.numbered_episodes(rows.select("episode_id").distinct().withColumn("all", F.lit(0)), ["all"], ["episode_id"], "episode_index", 0).join(rows, "episode_id")
+    done = pipelines.converted(rows, "episode_index", ["frame_idx"], "state", "action", ["episode_id"])
+    writers.write_dataset(done, str(tmp_path / "out"))
+    back = readers.dataset(spark, str(tmp_path / "out"), 1).orderBy("frame_index").collect()
+    assert len(back) == 20 and [r.frame_index for r in back] == list(range(20))
+    assert back[3].observation_state == pytest.approx([1 + 6 + j / 100 for j in range(16)]) and back[3].action == pytest.approx([1 + 6 + j / 100 for j in range(16, 32)])
+    with pytest.raises(ValueError):
+        assemble.with_state_and_action(out.kinematics.select("episode_id"))
+
+
+def test_motion_samples_read_motion_columns_only(spark, tmp_path):
+    (tmp_path / "e1").mkdir()
+    (tmp_path / "e1" / "ee_csv.csv").write_text("time,note,psm1_js[0],psm2_jaw\n1,a,2,3\n4,b,5,x\n")
+    got = readers.motion_samples(spark, str(tmp_path / "e1" / "ee_csv.csv"), str(tmp_path))
+    assert got.columns == ["time", "psm1_js_0", "psm2_jaw", "episode_id", "kin_idx", "ts_ns"]
+    assert [(r.ts_ns, r.psm1_js_0, r.psm2_jaw) for r in got.orderBy("kin_idx").collect()] == [(1, 2.0, 3.0), (4, 5.0, None)]
+    assert readers.raw_rows(spark, str(tmp_path / "e1" / "ee_csv.csv")).first().cells == ["time", "note", "psm1_js[0]", "psm2_jaw"]
+
+
+def test_natural_keys_of_long_numbers(spark):
+    texts = ["f" + "9" * 30, "f1" + "0" * 30, "f02", "f10", "F3", "g1", "f"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").orderBy(N.natural_key(F.col("t"))).collect()
+    assert [r.t for r in rows] == ["f", "f02", "F3", "f10", "f" + "9" * 30, "f1" + "0" * 30, "g1"]
+
+
+def test_positions_with_one_hot_group(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") < 4500, "hot").otherwise("cold").alias("g"), F.col("id"))
+    for bucket in (None, F.floor(F.col("id") / 100)):
+        got = planning.positions(rows, ["g"], ["id"], bucket, "k", "n").collect()
+        assert all((r.k, r.n) == ((r.id, 4500) if r.g == "hot" else (r.id - 4500, 500)) for r in got) and len(got) == 5000
+
+
+def test_looked_up_must_exist(spark):
+    index = spark.createDataFrame([("a", 1)], "name string, idx int")
+    assert planning.looked_up(spark.createDataFrame([("a",)], "name string"), index, "name", "idx").first().idx == 1
+    with pytest.raises(Exception, match="not in the index"):
+        planning.looked_up(spark.createDataFrame([("b",)], "name string"), index, "name", "idx").collect()
+
+
+def test_one_session_with_many_plans(spark):
+    """Aligned ranges of many plans in one hot session, against searchsorted."""
+    rng = np.random.default_rng(2)
+    ref, src = np.sort(rng.integers(0, 5000, 800)), np.sort(rng.integers(500, 4500, 700))
+    plans = [(0, i, int(a), int(a + b)) for i, (a, b) in enumerate(zip(rng.integers(-5, 800, 300), rng.integers(0, 60, 300), strict=True))]
+    table = lambda t: spark.createDataFrame([(0, i, int(x)) for i, x in enumerate(t)], "e long, idx long, ts long")
+    got = align.align_ranges(spark.createDataFrame(plans, "e long, p long, start long, end long"), table(ref), table(src), ["e"], ["p"])
+    for r in got.collect():
+        a, b = (ref[min(max(k, 0), len(ref) - 1)] for k in (r.start, r.end))
+        clamp = lambda k: min(max(int(k), 0), len(src) - 1)
+        assert (r.src_start, r.src_end) == (clamp(np.searchsorted(src, a, "left")), clamp(np.searchsorted(src, b, "right") - 1))
+    rows = align.planned_rows(spark.createDataFrame(plans, "e long, p long, start long, end long"), table(ref).withColumnRenamed("idx", "t"), ["e"])
+    want = sum(max(0, min(e, 800) - max(s, 0)) for _, _, s, e in plans)
+    assert rows.count() == want and got.count() == 300
+
+
 def test_manifest(spark, tmp_path):
     (tmp_path / "src").mkdir()
     (tmp_path / "src" / "a.jpg").write_bytes(b"a")

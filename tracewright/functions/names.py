@@ -23,7 +23,8 @@ def frame_timestamp(name: Column, lenient: bool = False) -> Column:
     ``lenient`` takes any number after ``frame``, whatever follows.
     """
     new = _long(name, NEW_FRAME, 1) * F.lit(1_000_000_000) + _long(name, NEW_FRAME, 2)
-    return F.coalesce(new, _long(name, ANY_FRAME if lenient else OLD_FRAME))
+    # the new form's pattern runs only where its last two numbers may stand
+    return F.coalesce(F.when(name.rlike(r"_\d+_\d+\.jpg"), new), _long(name, ANY_FRAME if lenient else OLD_FRAME))
 
 
 def frame_number(name: Column) -> Column:
@@ -31,10 +32,27 @@ def frame_number(name: Column) -> Column:
     return _long(name, ANY_FRAME)
 
 
-def natural_key(text: Column, width: int = 20) -> Column:
-    """Text that sorts digit runs by value (up to ``width`` digits) and letters without case."""
-    padded = F.regexp_replace(F.lower(text), r"([0-9]+)", "0" * width + "$1")
-    return F.regexp_replace(padded, rf"[0-9]*([0-9]{{{width}}})", "$1")
+def natural_key(text: Column) -> Column:
+    """Text that sorts digit runs by value, however long, and letters without case.
+
+    A run stands as the number of its digits without leading zeros (as ten digits) and these digits.
+    """
+
+    def key(part: Column) -> Column:
+        digits = F.regexp_replace(part, "^0+(?=[0-9])", "")
+        return F.when(part.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)).otherwise(part)
+
+    return F.array_join(F.transform(F.regexp_extract_all(F.lower(text), F.lit("([0-9]+|[^0-9]+)"), F.lit(0)), key), "")
+
+
+def trailing_number(name: Column) -> Column:
+    """Integer at the end of a name, null without one."""
+    return _long(name, r"(\d+)$")
+
+
+def short_label(path: Column) -> Column:
+    """Parent and name of a path."""
+    return F.regexp_extract(path, r"([^/]*/)?[^/]*$", 0)
 
 
 def frame_name(index: Column, suffix: Column | str = "", extension: str = ".jpg") -> Column:

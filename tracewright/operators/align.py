@@ -23,14 +23,29 @@ def align_ranges(plan: DataFrame, ref: DataFrame, src: DataFrame, by: list[str],
     p = plan.join(size, by).withColumn("_a", clamp("start")).withColumn("_b", clamp("end"))
     at = lambda name, out: ref.select(*by, F.col(index).alias(name), F.col(ts).alias(out))
     p = p.join(at("_a", "_t1"), [*by, "_a"]).join(at("_b", "_t2"), [*by, "_b"])
-    both = p.join(src.select(*by, F.col(ts).alias("_t")), by)
+    # one pass over bounds and source rows in order of time: the source rows before a bound are a running count
     keys = list(dict.fromkeys([*by, *plan_key]))
-    out = both.groupBy(*keys, "start", "end").agg(F.count_if(F.col("_t") < F.col("_t1")).alias("_s"), (F.count_if(F.col("_t") <= F.col("_t2")) - 1).alias("_e"), F.count("*").alias("_m"))
+    mine = [c for c in keys if c not in by]
+    bound = lambda c, place: p.select(*by, F.col(c).alias("_t"), F.lit(place).alias("_place"), F.struct(*mine, "start", "end").alias("_plan"))
+    plans = bound("_t1", 0).unionByName(bound("_t2", 2))
+    rows = src.select(*by, F.col(ts).alias("_t"), F.lit(1).alias("_place"), F.lit(None).cast(plans.schema["_plan"].dataType).alias("_plan"))
+    running = Window.partitionBy(*by).orderBy("_t", "_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = plans.unionByName(rows).withColumn("_k", F.count(F.when(F.col("_place") == 1, 1)).over(running)).where("_place <> 1")
+    counts = src.groupBy(*by).agg(F.count("*").alias("_m"))
+    at = lambda place: F.max(F.when(F.col("_place") == place, F.col("_k")))
+    out = before.groupBy(*by, "_plan").agg(at(0).alias("_s"), (at(2) - 1).alias("_e")).join(counts, by).select(*by, "_plan.*", "_s", "_e", "_m")
     inside = lambda c: F.greatest(F.lit(0), F.least(F.col(c), F.col("_m") - 1)).cast("bigint")
     out = out.withColumn("src_start", inside("_s")).withColumn("src_end", inside("_e")).drop("_s", "_e", "_m")
     return out.withColumn("empty", F.col("src_end") < F.col("src_start"))
 
 
 def planned_rows(plan: DataFrame, rows: DataFrame, by: list[str], index: str = "t") -> DataFrame:
-    """Rows of a shared session within each plan's [max(start, 0), end): sequences are computed once and cut many times."""
-    return plan.join(rows, by).where((F.col(index) >= F.greatest(F.col("start"), F.lit(0))) & (F.col(index) < F.col("end")))
+    """Rows of a shared session within each plan's [max(start, 0), end): sequences are computed once and cut many times.
+
+    Plans are spread to the places they cover, which are joined to the rows; so the work follows what comes back, and a
+    long session is no hot key.
+    """
+    last = rows.groupBy(*by).agg(F.max(index).alias("_last"))
+    p = plan.join(last, by).withColumn("_from", F.greatest(F.col("start"), F.lit(0)).cast("bigint")).withColumn("_to", F.least(F.col("end").cast("bigint") - 1, F.col("_last").cast("bigint")))
+    spread = p.where("_to >= _from").withColumn(index, F.explode(F.sequence("_from", "_to"))).drop("_last", "_from", "_to")
+    return spread.join(rows.withColumn(index, F.col(index).cast("bigint")), [*by, index])

@@ -81,6 +81,18 @@ def all_matching(left: DataFrame, streams: Mapping[str, DataFrame], by: list[str
     return near
 
 
+def outlier_figures(matched: DataFrame, by: list[str], difference: str, limit: float) -> DataFrame:
+    """(by, kept, removed, least, most): matches within and beyond ``limit``, and the range of those beyond."""
+    near = F.abs(F.col(difference)) <= limit
+    off = F.when(~near, F.abs(F.col(difference)))
+    return matched.groupBy(*by).agg(F.count_if(near).alias("kept"), F.count_if(~near).alias("removed"), F.min(off).alias("least"), F.max(off).alias("most"))
+
+
+def with_enough(matched: DataFrame, by: list[str], least: int) -> DataFrame:
+    """(by, n) of groups with ``least`` matches or more."""
+    return matched.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+
+
 def gathered(sync: DataFrame, kinematics: DataFrame, by: list[str], index: str = "kinematics_idx", key: str = "kin_idx") -> DataFrame:
     """Rows of ``kinematics`` at the indices of ``sync``; indices that repeat give repeated rows."""
     picks = sync.select(*by, F.col(index).alias(key), *[c for c in sync.columns if c not in (*by, index, *kinematics.columns)])

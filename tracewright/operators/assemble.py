@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions import quaternion as Q
 from tracewright.operators.align import indexed
-from tracewright.schema import FPS
+from tracewright.schema import ACTION_COLUMNS, FPS, STATE_COLUMNS, plain
+
+
+def vector(df: DataFrame, name: str, columns: tuple[str, ...]) -> Column | None:
+    """A float vector: the list column ``name`` if there is one, else its flat ``columns`` that are there, in their order
+    (by their own or their plain names); null where neither is there."""
+    if name in df.columns:
+        return F.col(f"`{name}`").cast("array<float>")
+    named = [c if c in df.columns else plain(c) for c in columns]
+    found = [F.col(f"`{c}`").cast("float") for c in named if c in df.columns]
+    return F.array(*found) if found else None
+
+
+def with_state_and_action(df: DataFrame, state: str = "state", action: str = "action") -> DataFrame:
+    """``df`` plus state and action vectors of the arms' named columns; a missing side raises ValueError."""
+    vectors = {n: vector(df, n, c) for n, c in ((state, STATE_COLUMNS), (action, ACTION_COLUMNS))}
+    lost = [n for n, v in vectors.items() if v is None]
+    if lost:
+        raise ValueError(f"no columns of {', '.join(lost)}")
+    return df.withColumns(vectors)
+
+
+def bounds(df: DataFrame, by: list[str], vector: str) -> DataFrame:
+    """(by, x, y, z, span): mean position of the first three elements, and the longest side of the box around them."""
+    v = df.select(*by, *[F.get(vector, F.lit(i)).alias(c) for i, c in enumerate("xyz")])
+    span = F.greatest(*[F.max(c) - F.min(c) for c in "xyz"]).cast("double")
+    return v.groupBy(*by).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in "xyz"], span.alias("span"))
 
 
 def zipped(parts: list[DataFrame], by: list[str], index: str = "frame_index") -> DataFrame:

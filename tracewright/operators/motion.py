@@ -74,6 +74,24 @@ def trim_report(ranges: DataFrame, min_length: int = MIN_LENGTH, dry_run: bool =
     return ranges.select("*", length.alias("trimmed_length"), F.col("start").alias("start_removed"), (F.col("n_rows") - 1 - F.col("end")).alias("end_removed"), skipped.alias("skipped"), reason.alias("reason"))
 
 
+def pipeline_figures(report: DataFrame) -> DataFrame:
+    """One row of processed, skipped and unreadable episodes, kept frames and all rows, from trim_report."""
+    done, few = ~F.col("skipped"), F.col("n_rows") < 2
+    counts = [F.count_if(done).alias("processed"), F.count_if(F.col("skipped") & ~few).alias("skipped"), F.count_if(few).alias("errors")]
+    return report.agg(*counts, F.coalesce(F.sum(F.when(done, F.col("trimmed_length"))), F.lit(0)).cast("bigint").alias("frames"), F.sum("n_rows").cast("bigint").alias("rows"))
+
+
+def with_missing(report: DataFrame, episodes: DataFrame, by: list[str]) -> DataFrame:
+    """``report`` with a skipped row, reason ``missing CSV``, for each of the ``episodes`` that has no samples."""
+    lost = episodes.join(report.select(*by), by, "left_anti").select(*by, F.lit(0).cast("bigint").alias("n_rows"), F.lit(True).alias("skipped"), F.lit("missing CSV").alias("reason"))
+    return report.unionByName(lost, allowMissingColumns=True)
+
+
+def nearest_threshold(grid: DataFrame, wanted: float, threshold: str = "threshold") -> DataFrame:
+    """The row of ``grid`` whose threshold is nearest to ``wanted``, the smaller one of two."""
+    return grid.orderBy(F.abs(F.col(threshold) - wanted), threshold).limit(1)
+
+
 def trimmed(rows: DataFrame, report: DataFrame, by: list[str], index: str) -> DataFrame:
     """Rows within their group's range; a skipped group stays whole."""
     bounds = report.select(*by, "start", "end", "skipped")

@@ -92,19 +92,34 @@ def split_label(index: Column, n: Column) -> Column:
     return F.when(index < train, F.lit("train")).when(index < train + F.floor(n * F.lit(0.1)), F.lit("val")).otherwise(F.lit("test"))
 
 
-def every_kth(df: DataFrame, by: list[str], order: list[str], parts: int = 10) -> DataFrame:
+def positions(df: DataFrame, by: list[str], order: list[str], bucket: Column | None = None, name: str = "position", count: str | None = None) -> DataFrame:
+    """``df`` with the place (from 0) of each row in its group's order, and the group's number of rows as ``count``.
+
+    A group may hold most of all rows: ``bucket`` rises with the first of ``order`` and cuts groups into parts. Rows are
+    numbered within (group, bucket), and start behind the rows of the buckets before, of which there is one row each.
+    """
+    cut = df.withColumn("_bucket", F.lit(0) if bucket is None else bucket)
+    sizes = cut.groupBy(*by, "_bucket").agg(F.count("*").alias("_k"))
+    before = F.sum("_k").over(Window.partitionBy(*by).orderBy(F.asc_nulls_first("_bucket")).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_k")
+    starts = sizes.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_bucket").alias("_at"), before.alias("_start"), F.sum("_k").over(Window.partitionBy(*by)).alias("_total"))
+    same = F.col("_bucket").eqNullSafe(F.col("_at"))
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    own = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order)) - 1
+    out = cut.withColumn("_own", own).join(starts, same).withColumn(name, (F.col("_start") + F.col("_own")).cast("bigint"))
+    out = out.withColumn(count, F.col("_total")) if count else out
+    return out.drop("_bucket", "_own", "_start", "_total", "_at", *[f"_by_{c}" for c in by])
+
+
+def every_kth(df: DataFrame, by: list[str], order: list[str], parts: int = 10, bucket: Column | None = None) -> DataFrame:
     """Every max(1, n // parts)-th row of each group: all rows below ``parts``, else ``parts`` up to twice that, less one."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    n = F.count("*").over(Window.partitionBy(*by))
-    step = F.greatest(F.lit(1), F.floor(n / parts))
-    return df.withColumn("_r", F.row_number().over(w) - 1).withColumn("_k", step).where(F.col("_r") % F.col("_k") == 0).drop("_r", "_k")
+    placed = positions(df, by, order, bucket, "_r", "_n")
+    return placed.where(F.col("_r") % F.greatest(F.lit(1), F.floor(F.col("_n") / parts)) == 0).drop("_r", "_n")
 
 
-def evenly_spaced(df: DataFrame, by: list[str], order: list[str], points: int = 6) -> DataFrame:
+def evenly_spaced(df: DataFrame, by: list[str], order: list[str], points: int = 6, bucket: Column | None = None) -> DataFrame:
     """Rows at the truncated positions of min(points, n) evenly spaced places from first to last."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    n = F.count("*").over(Window.partitionBy(*by))
-    rows = df.withColumn("_r", (F.row_number().over(w) - 1).cast("bigint")).withColumn("_n", n)
+    rows = positions(df, by, order, bucket, "_r", "_n")
     k = F.least(F.lit(points), F.col("_n"))
     places = F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.when(k == 1, F.lit(0)).otherwise(F.floor(i * (F.col("_n") - 1) / (k - 1))).cast("bigint"))
     return rows.where(F.array_contains(places, F.col("_r"))).drop("_r", "_n")
@@ -118,7 +133,29 @@ def copy_manifest(matched: DataFrame, left: str, cameras: dict[str, tuple[str, s
     return matched.select("*", F.explode(F.array(*rows)).alias("_m")).select(*matched.columns, "_m.*", F.lit(op).alias("op"))
 
 
-def merged_runs(runs: list[tuple[str, DataFrame]], order: list[str]) -> DataFrame:
+def looked_up(names: DataFrame, index: DataFrame, key: str, value: str) -> DataFrame:
+    """``names`` plus the ``value`` that ``index`` has for ``key``; a name that is not there raises an error."""
+    must = F.when(F.col("_there"), F.col(value)).otherwise(F.raise_error(F.concat(F.lit("not in the index: "), F.col(key).cast("string"))))
+    return names.join(index.select(key, value, F.lit(True).alias("_there")), key, "left").withColumn(value, must).drop("_there")
+
+
+def not_done(plan: DataFrame, done: DataFrame, by: list[str]) -> DataFrame:
+    """Plans without a result yet."""
+    return plan.join(done.select(*by).distinct(), by, "left_anti")
+
+
+def run_figures(runs: DataFrame, least: int) -> DataFrame:
+    """One row of total, valid and synced runs and of images in the synced ones, from (valid, n) of each run."""
+    good = F.col("valid") & (F.col("n") >= least)
+    return runs.agg(F.count("*").alias("total"), F.count_if("valid").alias("valid"), F.count_if(good).alias("synced"), F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).cast("bigint").alias("images"))
+
+
+def skipped_runs(runs: DataFrame, least: int) -> DataFrame:
+    """The runs that run_figures does not count as synced, one row each."""
+    return runs.where(~(F.col("valid") & (F.col("n") >= least)))
+
+
+def merged_runs(runs: list[tuple[str, DataFrame]], order: list[str], bucket: Column | None = None) -> DataFrame:
     """Rows of all runs under one header with run number and position; a run with another header is an error."""
     first = runs[0][1].columns
     out = None
@@ -127,4 +164,4 @@ def merged_runs(runs: list[tuple[str, DataFrame]], order: list[str]) -> DataFram
             raise ValueError(f"run {name}: its header differs from the first run's")
         part = df.withColumn("run_no", F.lit(i).cast("bigint")).withColumn("run", F.lit(name))
         out = part if out is None else out.unionByName(part)
-    return numbered_episodes(out, ["run_no", "run"], order, "position", 0)
+    return positions(out, ["run_no", "run"], order, bucket)

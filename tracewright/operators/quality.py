@@ -38,11 +38,16 @@ def gaps(df: DataFrame, by: list[str], order: list[str], ts: str, limit: float)
     return steps(df, by, order, ts).groupBy(*by).agg(F.max("step").alias("max_gap"), F.coalesce(F.max("step") > limit, F.lit(False)).alias("gap"))
 
 
-def index_integrity(df: DataFrame, by: list[str], index: str) -> DataFrame:
-    """(by, n, ok): the index is 0 to n - 1 without holes or repeats."""
-    w = Window.partitionBy(*by).orderBy(index)
-    r = df.withColumn("_r", F.row_number().over(w) - 1)
-    return r.groupBy(*by).agg(F.count("*").alias("n"), (F.count_if(~F.col(index).eqNullSafe(F.col("_r"))) == 0).alias("ok"))
+def index_integrity(df: DataFrame, by: list[str], index: str, order: list, constant: str | None = None) -> DataFrame:
+    """(by, n, ok): read in ``order``, that of the file, the index counts 0 to n - 1, and ``constant`` has one value.
+
+    ``order`` must not be the index itself; readers.in_file_order gives the place of a row in its file.
+    """
+    r = df.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
+    ok = F.count_if(~F.col(index).eqNullSafe(F.col("_r"))) == 0
+    if constant:
+        ok = ok & F.min(constant).eqNullSafe(F.max(constant)) & (F.count(constant) == F.count("*"))
+    return r.groupBy(*by).agg(F.count("*").alias("n"), ok.alias("ok"))
 
 
 def deviations(df: DataFrame, by: list[str], vector: str) -> DataFrame:
@@ -65,6 +70,11 @@ def feature_findings(features: DataFrame, expected: DataFrame) -> DataFrame:
     return both.select("name", level.alias("level"), message.alias("message"))
 
 
+def length_figures(lengths: DataFrame, n: str = "n", least: int = 10) -> DataFrame:
+    """One row of shortest, longest and mean length, and whether the shortest is below ``least``."""
+    return lengths.agg(F.min(n).alias("shortest"), F.max(n).alias("longest"), F.avg(n).alias("mean"), (F.min(n) < least).alias("warned"))
+
+
 def reconciled(left: DataFrame, right: DataFrame, name: str, times: int = 1) -> DataFrame:
     """(check, expected, found, ok) from two counts; both sides are single rows."""
     a, b = left.agg((F.count("*") * times).alias("expected")), right.agg(F.count("*").alias("found"))
@@ -83,12 +93,13 @@ def roll_up(findings: DataFrame, first: int = 3) -> DataFrame:
 
     ``findings`` has seq, level, category and message. Only the first messages of each category are gathered.
     """
+    # categories stand in the order of their first finding
     rank = F.when(F.col("level") == "ERROR", 0).when(F.col("level") == "WARNING", 1).otherwise(2)
     w = Window.partitionBy("category").orderBy(rank, "seq")
     count = lambda level: F.count_if(F.col("level") == level)
-    counts = findings.groupBy("category").agg(count("ERROR").alias("errors"), count("WARNING").alias("warnings"), (count("ERROR") == 0).alias("compliant"))
+    counts = findings.groupBy("category").agg(count("ERROR").alias("errors"), count("WARNING").alias("warnings"), (count("ERROR") == 0).alias("compliant"), F.min("seq").alias("_first"))
     # a filter on the row number limits each category before the shuffle, so no task sorts a whole category
     top = findings.select(F.col("category").alias("_c"), "message", F.row_number().over(w).alias("_k")).where(F.col("_k") <= first)
     lines = top.groupBy("_c").agg(F.array_sort(F.collect_list(F.struct("_k", "message"))).alias("_kept"))
     messages = F.coalesce(F.array_join(F.transform("_kept", lambda x: x["message"]), "|"), F.lit(""))
-    return counts.join(lines, F.col("category").eqNullSafe(F.col("_c")), "left").select("category", "errors", "warnings", "compliant", messages.alias("messages"))
+    return counts.join(lines, F.col("category").eqNullSafe(F.col("_c")), "left").orderBy("_first").select("category", "errors", "warnings", "compliant", messages.alias("messages"))

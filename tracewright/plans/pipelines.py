@@ -61,8 +61,9 @@ def trimmed_plan(plan: DataFrame, ref: DataFrame, src: DataFrame, moved: DataFra
     a = align.align_ranges(plan, ref, src, by, key, ts="ts_ns").where("NOT empty")
     # transitions of rows start .. end are t in [start, end)
     inner = a.select(*by, *key, F.col("src_start").alias("start"), F.col("src_end").alias("end"))
-    cut = inner.join(moved.select(*by, "t", "delta"), by, "left").where("t >= start AND t < end OR end = start")
-    hit = F.when(motion.moving(F.col("delta"), threshold) & (F.col("t") >= F.col("start")) & (F.col("t") < F.col("end")), F.col("t"))
+    hits = align.planned_rows(inner, moved.select(*by, "t", "delta"), by).where(motion.moving(F.col("delta"), threshold)).select(*by, *key, "t")
+    cut = inner.join(hits, [*by, *key], "left")
+    hit = F.col("t")
     ends = cut.groupBy(*by, *key, "start", "end").agg(F.min(hit).alias("f"), F.max(hit).alias("l"))
     src_range = ends.select(*by, *key, F.coalesce("f", "start").alias("start"), F.coalesce(F.least(F.col("l") + 1, F.col("end")), F.col("end")).alias("end"))
     back = align.align_ranges(src_range, src, ref, by, key, ts="ts_ns")
@@ -80,4 +81,4 @@ def planned_episodes(annotations: DataFrame, group: list[str], order: list[str])
     """Parsed annotations with subdir, episode_no and destination, in order of destination."""
     p = planning.parsed_annotations(annotations).withColumn("subdir", planning.action_subdir(F.col("action")))
     p = planning.numbered_episodes(p, [*group, "subdir"], order)
-    return p.withColumn("dst", F.concat_ws("/", *group, "subdir", F.format_string("episode_%03d", "episode_no")))
+    return p.withColumn("dst", F.concat_ws("/", *group, "subdir", F.format_string("episode_%03d", "episode_no"))).orderBy("dst")

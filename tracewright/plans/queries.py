@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import names as N
 from tracewright.functions import quaternion as Q
-from tracewright.operators import align, asof, motion, planning, quality
+from tracewright.operators import align, asof, assemble, motion, planning, quality, validators
 from tracewright.schema import CAMERA_FEATURES
+from tracewright.sources import listing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -218,9 +219,7 @@ def nearest_tie_left(spark, sf_dir):
 def sync_outliers(spark, sf_dir):
     ev = events(spark, sf_dir)
     out = asof.synchronized(stream(ev, "view"), stream(ev, "click").withColumnRenamed("event_id", "kin_idx"), ["user_id"], ts="t", tolerance_ms=None)
-    near = F.abs("time_diff_ns") <= 4 * HOUR
-    off = F.when(~near, F.abs("time_diff_ns"))
-    return out.groupBy("user_id").agg(F.count_if(near).alias("kept"), F.count_if(~near).alias("removed"), F.min(off).alias("least"), F.max(off).alias("most"))
+    return asof.outlier_figures(out, ["user_id"], "time_diff_ns", 4 * HOUR)
 
 
 _DAY = 24 * HOUR
@@ -276,13 +275,13 @@ def filtered_kinematics(spark, sf_dir):
 def min_images(spark, sf_dir):
     ev = events(spark, sf_dir)
     sync = asof.synchronized(stream(ev, "view"), stream(ev, "click").withColumnRenamed("event_id", "kin_idx"), ["user_id"], ts="t", tolerance_ms=_DAY / 1e6)
-    return sync.groupBy("user_id").agg(F.count("*").alias("n")).where("n >= 10")
+    return asof.with_enough(sync, ["user_id"], 10)
 
 
 @query("select distinct user_id from events where user_id % 3 <> 0")
 def skip_existing(spark, sf_dir):
     ev = events(spark, sf_dir).select("user_id").distinct()
-    return ev.join(ev.where("user_id % 3 = 0"), "user_id", "left_anti")
+    return planning.not_done(ev, ev.where("user_id % 3 = 0"), ["user_id"])
 
 
 # ---- discovery and plans
@@ -321,20 +320,49 @@ def camera_clamp(spark, sf_dir):
     return planning.clamped_ends(plan, ev.where("event_type <> 'error'"), ["user_id"], "event_type")
 
 
-@query(
-    f"""with {_nearest_sql('click')}, u as (select user_id, bool_or(event_type = 'view') and bool_or(event_type = 'error') ok from events group by 1),
-k as (select user_id, count(*) n from m where abs(t - ct) <= {_DAY} group by 1), s as (select u.user_id, ok, coalesce(n, 0) n from u left join k using (user_id))
-select count(*) total, count(*) filter (where ok) valid, count(*) filter (where ok and n >= 10) synced, cast(coalesce(sum(n) filter (where ok and n >= 10), 0) as bigint) images,
- coalesce(string_agg(user_id::varchar, ',' order by user_id) filter (where not (ok and n >= 10)), '') skipped from s"""
-)
-def run_stats(spark, sf_dir):
+_RUNS = f"""with {_nearest_sql('click')}, u as (select user_id, bool_or(event_type = 'view') and bool_or(event_type = 'error') ok from events group by 1),
+k as (select user_id, count(*) n from m where abs(t - ct) <= {_DAY} group by 1), s as (select u.user_id, ok, coalesce(n, 0) n from u left join k using (user_id))"""
+
+
+def _runs(spark, sf_dir):
     ev = events(spark, sf_dir)
     ok = planning.validated(ev, ["user_id"], "event_type", ["view", "error"])
     sync = asof.synchronized(stream(ev, "view"), stream(ev, "click").withColumnRenamed("event_id", "kin_idx"), ["user_id"], ts="t", tolerance_ms=_DAY / 1e6)
-    s = ok.join(sync.groupBy("user_id").agg(F.count("*").alias("n")), "user_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    good = F.col("valid") & (F.col("n") >= 10)
-    skipped = F.transform(F.array_sort(F.collect_list(F.when(~good, F.col("user_id")))), lambda x: x.cast("string"))
-    return s.agg(F.count("*").alias("total"), F.count_if("valid").alias("valid"), F.count_if(good).alias("synced"), F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).cast("bigint").alias("images"), F.array_join(skipped, ",").alias("skipped"))
+    return ok.join(asof.with_enough(sync, ["user_id"], 1), "user_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+@query(_RUNS + " select count(*) total, count(*) filter (where ok) valid, count(*) filter (where ok and n >= 10) synced, cast(coalesce(sum(n) filter (where ok and n >= 10), 0) as bigint) images from s")
+def run_stats(spark, sf_dir):
+    return planning.run_figures(_runs(spark, sf_dir), 10)
+
+
+@query(_RUNS + " select user_id, n from s where not (ok and n >= 10)")
+def skipped_runs(spark, sf_dir):
+    return planning.skipped_runs(_runs(spark, sf_dir), 10).select("user_id", "n")
+
+
+@query("select event_id, row_number() over (partition by user_id order by ts, event_id) - 1 as idx from events qualify event_type = 'view'")
+def frame_lookup(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    index = align.indexed(ev, ["user_id"], ["ts", "event_id"]).select("event_id", "idx")
+    return planning.looked_up(ev.where("event_type = 'view'").select("event_id"), index, "event_id", "idx")
+
+
+@query("select distinct 'tissue_' || case when c_custkey % 17 = 0 then 'x' else (c_custkey % 17)::varchar end as path, nullif(c_custkey % 17, 0) as number from customer")
+def folder_order(spark, sf_dir):
+    k = F.col("c_custkey") % 17
+    name = F.concat(F.lit("tissue_"), F.when(k == 0, F.lit("x")).otherwise(k.cast("string")))
+    entries = table(spark, sf_dir, "customer").select(name.alias("path"), F.lit("").alias("parent"), name.alias("name"), F.lit(True).alias("is_dir")).distinct()
+    return listing.numbered_folders(entries)
+
+
+@query("select 'Collector' || (c_custkey % 3) || '/Tissue#' || (c_custkey % 5) || '/run' || c_custkey as path, 'out_Collector' || (c_custkey % 3) || '_Tissue' || (c_custkey % 5) || '_run' || c_custkey || '.mp4' as output, 'Tissue#' || (c_custkey % 5) || '/run' || c_custkey as label, c_custkey % 5 as tissue from customer")
+def video_runs(spark, sf_dir):
+    k = F.col("c_custkey")
+    parent = F.concat_ws("/", F.concat(F.lit("Collector"), (k % 3).cast("string")), F.concat(F.lit("Tissue#"), (k % 5).cast("string")), F.concat(F.lit("run"), k.cast("string")))
+    entries = table(spark, sf_dir, "customer").select(parent.alias("parent"), F.lit("left_img_dir").alias("name"), F.lit(True).alias("is_dir"), F.lit(4).alias("depth"))
+    runs = listing.video_runs(entries, "out").withColumn("label", N.short_label(F.col("path")))
+    return runs.withColumn("tissue", N.tissue_number(F.replace("path", F.lit("#"), F.lit("_"))))
 
 
 _PLAN = """a as (select event_id, user_id, event_type, cast(json_extract(props, '$.k') as int) s from events),
@@ -527,10 +555,7 @@ def _hybrid_sql() -> str:
 
 
 def _relative(rows: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
-    later = F.coalesce(F.lead("v").over(Window.partitionBy("label").orderBy("vec_id")), F.col("v"))
-    return rows.withColumn("_later", later).withColumn("relative", Q.hybrid_relative(F.col("v"), F.col("_later"))).drop("_later")
+    return assemble.with_relative_actions(rows, ["label"], ["vec_id"], "v", "relative")
 
 
 @query(_hybrid_sql())
@@ -543,19 +568,33 @@ def hybrid_relative_action(spark, sf_dir):
  round(list_sum(list_transform(embedding[1:16], lambda x: x::double)), 6) state_sum, round(embedding[8]::double, 6) jaw from embeddings"""
 )
 def episode_rows(spark, sf_dir):
-    from tracewright.operators.assemble import assembled
-
     v = _relative(vectors(spark, sf_dir)).withColumn("state", F.col("v").cast("array<float>"))
-    rows = assembled(v, "label", ["vec_id"], "state", "v", "relative", fps=30)
+    rows = assemble.assembled(v, "label", ["vec_id"], "state", "v", "relative", fps=30)
     total = F.aggregate("observation_state", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return rows.select("episode_index", "frame_index", F.round("timestamp", 6).alias("timestamp"), F.round(total, 6).alias("state_sum"), F.round(F.get("action_hybrid_relative", F.lit(7)).cast("double"), 6).alias("jaw"))
 
 
 @query("select label, round(avg(embedding[1]::double), 6) x, round(avg(embedding[2]::double), 6) y, round(avg(embedding[3]::double), 6) z, round(greatest(max(embedding[1]) - min(embedding[1]), max(embedding[2]) - min(embedding[2]), max(embedding[3]) - min(embedding[3]))::double, 5) span from embeddings group by label")
 def trajectory_bounds(spark, sf_dir):
-    v = vectors(spark, sf_dir).select("label", *[F.get("v", F.lit(i)).alias(c) for i, c in enumerate("xyz")])
-    span = F.greatest(*[F.max(c) - F.min(c) for c in "xyz"]).cast("double")
-    return v.groupBy("label").agg(*[F.round(F.avg(F.col(c).cast("double")), 6).alias(c) for c in "xyz"], F.round(span, 5).alias("span"))
+    return assemble.bounds(vectors(spark, sf_dir), ["label"], "v").select("label", *[F.round(c, 6).alias(c) for c in "xyz"], F.round("span", 5).alias("span"))
+
+
+_COLUMNS = tuple(f"psm{a}_pose.position.{k}" for a in (1, 2) for k in "xyz")
+
+
+@query("select vec_id, list_transform(embedding[1:6], lambda x: round(x::double, 6)) as flat, list_transform(embedding[1:2], lambda x: round(x::double, 6)) as listed from embeddings")
+def flat_vectors(spark, sf_dir):
+    v = vectors(spark, sf_dir)
+    flat = v.select("vec_id", *[F.get("v", F.lit(i)).alias(c) for i, c in enumerate(_COLUMNS)], F.slice("v", 1, 2).alias("listed"))
+    rounded = lambda c: F.transform(c, lambda x: F.round(x.cast("double"), 6))
+    return flat.select("vec_id", rounded(assemble.vector(flat, "none", (*_COLUMNS, "lost"))).alias("flat"), rounded(assemble.vector(flat, "listed", _COLUMNS)).alias("listed"))
+
+
+@query("with e as (select vec_id, label, row_number() over (partition by label order by vec_id) - 1 i from embeddings), s as (select label, vec_id, row_number() over (partition by label order by vec_id) - 1 i from embeddings where vec_id % 3 <> 0) select e.vec_id, s.vec_id as other from e join s using (label, i)")
+def zipped_streams(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("label", "vec_id")
+    parts = [align.indexed(x, ["label"], ["vec_id"], "frame_index") for x in (e, e.where("vec_id % 3 <> 0"))]
+    return assemble.zipped([parts[0], parts[1].withColumnRenamed("vec_id", "other")], ["label"]).select("vec_id", "other")
 
 
 # ---- alignment
@@ -610,15 +649,16 @@ select event_id, 'step' as kind from r where r % greatest(1, n // 10) = 0 union
 )
 def systematic_sample(spark, sf_dir):
     ev = events(spark, sf_dir).select("event_type", "event_id")
-    a = planning.every_kth(ev, ["event_type"], ["event_id"]).select("event_id", F.lit("step").alias("kind"))
-    return a.unionByName(planning.evenly_spaced(ev, ["event_type"], ["event_id"]).select("event_id", F.lit("even").alias("kind")))
+    part = F.floor(F.col("event_id") / 4096)  # five event types hold all rows: each is cut where its order allows
+    a = planning.every_kth(ev, ["event_type"], ["event_id"], bucket=part).select("event_id", F.lit("step").alias("kind"))
+    return a.unionByName(planning.evenly_spaced(ev, ["event_type"], ["event_id"], bucket=part).select("event_id", F.lit("even").alias("kind")))
 
 
 @query("select o_orderkey, o_orderstatus as run, row_number() over (partition by o_orderstatus order by o_orderdate, o_orderkey) - 1 as position from orders where o_orderstatus in ('F', 'O', 'P')")
 def run_concat(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     runs = [(s, o.where(F.col("o_orderstatus") == s)) for s in ("F", "O", "P")]
-    return planning.merged_runs(runs, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "run", "position")
+    return planning.merged_runs(runs, ["o_orderdate", "o_orderkey"], F.date_trunc("month", "o_orderdate")).select("o_orderkey", "run", "position")
 
 
 @query(
@@ -626,9 +666,19 @@ def run_concat(spark, sf_dir):
  cast(coalesce(sum(e - s + 1) filter (where n_rows >= 2 and e - s + 1 >= 10), 0) as bigint) frames, cast(sum(n_rows) as bigint) as rows from r"""
 )
 def pipeline_report(spark, sf_dir):
-    r = motion.trim_report(_ranges(spark, sf_dir))
-    done, few = ~F.col("skipped"), F.col("n_rows") < 2
-    return r.agg(F.count_if(done).alias("processed"), F.count_if(F.col("skipped") & ~few).alias("skipped"), F.count_if(few).alias("errors"), F.coalesce(F.sum(F.when(done, F.col("trimmed_length"))), F.lit(0)).cast("bigint").alias("frames"), F.sum("n_rows").cast("bigint").alias("rows"))
+    return motion.pipeline_figures(motion.trim_report(_ranges(spark, sf_dir)))
+
+
+@query("select p_retailprice as threshold from (select distinct p_retailprice from part) order by abs(p_retailprice - 1500.3), p_retailprice limit 1")
+def nearest_threshold(spark, sf_dir):
+    return motion.nearest_threshold(table(spark, sf_dir, "part").select(F.col("p_retailprice").alias("threshold")).distinct(), 1500.3)
+
+
+@query("with n as (select user_id, count(*) n from events where user_id % 4 <> 0 group by 1) select user_id, n as n_rows, 'read' as reason from n union all select distinct user_id, 0, 'missing CSV' from events where user_id % 4 = 0")
+def missing_samples(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    read = ev.where("user_id % 4 <> 0").groupBy("user_id").agg(F.count("*").alias("n_rows")).withColumns({"skipped": F.lit(False), "reason": F.lit("read")})
+    return motion.with_missing(read, ev.select("user_id").distinct(), ["user_id"]).select("user_id", "n_rows", "reason")
 
 
 @query(
@@ -684,9 +734,21 @@ def ts_gap(spark, sf_dir):
     return quality.gaps(events(spark, sf_dir), ["user_id"], ["ts", "event_id"], "t", 2 * _DAY)
 
 
-@query("with r as (select conv_id, turn, row_number() over (partition by conv_id order by turn) - 1 r from conversations) select conv_id, count(*) n, count(*) filter (where turn is distinct from r) = 0 as ok from r group by conv_id")
+@query(
+    """with f as (select *, case when conv_id % 3 = 0 then -turn else turn end as place, case when conv_id % 5 = 0 and turn = 1 then -1 else conv_id end as episode_index from conversations),
+r as (select *, row_number() over (partition by conv_id order by place) - 1 r from f)
+select conv_id, count(*) n, count(*) filter (where turn is distinct from r) = 0 and count(distinct episode_index) = 1 as ok from r group by conv_id"""
+)
 def index_integrity(spark, sf_dir):
-    return quality.index_integrity(table(spark, sf_dir, "conversations"), ["conv_id"], "turn")
+    rows = table(spark, sf_dir, "conversations").withColumn("episode_index", F.when(F.expr("conv_id % 5 = 0 AND turn = 1"), -1).otherwise(F.col("conv_id")))
+    place = F.when(F.col("conv_id") % 3 == 0, -F.col("turn")).otherwise(F.col("turn"))  # every third file is written backwards
+    return quality.index_integrity(rows, ["conv_id"], "turn", [place], "episode_index")
+
+
+@query("with e as (select unnest(embedding[1:16]) v, unnest(range(16)) dim from embeddings), d as (select dim, stddev_pop(case when dim >= 12 then 1 else v::double end) std from e group by 1) select count(*) filter (where std < 1e-8) still, round(avg(std), 6) mean_std from d")
+def still_dimensions(spark, sf_dir):
+    v = vectors(spark, sf_dir).withColumn("v", F.transform("v", lambda x, i: F.when(i >= 12, F.lit(1.0)).otherwise(x.cast("double"))))
+    return validators.still_dimensions(v, "v").withColumn("mean_std", F.round("mean_std", 6))
 
 
 @query("with e as (select label, unnest(embedding[1:16]) v, unnest(range(16)) dim from embeddings) select label, cast(dim as int) dim, round(stddev_pop(v::double), 6) std from e group by 1, 2")
@@ -697,7 +759,83 @@ def action_std(spark, sf_dir):
 @query("with n as (select user_id, count(*) n from events group by 1) select min(n) shortest, max(n) longest, round(avg(n), 6) mean, min(n) < 10 as warned from n")
 def episode_lengths(spark, sf_dir):
     n = events(spark, sf_dir).groupBy("user_id").agg(F.count("*").alias("n"))
-    return n.agg(F.min("n").alias("shortest"), F.max("n").alias("longest"), F.round(F.avg("n"), 6).alias("mean"), (F.min("n") < 10).alias("warned"))
+    return quality.length_figures(n).withColumn("mean", F.round("mean", 6))
+
+
+def _infos(spark, sf_dir):
+    """An info document for each nation: its key decides what is there."""
+    k = F.col("n_nationkey")
+    entry = lambda name, dtype, *shape: F.struct(F.lit(name).alias("key"), F.struct(F.lit(dtype).alias("dtype"), F.array(*shape).cast("array<int>").alias("shape")).alias("value"))
+    some = F.array(
+        entry("observation.state", "float32", F.lit(16)),
+        F.when(k % 2 == 0, entry("action", "float32", F.lit(16))),
+        F.when(k % 3 != 0, entry("observation.images.left", "video", k * 40, F.lit(640), F.lit(3))),
+        F.when(k % 5 == 0, entry("observation.meta.tool", "string", F.lit(1))),
+    )
+    names = lambda *c: F.map_from_entries(F.filter(F.array(*c), lambda x: x.isNotNull()))
+    split = lambda name, when: F.when(when, F.struct(F.lit(name).alias("key"), F.lit("0:1").alias("value")))
+    parts = names(split("train", F.lit(True)), split("val", k % 2 == 0), split("test", k % 3 == 0), split("recovery", k % 5 == 0), split("failure", k % 7 == 0))
+    one = F.to_json(F.struct(F.lit(30).alias("fps"), F.lit("dvrk").alias("robot_type"), parts.alias("splits"), F.map_from_entries(F.filter(some, lambda x: x.isNotNull())).alias("features"), F.when(k % 4 == 0, F.lit(0.02)).alias("tolerance_s")))
+    return table(spark, sf_dir, "nation").select(k, F.when(k == 24, F.lit("{broken")).otherwise(one).alias("value"))
+
+
+@query(
+    """with i as (select n_nationkey k from nation where n_nationkey <> 24), f as (
+select 'features' category, 'SUCCESS' as level, 'observation.state is there' message from i union all select 'features', case when k % 2 = 0 then 'SUCCESS' else 'ERROR' end, case when k % 2 = 0 then 'action is there' else 'action is missing' end from i
+union all select 'features', 'WARNING', 'no feature starts with observation.images.' from i where k % 3 = 0 union all select 'features', case when k % 5 = 0 then 'SUCCESS' else 'INFO' end, case when k % 5 = 0 then 'domain metadata: observation.meta.tool' else 'no domain metadata' end from i
+union all select 'images', 'SUCCESS', 'observation.images.left is video' from i where k % 3 <> 0 union all select 'images', 'WARNING', 'observation.images.left is ' || (k * 40) || 'x640' from i where k % 3 <> 0 and k * 40 < 480)
+select category, level, message, count(*) n from f group by all"""
+)
+def feature_rules(spark, sf_dir):
+    return validators.features(_infos(spark, sf_dir)).groupBy("category", "level", "message").agg(F.count("*").alias("n"))
+
+
+@query(
+    """with i as (select n_nationkey k from nation where n_nationkey <> 24), f as (select 'WARNING' as level, 'split val missing' message from i where k % 2 <> 0 union all select 'WARNING', 'split test missing' from i where k % 3 <> 0
+union all select case when k % 5 = 0 then 'SUCCESS' else 'INFO' end, case when k % 5 = 0 then 'split recovery defined' else 'split recovery would add robustness' end from i union all select 'INFO', 'split failure defined' from i where k % 7 = 0)
+select 'splits' category, level, message, count(*) n from f group by all"""
+)
+def split_rules(spark, sf_dir):
+    return validators.splits(_infos(spark, sf_dir)).groupBy("category", "level", "message").agg(F.count("*").alias("n"))
+
+
+def _tree(spark, sf_dir):
+    """A dataset's listing: a chunk for each region, an episode file for each nation, and no videos or README."""
+    r, n = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
+    chunk = lambda c: F.concat(F.lit("data/chunk-"), F.lpad(F.col(c).cast("string"), 3, "0"))
+    fixed = spark.createDataFrame([("meta", True), ("data", True), *[(f"meta/{f}", False) for f in ("info.json", "episodes.jsonl")]], "path string, is_dir boolean")
+    files = n.select(F.concat(chunk("n_regionkey"), F.format_string("/episode_%06d.parquet", "n_nationkey")).alias("path"), F.lit(False).alias("is_dir"))
+    return fixed.unionByName(r.select(chunk("r_regionkey").alias("path"), F.lit(True).alias("is_dir"))).unionByName(files)
+
+
+@query(
+    """select 'structure' category, 'ERROR' as level, 'videos is missing' message union all select 'structure', 'SUCCESS', 'meta is there' union all select 'structure', 'SUCCESS', 'data is there'
+union all select 'structure', 'SUCCESS', (select count(*) from nation) || ' episode files in ' || (select count(*) from region) || ' chunks'
+union all select 'metadata', 'SUCCESS', 'info.json is there' union all select 'metadata', 'SUCCESS', 'episodes.jsonl is there' union all select 'metadata', 'ERROR', 'tasks.jsonl is missing' union all select 'metadata', 'ERROR', 'README.md is missing'"""
+)
+def structure_rules(spark, sf_dir):
+    tree = _tree(spark, sf_dir)
+    return validators.structure(tree).unionByName(validators.metadata_files(tree))
+
+
+@query("select 'tasks' category, 'SUCCESS' as level, count(distinct p_type) || ' tasks' message from part union all select 'tasks', 'SUCCESS', count(distinct p_type) || ' recovery tasks' from part where p_partkey % 2 = 0 and contains(lower(p_type), 'recovery') having count(*) > 0")
+def task_rules(spark, sf_dir):
+    line = F.to_json(F.struct(F.col("p_partkey").cast("int").alias("episode_index"), F.array("p_type").alias("tasks")))
+    return validators.tasks(table(spark, sf_dir, "part").select(line.alias("value")))
+
+
+@query(
+    """with f as (select 'structure' category, 1 errors, 0 warnings union all select 'metadata', 2, 0 union all select 'splits', 0, (select count(*) filter (where n_nationkey % 2 <> 0) + count(*) filter (where n_nationkey % 3 <> 0) from nation where n_nationkey <> 24)
+union all select 'features', (select count(*) from nation where n_nationkey % 2 <> 0 and n_nationkey <> 24), (select count(*) from nation where n_nationkey % 3 = 0 and n_nationkey <> 24) union all select 'images', 0, (select count(*) from nation where n_nationkey % 3 <> 0 and n_nationkey * 40 < 480)
+union all select 'tasks', 0, 0 union all select 'synchronization', 0, (select count(*) from documents where not (contains(lower(text), 'synchron') or contains(lower(text), 'timestamp')))
+union all select 'columns', 0, 3 union all select 'variation', 0, 0)
+select category, cast(errors as bigint) errors, cast(warnings as bigint) warnings, errors = 0 as compliant from f"""
+)
+def dataset_findings(spark, sf_dir):
+    lines = table(spark, sf_dir, "part").select(F.to_json(F.struct(F.col("p_partkey").cast("int").alias("episode_index"), F.array("p_type").alias("tasks"))).alias("value"))
+    readme = table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    found = validators.all_findings(_tree(spark, sf_dir), _infos(spark, sf_dir), lines, readme, vectors(spark, sf_dir), "v")
+    return quality.roll_up(found).drop("messages")
 
 
 _FEATURES = [("action", "float32", 16), ("observation.state", "float64", 16), ("observation.images.left", "video", 540), ("extra.note", "string", 1), ("tool", "string", 2)]

@@ -96,6 +96,20 @@ def direct_episodes(entries: DataFrame) -> DataFrame:
     return found.where("d IS NOT NULL").select("episode_id", "d.*").orderBy("tissue_num", "collector", "phase", "action", "episode_id")
 
 
+def numbered_folders(entries: DataFrame, parent: str = "") -> DataFrame:
+    """(path, number) of the folders right below ``parent`` by the number at their names' end, those without one last."""
+    here = entries.where("is_dir").where(F.col("parent") == parent)
+    return here.select("path", N.trailing_number(F.col("name")).alias("number")).orderBy(F.asc_nulls_last("number"), "path")
+
+
+def video_runs(entries: DataFrame, root: str) -> DataFrame:
+    """(path, output) of folders collector/tissue/run with left frames, in order, and the name of each one's video."""
+    left = entries.where("is_dir AND name = 'left_img_dir' AND depth = 4")
+    part = lambda i: F.get(F.split("parent", "/"), F.lit(i))
+    output = F.concat_ws("_", F.lit(root), part(0), F.replace(part(1), F.lit("#"), F.lit("")), part(2))
+    return left.select(F.col("parent").alias("path"), F.concat(output, F.lit(".mp4")).alias("output")).orderBy("path")
+
+
 def sessions(entries: DataFrame) -> DataFrame:
     """Folders whose name is a session's, with tissue, session and collector; sorted by path."""
     named = entries.where("is_dir").withColumn("s", N.session_parts(F.col("name"))).where("s IS NOT NULL")

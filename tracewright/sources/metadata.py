@@ -13,6 +13,11 @@ SPLITS = ("test", "train", "val")
 LEAST_FPS, ROBOT = 20, "dvrk"
 
 
+def parsed(df: DataFrame, text: str = "value") -> DataFrame:
+    """``df`` plus its info document as _j."""
+    return _parsed(df, INFO, text)
+
+
 def _parsed(df: DataFrame, schema: str, text: str) -> DataFrame:
     return df.withColumn("_j", F.from_json(F.col(text), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
 

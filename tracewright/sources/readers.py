@@ -2,21 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracewright.schema import SYNTHETIC_STEP_NS, plain, timestamp_column
+from tracewright.schema import MOTION_COLUMNS, SYNTHETIC_STEP_NS, plain, timestamp_column
 
 
-def kinematics(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """CSV samples of one layout with episode_id (the file's folder), kin_idx, ts_ns and sanitised column names.
+def relative_folder(path: Column, root: str | None) -> Column:
+    """A file's folder below ``root``, as listings name episodes; without a root the folder's own name."""
+    if root is None:
+        return F.regexp_extract(path, "([^/]+)/[^/]*$", 1)
+    root = root.split("://", 1)[-1].rstrip("/") + "/"
+    plain_path = F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    below = F.substring(plain_path, F.instr(plain_path, root) + len(root), F.length(plain_path))
+    return F.regexp_replace(below, "/?[^/]*$", "")
+
+
+def raw_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(cells): the rows of CSV files as they are, each a list of texts, headers included."""
+    df = spark.read.csv(paths, header=False, inferSchema=False)
+    return df.select(F.array(*df.columns).alias("cells"))
+
+
+def motion_samples(spark: SparkSession, paths: str | list[str], root: str | None = None) -> DataFrame:
+    """As kinematics, but of the motion columns that are there only, as doubles; others are not parsed."""
+    return kinematics(spark, paths, root, MOTION_COLUMNS)
+
+
+def in_file_order(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet rows with _file and _row, their place in the file."""
+    return spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def kinematics(spark: SparkSession, paths: str | list[str], root: str | None = None, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """CSV samples of one layout with episode_id (the file's folder below ``root``), kin_idx, ts_ns and sanitised names.
+
+    With ``columns`` only those and the time are read, as doubles and whole numbers.
 
     ts_ns is the first column whose name holds ``time`` or ``stamp``, with its own type; without one the samples are
     30 Hz apart from 0. Samples are numbered in the order of their file, within one file at a time.
     """
-    df = spark.read.csv(paths, header=True, inferSchema=True)
+    df = spark.read.csv(paths, header=True, inferSchema=columns is None)
     path = F.col("_metadata.file_path")
-    df = df.select(*[F.col(f"`{c}`").alias(plain(c)) for c in df.columns], F.regexp_extract(path, "([^/]+)/[^/]*$", 1).alias("episode_id"), path.alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    time = timestamp_column(df.columns)
+    read = [F.col(f"`{c}`").alias(plain(c)) for c in df.columns] if columns is None else [F.col(f"`{c}`").try_cast("bigint" if c == time else "double").alias(plain(c)) for c in df.columns if c in columns or c == time]
+    df = df.select(*read, relative_folder(path, root).alias("episode_id"), path.alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
     ts = timestamp_column([c for c in df.columns if c not in ("episode_id", "_file", "_block", "_at")])
     order = Window.partitionBy("_file").orderBy("_block", "_at")
     out = df.withColumn("kin_idx", (F.row_number().over(order) - 1).cast("bigint"))
@@ -32,10 +62,9 @@ def annotations(spark: SparkSession, root: str) -> DataFrame:
     return annotation_files(raw.select(F.col("_metadata.file_path").alias("path"), "value"))
 
 
-def dataset(spark: SparkSession, root: str, episode: int | None = None) -> DataFrame:
-    """Rows of a dataset; one episode is read from its own chunk and file only."""
-    rows = spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data")
-    return rows if episode is None else rows.where(F.col("episode_index") == episode)
+def dataset(spark: SparkSession, root: str, episode: int | None = None, chunk: int = 1000) -> DataFrame:
+    """Rows of a dataset in the published layout; of one episode only its own file is opened."""
+    return spark.read.parquet(f"{root}/data/chunk-*/episode_*.parquet" if episode is None else f"{root}/data/chunk-{episode // chunk:03d}/episode_{episode:06d}.parquet")
 
 
 def binary_images(spark: SparkSession, root: str) -> DataFrame:

@@ -13,10 +13,31 @@ from pyspark.sql import functions as F
 from tracewright.functions import names as N
 
 
-def write_dataset(rows: DataFrame, root: str, chunk: int = 1000, mode: str = "errorifexists") -> None:
-    """Parquet partitioned by chunk and episode, each episode by one task, its rows in order of frame_index."""
-    laid = rows.withColumn("chunk", F.floor(F.col("episode_index") / chunk)).withColumn("episode", F.col("episode_index"))
-    laid.repartition("episode").sortWithinPartitions("episode", "frame_index").write.mode(mode).partitionBy("chunk", "episode").parquet(f"{root}/data")
+def write_dataset(rows: DataFrame, root: str, chunk: int = 1000) -> None:
+    """``data/chunk-000/episode_000000.parquet``: one file an episode, its rows in order of frame_index.
+
+    Tasks write one file for each of their episodes under ``root/_staged``; these are then moved to their names, which
+    touches no data. Episodes that are there already raise FileExistsError before anything moves.
+    """
+    spark, staged = rows.sparkSession, f"{root}/_staged"
+    laid = rows.withColumn("_episode", F.col("episode_index"))
+    laid.repartition("_episode").sortWithinPartitions("_episode", "frame_index").write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("_episode").parquet(staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    moves = []
+    for folder in fs.listStatus(path(staged)):
+        name = folder.getPath().getName()
+        if name.startswith("_episode="):
+            episode = int(name.removeprefix("_episode="))
+            file = next(f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().endswith(".parquet"))
+            moves.append((file, path(f"{root}/data/chunk-{episode // chunk:03d}/episode_{episode:06d}.parquet")))
+    there = [str(to) for _, to in moves if fs.exists(to)]
+    if there:
+        raise FileExistsError(there[0])
+    for file, to in moves:
+        fs.mkdirs(to.getParent())
+        fs.rename(file, to)
+    fs.delete(path(staged), True)
 
 
 def file_manifest(rows: DataFrame, chunk: int = 1000) -> DataFrame:
