@@ -30,10 +30,10 @@ def align_ranges(plan: DataFrame, ref: DataFrame, src: DataFrame, by: list[str],
     plans = bound("_t1", 0).unionByName(bound("_t2", 2))
     rows = src.select(*by, F.col(ts).alias("_t"), F.lit(1).alias("_place"), F.lit(None).cast(plans.schema["_plan"].dataType).alias("_plan"))
     running = Window.partitionBy(*by).orderBy("_t", "_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = plans.unionByName(rows).withColumn("_k", F.count(F.when(F.col("_place") == 1, 1)).over(running)).where("_place <> 1")
-    counts = src.groupBy(*by).agg(F.count("*").alias("_m"))
+    source = F.count(F.when(F.col("_place") == 1, 1))
+    before = plans.unionByName(rows).withColumn("_k", source.over(running)).withColumn("_m", source.over(Window.partitionBy(*by)))
     at = lambda place: F.max(F.when(F.col("_place") == place, F.col("_k")))
-    out = before.groupBy(*by, "_plan").agg(at(0).alias("_s"), (at(2) - 1).alias("_e")).join(counts, by).select(*by, "_plan.*", "_s", "_e", "_m")
+    out = before.where("_place <> 1 AND _m > 0").groupBy(*by, "_plan").agg(at(0).alias("_s"), (at(2) - 1).alias("_e"), F.max("_m").alias("_m")).select(*by, "_plan.*", "_s", "_e", "_m")
     inside = lambda c: F.greatest(F.lit(0), F.least(F.col(c), F.col("_m") - 1)).cast("bigint")
     out = out.withColumn("src_start", inside("_s")).withColumn("src_end", inside("_e")).drop("_s", "_e", "_m")
     return out.withColumn("empty", F.col("src_end") < F.col("src_start"))
