@@ -26,8 +26,8 @@ def align_ranges(plan: DataFrame, ref: DataFrame, src: DataFrame, by: list[str],
     # one pass over bounds and source rows in order of time: the source rows before a bound are a running count
     keys = list(dict.fromkeys([*by, *plan_key]))
     mine = [c for c in keys if c not in by]
-    bound = lambda c, place: p.select(*by, F.col(c).alias("_t"), F.lit(place).alias("_place"), F.struct(*mine, "start", "end").alias("_plan"))
-    plans = bound("_t1", 0).unionByName(bound("_t2", 2))
+    bound = lambda c, place: F.struct(F.col(c).alias("_t"), F.lit(place).alias("_place"))
+    plans = p.select(*by, F.explode(F.array(bound("_t1", 0), bound("_t2", 2))).alias("_b"), F.struct(*mine, "start", "end").alias("_plan")).select(*by, "_b.*", "_plan")
     rows = src.select(*by, F.col(ts).alias("_t"), F.lit(1).alias("_place"), F.lit(None).cast(plans.schema["_plan"].dataType).alias("_plan"))
     running = Window.partitionBy(*by).orderBy("_t", "_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     source = F.count(F.when(F.col("_place") == 1, 1))
