@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tracewright.llm.common import checkpointed
 
-#: A section ends where blank lines end and before a heading line, a paragraph at a line end, a sentence (the leaves of the
-#: tree) after its marks and the blanks behind them, or after this many characters.
-SECTION = r"(?<=\n[ \t\r]{0,16}\n)(?![ \t\r]*\n)|(?<=\n)(?=#{1,6} )"
+#: A paragraph ends at a line end. A section begins after blank lines and at a heading line. A sentence (the leaves of the
+#: tree) ends after its marks and the blanks behind them, or after this many characters.
+BLANK, HEADING = r"^[ \t\r\n]*$", r"^#{1,6} "
 PARAGRAPH = r"(?<=\n)"
 SENTENCE = r"[^.!?|]{0,200}[.!?|]*\s*"
 #: Parts of the written fingerprint: root, then sections, then paragraphs, which are their sentences' digests.
@@ -40,8 +40,13 @@ def with_tree(df: DataFrame, text: str, name: str) -> DataFrame:
     """
     some = lambda parts: F.filter(parts, lambda p: p != "")
     sentences = lambda p: F.transform(some(F.regexp_extract_all(p, F.lit(SENTENCE), F.lit(0))), lambda x: F.xxhash64(x))
-    paragraphs = lambda s: F.transform(some(F.split(s, PARAGRAPH)), sentences)
-    out = df.withColumn("_sections", F.transform(some(F.split(F.col(text), SECTION)), paragraphs))
+    out = df.withColumn("_lines", some(F.split(F.col(text), PARAGRAPH)))
+    out = out.withColumn("_blank", F.transform("_lines", lambda l: l.rlike(BLANK))).withColumn("_paragraphs", F.transform("_lines", sentences))
+    new = lambda l, i: (i == 0) | l.rlike(HEADING) | ((i > 1) & F.get("_blank", i - 1) & ~F.get("_blank", i))
+    out = out.withColumn("_starts", F.filter(F.transform("_lines", lambda l, i: F.when(new(l, i), i + 1).otherwise(0)), lambda i: i > 0))
+    end = lambda i: F.coalesce(F.get("_starts", i + 1), F.size("_paragraphs") + 1)
+    out = out.withColumn("_sections", F.transform("_starts", lambda start, i: F.slice("_paragraphs", start, end(i) - start)))
+    out = out.drop("_lines", "_blank", "_paragraphs", "_starts")
     return out.withColumn(name, F.struct(F.xxhash64(F.transform("_sections", _section)).alias("root"), F.col("_sections").alias("sections"))).drop("_sections")
 
 
