@@ -470,6 +470,35 @@ def test_held_out_accuracy(spark):
     assert np.mean([r.predicted == r.toxic for r in got]) > 0.97
 
 
+def test_network_against_plain_loops():
+    """Every window of every chunk by loops over bytes and filters, with whole texts in training."""
+    rng = random.Random(3)
+    rows = [("good words here " * rng.randint(1, 400), 1) for _ in range(6)] + [("$$ %% ## " * rng.randint(1, 90), 0) for _ in range(6)]
+    net = bytecnn.ByteCNN().fit(rows, 2)
+    for text in ("", "short", "plain words " * 60, "é$" * 700, None):
+        raw = (text or "").encode()
+        raw += bytes(max(0, bytecnn.WIDTH - len(raw)))
+        chunks = []
+        for start in range(0, len(raw) - bytecnn.WIDTH + 1, bytecnn.CHUNK):
+            stop = min(len(raw) - bytecnn.WIDTH + 1, start + bytecnn.CHUNK)
+            most = [max(sum(float(net.conv[k][raw[i + k], f]) for k in range(bytecnn.WIDTH)) for i in range(start, stop)) for f in range(bytecnn.FILTERS)]
+            chunks.append([max(0.0, m + float(b)) for m, b in zip(most, net.bias, strict=True)])
+        z = float(net.shift)
+        for f in range(bytecnn.FILTERS):
+            column = [c[f] for c in chunks]
+            z += sum(column) / len(column) * float(net.mean_weight[f]) + max(column) * float(net.max_weight[f])
+        assert net.score(text) == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
+def test_added_columns_replace_clashing_ones(spark, odd, labels):
+    more = odd.withColumns({n: F.lit("x") for n in ("quality_score", "_text", "ids", "token_bytes")})
+    assert bytecnn.score_documents(more, bytecnn.ByteCNN().freeze()).where("quality_score BETWEEN 0 AND 1").count() == odd.count()
+    got = bpe.encoded(more, tokenizer_path()).select("ids", "token_bytes").collect()
+    assert len(got) == odd.count() and all(len(r.ids) == len(r.token_bytes) for r in got)
+    images = spark.createDataFrame([(media.media_tile(b"P5 1 1 255 a", None, None), "x", "y")], "content binary, tile string, error string")
+    assert media.decoded_images(images.where("false"), "content").count() == 0 and media.decoded_images(images, "content").columns[0] == "content"
+
+
 def test_network_sees_whole_texts():
     net = bytecnn.ByteCNN().freeze()
     text = "plain words here " * 200

@@ -319,7 +319,8 @@ def _batches(texts: list[str], most: int = 300_000) -> Iterator[list[str]]:
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """The columns of ``docs``, ids (array of int) and token_bytes (byte length of each token, which locate tokens).
 
-    ``path`` names a rank file that every machine has. Null and empty texts have no ids.
+    ``path`` names a rank file that every machine has. Null and empty texts have no ids; repeated rows each come back;
+    columns of the new names (and ``_text``) are replaced; an empty table gives an empty result.
     """
     prepare(docs.sparkSession)
 
@@ -330,9 +331,9 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
             sizes = [[len(v.parts[i]) for i in x] for x in ids]
             yield batch.drop(columns="_text").assign(ids=ids, token_bytes=sizes)
 
-    names = [f"`{n}`" for n in docs.columns]
-    schema = docs.withColumns({"ids": F.lit(None).cast("array<int>"), "token_bytes": F.lit(None).cast("array<int>")}).schema
-    return docs.select(*names, F.col("text").alias("_text")).mapInPandas(run, schema)
+    own = docs.drop("ids", "token_bytes", "_text")
+    schema = own.withColumns({"ids": F.lit(None).cast("array<int>"), "token_bytes": F.lit(None).cast("array<int>")}).schema
+    return own.withColumn("_text", F.col("text")).mapInPandas(run, schema)
 
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:

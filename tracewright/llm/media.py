@@ -164,9 +164,11 @@ def media_tile(data: bytes, height: int | None = None, width: int | None = None)
 def decoded_images(rows: DataFrame, content: str, height: int | None = None, width: int | None = None) -> DataFrame:
     """``rows`` plus tile (NPY bytes), rows, columns and dhash of the images in the binary column ``content``.
 
-    Null and unreadable images give nulls; the reason is in ``error``.
+    Null and unreadable images give nulls; the reason is in ``error``. Repeated rows each come back; columns of the new
+    names are replaced; an empty table gives an empty result.
     """
     prepare(rows.sparkSession)
+    rows = rows.drop("tile", "tile_rows", "tile_columns", "dhash", "error")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

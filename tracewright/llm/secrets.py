@@ -197,7 +197,10 @@ def secret_scan(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each found span replaced by ``mark`` and n_chars counted again; overlapping spans become one mark."""
+    """``docs`` with each found span replaced by ``mark`` and n_chars counted again; overlapping spans become one mark.
+
+    Null and empty texts stay as they are, repeated rows each come back with equal texts, an empty table stays empty.
+    """
     names = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), "text")
     # rows without any candidate, nearly all, pass by; only the others are written and joined
