@@ -844,7 +844,7 @@ def test_merkle_against_brute_force(spark):
         assert r.x == pytest.approx(want), (r.a, r.b)
         assert [[len(p) for p in s] for s in r.ta.sections] == [[len(p) for p in s] for s in slow_tree(r.a)], r.a
         assert (r.ta.root == r.tb.root) == (r.a == r.b) and (r["at"] is None) == (r.a == r.b)
-        shape = [[len(p) // 16 for p in s.split(",")] for s in r.text.split("|")[1].split("/")] if r.a else []
+        shape = [[len(p) // 8 for p in s.split(",")] for s in r.text.split("|")[1].split("/")] if r.a else []
         assert shape == [[len(p) for p in s] for s in r.ta.sections]
         if r["at"] is not None:
             sections = slow_tree(r.a)

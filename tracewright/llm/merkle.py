@@ -51,8 +51,10 @@ def with_tree(df: DataFrame, text: str, name: str) -> DataFrame:
 
 
 def fingerprint_text(tree: Column) -> Column:
-    """``root|section/section/...`` of a tree; a section is its paragraphs, joined by commas, of 16 hex digits a sentence."""
-    paragraph = lambda p: F.array_join(F.transform(p, _hex16), "")
+    """``root|section/section/...`` of a tree: the root in 16 hex digits; a section is its paragraphs, joined by commas, of the
+    last 8 hex digits of each sentence's digest."""
+    short = lambda h: F.lower(F.lpad(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
+    paragraph = lambda p: F.array_join(F.transform(p, short), "")
     section = lambda s: F.array_join(F.transform(s, paragraph), PARAGRAPH_SEP)
     return F.concat(_hex16(tree["root"]), F.lit(ROOT_SEP), F.array_join(F.transform(tree["sections"], section), SECTION_SEP))
 
@@ -60,14 +62,16 @@ def fingerprint_text(tree: Column) -> Column:
 def _split_equal(df: DataFrame, a: str, b: str, digest: Callable[[Column], Column], front: str, back: str) -> DataFrame:
     """``df`` with the arrays ``a`` and ``b`` cut to the range in which the ``digest`` of their elements differ, and with the
     numbers of equal elements before (``front``) and after it (``back``)."""
-    same = lambda x, y: F.zip_with(x, y, lambda p, q: p.isNotNull() & q.isNotNull() & (p == q))
-    run = lambda x, y: F.when(F.array_position(same(x, y), False) > 0, F.array_position(same(x, y), False) - 1).otherwise(F.size(x))
     out = df.withColumn("_da", F.transform(a, digest)).withColumn("_db", F.transform(b, digest))
-    out = out.withColumn(front, run(F.col("_da"), F.col("_db")).cast("int"))
-    rest = lambda x: F.reverse(F.slice(x, F.col(front) + 1, F.size(x)))
-    out = out.withColumn("_ra", rest("_da")).withColumn("_rb", rest("_db")).withColumn(back, run(F.col("_ra"), F.col("_rb")).cast("int"))
+    for name in (front, back):  # the equal ones at the front, then at the back of what is left
+        same = F.zip_with("_da", "_db", lambda p, q: p.isNotNull() & q.isNotNull() & (p == q))
+        out = out.withColumn("_first", F.array_position(same, False).cast("int"))
+        out = out.withColumn(name, F.when(F.col("_first") > 0, F.col("_first") - 1).otherwise(F.size("_da")))
+        if name == front:
+            rest = lambda x: F.reverse(F.slice(x, F.col(front) + 1, F.size(x)))
+            out = out.withColumn("_da", rest("_da")).withColumn("_db", rest("_db"))
     middle = lambda x: F.slice(x, F.col(front) + 1, F.greatest(F.lit(0), F.size(x) - F.col(front) - F.col(back)))
-    return out.withColumn(a, middle(a)).withColumn(b, middle(b)).drop("_da", "_db", "_ra", "_rb")
+    return out.withColumn(a, middle(a)).withColumn(b, middle(b)).drop("_da", "_db", "_first")
 
 
 def with_likeness(df: DataFrame, a: str, b: str, name: str, where: str | None = None) -> DataFrame:
