@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import prepare
+from tracewright.llm.common import batches_then_release, prepare
 
 # Codepoint classes.
 LETTER, NUMBER, MARK, SPACE, BLANK = range(5)  # BLANK is U+0020, SPACE any other white space
@@ -326,7 +326,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = vocabulary(path)
-        for batch in batches:
+        for batch in batches_then_release(batches):
             ids = [x[0] for part in _batches([t or "" for t in batch["_text"]]) for x in v.encode(part)]
             sizes = [[len(v.parts[i]) for i in x] for x in ids]
             yield batch.drop(columns="_text").assign(ids=ids, token_bytes=sizes)
@@ -346,7 +346,7 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = vocabulary(path)
-        for batch in batches:
+        for batch in batches_then_release(batches):
             out = []
             for part in _batches([t or "" for t in batch["text"]]):
                 for ids, decimal, _ in v.encode(part):

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import held_out, labelled_sample, prepare
+from tracewright.llm.common import batches_then_release, held_out, labelled_sample, prepare
 
 #: Bytes under a filter, filters, bytes of a chunk and its step: chunks overlap by WIDTH - 1 bytes, so no window is lost.
 WIDTH, FILTERS, CHUNK = 6, 16, 512
@@ -133,7 +133,7 @@ def score_documents(docs: DataFrame, model: ByteCNN) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         net = shared.value
-        for batch in batches:
+        for batch in batches_then_release(batches):
             yield batch.assign(quality_score=np.array([net.score(t) for t in batch["_text"]], float)).drop(columns="_text")
 
     own = docs.drop("quality_score", "_text")
@@ -162,7 +162,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = KEEP_FROM) -> D
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         net = shared.value
-        for batch in batches:
+        for batch in batches_then_release(batches):
             yield batch[np.array([net.score(t) >= least for t in batch["text"]], bool)]
 
     return docs.mapInPandas(run, docs.schema)

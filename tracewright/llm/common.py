@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +38,16 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def batches_then_release(batches: Iterator) -> Iterator:
+    """``batches`` of one task; when they end, memory that allocators hold without need goes back to the system, as a
+    Python worker lives on for the tasks of later stages."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it, others need not
+    if trim is not None:
+        trim(0)
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder through Hadoop's file systems, wherever it lies."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import broadcast_if_small, checkpointed, join_hot, prepare
+from tracewright.llm.common import batches_then_release, broadcast_if_small, checkpointed, join_hot, prepare
 
 BITS = 64
 #: Blocks of equal width; two fingerprints at MAX_BITS or fewer differing bits agree on BLOCKS - MAX_BITS of them.
@@ -102,7 +102,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: tuple[str, ...]
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in batches_then_release(batches):
             marks = np.array([simhash(t, shingle_words) for t in batch["_text"]], np.uint64).view(np.int64)
             yield batch.drop(columns="_text").assign(**{name: marks})
 
@@ -298,7 +298,7 @@ def wide_fingerprints(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in batches_then_release(batches):
             sets = [shingle_set(t, shingle_words) for t in batch["_text"]]
             bits = [wide_simhash(x) for x in sets]
             marks = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
@@ -315,7 +315,7 @@ def shingle_sets(texts: DataFrame, shingle_words: int = 5) -> DataFrame:
     """(fp, shingles) of each row of ``texts`` (fp, text): its distinct shingle hashes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in batches_then_release(batches):
             yield pd.DataFrame({"fp": batch["fp"], "shingles": [shingle_set(t, shingle_words).view(np.int64) for t in batch["text"]]})
 
     return texts.select("fp", "text").mapInPandas(run, "fp long, shingles array<long>")
