@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.llm import bpe, bytecnn, licenses, media, merkle, mixing, secrets, simhash, toxicity, urls
+from tracewright.llm import bpe, bytecnn, codes, licenses, media, merkle, mixing, secrets, simhash, toxicity, urls
 from tracewright.llm.common import table
 
 #: Rank file of op9, by its name among the public tokenizers.
@@ -60,8 +60,12 @@ def op10_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints_and_edits(table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_url_filter, op4_toxicity, op5_secrets, op6_licenses, op7_media, op8_quality, op9_bpe, op10_merkle)}
+    return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_url_filter, op4_toxicity, op5_secrets, op6_licenses, op7_media, op8_quality, op9_bpe, op10_merkle, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
