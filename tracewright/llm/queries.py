@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.llm import bpe, bytecnn, codes, licenses, media, merkle, mixing, secrets, simhash, toxicity, urls
+from tracewright.llm import bpe, bytecnn, codes, decontaminate, licenses, media, merkle, mixing, secrets, simhash, toxicity, urls
 from tracewright.llm.common import table
 
 #: Rank file of op9, by its name among the public tokenizers.
@@ -60,14 +60,37 @@ def op10_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints_and_edits(table(spark, sf_dir, "documents"))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_url_filter, op4_toxicity, op5_secrets, op6_licenses, op7_media, op8_quality, op9_bpe, op10_merkle, op13_vector_codes)}
+    return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_url_filter, op4_toxicity, op5_secrets, op6_licenses, op7_media, op8_quality, op9_bpe, op10_merkle, op12_decontamination, op13_vector_codes)}
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: Windows of ten words, found by a join on their text; each document word has the list of the ten words from it on.
+OP12_SQL = f"""
+with d as materialized (select row_number() over () rn, doc_id, {_WORDS} w from documents),
+p as (select rn, unnest(w) word, generate_subscripts(w, 1) i from d),
+g as (select rn, i, list(word) over (partition by rn order by i rows between current row and 9 following) as l from p),
+b as (select item_id, {_WORDS} w from benchmark),
+n as (select item_id, w, unnest(range(greatest(len(w) - 9, 1))) i from b where len(w) > 0),
+win as materialized (select distinct item_id, least(len(w), 10) k, array_to_string(w[i + 1 : i + 10], ' ') s from n),
+k as (select distinct k from win),
+o as materialized (select rn, i, k.k, item_id from g join k on len(l) >= k.k join win on win.k = k.k and s = array_to_string(l[1 : k.k], ' ')),
+h as (select rn, count(distinct spot) n_hit from (select rn, unnest(range(i, i + k)) as spot from o) group by rn),
+m as (select rn, count(*) n_items, string_agg(item, ',' order by item) items from (select distinct rn, item_id::varchar item from o) group by rn)
+select doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, sha256(coalesce(items, '')) items_sha256, n_hit is not null as contaminated
+from d left join h using (rn) left join m using (rn)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    """None: each result has parts that SQL cannot express (XXH64, learned scores, tokenizers, seeded choices)."""
-    return {}
+    """SQL of the last three; each result of the first ten has parts that SQL cannot express (XXH64, learned scores,
+    tokenizers, seeded choices)."""
+    return {"op12_decontamination": OP12_SQL}
