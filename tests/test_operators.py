@@ -1,7 +1,10 @@
 """Golden vectors of the operators."""
 
 import json
+import math
 import os
+import random
+import re
 
 import numpy as np
 import pytest
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from tracewright import schema
 from tracewright.functions import names as N
 from tracewright.functions import quaternion as Q
-from tracewright.operators import align, asof, assemble, motion, planning, quality
+from tracewright.operators import align, asof, assemble, motion, parts, planning, quality
 from tracewright.plans import pipelines
 from tracewright.sources import listing, metadata, readers, writers
 from tracewright.streaming import sync as live
@@ -292,6 +295,26 @@ def test_natural_keys_of_long_numbers(spark):
     assert [r.t for r in rows] == ["f", "f02", "F3", "f10", "f" + "9" * 30, "f1" + "0" * 30, "g1"]
 
 
+def parts_of(name):
+    out = []
+    for p in re.split(r"([0-9]+)", name.lower()):
+        out.append(int(p) if p.isdigit() else p)
+    return out
+
+
+def test_natural_keys_sort_as_lists_of_parts(spark):
+    rng = random.Random(4)
+    marks = [chr(c) for c in range(1, 128)] + ["é", "中"]
+    names = ["a1.jpg", "a-1.jpg", "a.jpg", "frame 2.png", "frame.png", "frame2.png", "", "1", "01", "a", "a1", "a1b", "a 1", "10", "9z"]
+    names += ["".join(rng.choice(["a", "B", str(rng.randrange(12)), "00", rng.choice(marks)]) for _ in range(rng.randrange(1, 8))) for _ in range(3000)]
+    rows = spark.createDataFrame([(n,) for n in dict.fromkeys(names)], "n string").select("n", N.natural_key(F.col("n")).alias("k")).orderBy("k").collect()
+    assert [parts_of(r.n) for r in rows] == sorted(parts_of(r.n) for r in rows)
+    same = {}
+    for r in rows:
+        same.setdefault(r.k, []).append(parts_of(r.n))
+    assert all(p == ps[0] for ps in same.values() for p in ps) and len(same) == len({str(parts_of(n)) for n in names})
+
+
 def test_positions_with_one_hot_group(spark):
     rows = spark.range(5000).select(F.when(F.col("id") < 4500, "hot").otherwise("cold").alias("g"), F.col("id"))
     for bucket in (None, F.floor(F.col("id") / 100)):
@@ -356,3 +379,123 @@ def test_live_pairs(spark):
     kin = spark.createDataFrame([("e", 0, 90), ("e", 1, 110), ("e", 2, 900)], "episode_id string, kin_idx long, t long").select("episode_id", "kin_idx", F.timestamp_millis("t").alias("kin_time"))
     pairs = live.candidate_pairs(left, kin, 50)
     assert pairs.count() == 2 and live.nearest_of_pairs(pairs).first().kin_idx == 1
+
+
+def recordings(spark, seed=7):
+    """One episode with 90 % of all rows, a short one and one without a name; times repeat, some are null."""
+    rng = np.random.default_rng(seed)
+    rows = [("long" if i % 10 else ("short" if i % 20 else None), i, None if i % 97 == 0 else int(rng.integers(0, 2000)), *map(float, rng.integers(-2, 3, 4))) for i in range(3000)]
+    return spark.createDataFrame(rows, "e string, i long, t long, a double, b double, c double, d double").repartition(6)
+
+
+def listed_rows(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("span", [1, 50, 700, 10_000])
+def test_long_recordings_in_parts_are_equal(spark, span):
+    rows = recordings(spark)
+    probe, one, two = (rows.where(f"i % 3 = {k}").select("e", "i", "t") for k in range(3))
+    for tie in ("later", "earlier"):
+        whole, cut = (asof.nearest_streams(probe, {"one": one, "two": two.where("t > 900")}, ["e"], "t", "i", tie, s) for s in (None, span))
+        assert listed_rows(whole) == listed_rows(cut)
+    numbered = rows.withColumnRenamed("t", "at")
+    whole, cut = (motion.deltas(numbered, ["e"], ["at", "i"], ["a"], [["b", "c", "d"]], s) for s in (None, span))
+    assert listed_rows(whole) == listed_rows(cut)
+    signs = numbered.select("e", "i", "at", F.array("a", "b", "c", "d").alias("q"))
+    whole, cut = (motion.quaternion_signs(signs, ["e"], ["at", "i"], "q", s) for s in (None, span))
+    assert listed_rows(whole) == listed_rows(cut)
+    known = rows.where("t IS NOT NULL AND e IS NOT NULL").select("e", "i", "t")
+    ref = align.indexed(known.where("i % 2 = 0"), ["e"], ["t", "i"])
+    plan = ref.select("e", F.col("idx").alias("p"), (F.col("idx") - 3).alias("start"), (F.col("idx") + 11).alias("end"))
+    whole, cut = (align.align_ranges(plan, ref, known.where("i % 5 = 1"), ["e"], ["p"], "t", span=s) for s in (None, span))
+    assert listed_rows(whole) == listed_rows(cut)
+
+
+def test_parts_are_even(spark):
+    """An episode with 90 % of the rows: no part holds more than twice the median."""
+    rows = spark.range(20_000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(99).alias("e"), F.col("id").alias("i"), (F.col("id") * 1000).alias("t"), F.rand(1).alias("x"))
+    span = parts.span_for(rows, ["e"], "t", 1000)
+    assert 900 <= span / 1000 <= 1300 and parts.span_for(rows, ["e"], "t", 100_000) is None
+    sizes = sorted(r["count"] for r in rows.where("e = 99").groupBy(parts.part_of(F.col("t"), span).alias("p")).count().collect())
+    assert len(sizes) > 15 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    plan = motion.deltas(rows, ["e"], ["t", "i"], ["x"], span=span)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(e#" in plan and "_part#" in plan
+
+
+def test_sweep_of_many_thresholds(spark):
+    rng = np.random.default_rng(1)
+    moved = motion.deltas(spark.createDataFrame([(e, i, None if i == 7 else float("nan") if i == 9 else float(x)) for e in range(12) for i, x in enumerate(np.cumsum(rng.integers(0, 4, 5 + 9 * e) * rng.random(5 + 9 * e)))], "e long, i long, x double"), ["e"], ["i"], ["x"])
+    thresholds = [float(x) for x in rng.permutation(np.concatenate([np.linspace(0, 3, 400), [0.5, 0.5, 99.0, -1.0]]))]
+    got = {r.i: r for r in motion.threshold_sweep(moved, ["e"], thresholds, 6).collect()}
+    data = {}
+    for r in moved.collect():
+        data.setdefault(r.e, []).append((r.t, r.delta))
+    assert sorted(got) == list(range(len(thresholds)))
+    for i, x in enumerate(thresholds):
+        lengths = []
+        for rows in data.values():
+            n, hits = len(rows), [t for t, d in rows if d is not None and not math.isnan(d) and d > x]
+            lengths.append((n, min(max(hits) + 1, n - 1) - min(hits) + 1 if hits else n))
+        kept = [k for _, k in lengths if k >= 6]
+        want = (x, sum(n - k if k >= 6 else n for n, k in lengths), len(lengths) - len(kept), np.mean(kept) if kept else 0, np.median(kept) if kept else 0)
+        assert tuple(got[i])[1:] == pytest.approx(want)
+
+
+def test_files_of_other_layouts(spark, tmp_path):
+    texts = {"a": "time,p,psm1_jaw\n10,1,0.5\n20,2,0.25\n", "b": "p,time\n3,30\n4,40\n", "c": 'p,"time",extra,psm1_jaw\n5.5,50,"x, ""y""",\n', "d": "p,q\n7,8\n", "e": "", "f": "time,p\n"}
+    for k, text in texts.items():
+        (tmp_path / "in put" / k).mkdir(parents=True)
+        (tmp_path / "in put" / k / "ee_csv.csv").write_text(text)
+    paths = [str(tmp_path / "in put" / k / "ee_csv.csv") for k in texts]
+    got = readers.kinematics(spark, paths, str(tmp_path / "in put"))
+    rows = {(r.episode_id, r.kin_idx): (r.ts_ns, r.time, r.p, r.psm1_jaw, r.extra) for r in got.collect()}
+    assert rows == {("a", 0): (10, 10, 1.0, 0.5, None), ("a", 1): (20, 20, 2.0, 0.25, None), ("b", 0): (30, 30, 3.0, None, None), ("b", 1): (40, 40, 4.0, None, None), ("c", 0): (50, 50, 5.5, None, 'x, "y"'), ("d", 0): (0, None, 7.0, None, None)}
+    assert dict(got.dtypes)["p"] == "double" and got.columns[-3:] == ["episode_id", "kin_idx", "ts_ns"]
+    (tmp_path / "g").mkdir()
+    (tmp_path / "g" / "ee_csv.csv").write_text("p,time\nword,1\n")
+    with pytest.raises(ValueError, match="column p"):
+        readers.kinematics(spark, [*paths, str(tmp_path / "g" / "ee_csv.csv")])
+    samples = readers.motion_samples(spark, paths, str(tmp_path / "in put"))
+    assert {(r.episode_id, r.ts_ns): r.psm1_jaw for r in samples.collect()} == {("a", 10): 0.5, ("a", 20): 0.25, ("b", 30): None, ("b", 40): None, ("c", 50): None, ("d", 0): None}
+    with pytest.raises(ValueError, match="header"):
+        readers.kinematics(spark, paths[4:5])
+
+
+def test_raw_rows_keep_every_cell(spark, tmp_path):
+    text = 'a,b\n1,2,3,4\n\n5\n"x,1","say ""hi""",\n,\n"open,6\n'
+    (tmp_path / "r.csv").write_text(text)
+    got = [r.cells for r in readers.raw_rows(spark, str(tmp_path / "r.csv")).orderBy("line").collect()]
+    assert got == [["a", "b"], ["1", "2", "3", "4"], [], ["5"], ["x,1", 'say "hi"', ""], ["", ""], ['"open', "6"]]
+
+
+def test_lines_are_numbered_over_blocks(spark, tmp_path):
+    for name, n in (("one.jsonl", 3000), ("two.jsonl", 700)):
+        (tmp_path / name).write_text("".join("{broken\n" if i == 2345 else "\n" if i == 10 else json.dumps({"episode_index": i, "tasks": ["cut"] * (i % 5)}) + "\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = readers.numbered_lines(spark, str(tmp_path))
+        assert lines.select(F.spark_partition_id()).distinct().count() > 8
+        rows = lines.collect()
+        want = {(n.name, i + 1, line) for n in tmp_path.iterdir() for i, line in enumerate(n.read_text().split("\n")[:-1])}
+        assert {(r.path.rsplit("/", 1)[1], r.line, r.value) for r in rows} == want and len(rows) == 3700
+        found = metadata.line_findings(lines).collect()
+        assert [(r.path.rsplit("/", 1)[1], r.line, r.level) for r in found] == [("one.jsonl", 2346, "ERROR")] and "line 2346" in found[0].message
+        (tmp_path / "k").mkdir()
+        (tmp_path / "k" / "ee_csv.csv").write_text("time,x\n" + "".join(f"{i},{i * 2}\n" for i in range(4000)))
+        kin = readers.kinematics(spark, str(tmp_path / "k" / "ee_csv.csv"))
+        assert kin.where("kin_idx <> ts_ns OR x <> 2 * kin_idx").count() == 0 and kin.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_sampled_files_only_are_opened(spark, tmp_path):
+    rows = spark.createDataFrame([(e, i) for e in range(25) for i in range(3)], "episode_index long, frame_index long")
+    writers.write_dataset(rows, str(tmp_path))
+    got = readers.sampled_dataset(spark, str(tmp_path))
+    assert sorted(os.path.basename(f) for f in got.inputFiles()) == [f"episode_{e:06d}.parquet" for e in range(0, 25, 2)]
+    assert len(readers.episodes_of(spark, str(tmp_path), [3, 24]).inputFiles()) == 2
+    (tmp_path / "none" / "data").mkdir(parents=True)
+    with pytest.raises(ValueError):
+        readers.sampled_dataset(spark, str(tmp_path / "none"))

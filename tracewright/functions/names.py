@@ -33,16 +33,19 @@ def frame_number(name: Column) -> Column:
 
 
 def natural_key(text: Column) -> Column:
-    """Text that sorts digit runs by value, however long, and letters without case.
+    """Text that sorts as the list of ``text``'s parts would: runs of other characters, without case, and runs of digits by
+    value in turn, a run of other characters (perhaps empty) first.
 
-    A run stands as the number of its digits without leading zeros (as ten digits) and these digits.
+    A text part ends with a mark below all characters, so that a part sorts before those it begins. A number stands as
+    the count of its digits without leading zeros (ten digits, so numbers may be of any length) and these digits.
     """
 
     def key(part: Column) -> Column:
         digits = F.regexp_replace(part, "^0+(?=[0-9])", "")
-        return F.when(part.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)).otherwise(part)
+        return F.when(part.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)).otherwise(F.concat(part, F.lit("\0")))
 
-    return F.array_join(F.transform(F.regexp_extract_all(F.lower(text), F.lit("([0-9]+|[^0-9]+)"), F.lit(0)), key), "")
+    parts = F.array_join(F.transform(F.regexp_extract_all(F.lower(text), F.lit("([0-9]+|[^0-9]+)"), F.lit(0)), key), "")
+    return F.when(text.rlike("^[0-9]"), F.concat(F.lit("\0"), parts)).otherwise(parts)
 
 
 def trailing_number(name: Column) -> Column:

@@ -3,25 +3,30 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tracewright.functions import quaternion as Q
+from tracewright.operators import parts as P
 from tracewright.schema import MIN_LENGTH
 
 #: Value bins an octave of exact percentiles.
 BINS = 1024
 
 
-def deltas(df: DataFrame, by: list[str], order: list[str], columns: list[str], quaternions: list[list[str]] = ()) -> DataFrame:
+def deltas(df: DataFrame, by: list[str], order: list[str], columns: list[str], quaternions: list[list[str]] = (), span: float | None = None) -> DataFrame:
     """``df`` plus t (transition index, -1 on the first row) and delta, the L2 norm of the step from the row before.
 
     A quaternion's step takes the sign that brings it nearer its predecessor: sign repair along the whole sequence
-    changes no norm beyond that, so one lag replaces the scan. Null on the first row of a group.
+    changes no norm beyond that, so one lag replaces the scan. Null on the first row of a group. With ``span`` a group is
+    cut into parts of that length along the first of ``order``, a number; each begins with the row before it.
     """
-    w = Window.partitionBy(*by).orderBy(*order)
+    w, number = Window.partitionBy(*by).orderBy(*order), F.lit(-2)
+    if span is not None:
+        df, w = _parted(df, by, order, list(dict.fromkeys([*columns, *[c for q in quaternions for c in q]])), span)
+        number = F.first("_before", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 3
     members = {c for q in quaternions for c in q}
     value = lambda c: F.col(f"`{c}`").cast("double")
     before = lambda c: F.lag(value(c)).over(w)
@@ -31,14 +36,27 @@ def deltas(df: DataFrame, by: list[str], order: list[str], columns: list[str], q
         sign = F.when(d < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
         terms += [F.pow(value(c) - sign * before(c), F.lit(2.0)) for c in q]
     total = sum(terms[1:], terms[0])
-    return df.withColumn("t", (F.row_number().over(w) - 2).cast("bigint")).withColumn("delta", F.sqrt(total))
+    out = df.withColumn("t", (F.row_number().over(w) + number).cast("bigint")).withColumn("delta", F.sqrt(total))
+    return out if span is None else out.where(F.col(P.EDGE) == 0).drop(P.EDGE, P.PART, "_before")
+
 
+def _parted(df: DataFrame, by: list[str], order: list[str], columns: list[str], span: float) -> tuple[DataFrame, WindowSpec]:
+    """``df`` in parts, each with one more row: ``columns`` of the row before the part, and _before, the rows before it."""
+    rows = df.withColumn(P.PART, P.part_of(F.col(order[0]), span))
+    kept = F.struct(*[F.col(f"`{c}`") for c in columns])
+    ends = rows.groupBy(*by, P.PART).agg(F.count("*").alias("_n"), F.max_by(kept, F.struct(*order)).alias("_v"))
+    into = ends.select(*by, P.PART, F.lit(-1).alias(P.EDGE), F.coalesce(F.sum("_n").over(P.before(by)), F.lit(0)).alias("_before"), F.last("_v", ignorenulls=True).over(P.before(by)).alias("_v"))
+    return P.with_carried(rows, into.select(*by, P.PART, P.EDGE, "_before", "_v.*")), P.running(by, order)
 
-def quaternion_signs(df: DataFrame, by: list[str], order: list[str], q: str) -> DataFrame:
+
+def quaternion_signs(df: DataFrame, by: list[str], order: list[str], q: str, span: float | None = None) -> DataFrame:
     """``df`` plus sign (1 or -1): what repeated sign repair along the sequence multiplies ``q`` by.
 
     A product of exactly 0 with the row before resets the sign, so signs are parities within stretches between zeros.
+    ``span`` cuts groups into parts as in ``deltas``; rows before a part's first zero add what the parts before leave.
     """
+    if span is not None:
+        return _signs_of_parts(df, by, order, q, span)
     w = Window.partitionBy(*by).orderBy(*order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = df.withColumn("_dot", Q.dot(F.lag(q).over(w), F.col(q)))
@@ -48,6 +66,25 @@ def quaternion_signs(df: DataFrame, by: list[str], order: list[str], q: str) ->
     return d.withColumn("sign", F.when(flips % 2 == 0, 1).otherwise(-1)).drop("_dot", "_seg")
 
 
+def _signs_of_parts(df: DataFrame, by: list[str], order: list[str], q: str, span: float) -> DataFrame:
+    rows, w = _parted(df, by, order, [q], span)
+    # the row that stands for the parts before has no product; its part's first row has its own with it
+    d = rows.withColumn("_dot", Q.dot(F.lag(q).over(w), F.col(q))).where(F.col(P.EDGE) == 0).drop(P.EDGE, "_before")
+    own = Window.partitionBy(*by, P.PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_seg", F.sum(F.when(F.col("_dot") == 0, 1).otherwise(0)).over(own))
+    inner = Window.partitionBy(*by, P.PART, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_flips", F.sum(F.when(F.col("_dot") < 0, 1).otherwise(0)).over(inner))
+    ends = d.groupBy(*by, P.PART).agg((F.max("_seg") > 0).cast("int").alias("_reset"), F.max_by("_flips", F.struct("_seg", "_flips")).alias("_tail"))
+    upto = Window.partitionBy(*by).orderBy(P.PART).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ends.withColumn("_chain", F.sum("_reset").over(upto))
+    ends = ends.withColumn("_run", F.sum("_tail").over(Window.partitionBy(*by, "_chain").orderBy(P.PART).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    left = ends.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col(P.PART).alias("_at"), F.coalesce(F.lag("_run").over(Window.partitionBy(*by).orderBy(P.PART)), F.lit(0)).alias("_left"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by], F.col(P.PART) == F.col("_at"))
+    total = F.col("_flips") + F.when(F.col("_seg") == 0, F.col("_left")).otherwise(0)
+    out = d.join(left, same).withColumn("sign", F.when(total % 2 == 0, 1).otherwise(-1))
+    return out.drop("_dot", "_seg", "_flips", "_left", "_at", P.PART, *[f"_by_{c}" for c in by])
+
+
 def moving(delta: Column, threshold: Column | float) -> Column:
     """NaN is not motion, though Spark orders it above every number."""
     return (delta > threshold) & ~F.isnan(delta)
@@ -104,25 +141,49 @@ def trim_stats(report: DataFrame) -> DataFrame:
     return report.agg(F.count("*").alias("total"), F.count_if(cut).alias("trimmed"), F.coalesce(F.sum(removed), F.lit(0)).cast("bigint").alias("frames_removed"))
 
 
+def number_below(edges: list[float], x: Column) -> Column:
+    """How many of the ascending ``edges`` are below ``x``, found by halving; 0 for null and NaN."""
+    table = F.split(F.lit(",".join(map(repr, edges))), ",").cast("array<double>")  # folded into one constant
+    strides = [1 << k for k in range(len(edges).bit_length() - 1, -1, -1)]
+    found = F.aggregate(F.array(*map(F.lit, strides)), F.lit(0), lambda at, s: F.when(F.get(table, at + s - 1) < x, at + s).otherwise(at))
+    return F.when(F.isnan(x), F.lit(0)).otherwise(found)
+
+
+def threshold_steps(moved: DataFrame, by: list[str], thresholds: list[float]) -> DataFrame:
+    """(by, n, low, high, length): the trimmed length of a group's n rows under thresholds number low to high - 1, of those
+    in ascending order; the steps of one group cover all thresholds.
+
+    A row counts for the thresholds below its delta. Rows are grouped by how many those are; the first and last motion
+    under a threshold are then the least and greatest t of the groups above it, running from the highest group down.
+    """
+    k = len(thresholds)
+    each = moved.groupBy(*by, number_below(sorted(map(float, thresholds)), F.col("delta")).alias("k")).agg(F.count("*").alias("c"), F.min("t").alias("f"), F.max("t").alias("l"))
+    down = Window.partitionBy(*by).orderBy(F.desc("k"))
+    run = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    each = each.select(*by, "k", F.sum("c").over(Window.partitionBy(*by)).alias("n"), F.min("f").over(run).alias("f"), F.max("l").over(run).alias("l"), F.lead("k", 1, 0).over(down).alias("below"), F.row_number().over(down).alias("place"))
+    own = F.struct(F.col("below").alias("low"), F.col("k").alias("high"), (F.least(F.col("l") + 1, F.col("n") - 1) - F.col("f") + 1).alias("length"))
+    still = F.when(F.col("place") == 1, F.struct(F.col("k").alias("low"), F.lit(k).alias("high"), F.col("n").alias("length")))
+    return each.select(*by, "n", F.explode(F.array(own, still)).alias("s")).where("s.low < s.high").select(*by, "n", "s.*")
+
+
 def threshold_sweep(moved: DataFrame, by: list[str], thresholds: list[float], min_length: int = MIN_LENGTH) -> DataFrame:
     """Per threshold: total_removed, episodes_dropped, mean_length, median_length (0 where nothing is kept).
 
-    The rows are aggregated once for all thresholds, by pairs of conditional aggregates, not once for each.
+    The rows are read once and cost the same for any number of thresholds; see ``threshold_steps``.
     """
-    n = F.count("*")
-    cells = []
-    for i, x in enumerate(thresholds):
-        hit = F.when(moving(F.col("delta"), F.lit(float(x))), F.col("t"))
-        first, last = F.coalesce(F.min(hit), F.lit(0)), F.coalesce(F.least(F.max(hit) + 1, n - 1), n - 1)
-        cells.append(F.struct(F.lit(i).alias("i"), F.lit(float(x)).alias("threshold"), n.alias("n"), (last - first + 1).alias("length")))
-    one = moved.groupBy(*by).agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*")
+    order = sorted(range(len(thresholds)), key=lambda i: thresholds[i])
+    listed = lambda x, kind: F.split(F.lit(",".join(map(repr, x))), ",").cast(f"array<{kind}>")
+    steps = threshold_steps(moved, by, thresholds).select("n", "length", F.explode(F.sequence("low", F.col("high") - 1)).alias("at"))
+    # episodes of equal figures are counted together before they are spread over tasks
+    one = steps.groupBy("at", "n", "length").agg(F.count("*").alias("c"))
     kept = F.col("length") >= min_length
-    return one.groupBy("i", "threshold").agg(
-        F.sum(F.when(kept, F.col("n") - F.col("length")).otherwise(F.col("n"))).cast("bigint").alias("total_removed"),
-        F.count_if(~kept).alias("episodes_dropped"),
-        F.coalesce(F.avg(F.when(kept, F.col("length"))), F.lit(0.0)).alias("mean_length"),
-        F.coalesce(F.percentile(F.when(kept, F.col("length")), F.lit(0.5)), F.lit(0.0)).alias("median_length"),
+    out = one.groupBy("at").agg(
+        F.sum(F.when(kept, F.col("n") - F.col("length")).otherwise(F.col("n")) * F.col("c")).cast("bigint").alias("total_removed"),
+        F.coalesce(F.sum(F.when(~kept, F.col("c"))), F.lit(0)).cast("bigint").alias("episodes_dropped"),
+        F.coalesce(F.sum(F.when(kept, F.col("length") * F.col("c"))) / F.sum(F.when(kept, F.col("c"))), F.lit(0.0)).alias("mean_length"),
+        F.coalesce(F.percentile(F.when(kept, F.col("length")), F.lit(0.5), F.col("c")), F.lit(0.0)).alias("median_length"),
     )
+    return out.select(F.get(listed(order, "int"), F.col("at")).alias("i"), F.get(listed(sorted(map(float, thresholds)), "double"), F.col("at")).alias("threshold"), *[c for c in out.columns if c != "at"])
 
 
 def threshold_grid(low: float, high: float, points: int = 50) -> list[float]:
@@ -173,6 +234,18 @@ def delta_percentiles(moved: DataFrame, points: tuple[float, ...] = (0.05, 0.25,
     return values.agg(*out)
 
 
+def threshold_shares(moved: DataFrame, threshold: float) -> DataFrame:
+    """below_and_above with both in percent of all positive deltas, 0 without any."""
+    n = F.col("below") + F.col("above")
+    share = lambda c: F.when(n == 0, F.lit(0.0)).otherwise(100.0 * F.col(c) / n)
+    return below_and_above(moved, threshold).select("below", "above", share("below").alias("below_percent"), share("above").alias("above_percent"))
+
+
+def fraction_figures(fractions: DataFrame) -> DataFrame:
+    """One row of least, most, mean and median of stationary_fraction over episodes; nulls without episodes."""
+    return fractions.agg(F.min("percent").alias("least"), F.max("percent").alias("most"), F.avg("percent").alias("mean"), F.percentile("percent", F.lit(0.5)).alias("median"))
+
+
 def stationary_fraction(moved: DataFrame, by: list[str], threshold: float) -> DataFrame:
     """(by, percent): deltas at or below the threshold, in percent of all; 0 without any."""
     n = F.count("delta")

@@ -101,7 +101,8 @@ def frame_order(spark, sf_dir):
 
 
 @query(
-    r"""with k as (select page_id, regexp_extract(url, '://([^/]*)', 1) site, regexp_replace(regexp_replace(lower(url), '([0-9]+)', '00000000000000000000\1', 'g'), '[0-9]*([0-9]{20})', '\1', 'g') as k from pages)
+    r"""with k as (select page_id, regexp_extract(url, '://([^/]*)', 1) site, list_transform(list_filter(regexp_extract_all(lower(url), '[^0-9]*[0-9]*'), lambda p: p <> ''),
+  lambda p: {'t': regexp_extract(p, '^[^0-9]*'), 'n': coalesce(try_cast(regexp_extract(p, '[0-9]+$') as hugeint), -1)}) as k from pages)
 select page_id, site, row_number() over (partition by site order by k, page_id) as place from k"""
 )
 def natural_sort(spark, sf_dir):
@@ -284,6 +285,45 @@ def skip_existing(spark, sf_dir):
     return planning.not_done(ev, ev.where("user_id % 3 = 0"), ["user_id"])
 
 
+# One recording that holds all rows, cut into parts of a day (of ids for the vectors).
+
+@query(f"with {_nearest_sql('click').replace('user_id', 'rec').replace('rec, epoch_us', '0 as rec, epoch_us')} select lid, cid, t - ct as diff from m")
+def long_sync(spark, sf_dir):
+    ev = events(spark, sf_dir).withColumn("rec", F.lit(0))
+    view, click = (ev.where(F.col("event_type") == k).select("rec", "event_id", "t") for k in ("view", "click"))
+    out = asof.nearest(view, click, ["rec"], "t", "event_id", span=_DAY)
+    return out.select(F.col("event_id").alias("lid"), F.col("match.event_id").alias("cid"), (F.col("t") - F.col("match.t")).alias("diff"))
+
+
+@query("select event_id, row_number() over (order by ts, event_id) - 2 as t, round(abs(value - lag(value) over (order by ts, event_id)), 6) as delta from events")
+def long_delta(spark, sf_dir):
+    ev = events(spark, sf_dir).select(F.lit(0).alias("rec"), "event_id", F.col("t").alias("at"), "value")
+    return motion.deltas(ev, ["rec"], ["at", "event_id"], ["value"], span=_DAY).select("event_id", "t", F.round("delta", 6).alias("delta"))
+
+
+@query(
+    """with q as (select vec_id, list_transform(embedding[4:7], lambda x: x::double) q from embeddings), l as (select vec_id, q, lag(q) over (order by vec_id) p from q),
+d as (select vec_id, list_sum([q[1] * p[1], q[2] * p[2], q[3] * p[3], q[4] * p[4]]) dot from l)
+select vec_id, cast(case when sum(case when dot < 0 then 1 else 0 end) over (order by vec_id) % 2 = 0 then 1 else -1 end as int) sign from d"""
+)
+def long_signs(spark, sf_dir):
+    rows = vectors(spark, sf_dir).select(F.lit(0).alias("rec"), "vec_id", Q.orientation(F.col("v"), 0).alias("q"))
+    return motion.quaternion_signs(rows, ["rec"], ["vec_id"], "q", span=64).select("vec_id", "sign")
+
+
+@query(
+    """with ref as (select epoch_us(ts) t, row_number() over (order by ts, event_id) - 1 i from events), src as (select epoch_us(ts) t from events where value > 10), m as (select count(*) m from src),
+b as (select a.i p, a.t t1, b.t t2 from ref a join ref b on b.i = a.i + 9 where a.i % 10 = 0), u as (select p, t1 as x, 0 as o, 0 as s from b union all select p, t2, 2, 0 from b union all select null, t, 1, 1 from src),
+k as (select p, o, sum(s) over (order by x, o rows unbounded preceding) k from u), f as (select p, max(k) filter (where o = 0) s, max(k) filter (where o = 2) - 1 e from k where p is not null group by p)
+select p, cast(greatest(0, least(s, m - 1)) as bigint) src_start, cast(greatest(0, least(e, m - 1)) as bigint) src_end from f, m"""
+)
+def long_align(spark, sf_dir):
+    ev = events(spark, sf_dir).select(F.lit(0).alias("rec"), "event_id", "t", "value")
+    ref = planning.positions(ev, ["rec"], ["t", "event_id"], F.floor(F.col("t") / _DAY), "idx", "n")
+    plan = ref.where("idx % 10 = 0 AND idx + 9 < n").select("rec", F.col("idx").alias("p"), F.col("idx").alias("start"), (F.col("idx") + 9).alias("end"))
+    return align.align_ranges(plan, ref, ev.where("value > 10"), ["rec"], ["p"], ts="t", span=_DAY).select("p", "src_start", "src_end")
+
+
 # ---- discovery and plans
 
 
@@ -478,6 +518,21 @@ def threshold_counts(spark, sf_dir):
     return motion.below_and_above(moved(spark, sf_dir), 150.0)
 
 
+@query(f"with {_DELTAS}, c as (select count(*) filter (where delta <= 150) below, count(*) filter (where delta > 150) above from d where delta > 0) select below, above, round(100.0::double * below / (below + above), 6) below_percent, round(100.0::double * above / (below + above), 6) above_percent from c")
+def threshold_shares(spark, sf_dir):
+    out = motion.threshold_shares(moved(spark, sf_dir), 150.0)
+    return out.withColumns({c: F.round(c, 6) for c in ("below_percent", "above_percent")})
+
+
+@query(
+    f"""with {_DELTAS}, p as (select case when count(delta) = 0 then 0 else 100.0::double * count(*) filter (where delta <= 20) / count(delta) end as percent from d group by user_id)
+select round(min(percent), 6) least, round(max(percent), 6) most, round(avg(percent), 6) mean, round(quantile_cont(percent, 0.5), 6) median from p"""
+)
+def stationary_figures(spark, sf_dir):
+    out = motion.fraction_figures(motion.stationary_fraction(moved(spark, sf_dir), ["user_id"], 20.0))
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
 @query(f"with {_DELTAS} select round(quantile_cont(delta, 0.05), 6) p05, round(quantile_cont(delta, 0.25), 6) p25, round(quantile_cont(delta, 0.5), 6) p50 from d where delta > 0")
 def delta_percentiles(spark, sf_dir):
     out = motion.delta_percentiles(moved(spark, sf_dir))
@@ -838,36 +893,49 @@ def dataset_findings(spark, sf_dir):
     return quality.roll_up(found).drop("messages")
 
 
-_FEATURES = [("action", "float32", 16), ("observation.state", "float64", 16), ("observation.images.left", "video", 540), ("extra.note", "string", 1), ("tool", "string", 2)]
-_EXPECTED = [("action", "float32", 16), ("observation.state", "float32", 16), ("observation.images.left", "video", 540), ("tool", "string", 1), ("task", "string", 1)]
-
-
 @query(
-    "select * from (values ('action', 'SUCCESS', 'ok'), ('observation.state', 'ERROR', 'dtype float64 instead of float32'), ('observation.images.left', 'SUCCESS', 'ok'), ('extra.note', 'INFO', 'extra'), ('tool', 'ERROR', 'shape 2 instead of 1'), ('task', 'ERROR', 'missing')) as t(name, level, message)"
+    """with f as (select 's' || s_suppkey as name, ['float32', 'video', 'string'][s_suppkey % 3 + 1] dtype, cast(s_suppkey % 5 as int) dim from supplier where s_suppkey % 11 <> 0),
+e as (select 's' || s_suppkey as name, case when s_suppkey % 4 = 0 then 'float64' else ['float32', 'video', 'string'][s_suppkey % 3 + 1] end dtype, cast(case when s_suppkey % 6 = 1 then 7 else s_suppkey % 5 end as int) dim from supplier where s_suppkey % 13 <> 0)
+select coalesce(f.name, e.name) as name, case when f.name is null then 'ERROR' when e.name is null then 'INFO' when f.dtype <> e.dtype or f.dim <> e.dim then 'ERROR' else 'SUCCESS' end as level,
+ case when f.name is null then 'missing' when e.name is null then 'extra' when f.dtype <> e.dtype then 'dtype ' || f.dtype || ' instead of ' || e.dtype when f.dim <> e.dim then 'shape ' || f.dim || ' instead of ' || e.dim else 'ok' end as message
+from f full join e on f.name = e.name"""
 )
 def feature_schema(spark, sf_dir):
-    f, e = (spark.createDataFrame(x, "name string, dtype string, dim int") for x in (_FEATURES, _EXPECTED))
-    return quality.feature_findings(f, e)
-
+    k = F.col("s_suppkey")
+    s = table(spark, sf_dir, "supplier").select(k, F.concat(F.lit("s"), k.cast("string")).alias("name"), F.element_at(F.array(*map(F.lit, ("float32", "video", "string"))), (k % 3 + 1).cast("int")).alias("dtype"), (k % 5).cast("int").alias("dim"))
+    expected = s.where(k % 13 != 0).select("name", F.when(k % 4 == 0, F.lit("float64")).otherwise(F.col("dtype")).alias("dtype"), F.when(k % 6 == 1, F.lit(7)).otherwise(F.col("dim")).alias("dim"))
+    return quality.feature_findings(s.where(k % 11 != 0).drop("s_suppkey"), expected)
 
-_INFO = ['{"fps": 30, "robot_type": "dvrk", "splits": {"train": "0:8", "val": "8:9", "test": "9:10"}}', '{"fps": 10, "robot_type": "other", "splits": {"train": "0:8"}}', "{broken"]
 
-
-@query("select * from (values (0, 'SUCCESS', ''), (1, 'WARNING', 'fps below 20; robot_type is not dvrk; split test missing; split val missing'), (2, 'ERROR', 'unreadable')) as t(id, level, message)")
+@query(
+    """select o_orderkey as id, case when o_orderkey % 11 = 0 then 'ERROR' when o_orderkey % 40 >= 20 and o_orderkey % 3 <> 0 and o_orderkey % 2 = 0 and o_orderkey % 5 = 0 then 'SUCCESS' else 'WARNING' end as level,
+ case when o_orderkey % 11 = 0 then 'unreadable' else concat_ws('; ', case when o_orderkey % 40 < 20 then 'fps below 20' end, case when o_orderkey % 3 = 0 then 'robot_type is not dvrk' end, case when o_orderkey % 5 <> 0 then 'split test missing' end, case when o_orderkey % 2 <> 0 then 'split val missing' end) end as message from orders"""
+)
 def info_rules(spark, sf_dir):
     from tracewright.sources.metadata import info_findings
 
-    return info_findings(spark.createDataFrame(list(enumerate(_INFO)), "id int, value string"))
-
-
-_LINES = ['{"episode_index": 0, "tasks": ["cut", "grasp"], "length": 12}', "", "{oops", '{"episode_index": 1, "tasks": "cut", "length": 9}', '{"episode_index": 2, "task": "lift"}']
+    k = F.col("o_orderkey")
+    split = lambda name, when: F.when(when, F.struct(F.lit(name).alias("key"), F.lit("0:1").alias("value")))
+    parts = F.map_from_entries(F.filter(F.array(split("train", F.lit(True)), split("val", k % 2 == 0), split("test", k % 5 == 0)), lambda x: x.isNotNull()))
+    one = F.to_json(F.struct((k % 40).alias("fps"), F.when(k % 3 == 0, F.lit("other")).otherwise(F.lit("dvrk")).alias("robot_type"), parts.alias("splits")))
+    return info_findings(table(spark, sf_dir, "orders").select(k.alias("id"), F.when(k % 11 == 0, F.lit("{broken")).otherwise(one).alias("value")))
 
 
-@query("select * from (values (0, true, 0, 12), (2, false, null, null), (3, true, 1, 9), (4, true, 2, null)) as t(line, readable, episode_index, length)")
+@query(
+    """select c_custkey as line, c_custkey % 9 <> 1 as readable, cast(case when c_custkey % 9 <> 1 then c_custkey * 2 end as int) as episode_index, cast(case when c_custkey % 9 not in (1, 3) then c_custkey % 50 end as int) as length,
+ case c_custkey % 9 when 1 then '' when 2 then 'cut' when 3 then 'lift' else 'cut|' || c_mktsegment end as tasks from customer where c_custkey % 9 <> 0"""
+)
 def jsonl_parse(spark, sf_dir):
     from tracewright.sources.metadata import parsed_lines
 
-    return parsed_lines(spark.createDataFrame(list(enumerate(_LINES)), "line int, value string")).select("line", "readable", "episode_index", "length")
+    k, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    index, length = (k * 2).cast("int").alias("episode_index"), (k % 50).cast("int").alias("length")
+    value = (
+        F.when(k % 9 == 0, F.lit("  ")).when(k % 9 == 1, F.lit("{oops")).when(k % 9 == 2, F.to_json(F.struct(index, F.lit("cut").alias("tasks"), length)))
+        .when(k % 9 == 3, F.to_json(F.struct(index, F.lit("lift").alias("task")))).otherwise(F.to_json(F.struct(index, F.array(F.lit("cut"), segment).alias("tasks"), length)))
+    )
+    lines = parsed_lines(table(spark, sf_dir, "customer").select(k.alias("line"), value.alias("value")))
+    return lines.select("line", "readable", "episode_index", "length", F.array_join("task_list", "|").alias("tasks"))
 
 
 @query("select 'lines per order' as \"check\", (select count(*) * 4 from orders) expected, (select count(*) from lineitem) found, (select count(*) * 4 from orders) = (select count(*) from lineitem) ok")

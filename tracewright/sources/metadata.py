@@ -51,6 +51,15 @@ def parsed_lines(df: DataFrame, text: str = "value") -> DataFrame:
     return j.select("*", F.col("_j._bad").isNull().alias("readable"), "_j.episode_index", "_j.length", tasks.alias("task_list")).drop("_j")
 
 
+def line_findings(lines: DataFrame) -> DataFrame:
+    """(path, line, level, message): an error for each line (path, line, value) that is no JSON object or lacks an
+    episode_index; blank lines are none."""
+    j = parsed_lines(lines)
+    wrong = F.when(~F.col("readable"), F.lit("unreadable")).when(F.col("episode_index").isNull(), F.lit("no episode_index"))
+    message = F.concat(F.lit("line "), F.col("line").cast("string"), F.lit(": "), wrong)
+    return j.where(wrong.isNotNull()).select("path", "line", F.lit("ERROR").alias("level"), message.alias("message")).orderBy("path", "line")
+
+
 def distinct_tasks(df: DataFrame, by: list[str], tasks: str = "tasks") -> DataFrame:
     """(by, tasks, n_tasks): distinct labels in order, joined. Labels are few: they are made distinct before they are gathered."""
     each = df.select(*by, F.explode(tasks).alias("_task")).distinct()

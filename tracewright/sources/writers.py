@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions import names as N
+from tracewright.sources import files
 
 
 def write_dataset(rows: DataFrame, root: str, chunk: int = 1000) -> None:
@@ -50,38 +48,30 @@ def write_splits(counts: DataFrame, root: str) -> dict[str, str]:
     from tracewright.operators.planning import splits
 
     out = counts.select(*splits(F.col("n"), F.col("perfect"), F.col("recovery"))).first().asDict()
-    path = os.path.join(root, "meta", "info.json")
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    info = json.load(open(path)) if os.path.exists(path) else {}
-    with open(path, "w") as f:
-        json.dump(info | {"splits": out}, f, indent=2)
+    path = f"{root}/meta/info.json"
+    info = json.loads(files.read_text(path) or "{}")
+    files.write_text(path, json.dumps(info | {"splits": out}, indent=2))
     return out
 
 
-def write_kinematics(rows: DataFrame, path: str, by: str = "episode_id") -> None:
-    rows.repartition(by).sortWithinPartitions(by, "frame_idx").write.option("header", True).partitionBy(by).csv(path)
+def write_kinematics(rows: DataFrame, path: str, by: str = "episode_id", order: str = "frame_idx", names: dict[str, str] | None = None) -> DataFrame:
+    """``path/<episode>/ee_csv.csv``: each episode's rows in ``order`` under a header; (file, lines) of what was written.
+
+    ``by`` and ``order`` are no columns of the files; ``names`` gives columns other names in the header. One task writes
+    one file, whole or not at all; episodes without rows have none.
+    """
+    kept = [c for c in rows.columns if c not in (by, order)]
+    head = ",".join((names or {}).get(c, c) for c in kept)
+    file = F.concat(F.col(by).cast("string"), F.lit("/ee_csv.csv")).alias("file")
+    body = rows.select(file, F.col(order).alias("line"), F.to_csv(F.struct(*[F.col(f"`{c}`") for c in kept])).alias("text"))
+    top = rows.select(file).distinct().select("file", F.lit(-1).alias("line"), F.lit(head).alias("text"))
+    spark = rows.sparkSession
+    return spark.createDataFrame(files.write_lines(top.unionByName(body), path).collect(), "file string, lines bigint")
 
 
 def execute_manifest(manifest: DataFrame, source: str, target: str, dry_run: bool = False) -> int:
     """Copies or links (src, dst, op) below the two roots on the executors; rerunning a task repeats no harm.
 
-    Returns the number of rows; with ``dry_run`` nothing is written.
+    Returns the number of rows, from the one run of the plan; with ``dry_run`` nothing is written.
     """
-    if dry_run:
-        return manifest.count()
-
-    def run(rows: Iterator) -> None:
-        for r in rows:
-            src, dst = os.path.join(source, r["src"]), os.path.join(target, r["dst"])
-            os.makedirs(os.path.dirname(dst), exist_ok=True)
-            part = f"{dst}.{os.getpid()}.part"
-            try:
-                if r["op"] != "link":
-                    raise OSError
-                os.link(src, part)
-            except OSError:
-                shutil.copy2(src, part)
-            os.replace(part, dst)
-
-    manifest.foreachPartition(run)
-    return manifest.count()
+    return manifest.count() if dry_run else files.place_all(manifest, source, target).agg(F.count("src")).first()[0]
