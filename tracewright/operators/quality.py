@@ -81,6 +81,41 @@ def reconciled(left: DataFrame, right: DataFrame, name: str, times: int = 1) ->
     return a.join(b).select(F.lit(name).alias("check"), "expected", "found", (F.col("expected") == F.col("found")).alias("ok"))
 
 
+def reconciled_episodes(lines: DataFrame, rows: DataFrame, videos: DataFrame, cameras: list[str]) -> DataFrame:
+    """(episode_index, level, message): one row for each mismatch among metadata ``lines`` (episode_index, length), data
+    ``rows`` (episode_index) and ``videos`` (episode_index, camera, frames; null frames are not compared).
+
+    Named are episodes without a line, data or a camera's video, surplus lines and videos, videos of other cameras, and
+    lengths that differ; videos are warnings, the rest errors. Each side is counted by episode, then all are put together
+    in one grouping; an episode is a row of each, so no group is long.
+    """
+    none, kind = F.lit(None).cast("bigint"), lambda k: F.lit(k).alias("kind")
+    meta = lines.groupBy("episode_index").agg(F.count("*").alias("n"), F.min("length").cast("bigint").alias("size")).select("episode_index", kind("meta"), "n", "size")
+    data = rows.groupBy("episode_index").agg(F.count("*").alias("size")).select("episode_index", kind("data"), F.lit(1).cast("bigint").alias("n"), "size")
+    film = videos.groupBy("episode_index", "camera").agg(F.count("*").alias("n"), F.min("frames").cast("bigint").alias("size")).select("episode_index", F.concat(F.lit("video "), "camera").alias("kind"), "n", "size")
+    known = [f"video {c}" for c in cameras]
+    of = lambda k, c: F.max(F.when(F.col("kind") == k, F.col(c)))
+    strange = F.sort_array(F.collect_set(F.when(F.col("kind").startswith("video ") & ~F.col("kind").isin(known), F.col("kind"))))
+    one = meta.unionByName(data).unionByName(film).groupBy("episode_index").agg(
+        of("meta", "n").alias("lines"), of("meta", "size").alias("length"), of("data", "size").alias("rows"), strange.alias("strange"), *[f(k, c).alias(f"_{i}_{c}") for i, k in enumerate(known) for f, c in ((of, "n"), (of, "size"))]
+    )
+    text = lambda *x: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in x])
+    row = lambda when, level, message: F.when(when, F.struct(F.lit(level).alias("level"), message.alias("message")))
+    length = F.coalesce("length", "rows", none)
+    checks = [
+        row(F.col("lines").isNull(), "ERROR", text("no metadata line")),
+        row(F.col("lines") > 1, "ERROR", text(F.col("lines"), " metadata lines")),
+        row(F.col("rows").isNull(), "ERROR", text("no data file")),
+        row(F.col("length") != F.col("rows"), "ERROR", text(F.col("rows"), " rows instead of ", F.col("length"))),
+    ]
+    for i, c in enumerate(cameras):
+        n, size = F.col(f"_{i}_n"), F.col(f"_{i}_size")
+        checks += [row(n.isNull(), "WARNING", text(f"no video of {c}")), row(n > 1, "WARNING", text(n, f" videos of {c}")), row(size != length, "WARNING", text(f"video of {c} has ", size, " frames instead of ", length))]
+    other = F.transform("strange", lambda k: F.struct(F.lit("WARNING").alias("level"), F.concat(k, F.lit(" is not expected")).alias("message")))
+    each = F.concat(F.filter(F.array(*checks), lambda f: f.isNotNull()), other)
+    return one.select("episode_index", F.explode(each).alias("f")).select("episode_index", "f.*")
+
+
 def keyword_share(docs: DataFrame, words: list[str], by: list[str], text: str = "text") -> DataFrame:
     hit = F.lit(False)
     for w in words:

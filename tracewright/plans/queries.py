@@ -846,7 +846,8 @@ def feature_rules(spark, sf_dir):
 
 
 @query(
-    """with i as (select n_nationkey k from nation where n_nationkey <> 24), f as (select 'WARNING' as level, 'split val missing' message from i where k % 2 <> 0 union all select 'WARNING', 'split test missing' from i where k % 3 <> 0
+    """with i as (select n_nationkey k from nation where n_nationkey <> 24), f as (select case when k % 2 = 0 then 'SUCCESS' else 'WARNING' end as level, case when k % 2 = 0 then 'split val defined' else 'split val missing' end message from i
+union all select case when k % 3 = 0 then 'SUCCESS' else 'WARNING' end, case when k % 3 = 0 then 'split test defined' else 'split test missing' end from i union all select 'SUCCESS', 'split train defined' from i
 union all select case when k % 5 = 0 then 'SUCCESS' else 'INFO' end, case when k % 5 = 0 then 'split recovery defined' else 'split recovery would add robustness' end from i union all select 'INFO', 'split failure defined' from i where k % 7 = 0)
 select 'splits' category, level, message, count(*) n from f group by all"""
 )
@@ -943,6 +944,49 @@ def count_reconcile(spark, sf_dir):
     return quality.reconciled(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), "lines per order", 4)
 
 
+@query(
+    """with o as (select o_orderkey k, 1 + o_orderkey % 7 as len, case when o_orderkey % 29 = 0 then 2 else 1 end as lines from orders where o_orderkey % 10 <> 0),
+d as (select l_orderkey k, count(*) n from lineitem where l_orderkey % 13 <> 0 group by 1),
+v as (select l_orderkey k, l_returnflag c, count(*) n, min(l_linenumber) f from lineitem where l_orderkey % 11 <> 0 group by 1, 2),
+e as (select coalesce(o.k, d.k) k, len, lines, n from o full join d on o.k = d.k), w as (select coalesce(e.k, x.k) k, len, lines, n from e full join (select distinct k from v) x on e.k = x.k),
+a as (select w.*, va.n na, va.f fa, vr.n nr, vr.f fr, vn.n nn, coalesce(len, w.n) want from w left join v va on va.k = w.k and va.c = 'A' left join v vr on vr.k = w.k and vr.c = 'R' left join v vn on vn.k = w.k and vn.c = 'N')
+select k as episode_index, 'ERROR' as level, 'no metadata line' as message from a where lines is null union all select k, 'ERROR', lines || ' metadata lines' from a where lines > 1
+union all select k, 'ERROR', 'no data file' from a where n is null union all select k, 'ERROR', n || ' rows instead of ' || len from a where n <> len
+union all select k, 'WARNING', 'no video of A' from a where na is null union all select k, 'WARNING', na || ' videos of A' from a where na > 1 union all select k, 'WARNING', 'video of A has ' || fa || ' frames instead of ' || want from a where fa <> want
+union all select k, 'WARNING', 'no video of R' from a where nr is null union all select k, 'WARNING', nr || ' videos of R' from a where nr > 1 union all select k, 'WARNING', 'video of R has ' || fr || ' frames instead of ' || want from a where fr <> want
+union all select k, 'WARNING', 'video N is not expected' from a where nn is not null"""
+)
+def episode_reconciliation(spark, sf_dir):
+    k = F.col("o_orderkey")
+    lines = table(spark, sf_dir, "orders").where(k % 10 != 0).select(k.alias("episode_index"), (1 + k % 7).alias("length"), F.explode(F.array_repeat(F.lit(0), F.when(k % 29 == 0, 2).otherwise(1))).alias("_")).drop("_")
+    items = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "episode_index")
+    videos = items.where("episode_index % 11 <> 0").select("episode_index", F.col("l_returnflag").alias("camera"), F.col("l_linenumber").alias("frames"))
+    return quality.reconciled_episodes(lines, items.where("episode_index % 13 <> 0"), videos, ["A", "R"])
+
+
+_FINDINGS = """
+with r as (select label e, row_number() over (partition by label order by vec_id) - 1 i, embedding[1:16] v, vec_id from embeddings),
+t as (select e, i, case when vec_id % 40 = 0 then -1 else 0 end + vec_id % 1000 / 100.0 as s, v from r), d as (select *, s - lag(s) over (partition by e order by i) step from t),
+g as (select e, count(*) n, count(*) filter (where step <= 0) back, coalesce(max(step) > 2 / 30.0, false) gap from d group by e),
+f as (select 'values' category, 1 k, count(*) filter (where abs(sqrt(list_sum(list_transform(v[4:7], lambda x: x::double * x::double))) - 1) > 0.05) n, 'WARNING' as level, 'rows of v with an orientation of arm 1 that is not of length 1' what from r
+union all select 'values', 2, count(*) filter (where abs(sqrt(list_sum(list_transform(v[12:15], lambda x: x::double * x::double))) - 1) > 0.05), 'WARNING', 'rows of v with an orientation of arm 2 that is not of length 1' from r
+union all select 'values', 3, count(*) filter (where v[8]::double < -0.7 or v[8]::double > 1.5), 'WARNING', 'rows of v with a jaw of arm 1 out of bounds' from r
+union all select 'values', 4, count(*) filter (where v[16]::double < -0.7 or v[16]::double > 1.5), 'WARNING', 'rows of v with a jaw of arm 2 out of bounds' from r
+union all select 'values', 0, 0, 'ERROR', 'rows of v with a value that is not finite'
+union all select 'times', 5, count(*) filter (where back > 0), 'ERROR', 'episodes whose time does not rise' from g union all select 'times', 6, count(*) filter (where gap), 'WARNING', 'episodes with a long step' from g
+union all select 'times', 7, 0, 'ERROR', 'episodes whose index does not count from 0' union all select 'times', 8, count(*) filter (where n < 10), 'WARNING', 'episodes of fewer than 10 rows' from g)
+select category, case when n > 0 then level else 'SUCCESS' end as level, case when n > 0 then n || ' ' || what else 'no ' || what end as message from f"""
+
+
+@query(_FINDINGS)
+def row_findings(spark, sf_dir):
+    v = vectors(spark, sf_dir)
+    rows = align.indexed(v, ["label"], ["vec_id"], "frame_index").withColumnRenamed("label", "episode_index")
+    rows = rows.withColumn("timestamp", F.when(F.col("vec_id") % 40 == 0, -1).otherwise(0) + F.col("vec_id") % 1000 / 100.0)
+    rows = rows.withColumn("v", F.col("v").cast("array<double>"))
+    return validators.values(rows, ["v"]).unionByName(validators.times(rows, 30.0))
+
+
 @query("select p_brand, string_agg(distinct p_type, ', ' order by p_type) as tasks, count(distinct p_type) n_tasks from part group by p_brand")
 def task_labels(spark, sf_dir):
     from tracewright.sources.metadata import distinct_tasks

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions import names as N
+from tracewright.sources import files
 
 IMAGES = (".jpg", ".jpeg", ".png")
 NOT_IMAGES = (".csv", ".txt", ".json", ".xml")
@@ -18,25 +21,47 @@ SCHEMA = "path STRING, parent STRING, name STRING, is_dir BOOLEAN, depth INT"
 def listed(spark: SparkSession, root: str) -> DataFrame:
     """(path, parent, name, is_dir, depth) of all that lies under ``root``, links to directories not followed.
 
-    Paths are relative to the root, whose own parent and path are empty. A local tree is walked by the driver, one row
-    for each entry; other file systems are listed through Hadoop. A missing root raises FileNotFoundError.
+    Paths are relative to the root, whose own parent and path are empty. Executors list the folders of one level at a time;
+    the driver holds the number of folders only. Levels stay in the executors' storage and are listed again if lost.
+    Folders that cannot be read are empty. File systems that Arrow does not open by URI are listed through Hadoop, by the
+    driver. A missing root raises FileNotFoundError.
     """
-    if "://" in root and not root.startswith("file://"):
+    try:
+        there = files.kind(root) == "folder"
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
         return spark.createDataFrame(list(_hadoop(spark, root)), SCHEMA)
-    root = root.removeprefix("file://")
-    if not os.path.isdir(root):
+    if not there:
         raise FileNotFoundError(root)
-    return spark.createDataFrame(list(_walk(root)), SCHEMA)
-
-
-def _walk(root: str) -> Iterator[tuple]:
-    for folder, folders, files in os.walk(root, onerror=lambda _: None):
-        at = os.path.relpath(folder, root)
-        at = "" if at == "." else at.replace(os.sep, "/")
-        depth = at.count("/") + 1 if at else 0
-        for names, is_dir in ((sorted(folders), True), (sorted(files), False)):
-            for n in names:
-                yield (f"{at}/{n}" if at else n, at, n, is_dir, depth + 1)
+    level, found, most = spark.createDataFrame([("",)], "path STRING"), None, 4 * spark.sparkContext.defaultParallelism
+    while True:
+        entries = level.mapInArrow(_listing_task(root), f"{SCHEMA}, is_link BOOLEAN").persist()
+        below = entries.where("is_dir AND NOT is_link").select("path")
+        n = below.count()
+        found = entries if found is None else found.unionByName(entries)
+        if not n:
+            return found.drop("is_link")
+        level = below.repartition(min(n, most))
+
+
+def _listing_task(root: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task that lists the folders it is given by their paths below ``root``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, top = files.opened(root)
+        local = isinstance(fs, pafs.LocalFileSystem)
+        for batch in batches:
+            for at in batch.column("path").to_pylist():
+                try:
+                    found = fs.get_file_info(pafs.FileSelector(f"{top}/{at}" if at else top))
+                except OSError:
+                    continue
+                depth = at.count("/") + 2 if at else 1
+                rows = [(f"{at}/{i.base_name}" if at else i.base_name, at, i.base_name, i.type == pafs.FileType.Directory, depth, local and os.path.islink(i.path)) for i in found]
+                if rows:
+                    kinds = (pa.string(), pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.bool_())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["path", "parent", "name", "is_dir", "depth", "is_link"])
+
+    return run
 
 
 def _hadoop(spark: SparkSession, root: str) -> Iterator[tuple]:
@@ -102,6 +127,56 @@ def numbered_folders(entries: DataFrame, parent: str = "") -> DataFrame:
     return here.select("path", N.trailing_number(F.col("name")).alias("number")).orderBy(F.asc_nulls_last("number"), "path")
 
 
+def flat_folders(entries: DataFrame, parent: str = "") -> DataFrame:
+    """(path, name) of the folders right below ``parent``, by name."""
+    return entries.where("is_dir").where(F.col("parent") == parent).select("path", "name").orderBy("name")
+
+
+def numbered_walk(entries: DataFrame, levels: int = 3) -> DataFrame:
+    """(path, numbers) of the folders ``levels`` deep (tissue, subtask, episode), in order of the number at the end of each
+    name on the way, then of the name; names without a number come last on their level."""
+    parts = [F.get(F.split("path", "/"), F.lit(k)) for k in range(levels)]
+    numbers = [N.trailing_number(p) for p in parts]
+    rows = entries.where(F.col("is_dir") & (F.col("depth") == levels))
+    return rows.select("path", F.array(*numbers).alias("numbers")).orderBy(*[o for k in range(levels) for o in (F.asc_nulls_last(F.get("numbers", F.lit(k))), F.get(F.split("path", "/"), F.lit(k)))])
+
+
+def camera_frames(entries: DataFrame, folder: str, old_names: bool = False) -> DataFrame:
+    """(episode_id, frame_name, ts_ns, path) of all .jpg files of a camera's folder whatever their suffix, by time;
+    ``old_names`` takes names of the old form only. Names without a time are left out."""
+    here = entries.where("NOT is_dir AND name LIKE '%.jpg'").where(F.element_at(F.split("parent", "/"), -1) == folder)
+    time = F.when(F.lit(old_names) & F.col("name").rlike("^" + N.NEW_FRAME), F.lit(None)).otherwise(N.frame_timestamp(F.col("name")))
+    rows = here.select(F.regexp_replace("parent", "(^|/)[^/]*$", "").alias("episode_id"), F.col("name").alias("frame_name"), time.alias("ts_ns"), "path")
+    return rows.where("ts_ns IS NOT NULL").orderBy("episode_id", "ts_ns", "frame_name")
+
+
+def tissue_runs(entries: DataFrame, modalities: list[str], prefix: str = "cautery_tissue") -> DataFrame:
+    """(tissue, run) of the runs right below tissue folders (their names begin with ``prefix``) that hold a folder for each
+    of the ``modalities``, empty or not; sorted."""
+    from tracewright.operators.planning import complete_runs
+
+    inside = entries.where("is_dir AND depth = 3").where(F.col("path").startswith(prefix))
+    part = lambda k: F.get(F.split("path", "/"), F.lit(k))
+    return complete_runs(inside.select(part(0).alias("tissue"), part(1).alias("run"), "name"), ["tissue", "run"], "name", modalities).orderBy("tissue", "run")
+
+
+def run_frames(entries: DataFrame, modality: str) -> DataFrame:
+    """(run, path) of the image files in each run's folder of a modality, in order of their whole path."""
+    return images(entries.where(F.element_at(F.split("parent", "/"), -1) == modality)).select(F.regexp_replace("parent", "(^|/)[^/]*$", "").alias("run"), "path").orderBy("path")
+
+
+def checked_structure(entries: DataFrame, cameras: list[str], separator: str = "; ") -> DataFrame:
+    """(episode_id, valid, message) of each folder with an ``ee_csv.csv`` or a camera's folder: the first of the ``cameras``
+    must hold a .jpg, the others a file, and the CSV must be there; the message lists what is wrong, in this order."""
+    leaf, above = F.element_at(F.split("parent", "/"), -1), F.regexp_replace("parent", "(^|/)[^/]*$", "")
+    inside = entries.where(~F.col("is_dir") & leaf.isin(cameras)).select(above.alias("episode_id"), leaf.alias("what"), F.col("name").endswith(".jpg").alias("jpg"), F.lit(True).alias("file"))
+    own = entries.where((F.col("is_dir") & F.col("name").isin(cameras)) | (~F.col("is_dir") & (F.col("name") == "ee_csv.csv"))).select(F.col("parent").alias("episode_id"), F.col("name").alias("what"), F.lit(False).alias("jpg"), F.lit(False).alias("file"))
+    of = lambda what, c: F.coalesce(F.bool_or(F.when(F.col("what") == what, F.col(c))), F.lit(False))
+    checks = [F.when(~of(cameras[0], "jpg"), F.lit(f"no .jpg in {cameras[0]}")), *[F.when(~of(c, "file"), F.lit(f"{c} is empty or missing")) for c in cameras[1:]], F.when(~F.bool_or(F.col("what") == "ee_csv.csv"), F.lit("ee_csv.csv is missing"))]
+    found = own.unionByName(inside).groupBy("episode_id").agg(F.concat_ws(separator, *checks).alias("message"))
+    return found.select("episode_id", (F.col("message") == "").alias("valid"), "message").orderBy("episode_id")
+
+
 def video_runs(entries: DataFrame, root: str) -> DataFrame:
     """(path, output) of folders collector/tissue/run with left frames, in order, and the name of each one's video."""
     left = entries.where("is_dir AND name = 'left_img_dir' AND depth = 4")
