@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import batches_then_release, prepare
+from tracewright.llm.common import KEPT, batches_then_release, prepare
 
 # Codepoint classes.
 LETTER, NUMBER, MARK, SPACE, BLANK = range(5)  # BLANK is U+0020, SPACE any other white space
@@ -301,9 +301,15 @@ class Vocabulary:
 
 @lru_cache(4)
 def vocabulary(path: str) -> Vocabulary:
+    """Kept by a worker with its cache of slices for the tasks that use it, see common.KEPT."""
     return Vocabulary(path)
 
 
+def _ours(batches: Iterator) -> Iterator:
+    KEPT["vocabulary"] = vocabulary.cache_clear
+    return batches_then_release(batches, "vocabulary")
+
+
 def _batches(texts: list[str], most: int = 300_000) -> Iterator[list[str]]:
     part, size = [], 0
     for t in texts:
@@ -326,7 +332,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = vocabulary(path)
-        for batch in batches_then_release(batches):
+        for batch in _ours(batches):
             ids = [x[0] for part in _batches([t or "" for t in batch["_text"]]) for x in v.encode(part)]
             sizes = [[len(v.parts[i]) for i in x] for x in ids]
             yield batch.drop(columns="_text").assign(ids=ids, token_bytes=sizes)
@@ -346,7 +352,7 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = vocabulary(path)
-        for batch in batches_then_release(batches):
+        for batch in _ours(batches):
             out = []
             for part in _batches([t or "" for t in batch["text"]]):
                 for ids, decimal, _ in v.encode(part):

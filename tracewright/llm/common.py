@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,9 +38,18 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def batches_then_release(batches: Iterator) -> Iterator:
-    """``batches`` of one task; when they end, memory that allocators hold without need goes back to the system, as a
-    Python worker lives on for the tasks of later stages."""
+#: What a Python worker keeps from task to task, by name, with the function that lets it go.
+KEPT: dict[str, Callable[[], object]] = {}
+
+
+def batches_then_release(batches: Iterator, uses: str | None = None) -> Iterator:
+    """``batches`` of one task that ``uses`` one of the things in KEPT: the others, kept by tasks of earlier stages, go first.
+
+    A Python worker lives on for the tasks of later stages: when the batches end, memory that allocators hold without
+    need goes back to the system.
+    """
+    for name in [n for n in KEPT if n != uses]:
+        KEPT.pop(name)()
     yield from batches
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it, others need not
@@ -74,13 +83,14 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def join_hot(rows: DataFrame, groups: DataFrame, key: str, counts: DataFrame, total: int) -> DataFrame:
+def join_hot(rows: DataFrame, groups: DataFrame, key: str, counts: DataFrame, total: int, most: int = HOT) -> DataFrame:
     """The inner join of ``rows`` and ``groups`` (one row a key), where a few keys may hold most rows.
 
-    ``counts`` has (key, n), the rows of each key. Keys with more than one in HOT of ``total`` rows are at most HOT: their
-    groups are broadcast, so that no task gets all rows of one key. The other keys are shuffled as usual.
+    ``counts`` has (key, n), the rows of each key. Keys with more than one in ``most`` of ``total`` rows are at most ``most``:
+    their groups are broadcast, so that no task gets all rows of one key. The other keys are shuffled as usual. Wide
+    groups take a smaller ``most``.
     """
-    hot = F.broadcast(counts.where(F.col("n") * HOT > total).select(key))
+    hot = F.broadcast(counts.where(F.col("n") * most > total).select(key))
     few = groups.join(hot, key, "left_semi")
     return rows.join(F.broadcast(few), key).unionByName(rows.join(hot, key, "left_anti").join(groups, key))
 

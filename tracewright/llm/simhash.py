@@ -30,6 +30,8 @@ WIDE_BITS, WIDE_BLOCKS, WIDE_WIDTH, ANCHORS = 960, 48, 6, 3
 NEAR_BITS, SMALL_BITS, SMALL_SET = 190, 230, 20
 #: Buckets above this size are linked by their centre first, then by what their members share beyond it.
 WIDE_PAIRS = 8
+#: Keys with more than one in HUBS of all pairs are joined by broadcast: so many shingle sets at most.
+HUBS = 50
 #: Near copies: Jaccard similarity of the shingle sets, as a fraction.
 NEAR = (4, 5)
 
@@ -327,9 +329,13 @@ def _overlaps(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     part, whole = NEAR
     side = lambda name: nodes.select(F.col("fp").alias(name), F.col("wide").alias(f"_w{name}"), F.col("size").alias(f"_n{name}"))
     close = (F.least("_nu", "_nv") * whole >= F.greatest("_nu", "_nv") * part) & _close("_wu", "_wv", F.col("_nu"), F.col("_nv"))
-    few = checkpointed(pairs.join(side("u"), "u").join(side("v"), "v").where(close).select(*pairs.columns))
+    pairs = checkpointed(pairs)
+    ends = checkpointed(pairs.groupBy("u").agg(F.count("*").alias("n")))
+    few = checkpointed(join_hot(pairs, side("u"), "u", ends, pairs.count(), HUBS).join(side("v"), "v").where(close).select(*pairs.columns))
     end = lambda name: sets.select(F.col("fp").alias(name), F.col("shingles").alias(f"_s{name}"))
-    found = few.join(end("u"), "u").join(end("v"), "v").withColumn("both", F.size(F.array_intersect("_su", "_sv")))
+    # one centre may be in most pairs; its set may be long, so few are broadcast
+    counts = checkpointed(few.groupBy("u").agg(F.count("*").alias("n")))
+    found = join_hot(few, end("u"), "u", counts, few.count(), HUBS).join(end("v"), "v").withColumn("both", F.size(F.array_intersect("_su", "_sv")))
     near = _enough(F.size("_su"), F.size("_sv"), F.col("both"))
     return checkpointed(found.select(*pairs.columns, "both", near.alias("near")))
 
