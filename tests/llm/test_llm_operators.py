@@ -407,7 +407,7 @@ def slow_marks(classes):
         before = lambda kind, reach: any(classes[j] == kind and t.TARGET not in classes[j + 1 : i] for j in range(max(0, i - reach), i))  # noqa: B023, E731
         marks = 0
         if c == t.INSULT:
-            marks = t.HIT | (t.PILED if before(t.INSULT, t.REACH) else 0) | (t.AIMED if t.TARGET in classes[:i] else 0)
+            marks = t.HIT | (t.PILED if before(t.INSULT, t.REACH) else 0) | (t.AIMED if t.TARGET in classes[:i] else 0) | (t.OWN if before(t.SELF, t.REACH) else 0)
         elif c == t.TARGET and (before(t.INSULT, t.REACH) or before(t.THREAT, t.REACH)):
             marks = t.HIT | t.AIMED
         if marks:
@@ -420,7 +420,7 @@ def slow_marks(classes):
 def test_grammar_against_brute_force():
     rng, arcs = random.Random(5), toxicity.grammar().arcs
     for _ in range(3000):
-        classes = [rng.randrange(6) for _ in range(rng.randint(0, 12))]
+        classes = [rng.choice(toxicity.CLASSES) for _ in range(rng.randint(0, 12))]
         state, got = 0, []
         for i, c in enumerate(classes):
             state, marks = arcs[state][c]
@@ -429,13 +429,57 @@ def test_grammar_against_brute_force():
         assert got == slow_marks(classes), classes
 
 
+def _hinted(seed, n=400):
+    """Texts of made-up words; toxic ones hold two of a family of words close together, four in ten others two far apart."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice(["ka", "lo", "mi", "ru", "te", "sna"]) for _ in range(rng.randrange(2, 5)))
+    out = []
+    for i in range(n):
+        w = [word() for _ in range(rng.randrange(250, 400))]
+        mark = int(i % 5 == 0)
+        at = rng.randrange(100)
+        for k in sorted(rng.sample(range(30), 2)) if mark else [0, 100] if rng.random() < 0.4 else []:
+            w[at + k] = "zorgum" + word()
+        out.append((" ".join(x + ("." if rng.random() < 0.1 else "") for x in w), mark))
+    return out
+
+
+def test_one_state_machine_loses_against_the_grammar():
+    """A machine that only says that a word is in the lexicon, refitted, tells the same texts apart clearly worse."""
+    train, test = _hinted(1), _hinted(2)
+
+    def right(model):
+        model.fit(train)
+        found = [(model.score(t) >= toxicity.THRESHOLD, y) for t, y in test]
+        return sum(f for f, y in found if y), sum(f for f, y in found if not y)
+
+    found, flagged = right(toxicity.ToxicityModel())
+    plain = toxicity.ToxicityModel()
+    plain.grammar = [[(0, toxicity.HIT if c <= toxicity.HINT else 0) for c in toxicity.CLASSES]]
+    plain.runs = [[(0, 0) for _ in toxicity.CLASSES]] * (toxicity.SPAN + 1)
+    low, high = right(plain)
+    assert found >= 70 and flagged <= 2
+    assert low <= found - 20 or high >= flagged + 20
+
+
+def test_modifiers_of_matches():
+    model = toxicity.ToxicityModel().fit([(f"some words here you idiot number{i}", 1) for i in range(40)] + [(f"some words here and more number{i}", 0) for i in range(120)])
+    score = lambda t: model.score("some words here. " + t)
+    assert score("you idiot") >= score("idiot") > score("i am idiot") and score("idiot") > score("never idiot") and score("idiot") > score("wrote idiot")
+    hint = toxicity.ToxicityModel()
+    hint.starts = {"zorgum": (toxicity.HINT, 5.0)}
+    far = " ka" * (toxicity.SPAN + 1)
+    assert hint.matches("zorgumka lo mi") == [] and hint.matches("zorgumka" + far + " zorgumlo") == []
+    assert len(hint.matches("zorgumka. lo mi\nzorgumlo ru")) == 1 and len(hint.matches("idiot. lo zorgumlo")) == 2
+
+
 def test_score_needs_the_grammar(docs, labels):
     y = {r.doc_id: r.toxic for r in labels.collect()}
     rows = [(r.text, y[r.doc_id]) for r in docs.collect() if r.doc_id in y and r.text]
     model = toxicity.ToxicityModel().fit(rows)
     toxic = [t for t, mark in rows if mark]
     assert np.mean([model.score(t) >= toxicity.THRESHOLD for t in toxic]) > 0.5 and min(model.weights[1:]) >= 0
-    model.grammar = [[(0, 0)] * 6]
+    model.grammar, model.runs = [[(0, 0)] * 8], [[(0, 0)] * 8] * (toxicity.SPAN + 1)
     assert not any(model.score(t) >= toxicity.THRESHOLD for t, _ in rows)
 
 
@@ -599,6 +643,20 @@ def test_licenses(docs, odd, clashing, make):
     assert licenses.license_scan(make([])).count() == 0
 
 
+@pytest.mark.parametrize(
+    "text,label",
+    [
+        ("GNU General Public License version 3.0", "gpl,gpl-3.0"), ("GNU General Public License, version 2.0", "gpl,gpl-2.0"), ("GNU General Public License v2.0 or later", "gpl,gpl-2.0"), ("GNU General Public License version 2.1", "gpl"),
+        ("GNU LGPL v2.1", "lgpl-2.1"), ("GNU AGPL v3", "agpl-3.0"), ("GNU LGPL version 3.0", "lgpl-3.0"), ("the GNU LGPL", "lgpl"), ("GNU GPL version 2", "gpl-2.0"), ("GPL version 2", "gpl-2.0"), ("GPLv3", "gpl-3.0"),
+        ("CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa"), ("CC BY-NC-ND 3.0", "cc-by,cc-by-nc-nd"), ("CC-BY-ND-4.0", "cc-by,cc-by-nd"), ("CC-BY-NC 4.0", "cc-by,cc-by-nc"), ("CC BY-SA", "cc-by,cc-by-sa"), ("Creative Commons Attribution 4.0", "cc-by"),
+        ("MPL-2.0", "mpl-2.0"), ("MPL 1.1", "mpl-1.1"), ("EPL-2.0", "epl-2.0"), ("EPL v1.0", "epl-1.0"), ("Eclipse Public License 2.0", "epl-2.0"), ("Eclipse Public License - v 2.0", "epl-2.0"), ("Eclipse Public License", "epl"),
+        ("MIT/X11", "mit"), ("mit-licensed", "mit"), ("MIT OR Apache-2.0", "apache-2.0,mit"), ("Apache-2.0 OR MIT", "apache-2.0,mit"), ("MIT/Apache-2.0", "apache-2.0,mit"), ("GPL-2.0-or-later AND BSD-3-Clause", "bsd-3-clause,gpl-2.0"), ("(MIT OR ISC) AND Zlib", "isc,mit,zlib"), ("Mozilla Public License 2.0", "mpl-2.0"), ("Mozilla Public License, v. 2.0", "mpl-2.0"), ("Unlicense", "unlicense"), ("an unlicensed copy", ""), ("mit or without", ""),
+    ],
+)
+def test_license_names_in_use(text, label):
+    assert licenses.scan_text(text)[5] == label
+
+
 def test_license_rules():
     assert len(licenses.rules()) > 200 and len({(r.label, r.kind, r.pattern.pattern) for r in licenses.rules()}) == len(licenses.rules())
     label = lambda t: licenses.scan_text(t)[5]

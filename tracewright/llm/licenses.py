@@ -27,7 +27,8 @@ LICENSES = (
     ("asf", "asf", r"licen[sc]ed~to~the~apache~software~foundation~[(]?asf", ""),
     ("apache", "apache", r"apache~(?:software~)?license", ""),
     ("mit", "mit", r"(?:the~)?mit~(?:x11~)?licen[sc]e", "mit"),
-    ("mit-0", "mit", r"mit~no~attribution(?:~license)?", "mit-0"),
+    ("mit", "mit", r"mit~licen[sc]ed|licen[sc]ed~under~mit|mit~x11", ""),
+    ("mit-0", "mit", r"mit~no~attribution(?:~license)?|mit~0(?:~license)?", "mit-0"),
     ("x11", "x11", r"x11~license", "x11"),
     ("bsd-4-clause", "bsd", r"(?:4|four)~clause~bsd(?:~license)?|original~bsd~license", "bsd-4-clause"),
     ("bsd-3-clause", "bsd", r"(?:3|three)~clause~bsd(?:~license)?|(?:new|modified|revised)~bsd(?:~license)?", "bsd-3-clause"),
@@ -37,35 +38,38 @@ LICENSES = (
     ("bsd-2-clause", "bsd", r"bsd~(?:2|two)~clause(?:~licen[sc]e)?|bsd~2(?:~licen[sc]e)?|2~bsd~licen[sc]e", ""),
     ("bsd-0-clause", "0bsd|zero", r"0bsd|zero~clause~bsd(?:~license)?", "0bsd"),
     ("bsd", "bsd", r"bsd~(?:style~)?licen[sc]e", ""),
-    ("gpl-1.0", "gpl", r"gpl~?v?~?1(?:[.]0)?", "gpl-1.0(?:-only|-or-later)?"),
-    ("gpl-2.0", "gpl", r"gpl~?v?~?2(?:[.]0)?", "gpl-2.0(?:-only|-or-later)?"),
-    ("gpl-3.0", "gpl", r"gpl~?v?~?3(?:[.]0)?", "gpl-3.0(?:-only|-or-later)?"),
+    ("gpl-1.0", "gpl", r"(?:gnu~)?gpl~?(?:version~|v[.]?~?)?1(?:[.]0)?", "gpl-1.0(?:-only|-or-later)?"),
+    ("gpl-2.0", "gpl", r"(?:gnu~)?gpl~?(?:version~|v[.]?~?)?2(?:[.]0)?", "gpl-2.0(?:-only|-or-later)?"),
+    ("gpl-3.0", "gpl", r"(?:gnu~)?gpl~?(?:version~|v[.]?~?)?3(?:[.]0)?", "gpl-3.0(?:-only|-or-later)?"),
     ("lgpl-2.0", "lesser|library", r"(?:gnu~)?(?:lesser|library)~general~public~license,?~(?:version~|v\.?~?)?2(?:[.]0)?", ""),
     ("lgpl-2.1", "lesser|library", r"(?:gnu~)?(?:lesser|library)~general~public~license,?~(?:version~|v\.?~?)?2[.]1", ""),
     ("lgpl-3.0", "lesser|library", r"(?:gnu~)?(?:lesser|library)~general~public~license,?~(?:version~|v\.?~?)?3(?:[.]0)?", ""),
     ("agpl-1.0", "affero", r"(?:gnu~)?affero~general~public~license,?~(?:version~|v\.?~?)?1(?:[.]0)?", "agpl-1.0(?:-only|-or-later)?"),
     ("agpl-3.0", "affero", r"(?:gnu~)?affero~general~public~license,?~(?:version~|v\.?~?)?3(?:[.]0)?", ""),
-    ("gpl-2.0", "gnu", r"gnu~gpl~(?:version~)?2(?:[.]0)?", ""),
-    ("gpl-3.0", "gnu", r"gnu~gpl~(?:version~)?3(?:[.]0)?", ""),
     ("lgpl", "lgpl", r"gnu~lgpl|lgpl~licen[sc]ed?|under~(?:the~)?lgpl", ""),
     ("agpl", "agpl", r"gnu~agpl|agpl~licen[sc]ed?|under~(?:the~)?agpl", ""),
     ("gpl", "gpl", r"gnu~gpl|gpl~licen[sc]ed?|under~(?:the~)?gpl|gpl~compatible", ""),
-    ("gpl-1.0", "general", r"(?:gnu~)?general~public~license,?~(?:version~|v\.?~?)1", ""),
-    ("gpl-2.0", "general", r"(?:gnu~)?general~public~license,?~(?:version~|v\.?~?)2", ""),
-    ("gpl-3.0", "general", r"(?:gnu~)?general~public~license,?~(?:version~|v\.?~?)3", ""),
-    ("lgpl-2.0", "lgpl", r"lgpl~?v?~?2(?:[.]0)?", "lgpl-2.0(?:-only|-or-later)?"),
-    ("lgpl-2.1", "lgpl", r"lgpl~?v?~?2[.]1", "lgpl-2.1(?:-only|-or-later)?"),
-    ("lgpl-3.0", "lgpl", r"lgpl~?v?~?3(?:[.]0)?", "lgpl-3.0(?:-only|-or-later)?"),
+    ("gpl-1.0", "general", r"(?:gnu~)?general~public~license,?~(?:version~|v[.]?~?)?1(?:[.]0)?", ""),
+    ("gpl-2.0", "general", r"(?:gnu~)?general~public~license,?~(?:version~|v[.]?~?)?2(?:[.]0)?", ""),
+    ("gpl-3.0", "general", r"(?:gnu~)?general~public~license,?~(?:version~|v[.]?~?)?3(?:[.]0)?", ""),
+    ("lgpl-2.0", "lgpl", r"(?:gnu~)?lgpl~?(?:version~|v[.]?~?)?2(?:[.]0)?", "lgpl-2.0(?:-only|-or-later)?"),
+    ("lgpl-2.1", "lgpl", r"(?:gnu~)?lgpl~?(?:version~|v[.]?~?)?2[.]1", "lgpl-2.1(?:-only|-or-later)?"),
+    ("lgpl-3.0", "lgpl", r"(?:gnu~)?lgpl~?(?:version~|v[.]?~?)?3(?:[.]0)?", "lgpl-3.0(?:-only|-or-later)?"),
     ("lgpl", "lesser|library", r"(?:gnu~)?(?:lesser|library)~general~public~license", ""),
-    ("agpl-3.0", "agpl", r"agpl~?v?~?3(?:[.]0)?", "agpl-3.0(?:-only|-or-later)?"),
+    ("agpl-3.0", "agpl", r"(?:gnu~)?agpl~?(?:version~|v[.]?~?)?3(?:[.]0)?", "agpl-3.0(?:-only|-or-later)?"),
     ("agpl", "affero", r"(?:gnu~)?affero~general~public~license", ""),
     ("gfdl", "documentation", r"gnu~free~documentation~license", "gfdl-1.[123](?:-only|-or-later)?"),
     ("gpl", "general", r"(?:gnu~)?general~public~license", ""),
-    ("mpl-1.1", "mozilla", r"mozilla~public~license,?~(?:version~|v\.?~?)1[.]1", "mpl-1.1"),
-    ("mpl-2.0", "mozilla", r"mozilla~public~license,?~(?:version~|v\.?~?)2(?:[.]0)?", "mpl-2.0"),
+    ("mpl-1.1", "mozilla", r"mozilla~public~license,?~(?:version~|v\.?~?)?1[.]1", "mpl-1.1"),
+    ("mpl-2.0", "mozilla", r"mozilla~public~license,?~(?:version~|v\.?~?)?2(?:[.]0)?", "mpl-2.0"),
+    ("mpl-1.1", "mpl", r"mpl~?(?:version~|v[.]?~?)?1[.]1", ""),
+    ("mpl-2.0", "mpl", r"mpl~?(?:version~|v[.]?~?)?2(?:[.]0)?", ""),
     ("mpl", "mozilla", r"mozilla~public~license", ""),
-    ("epl-1.0", "eclipse", r"eclipse~public~license,?~(?:version~|v\.?~?)1(?:[.]0)?", "epl-1.0"),
-    ("epl-2.0", "eclipse", r"eclipse~public~license,?~(?:version~|v\.?~?)2(?:[.]0)?", "epl-2.0"),
+    ("epl-1.0", "eclipse", r"eclipse~public~license,?~(?:version~|v\.?~?)?1(?:[.]0)?", "epl-1.0"),
+    ("epl-2.0", "eclipse", r"eclipse~public~license,?~(?:version~|v\.?~?)?2(?:[.]0)?", "epl-2.0"),
+    ("epl-1.0", "epl", r"epl~?(?:version~|v[.]?~?)?1(?:[.]0)?", ""),
+    ("epl-2.0", "epl", r"epl~?(?:version~|v[.]?~?)?2(?:[.]0)?", ""),
+    ("epl", "eclipse", r"eclipse~public~license", ""),
     ("edl-1.0", "eclipse", r"eclipse~distribution~license", "edl-1.0"),
     ("cddl-1.0", "distribution", r"common~development~and~distribution~license", "cddl-1.0"),
     ("cpl-1.0", "common", r"common~public~license", "cpl-1.0"),
@@ -73,7 +77,7 @@ LICENSES = (
     ("isc", "isc", r"isc~license", "isc"),
     ("zlib", "zlib", r"zlib(?:~libpng)?~license", "zlib"),
     ("libpng", "libpng", r"libpng~license", "libpng-2.0"),
-    ("unlicense", "unlicense", r"the~unlicense|released~into~the~public~domain~under~the~unlicense", "unlicense"),
+    ("unlicense", "unlicense", r"(?:the~)?unlicense|released~into~the~public~domain~under~the~unlicense", "unlicense"),
     ("wtfpl", "wtfpl", r"wtfpl", "wtfpl"),
     ("wtfpl", "public", r"do~what~the~fuck~you~want~to~public~license", ""),
     ("bsl-1.0", "boost", r"boost~software~license", "bsl-1.0"),
@@ -103,9 +107,12 @@ LICENSES = (
     ("cc-by-nc", "noncommercial", r"(?:creative~commons~)?attribution~noncommercial", "cc-by-nc-[1-4].0"),
     ("cc-by-nd", "noderiv", r"(?:creative~commons~)?attribution~noderiv(?:ative)?s", "cc-by-nd-[1-4].0"),
     ("cc-by-sa", "sharealike", r"(?:creative~commons~)?attribution~sharealike", "cc-by-sa-[1-4].0"),
+    ("cc-by-nc-nd", "cc", r"cc~by~nc~nd(?:~[1-4][.][05])?", ""),
+    ("cc-by-nc-sa", "cc", r"cc~by~nc~sa(?:~[1-4][.][05])?", ""),
     ("cc-by-sa", "cc", r"cc~by~sa(?:~[1-4][.][05])?", ""),
+    ("cc-by-nd", "cc", r"cc~by~nd(?:~[1-4][.][05])?", ""),
     ("cc-by-nc", "cc", r"cc~by~nc(?:~[1-4][.][05])?", ""),
-    ("cc-by", "creative", r"creative~commons~attribution(?:~[1-4][.][05])?(?:~international|~unported|~generic)?~license", "cc-by-[1-4].0"),
+    ("cc-by", "creative", r"creative~commons~attribution(?:~[1-4][.][05])?(?:~international|~unported|~generic)?(?:~licen[sc]e)?", "cc-by-[1-4].0"),
     ("creative-commons", "creative", r"creative~commons~licen[sc]e", ""),
     ("elastic-2.0", "elastic", r"elastic~license", "elastic-2.0"),
     ("sspl-1.0", "sspl|server", r"sspl|server~side~public~license", "sspl-1.0"),
@@ -222,8 +229,13 @@ SENTENCES = (
     ("non-commercial", "commercial", r"(?:for~)?non~?commercial~(?:use|purposes)~only"),
     ("research-only", "research", r"for~(?:academic~)?research~(?:use|purposes)~only"),
 )
+# License expressions: an identifier that OR, AND or a slash joins to another one; each half is a detection of its own.
+EXPRESSION_IDS = (
+    ("mit", "mit"), ("apache-2.0", r"apache~?2(?:[.]0)?"), ("gpl-2.0", r"gpl~?v?2(?:[.]0)?(?:~only|~or~later)?[+]?"), ("gpl-3.0", r"gpl~?v?3(?:[.]0)?(?:~only|~or~later)?[+]?"), ("lgpl-2.1", r"lgpl~?v?2[.]1(?:~only|~or~later)?[+]?"),
+    ("lgpl-3.0", r"lgpl~?v?3(?:[.]0)?(?:~only|~or~later)?[+]?"), ("mpl-2.0", r"mpl~?2(?:[.]0)?"), ("epl-2.0", r"epl~?2(?:[.]0)?"), ("bsd-2-clause", r"bsd~2~clause"), ("bsd-3-clause", r"bsd~3~clause"), ("isc", "isc"), ("zlib", "zlib"), ("bsl-1.0", r"bsl~1[.]0"), ("cc0-1.0", r"cc0(?:~1[.]0)?"), ("unlicense", "unlicense"),
+)
 #: Kinds of rules, first the most telling, with their weights; a name or an address after GRANT weighs as much as a sentence.
-WEIGHTS = {"sentence": 1.0, "spdx": 1.0, "address": 0.9, "name": 0.6}
+WEIGHTS = {"sentence": 1.0, "spdx": 1.0, "address": 0.9, "expression": 0.8, "name": 0.6}
 GRANT = re.compile(rb"(?:(?:licen[sc]ed|released|distributed|available|published|provided|subject|covered|governed)[\x00-\x2f\x3a-\x60\x7b-\x7f]+(?:to|by|under|with|at)|under|licen[sc]e:)(?:[\x00-\x2f\x3a-\x60\x7b-\x7f]+(?:the|terms|of|and|conditions|an?))*[\x00-\x2f\x3a-\x60\x7b-\x7f]*(?:https?://(?:www[.])?)?\Z")
 #: Bytes before a match in which GRANT may stand.
 BEFORE = 120
@@ -245,7 +257,7 @@ class Rule:
 
 @lru_cache(1)
 def rules() -> tuple[Rule, ...]:
-    """The rules in order: sentences, SPDX tags, addresses, then names, specific licenses before general ones."""
+    """The rules in order: sentences, SPDX tags, addresses, expressions, then names, specific licenses before general ones."""
     out: list[Rule] = []
 
     def add(label: str, kind: str, keyword: str, pattern: str) -> None:
@@ -260,6 +272,11 @@ def rules() -> tuple[Rule, ...]:
             add(label, "spdx", "spdx", r"spdx-license-identifier:[^\n]*?(?<![-0-9a-z.])(" + tag.replace(".", "[.]").replace("[[.]", "[.").replace("[.]]", ".]") + ")(?!-)")
     for label, keyword, pattern in ADDRESSES:
         add(label, "address", keyword, pattern)
+    other, joint = "|".join(p for _, p in EXPRESSION_IDS), r"(?:~(?:or|and)~|[\x20]?/[\x20]?)"
+    for label, name in EXPRESSION_IDS:
+        keyword = next(k for k in ("mit", "apache", "lgpl", "gpl", "mpl", "epl", "bsd", "isc", "zlib", "bsl", "cc0", "unlicense") if k in name)
+        add(label, "expression", keyword, f"({name})(?={joint}(?:{other})(?![{OWN}]))")
+        add(label, "expression", keyword, f"(?:{other}){joint}({name})")
     for label, keyword, name, _ in LICENSES:
         add(label, "name", keyword, name)
     return tuple(out)
@@ -313,8 +330,9 @@ def suppressed(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]
 
 def detections(raw: bytes) -> list[tuple[int, int, Rule]]:
     """(start, end, rule) in lower-cased bytes, by start, overlaps suppressed. Rules run only if one of their keywords occurs;
-    of an SPDX line each tag is a detection of its own."""
-    found = [(*m.span(1 if rule.kind == "spdx" else 0), rule) for keys, own in _gates().items() if any(k in raw for k in keys) for rule in own for m in rule.pattern.finditer(raw)]
+    of an SPDX line and of an
+    expression each identifier is a detection of its own."""
+    found = [(*m.span(1 if rule.kind in ("spdx", "expression") else 0), rule) for keys, own in _gates().items() if any(k in raw for k in keys) for rule in own for m in rule.pattern.finditer(raw)]
     return suppressed(found)
 
 

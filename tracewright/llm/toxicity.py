@@ -1,9 +1,15 @@
-"""Toxicity: a weighted finite-state pattern grammar over word classes, scoring matched clauses."""
+"""Toxicity: a weighted finite-state pattern grammar over word classes, scoring matched clauses.
+
+Training rows teach two kinds of words. Some stand in toxic texts almost only: such an insult is a match by itself, as the
+labels have it, and a target nearby adds to it. Others, mostly beginnings of words, stand in other texts as well: such a
+hint is a match only behind another insult or hint, so that the grammar and not the word decides.
+"""
 
 from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,6 +26,11 @@ SAMPLE = {0: 4000, 1: 3000}
 #: Words and word beginnings that the training rows may add to the lexicon at most, the toxic texts that must hold one,
 #: their least share of all that do, and the accidental ones expected among all words tried.
 LEXICON, LEAST_TOXIC, LEAST_SHARE, ACCIDENT = 4000, 3, 0.95, 1.0
+#: Hints: their least share of toxic texts among those that hold one, and among those that hold two within SPAN tokens; words
+#: and beginnings that are looked at, those with the most toxic texts first.
+HINT_SHARE, RUN_SHARE, HINTS, SPAN = 0.3, 0.85, 2000, 48
+#: Contrast rows made for each modifier from training rows that are not toxic.
+CONTRAST = 40
 #: Parts of the training rows: each one's matches come from a lexicon that the others teach.
 PARTS = 3
 PREFIXES = (4, 5, 6, 7)
@@ -29,13 +40,15 @@ SEED_THREATS = "kill hurt destroy stab töten umbringen verletzen tuer frapper d
 TARGETS = "you your he she they them him her people du ihr sie euch er tu vous il elle ils elles vosotros tú usted ellos ella él ustedes".split()
 NEGATIONS = "not never no nobody nicht kein keine niemals nie ne pas jamais aucun nunca ningún jamás".split()
 REPORTS = "said says wrote quoted claimed reported sagte schrieb behauptete dit écrit déclara dijo escribió según".split()
+SELVES = "i me myself ich mich je moi yo".split()
 #: Words that an insult, a threat or a negation reaches.
 REACH = 3
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
+#: Classes up to HINT carry weight.
+INSULT, THREAT, HINT, TARGET, NEGATION, REPORT, SELF, OTHER = CLASSES = range(8)
 #: Output marks of the transducers: a match, and what modifies it.
-HIT, PILED, AIMED, NEGATED, REPORTED = 1, 2, 4, 8, 16
+HIT, PILED, AIMED, NEGATED, REPORTED, OWN, RUN = MARKS = (1, 2, 4, 8, 16, 32, 64)
 #: Log-weight of each modifier before training, the sign that training may not turn, and how firmly it is held.
-MODIFIERS, FIRMNESS = {PILED: 0.2, AIMED: 0.7, NEGATED: -1.5, REPORTED: -0.7}, 3.0
+MODIFIERS, FIRMNESS = {PILED: 0.2, AIMED: 0.7, NEGATED: -1.5, REPORTED: -1.0, OWN: -1.5, RUN: 0.2}, 0.5
 THRESHOLD = 0.7
 TOKEN = re.compile(r"\w+|[.!?;\n]")
 ENDS = frozenset(".!?;\n")
@@ -55,7 +68,7 @@ class Transducer:
         while todo:
             a, b = todo.pop(0)
             row = []
-            for c in range(6):
+            for c in CLASSES:
                 (na, ma), (nb, mb) = self.arcs[a][c], other.arcs[b][c]
                 if (na, nb) not in names:
                     names[na, nb] = len(names)
@@ -66,34 +79,44 @@ class Transducer:
 
 
 def _machine(states: int, step) -> Transducer:
-    return Transducer([[step(s, c) for c in range(6)] for s in range(states)])
+    return Transducer([[step(s, c) for c in CLASSES] for s in range(states)])
 
 
 def grammar() -> Transducer:
-    """insult, threat, target, negation and reported-speech transducers, composed. A clause starts in state 0.
+    """insult, threat, target, negation, self and reported-speech transducers, composed. A clause starts in state 0.
 
     The insult machine matches an insult, marks one that follows another within REACH words as piled on it, and matches
     once more, as aimed, when a target comes within REACH words after one ("idiots like you"). The threat machine
     matches when a target comes within REACH words after a threat word: a threat word alone is no match. The target
     machine marks insults after a target in their clause as aimed, the negation machine matches within REACH words after
-    a negation as negated (two words longer where a threat waits for its target), the report machine those after a verb
-    of reported speech. Only marked matches carry weight.
+    a negation as negated (two words longer where a threat waits for its target), the self machine those within REACH
+    words after the writer's own person, the report machine those after a verb of reported speech. Only marked matches
+    carry weight.
     """
     far = REACH + 2
     insult = _machine(REACH + 1, lambda s, c: (REACH, HIT | (PILED if s else 0)) if c == INSULT else (0, HIT | AIMED) if c == TARGET and s else (max(0, s - 1), 0))
     threat = _machine(REACH + 1, lambda s, c: (REACH, 0) if c == THREAT else (0, HIT | AIMED) if c == TARGET and s else (max(0, s - 1), 0))
-    target = _machine(2, lambda s, c: (1 if c == TARGET else s, AIMED if s and c == INSULT else 0))
+    target = _machine(2, lambda s, c: (1 if c == TARGET else s, AIMED if s and c in (INSULT, HINT) else 0))
+    own = _machine(REACH + 1, lambda s, c: (REACH if c == SELF else 0 if c == TARGET else max(0, s - 1), OWN if s and c in (INSULT, HINT) else 0))
     negation = _machine(far + 1, lambda s, c: (far if c == NEGATION else max(0, s - 1), NEGATED if s > (0 if c == TARGET else 2) else 0))
     report = _machine(2, lambda s, c: (1 if c == REPORT else s, REPORTED if s else 0))
-    return insult.compose(threat).compose(target).compose(negation).compose(report)
+    return insult.compose(threat).compose(target).compose(negation).compose(own).compose(report)
+
+
+def runs() -> Transducer:
+    """The machine of runs: it counts down SPAN tokens, over the ends of clauses, from each insult or hint, and marks the next
+    one within them; a hint is a match by this mark only. It runs beside the grammar: between two such words it does
+    nothing but count, so its SPAN states are not multiplied with the grammar's but stepped over in one go.
+    """
+    return _machine(SPAN + 1, lambda s, c: (SPAN, (RUN | (HIT if c == HINT else 0)) if s else 0) if c in (INSULT, HINT) else (max(0, s - 1), 0))
 
 
 class Lexicon(dict):
     """word -> (class, weight), or None for others; unseen words are looked up by their longest known beginning."""
 
-    def __init__(self, words: dict[str, tuple[int, float]], starts: dict[str, float]):
+    def __init__(self, words: dict[str, tuple[int, float]], starts: dict[str, tuple[int, float]]):
         self.words, self.starts = words, starts
-        self.fixed = {w: (c, 0.0) for c, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
+        self.fixed = {w: (c, 0.0) for c, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (SELF, SELVES)) for w in ws}
         super().__init__()
 
     def __missing__(self, word: str):
@@ -101,7 +124,7 @@ class Lexicon(dict):
         if out is None:
             for n in reversed(PREFIXES):
                 if len(word) > n and word[:n] in self.starts:
-                    out = (INSULT, self.starts[word[:n]])
+                    out = self.starts[word[:n]]
                     break
         if len(self) > CACHE:
             self.clear()
@@ -127,9 +150,9 @@ def newton(a: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 class ToxicityModel:
     def __init__(self):
-        self.grammar = grammar().arcs
+        self.grammar, self.runs = grammar().arcs, runs().arcs
         self.words = {w: (INSULT, 3.0) for w in SEED_INSULTS} | {w: (THREAT, 3.0) for w in SEED_THREATS}
-        self.starts: dict[str, float] = {}
+        self.starts: dict[str, tuple[int, float]] = {}
         self.modifiers = dict(MODIFIERS)
         self.weights = np.array([-4.0, 1.0, 1.0])
         self.lexicon: Lexicon | None = None
@@ -143,9 +166,9 @@ class ToxicityModel:
             self.lexicon = Lexicon(self.words, self.starts)
         tokens = TOKEN.findall((text or "").lower())
         classes = list(map(self.lexicon.__getitem__, tokens))
-        out, done = [], -1
+        out, done, run, heard = [], -1, 0, -1
         for i, c in enumerate(classes):
-            if c is None or c[0] > THREAT or i < done:
+            if c is None or c[0] > HINT or i < done:
                 continue
             at = i
             while at > 0 and tokens[at - 1] not in ENDS:
@@ -154,7 +177,10 @@ class ToxicityModel:
             while at < len(tokens) and tokens[at] not in ENDS:
                 c, weight = classes[at] or (OTHER, 0.0)
                 state, marks = self.grammar[state][c]
-                heavy = weight if c <= THREAT else heavy
+                if c <= HINT:
+                    heavy = weight
+                    run, more = self.runs[max(0, run - (at - heard - 1))][c]
+                    marks, heard = marks | more, at
                 if marks & HIT:
                     found.append((heavy, marks))
                 at += 1
@@ -165,7 +191,7 @@ class ToxicityModel:
 
     def features(self, clauses: list[list[tuple[float, int]]]) -> list[float]:
         """Heaviest clause and log of the sum of all clauses' weights; a match weighs its word's evidence times its modifiers."""
-        factor = [math.exp(sum(v for k, v in self.modifiers.items() if marks & k)) for marks in range(32)]
+        factor = [math.exp(sum(v for k, v in self.modifiers.items() if marks & k)) for marks in range(2 * MARKS[-1])]
         sums = [sum(w * factor[marks] for w, marks in found) for found in clauses]
         return [1.0, math.log1p(max(sums, default=0.0)), math.log1p(sum(sums))]
 
@@ -175,7 +201,8 @@ class ToxicityModel:
 
     def fit(self, rows: list[tuple[str, int]]) -> ToxicityModel:
         """Lexicon from all rows; modifiers and clause weights by a logistic fit on matches that each row has under a
-        lexicon learned without its own part. Without rows of both classes the built-in lexicon and weights stand."""
+        lexicon learned without its own part, and on contrast rows. Without rows of both classes the built-in lexicon and
+        weights stand."""
         y = np.array([y for _, y in rows], float)
         if len(rows) == 0 or y.min() == y.max():
             return self
@@ -187,6 +214,8 @@ class ToxicityModel:
                 found[i] = self.matches(rows[i][0])
         self.words, self.starts = dict(seeds), {}
         self.learn(rows)
+        more = self.contrast([t for t, mark in rows if not mark])
+        found, y = found + [self.matches(t) for t, _ in more], np.concatenate([y, [mark for _, mark in more]])
 
         def loss() -> float:
             a = np.array([self.features(f) for f in found])
@@ -197,7 +226,7 @@ class ToxicityModel:
 
         best = loss()
         for k, usual in MODIFIERS.items():  # one after the other, at a few strengths of the modifier's own sign
-            for strength in (0.25, 0.5, 1.5, 2.0):
+            for strength in (0.25, 0.5, 1.5, 2.0, 3.0):
                 was, self.modifiers[k] = self.modifiers[k], usual * strength
                 if (now := loss()) < best - 1e-9:
                     best = now
@@ -209,40 +238,75 @@ class ToxicityModel:
     def learn(self, rows: list[tuple[str, int]]) -> None:
         """Add words and word beginnings whose texts are toxic too often for an accident, with smoothed log-odds as weight.
 
-        A word whose occurrences are followed by a target within REACH words more often than not is a threat word.
+        A word whose occurrences are followed by a target within REACH words more often than not is a threat word. Of
+        those whose share of toxic texts is too small for that, the ones become hints that stand twice within SPAN tokens
+        in toxic texts almost only.
         """
         seen = {0: Counter(), 1: Counter()}
-        for text, y in rows:
-            words = {w for w in TOKEN.findall(text.lower()) if len(w) > 2}
+        texts = [([sys.intern(w) for w in TOKEN.findall(text.lower())], y) for text, y in rows]
+        for tokens, y in texts:
+            words = {w for w in tokens if len(w) > 2}
             seen[y].update(words)
             seen[y].update({w[:n] + "*" for w in words for n in PREFIXES if len(w) > n})
         n1, n0 = sum(y for _, y in rows), sum(1 - y for _, y in rows)
         tried = [w for w, k in seen[1].items() if k >= LEAST_TOXIC]
-        rate, odds = n1 / (n1 + n0), {}
-        for w in tried:
-            k, m = seen[1][w], seen[0][w]
+        rate, odds, unsure = n1 / (n1 + n0), {}, []
+
+        def telling(k: int, m: int, least: float) -> bool:
             share = k / (k + m)
             # Chernoff's bound on the chance of k toxic texts or more among k + m
             bits = (k + m) * (share * math.log(share / rate) + (0 if share == 1 else (1 - share) * math.log((1 - share) / (1 - rate))))
-            if share > max(LEAST_SHARE, rate) and bits > math.log(len(tried) / ACCIDENT):
-                odds[w] = math.log((k + 0.5) / (n1 + 1)) - math.log((m + 0.5) / (n0 + 1))
+            return share > max(least, rate) and bits > math.log(len(tried) / ACCIDENT)
+
+        weight = lambda k, m: math.log((k + 0.5) / (n1 + 1)) - math.log((m + 0.5) / (n0 + 1))
+        for w in tried:
+            k, m = seen[1][w], seen[0][w]
+            if telling(k, m, LEAST_SHARE):
+                odds[w] = weight(k, m)
+            elif telling(k, m, HINT_SHARE):
+                unsure.append((k, len(w), w))
+        doubtful = {w for _, _, w in sorted(unsure, reverse=True)[:HINTS]}
+        twice = {0: Counter(), 1: Counter()}
+        for tokens, y in texts:
+            last, near = {}, set()
+            for i, t in enumerate(tokens):
+                for w in (t, *[t[:n] + "*" for n in PREFIXES if len(t) > n]):
+                    if w in doubtful:
+                        if i - last.get(w, -SPAN - 1) <= SPAN:
+                            near.add(w)
+                        last[w] = i
+            twice[y].update(near)
         chosen = sorted(odds.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]
         aimed, all_of = Counter(), Counter()
         plain = {w for w, _ in chosen if not w.endswith("*")}
-        for text, y in rows:
+        for tokens, y in texts:
             if y:
-                tokens = TOKEN.findall(text.lower())
                 for i, w in enumerate(tokens):
                     if w in plain:
                         all_of[w] += 1
                         aimed[w] += any(t in TARGETS for t in tokens[i + 1 : i + 1 + REACH])
         for w, value in chosen:
             if w.endswith("*"):
-                self.starts[w[:-1]] = value
+                self.starts[w[:-1]] = (INSULT, value)
             else:
                 self.words[w] = (THREAT if w in SEED_THREATS or (w not in SEED_INSULTS and 2 * aimed[w] > all_of[w]) else INSULT, value)
+        hints: dict[str, float] = {}
+        for w in sorted(doubtful, key=lambda w: (len(w), w)):
+            k, m = twice[1][w], twice[0][w]
+            # a longer beginning, or a whole word, must say more than the shorter ones that hold it
+            if k >= LEAST_TOXIC and telling(k, m, RUN_SHARE) and weight(k, m) > max((hints.get(w[:n] + "*", -math.inf) for n in PREFIXES if n < len(w.rstrip("*"))), default=-math.inf):
+                hints[w] = weight(k, m)
+        for w, value in hints.items():
+            (self.starts if w.endswith("*") else self.words).setdefault(w.rstrip("*"), (HINT, value))
         self.lexicon = None
 
+    def contrast(self, clean: list[str]) -> list[tuple[str, int]]:
+        """Rows to tell modifiers by: one clause in front of a text that is not toxic, with an insult that is aimed (label 1),
+        negated, reported or about the writer (label 0). The most telling insults, in turn."""
+        insults = [w for w, (c, _) in sorted(self.words.items(), key=lambda x: (-x[1][1], x[0])) if c == INSULT]
+        kinds = ((1, TARGETS), (0, NEGATIONS), (0, REPORTS), (0, SELVES))
+        return [(f"{words[i % len(words)]} {insults[i % len(insults)]}. {t}", y) for y, words in kinds for i, t in enumerate(clean[:CONTRAST])]
+
 
 def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> ToxicityModel:
     """A model from a bounded sample of labelled rows outside the held-out fold (SAMPLE texts of each class at most)."""
