@@ -210,15 +210,39 @@ def test_near_copies_are_exact(make):
 # ---- 2
 
 
-def test_apportion_is_highest_quotients():
+def slow_seats(seats, votes):
+    got = [0] * len(votes)
+    for _ in range(seats if any(votes) else 0):
+        got[max(range(len(votes)), key=lambda i: (votes[i] / (2 * got[i] + 1), -i))] += 1
+    return got
+
+
+def test_seats_are_highest_quotients(spark):
+    """Groups of every shape in one table: no votes, ties, one row with nearly all votes, fewer seats than rows."""
     rng = random.Random(4)
-    for _ in range(60):
-        votes = [rng.choice([0.0, 1.0, 7.0, rng.random() * 100]) for _ in range(rng.randint(1, 9))]
-        seats = rng.randint(0, 40)
-        got = [0] * len(votes)
-        for _ in range(seats if any(votes) else 0):
-            got[max(range(len(votes)), key=lambda i: (votes[i] / (2 * got[i] + 1), -i))] += 1
-        assert mixing.apportion(seats, votes) == got
+    groups = [(rng.randint(0, 40), [rng.choice([0.0, 1.0, 7.0, rng.random() * 100]) for _ in range(rng.randint(1, 9))]) for _ in range(60)]
+    groups += [(5, [0.0, 0.0]), (0, [3.0, 1.0]), (7, [1.0] * 50), (120, [1.0] * 50), (90, [1e6, *[1.0] * 60]), (1, [2.0, 2.0])]
+    table = spark.createDataFrame([(g, i, v, seats) for g, (seats, votes) in enumerate(groups) for i, v in enumerate(votes)], "g int, i int, v double, seats long")
+    got = {(r.g, r.i): r.blocks for r in mixing.with_seats(table.repartition(5), "g", "i", "v").collect()}
+    for g, (seats, votes) in enumerate(groups):
+        assert [got[g, i] for i in range(len(votes))] == slow_seats(seats, votes)
+    assert mixing.with_seats(table.limit(0), "g", "i", "v").count() == 0
+
+
+def test_shards_follow_the_size(make, monkeypatch):
+    """A hot source is cut into as many shards as its words ask for; what the mix takes still comes near the targets."""
+    df = make([(i, "word " * (i % 40)) for i in range(1200)]).withColumn("source", F.when(F.col("doc_id") % 3 > 0, "hot").otherwise("rare"))
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 20)
+    rows = mixing.sized(df)
+    spread = mixing.with_source(rows, mixing.plan_sources(rows))
+    shards = mixing.plan_shards(spread).collect()
+    assert len(shards) > 500 and all(0 <= r["take"] <= 2 * r.shard_size for r in shards)
+    blocks = {r["rank"]: r.blocks for r in spread.select("rank", "blocks").distinct().collect()}
+    for k, n in blocks.items():
+        own = sorted((r for r in shards if r["rank"] == k), key=lambda r: r.shard)
+        assert [r["take"] for r in own] == [min(16 * b, 2 * r.shard_size) for b, r in zip(slow_seats(n, [float(r.shard_size) for r in own]), own, strict=True)]
+    out = mixing.mix(df).collect()
+    assert all(0 <= r.taken <= 2 * r["size"] for r in out)
 
 
 def slow_targets(sizes):
@@ -246,9 +270,9 @@ def test_targets_and_seats_against_the_list(spark):
         assert [r.source for r in rows] == names and [r["rank"] for r in rows] == list(range(len(sizes)))
         assert [r.target for r in rows] == pytest.approx(slow_targets(sizes))
         for seats in (1, 1000):
-            table = spark.createDataFrame([(r["rank"], r.target) for r in rows], "rank long, target double")
-            got = [r.blocks for r in mixing.with_seats(table, seats).orderBy("rank").collect()]
-            assert got == mixing.apportion(seats, [r.target for r in rows])
+            table = spark.createDataFrame([(0, r["rank"], r.target, seats) for r in rows], "mix int, rank long, target double, seats long")
+            got = [r.blocks for r in mixing.with_seats(table, "mix", "rank", "target").orderBy("rank").collect()]
+            assert got == slow_seats(seats, [r.target for r in rows])
 
 
 def test_mix_with_more_sources_than_are_broadcast(make, monkeypatch):

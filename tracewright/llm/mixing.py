@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from fractions import Fraction
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,24 +11,30 @@ from tracewright.llm.common import broadcast_if_small, checkpointed, join_hot
 WEIGHTS = (5.0, 2.0, 1.0)
 #: The mix takes this share of all words; no source gives more than REPEATS times its own.
 SHARE, REPEATS = 1.5, 2
-#: Words in a block; words in a shard at least, and shards in a mix at most (but for one a source).
-BLOCK, SHARD_WORDS, SHARDS = 16, 1_000_000, 4096
+#: Words in a block, and in a shard on average: shards grow in number with the corpus, not in size.
+BLOCK, SHARD_WORDS = 16, 1_000_000
 SEED = 17
 
 
-def ranked(found: DataFrame) -> DataFrame:
-    """``found`` (source, n) with rank, its place (from 0) in the order of the names by code point, null last.
+def placed(rows: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
+    """``rows`` with place, that of a row (from 0) in the ``order``, a total one, of its group.
 
-    Rows are dealt by ranges of names; a range's first rank is the number of rows in the ranges before it.
+    Rows are dealt by ranges of group and order; a range's first place in a group is the number of the group's rows in the
+    ranges before it, so that no group is one task.
     """
-    order = [F.col("source").isNull(), F.col("source")]
-    ranges = max(1, int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = checkpointed(found.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()))
-    # one row for each range: at most spark.sql.shuffle.partitions
-    starts = dealt.groupBy("part").agg(F.count("*").alias("rows"))
-    starts = starts.select("part", (F.sum("rows").over(Window.orderBy("part")) - F.col("rows")).alias("start"))
-    place = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
-    return dealt.withColumn("_place", place).join(F.broadcast(starts), "part").select("source", "n", (F.col("start") + F.col("_place")).alias("rank"))
+    ranges = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = checkpointed(rows.repartitionByRange(ranges, *by, *order).withColumn("_part", F.spark_partition_id()))
+    # a row for each group and one more for each range that a group goes on in
+    starts = dealt.groupBy("_part", *by).agg(F.count("*").alias("_rows"))
+    starts = starts.select("_part", *by, (F.sum("_rows").over(Window.partitionBy(*by).orderBy("_part")) - F.col("_rows")).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_part", *by).orderBy(*order)) - 1
+    numbered = dealt.withColumn("_within", within).join(broadcast_if_small(starts), ["_part", *by])
+    return numbered.withColumn("place", F.col("_start") + F.col("_within")).drop("_part", "_start", "_within")
+
+
+def ranked(found: DataFrame) -> DataFrame:
+    """``found`` (source, n) with rank, its place (from 0) in the order of the names by code point, null last."""
+    return placed(found, [], [F.col("source").isNull(), F.col("source")]).withColumnRenamed("place", "rank")
 
 
 def with_targets(found: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
@@ -54,52 +56,33 @@ def with_targets(found: DataFrame, weights: tuple[float, ...] = WEIGHTS, share:
         level = rise
 
 
-def with_seats(rows: DataFrame, seats: int, ways: int = 32) -> DataFrame:
-    """``rows`` (rank, target, ...) with blocks: ``seats`` apportioned by Sainte-Lague, as apportion() does for a list.
+def join_plan(rows: DataFrame, plan: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined to ``plan``, one row a key, whose column n (dropped) counts the rows of the key; keys may be hot."""
+    groups = plan.drop("n")
+    small = broadcast_if_small(groups)
+    if small is not groups:
+        return rows.join(small, key)
+    return join_hot(rows, groups, key, plan.select(key, "n"), plan.agg(F.sum("n")).first()[0] or 0)
 
-    The divisor is searched for between ``ways`` candidates a round, each round one aggregate of the rows. Of quotients
-    that tie at the last seats the earlier ranks get one.
-    """
-    most = rows.agg(F.max("target")).first()[0]
-    if seats <= 0 or not most:
-        return rows.withColumn("blocks", F.lit(0).cast("long"))
-    count = lambda d: F.floor(F.col("target") / (2 * d) + 0.5).cast("long")
-    low, high, got = 1e-12 * most / seats, 2.0 * most + 1, 0
-    while got != seats and high / low > 1 + 1e-14:
-        tried = sorted({float(d) for d in np.geomspace(low, high, ways + 1)[1:-1] if low < d < high})
-        if not tried:
-            break
-        sums = list(rows.agg(*[F.sum(count(d)).alias(f"d{i}") for i, d in enumerate(tried)]).first())
-        fit = [i for i, n in enumerate(sums) if n <= seats]
-        if fit:
-            high, got = tried[fit[0]], sums[fit[0]]
-        low = tried[fit[0] - 1] if fit and fit[0] else (low if fit else tried[-1])
-    out = rows.withColumn("blocks", count(high))
-    left = seats - (out.agg(F.sum("blocks")).first()[0] or 0)
-    if left <= 0:
-        return out
-    last = out.orderBy((F.col("target") / (2 * F.col("blocks") + 1)).desc(), "rank").limit(left).select("rank", F.lit(1).alias("_more"))
-    return out.join(last, "rank", "left").withColumn("blocks", F.col("blocks") + F.coalesce("_more", F.lit(0))).drop("_more")
-
-
-def apportion(seats: int, votes: list[float]) -> list[int]:
-    """Sainte-Lague: ``seats`` go to the highest quotients votes / (2k + 1); ties go to the earlier party.
-
-    The quotients above a divisor d number round(votes / 2d), so the divisor that leaves the right number is searched
-    for instead of listing the quotients; the last seats go by exact quotients.
+
+def with_seats(rows: DataFrame, by: str, place: str, votes: str) -> DataFrame:
+    """``rows`` with blocks: in each group ``by`` its ``seats`` (a column, one value a group) go by Sainte-Lague to the
+    highest quotients votes / (2k + 1); of equal quotients the row earlier by ``place`` gets its seat first.
+
+    The quotients above a divisor d number round(votes / 2d) a row, at most half a seat from votes / 2d. So of n rows the
+    divisor that makes these sum up to seats - n / 2 gives no seat too many and the one for seats + n / 2 none too few.
+    Seats below the first are sure; only those between the two, about 2n, are listed and put into one distributed order.
+    Groups without votes give no seats.
     """
-    v = np.asarray(votes, float)
-    if seats <= 0 or not (v > 0).any():
-        return [0] * len(v)
-    count = lambda d: np.floor(v / d / 2 + 0.5).astype(np.int64)
-    low, high = 1e-12 * v.max() / seats, 2 * v.max() + 1
-    for _ in range(200):
-        mid = (low + high) / 2
-        low, high = (mid, high) if count(mid).sum() > seats else (low, mid)
-    got = count(high)
-    for _ in range(int(seats - got.sum())):
-        got[max(range(len(v)), key=lambda i: (Fraction(float(v[i])) / int(2 * got[i] + 1), -i))] += 1
-    return [int(x) for x in got]
+    groups = checkpointed(rows.groupBy(by).agg(F.sum(votes).alias("_sum"), F.count("*").alias("n")).withColumn("_n", F.col("n")))
+    seats = lambda more: F.col(votes) * F.greatest(F.lit(0.0), F.col("seats") + more * (F.col("_n") / 2 + 1)) / F.col("_sum")
+    sure, most = (F.when(F.col("_sum") > 0, F.floor(seats(more) + 0.5)).otherwise(F.lit(0)).cast("long") for more in (-1, 1))
+    held = checkpointed(join_plan(rows, groups, by).withColumn("_sure", sure).withColumn("_most", F.least(most, "seats")).drop("_sum", "_n"))
+    left = held.groupBy(by).agg((F.max("seats") - F.sum("_sure")).alias("_left"), F.sum(F.col("_most") - F.col("_sure")).alias("n"))
+    open_ = held.where("_most > _sure").select(by, F.col(place).alias("_at"), F.col(votes).alias("_v"), F.explode(F.sequence("_sure", F.col("_most") - 1)).alias("_k"))
+    listed = placed(open_.select(by, "_at", (F.col("_v") / (2 * F.col("_k") + 1)).alias("_q")), [by], [F.desc("_q"), F.col("_at")])
+    won = join_plan(listed, checkpointed(left), by).where("place < _left").groupBy(by, F.col("_at").alias(place)).agg(F.count("*").alias("_won"))
+    return held.join(won, [by, place], "left").withColumn("blocks", F.col("_sure") + F.coalesce("_won", F.lit(0))).drop("_sure", "_most", "_won")
 
 
 def sized(docs: DataFrame, *keep: str) -> DataFrame:
@@ -122,37 +105,25 @@ def plan_sources(rows: DataFrame) -> DataFrame:
     found = checkpointed(rows.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n"), F.count("*").alias("rows")))
     wanted = checkpointed(with_targets(found.select("source", "n")))
     total = found.agg(F.sum("n")).first()[0]
-    per_shard = max(SHARD_WORDS, -(-(total or 0) // SHARDS))
-    seats = round(min(SHARE, REPEATS) * (total or 0) / BLOCK)
-    shards = F.greatest(F.lit(1), F.ceil(F.col("n") / per_shard)).cast("int")
-    planned = with_seats(wanted, seats).select(_key().alias("key"), "rank", F.col("n").alias("source_size"), "target", "blocks", shards.alias("shards"))
+    seats = F.lit(round(min(SHARE, REPEATS) * (total or 0) / BLOCK)).cast("long")
+    shards = F.greatest(F.lit(1), F.ceil(F.col("n") / SHARD_WORDS)).cast("int")
+    planned = with_seats(wanted.withColumn("mix", F.lit(0)).withColumn("seats", seats), "mix", "rank", "target").select(_key().alias("key"), "rank", F.col("n").alias("source_size"), "target", "blocks", shards.alias("shards"))
     return checkpointed(planned.join(found.select(_key().alias("key"), F.col("rows").alias("n")), "key"))
 
 
 def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """``rows`` with their source's plan and their shard, a hash bucket, so that a source with a third of all rows is
     spread as far as its size asks."""
-    keyed, plan = rows.withColumn("key", _key()), sources.drop("n")
-    small = broadcast_if_small(plan)
-    both = join_hot(keyed, plan, "key", sources.select("key", "n"), sources.agg(F.sum("n")).first()[0] or 0) if small is plan else keyed.join(small, "key")
+    both = join_plan(rows.withColumn("key", _key()), sources, "key")
     shard = F.pmod(F.xxhash64(F.lit(SEED + 1), F.col("_order"), F.col("doc_id")), F.col("shards")).cast("int")
     return both.withColumn("shard", shard).drop("key", "shards")
 
 
 def plan_shards(spread: DataFrame) -> DataFrame:
-    """(rank, shard, shard_size, take) of rows from with_source(): each source's blocks apportioned to its shards.
-
-    A source has at most SHARDS + 1 shards, which are planned together.
-    """
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("shard")
-        blocks = apportion(int(group["blocks"].iloc[0]), group["shard_size"].astype(float).tolist())
-        take = np.minimum(np.array(blocks, np.int64) * BLOCK, REPEATS * group["shard_size"].to_numpy(np.int64))
-        return group[["rank", "shard", "shard_size"]].assign(take=take)
-
-    held = spread.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size"), F.max("blocks").alias("blocks"))
-    return held.groupBy("rank").applyInPandas(run, "rank long, shard int, shard_size long, take long")
+    """(rank, shard, shard_size, take) of rows from with_source(): each source's blocks apportioned to its shards."""
+    held = checkpointed(spread.groupBy("rank", "shard").agg(F.sum("size").alias("shard_size"), F.max("blocks").alias("seats")))
+    take = F.least(F.col("blocks") * BLOCK, REPEATS * F.col("shard_size"))
+    return with_seats(held, "rank", "shard", "shard_size").select("rank", "shard", "shard_size", take.alias("take"))
 
 
 def mixed(rows: DataFrame, sources: DataFrame) -> DataFrame:
