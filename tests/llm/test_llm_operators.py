@@ -1,6 +1,7 @@
 """The ten operators against brute force, exact round trips and odd inputs."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -620,6 +621,66 @@ def test_battery_tells_random_tokens(spark):
     assert 0.3 < np.mean(p) < 0.75
 
 
+def slow_p(token):
+    """(encoding, p) of a token, test by test in plain Python."""
+    body = token.rstrip("=")
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = [("dec", digits), ("hex", digits + "abcdef"), ("HEX", digits + "ABCDEF"), ("b32", upper + "234567"), ("b64", upper + upper.lower() + digits + ("-_" if set(token) & set("-_") else "+/"))]
+    name, alphabet = next((n, a) for n, a in alphabets if n == "b64" or (body and set(body) <= set(a)))
+    x = [alphabet.index(c) for c in body if c in alphabet]
+    n, k = len(x), len(alphabet)
+    tail = lambda z: math.erfc(abs(z) / math.sqrt(2))
+    chi = sum((x.count(c) - n / k) ** 2 / (n / k) for c in range(k))
+    z = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    ps = [tail(z) / 2 if z > 0 else 1 - tail(z) / 2]
+    high = [2 * c >= k for c in x]
+    ups, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:]))
+    mean = 2 * ups * (n - ups) / n + 1
+    variance = (mean - 1) * (mean - 2) / (n - 1)
+    ps.append(tail((runs - mean) / math.sqrt(variance)) if variance > 0 else 0.0)
+    m = sum(x) / n
+    spread = sum((c - m) ** 2 for c in x)
+    ps.append(tail((sum((a - m) * (b - m) for a, b in zip(x, x[1:])) / spread + 1 / n) * math.sqrt(n)) if spread > 0 else 0.0)
+    y = -sum(math.log(max(p, 1e-12)) for p in ps)
+    return name, math.exp(-y) * (1 + y + y * y / 2)
+
+
+def test_battery_against_plain_python(spark):
+    rng = random.Random(21)
+    sets = ["0123456789", "0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCXYZabcxyz0189+/", "abcdefghijklmnopqrstuvwxyz0123456789-_", "ab", "a"]
+    tokens = {"".join(rng.choice(s) for _ in range(rng.randint(20, 130))) + "=" * rng.randint(0, 2) for s in sets for _ in range(25)}
+    judged = secrets.judged_tokens(spark.createDataFrame([(t,) for t in sorted(tokens)], "v string")).collect()
+    assert len(judged) == len(tokens)
+    for r in judged:
+        name, p = slow_p(r.v)
+        assert r.encoding == name and r.p == pytest.approx(p, rel=2e-3, abs=2e-6), r.v
+        assert r.band == sum(len(r.v) >= b for b in secrets.BANDS)
+
+
+def slow_threshold(band, ps):
+    """The least bin from which the false share, prior tokens counted in, is small enough."""
+    at = [min(int(p * secrets.BINS), secrets.BINS - 1) for p in ps]
+    upper, edge = sum(b >= secrets.BINS // 2 for b in at), secrets.PRIOR_EDGES[band]
+    for b in sorted(set(at)):
+        kept, others = sum(x >= b for x in at), secrets.PRIOR * (b < edge)
+        if kept - 2 * upper * (1 - b / secrets.BINS) + others <= secrets.FALSE_SHARE * (kept + secrets.PRIOR + others):
+            return b / secrets.BINS
+    return max(edge, max(at) + 1) / secrets.BINS
+
+
+def test_thresholds_have_one_rule_for_all_sizes(spark):
+    """Against plain Python, from one token to thousands; more tokens of the same shares move the edge step by step."""
+    rng = random.Random(22)
+    bands = {}
+    for i, (band, n, false) in enumerate((b, n, f) for b in (0, 3, 6) for n in (1, 5, 60, 199, 201, 3000) for f in (0.0, 0.5, 0.95)):
+        bands[f"e{i}", band] = [rng.random() ** (6 if rng.random() < false else 1) for _ in range(n)]
+    bands["bad", 2] = [0.6 + i * 1e-6 for i in range(1000)]
+    rows = [(e, b, f"{e}-{i}", p) for (e, b), ps in bands.items() for i, p in enumerate(ps)]
+    got = {(r.encoding, r.band): r.least for r in secrets.thresholds(spark.createDataFrame(rows, "encoding string, band int, v string, p double")).collect()}
+    assert got == pytest.approx({k: slow_threshold(k[1], ps) for k, ps in bands.items()})
+    assert got["bad", 2] > 0.6
+
+
 def passed(spark, rows):
     judged = spark.createDataFrame(rows, "encoding string, band int, v string, p double")
     return {r.v for r in judged.join(secrets.thresholds(judged), ["encoding", "band"]).where("p >= least").collect()}

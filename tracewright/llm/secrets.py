@@ -24,9 +24,9 @@ TOKEN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 BANDS = (24, 32, 40, 48, 64, 96)
 #: Bins of the combined p-value in a band's histogram, and the share of false discoveries that a band may keep.
 BINS, FALSE_SHARE = 200, 0.1
-#: A band with fewer distinct tokens in the upper half of p than this has the fixed edge of its length: slugs of words
-#: pass an edge more rarely the longer they are, so that longer tokens need a lower one.
-FEW, FIXED_EDGES = 100, (0.05, 0.05, 0.02, 0.01, 0.005, 0.005, 0.005)
+#: What a band is taken to hold before any token of it is seen: PRIOR random tokens above the edge of its length (in BINS) and
+#: as many others right below it. Slugs of words pass an edge more rarely the longer they are, so longer tokens need a lower one.
+PRIOR, PRIOR_EDGES = 100, (10, 10, 4, 2, 1, 1, 1)
 
 
 def _spans(text: Column, pattern: str, kind: int, keep: Column | None = None) -> Column:
@@ -131,21 +131,24 @@ def thresholds(judged: DataFrame) -> DataFrame:
 
     Each distinct token is one test, however often it stands in the corpus. Random tokens have uniform p, all others
     pile up near 0. As many random ones as the upper half of p shows twice are expected; a threshold is the least edge
-    above which the tokens beyond what uniform p accounts for stay within FALSE_SHARE. Short tokens give the tests
-    little power, so their bands need a higher edge: the control follows the length. Where too few tokens are in the
-    upper half to tell, or no edge stays within the share, the fixed edge of the band's length holds. Built on a
-    histogram of at most BINS rows a band, summed over the whole corpus.
+    above which the tokens beyond what uniform p accounts for stay within FALSE_SHARE, the band's PRIOR tokens counted in.
+    So one rule holds for bands of any size: a band with few tokens has the edge of its length, and the more there are the
+    less the prior weighs. Short tokens give the tests little power, so their bands need a higher edge: the control
+    follows the length. Where no edge stays within the share, the threshold is above all tokens. Built on a histogram of at
+    most BINS rows a band, summed over the whole corpus.
     """
     by = ("encoding", "band")
     distinct = judged.select(*by, "v", "p").distinct()
     bins = distinct.groupBy(*by, F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
     above = Window.partitionBy(*by).orderBy(F.desc("bin"))
     upper = F.sum(F.when(F.col("bin") >= BINS // 2, F.col("n")).otherwise(0)).over(Window.partitionBy(*by))
+    edge = F.element_at(F.array(*map(F.lit, PRIOR_EDGES)), F.col("band") + 1)
+    others = F.when(F.col("bin") < edge, PRIOR).otherwise(0)
     kept = F.sum("n").over(above)
-    expected = 2 * upper * (1 - F.col("bin") / BINS)
-    fine = (kept - expected <= FALSE_SHARE * kept) & (upper >= FEW)
-    fixed = F.element_at(F.array(*[F.lit(x) for x in FIXED_EDGES]), F.col("band") + 1)
-    return bins.withColumn("fine", fine).groupBy(*by).agg((F.min(F.when(F.col("fine"), F.col("bin"))) / BINS).alias("least")).withColumn("least", F.coalesce("least", fixed))
+    false = kept - 2 * upper * (1 - F.col("bin") / BINS) + others
+    least = F.when(false <= FALSE_SHARE * (kept + PRIOR + others), F.col("bin"))
+    found = bins.withColumn("_least", least).groupBy(*by).agg(F.coalesce(F.min("_least"), F.greatest(F.max(edge), F.max("bin") + 1)).alias("_bin"))
+    return found.select(*by, (F.col("_bin") / BINS).alias("least"))
 
 
 def scanned(docs: DataFrame, *carry: str) -> DataFrame:
