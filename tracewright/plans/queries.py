@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions import names as N
@@ -53,6 +53,11 @@ def moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return motion.deltas(events(spark, sf_dir), ["user_id"], ["ts", "event_id"], ["value"])
 
 
+def rounded(x: Column, digits: int = 6) -> Column:
+    """``x`` rounded half away from zero; as in SQL, a zero keeps the sign of what it is rounded from."""
+    return F.when(x < 0, -F.round(-x, digits)).when(x == 0, x).otherwise(F.round(x, digits))
+
+
 # ---- names and texts
 
 _NAMES = """
@@ -641,8 +646,8 @@ _COLUMNS = tuple(f"psm{a}_pose.position.{k}" for a in (1, 2) for k in "xyz")
 def flat_vectors(spark, sf_dir):
     v = vectors(spark, sf_dir)
     flat = v.select("vec_id", *[F.get("v", F.lit(i)).alias(c) for i, c in enumerate(_COLUMNS)], F.slice("v", 1, 2).alias("listed"))
-    rounded = lambda c: F.transform(c, lambda x: F.round(x.cast("double"), 6))
-    return flat.select("vec_id", rounded(assemble.vector(flat, "none", (*_COLUMNS, "lost"))).alias("flat"), rounded(assemble.vector(flat, "listed", _COLUMNS)).alias("listed"))
+    each = lambda c: F.transform(c, lambda x: rounded(x.cast("double")))
+    return flat.select("vec_id", each(assemble.vector(flat, "none", (*_COLUMNS, "lost"))).alias("flat"), each(assemble.vector(flat, "listed", _COLUMNS)).alias("listed"))
 
 
 @query("with e as (select vec_id, label, row_number() over (partition by label order by vec_id) - 1 i from embeddings), s as (select label, vec_id, row_number() over (partition by label order by vec_id) - 1 i from embeddings where vec_id % 3 <> 0) select e.vec_id, s.vec_id as other from e join s using (label, i)")
