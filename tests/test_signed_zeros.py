@@ -23,7 +23,7 @@ def folder(spark, tmp_path_factory):
     return str(out)
 
 
-@pytest.mark.parametrize("name", ["flat_vectors"])
+@pytest.mark.parametrize("name", ["flat_vectors", "hybrid_relative_action"])
 def test_signs_of_zeros(spark, folder, name):
     df = QUERIES[name](spark, folder)
     columns = sorted(df.columns)

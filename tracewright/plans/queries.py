@@ -620,7 +620,9 @@ def _relative(rows: DataFrame) -> DataFrame:
 
 @query(_hybrid_sql())
 def hybrid_relative_action(spark, sf_dir):
-    return _relative(vectors(spark, sf_dir)).select("vec_id", F.transform("relative", lambda x: F.round(x, 6) + F.lit(0.0)).alias("relative"))
+    turned = lambda i: (i % Q.ARM).between(3, 6)
+    each = F.transform("relative", lambda x, i: F.when(turned(i), F.round(x, 6) + F.lit(0.0)).otherwise(rounded(x)))
+    return _relative(vectors(spark, sf_dir)).select("vec_id", each.alias("relative"))
 
 
 @query(
