@@ -597,7 +597,7 @@ def quat_multiply(spark, sf_dir):
 
     rows = vectors(spark, sf_dir).select("label", "vec_id", Q.orientation(F.col("v"), 0).alias("q"))
     rows = rows.withColumn("p", F.lag("q").over(Window.partitionBy("label").orderBy("vec_id"))).where("p IS NOT NULL")
-    return rows.select("vec_id", F.transform(Q.multiply(F.col("p"), F.col("q")), lambda x: F.round(x, 6)).alias("product"))
+    return rows.select("vec_id", F.transform(Q.multiply(F.col("p"), F.col("q")), lambda x: rounded(x)).alias("product"))
 
 
 def _unit(name: str, of: str, i: int) -> str:
