@@ -555,8 +555,8 @@ def stationary_fraction(spark, sf_dir):
 @query("select vec_id, list_transform(embedding[1:3] || embedding[9:11], lambda x: round(x::double, 6)) positions, list_transform(embedding[4:7] || embedding[12:15], lambda x: round(x::double, 6)) orientations, round(embedding[8]::double, 6) jaw1, round(embedding[16]::double, 6) jaw2 from embeddings")
 def state_slices(spark, sf_dir):
     v = F.col("v")
-    rounded = lambda a: F.transform(a, lambda x: F.round(x.cast("double"), 6))
-    return vectors(spark, sf_dir).select("vec_id", rounded(F.concat(Q.position(v, 0), Q.position(v, 1))).alias("positions"), rounded(F.concat(Q.orientation(v, 0), Q.orientation(v, 1))).alias("orientations"), F.round(Q.jaw(v, 0), 6).alias("jaw1"), F.round(Q.jaw(v, 1), 6).alias("jaw2"))
+    each = lambda a: F.transform(a, lambda x: rounded(x.cast("double")))
+    return vectors(spark, sf_dir).select("vec_id", each(F.concat(Q.position(v, 0), Q.position(v, 1))).alias("positions"), each(F.concat(Q.orientation(v, 0), Q.orientation(v, 1))).alias("orientations"), rounded(Q.jaw(v, 0)).alias("jaw1"), rounded(Q.jaw(v, 1)).alias("jaw2"))
 
 
 def _q(c: str, i: int = 4) -> str:
