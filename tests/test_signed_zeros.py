@@ -23,7 +23,7 @@ def folder(spark, tmp_path_factory):
     return str(out)
 
 
-@pytest.mark.parametrize("name", ["flat_vectors", "hybrid_relative_action", "quat_multiply", "state_slices"])
+@pytest.mark.parametrize("name", ["episode_rows", "flat_vectors", "hybrid_relative_action", "quat_multiply", "quat_normalize", "state_slices"])
 def test_signs_of_zeros(spark, folder, name):
     df = QUERIES[name](spark, folder)
     columns = sorted(df.columns)

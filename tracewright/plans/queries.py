@@ -583,7 +583,7 @@ select vec_id, case when n < 1e-8 then [0.0::double, 0.0, 0.0, 1.0] else list_tr
 def quat_normalize(spark, sf_dir):
     zero = F.array(*[F.lit(0.0)] * 4)
     q = F.when(F.col("vec_id") % 10 == 0, zero).otherwise(Q.orientation(F.col("v"), 0).cast("array<double>"))
-    return vectors(spark, sf_dir).select("vec_id", F.transform(Q.normalize(q), lambda x: F.round(x, 6)).alias("q"))
+    return vectors(spark, sf_dir).select("vec_id", F.transform(Q.normalize(q), lambda x: rounded(x)).alias("q"))
 
 
 def _mul(a: str, b: str) -> str:
@@ -633,12 +633,12 @@ def episode_rows(spark, sf_dir):
     v = _relative(vectors(spark, sf_dir)).withColumn("state", F.col("v").cast("array<float>"))
     rows = assemble.assembled(v, "label", ["vec_id"], "state", "v", "relative", fps=30)
     total = F.aggregate("observation_state", F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return rows.select("episode_index", "frame_index", F.round("timestamp", 6).alias("timestamp"), F.round(total, 6).alias("state_sum"), F.round(F.get("action_hybrid_relative", F.lit(7)).cast("double"), 6).alias("jaw"))
+    return rows.select("episode_index", "frame_index", F.round("timestamp", 6).alias("timestamp"), rounded(total).alias("state_sum"), rounded(F.get("action_hybrid_relative", F.lit(7)).cast("double")).alias("jaw"))
 
 
 @query("select label, round(avg(embedding[1]::double), 6) x, round(avg(embedding[2]::double), 6) y, round(avg(embedding[3]::double), 6) z, round(greatest(max(embedding[1]) - min(embedding[1]), max(embedding[2]) - min(embedding[2]), max(embedding[3]) - min(embedding[3]))::double, 5) span from embeddings group by label")
 def trajectory_bounds(spark, sf_dir):
-    return assemble.bounds(vectors(spark, sf_dir), ["label"], "v").select("label", *[F.round(c, 6).alias(c) for c in "xyz"], F.round("span", 5).alias("span"))
+    return assemble.bounds(vectors(spark, sf_dir), ["label"], "v").select("label", *[rounded(F.col(c)).alias(c) for c in "xyz"], F.round("span", 5).alias("span"))
 
 
 _COLUMNS = tuple(f"psm{a}_pose.position.{k}" for a in (1, 2) for k in "xyz")
