@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import batches_then_release, broadcast_if_small, checkpointed, join_hot, prepare
+from tracewright.llm.common import BROADCAST_ROWS, batches_then_release, broadcast_if_small, checkpointed, join_hot, prepare
 
 BITS = 64
 #: Blocks of equal width; two fingerprints at MAX_BITS or fewer differing bits agree on BLOCKS - MAX_BITS of them.
@@ -32,6 +32,8 @@ NEAR_BITS, SMALL_BITS, SMALL_SET = 190, 230, 20
 WIDE_PAIRS = 8
 #: Keys with more than one in HUBS of all pairs are joined by broadcast: so many shingle sets at most.
 HUBS = 50
+#: Rows of a few numbers, and of whole fingerprints, that one task takes where a table is gathered.
+GATHER, GATHER_WIDE = 50_000, 10_000
 #: Near copies: Jaccard similarity of the shingle sets, as a fraction.
 NEAR = (4, 5)
 
@@ -150,27 +152,47 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.unionAll(stars).distinct()
 
 
+def gathered(df: DataFrame, rows: int, each: int = GATHER) -> DataFrame:
+    """``df``, of at most ``rows`` rows, in as few partitions as hold ``each`` rows; a small table makes few tasks and files."""
+    return df.coalesce(max(1, -(-rows // each)))
+
+
+def _found(rows: DataFrame, groups: DataFrame, key: str, total: int, size: int) -> DataFrame:
+    """The inner join of ``total`` rows and ``size`` groups, one a key: by broadcast if they are few, else by join_hot."""
+    if size <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(groups), key)
+    return join_hot(rows, groups, key, rows.groupBy(key).agg(F.count("*").alias("n")), total)
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(id, label) for each end of ``edges`` (u, v): the smallest id that can be reached.
 
-    Labels flow along edges and jump to their own label's label, so the rounds grow with the logarithm of a chain's
-    length. Each round is written to the checkpoint folder. Ends with very many edges and labels of very many ends are
-    joined by broadcast (join_hot), so that no task gets all of them.
+    Each round every end points to its smallest neighbour, if that is smaller; pointers jump to their own pointer's end
+    until all are at roots, in as many steps as the logarithm of a chain's length. Then the edges are moved to the roots
+    of their ends: those within a tree go, and equal ones become one, so that the edges are read once and later rounds
+    have few. Each step is written to the checkpoint folder. Ends with very many edges and roots of very many ends are
+    joined by broadcast, so that no task gets all of them.
     """
-    both = checkpointed(edges.select("u", "v").unionAll(edges.select(F.col("v"), F.col("u"))))
-    labels = checkpointed(both.groupBy(F.col("u").alias("id")).agg(F.least(F.first("u"), F.min("v")).alias("label"), F.count("*").alias("n")))
-    degrees, ends, ids = labels.select(F.col("id").alias("v"), "n"), both.count(), labels.count()
-    labels = labels.select("id", "label")
-    while ids:
-        offered = join_hot(both, labels.select(F.col("id").alias("v"), "label"), "v", degrees, ends).groupBy(F.col("u").alias("id")).agg(F.min("label").alias("near"))
-        closer = checkpointed(labels.join(offered, "id").select("id", F.least("label", "near").alias("mid"), F.col("label").alias("was")))
-        jump = closer.select(F.col("id").alias("mid"), F.col("mid").alias("far"))
-        held = closer.groupBy("mid").agg(F.count("*").alias("n"))
-        labels = checkpointed(join_hot(closer, jump, "mid", held, ids).select("id", F.least("mid", "far").alias("label"), "was"))
-        done = labels.where("label <> was").isEmpty()
-        labels = labels.select("id", "label")
-        if done:
-            break
+    edges = checkpointed(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
+    labels, known, n = edges.select(F.col("u").alias("id"), F.col("v").alias("label")), 0, edges.count()
+    while n:
+        edges = gathered(edges, n)
+        both = edges.unionAll(edges.select(F.col("v"), F.col("u")))
+        roots = checkpointed(gathered(both.groupBy(F.col("u").alias("id")).agg(F.least("id", F.min("v")).alias("label")), 2 * n))
+        ends, moved = roots.count(), True
+        while moved:
+            up = roots.select(F.col("id").alias("label"), F.col("label").alias("up"))
+            jumped = checkpointed(gathered(_found(roots, up, "label", ends, ends).select("id", F.col("up").alias("label"), F.expr("up <> label").alias("moved")), ends))
+            roots, moved = jumped.select("id", "label"), not jumped.where("moved").isEmpty()
+        if known:
+            later = labels.select("label").distinct().join(roots.withColumnRenamed("label", "root"), F.col("label") == F.col("id"), "left").select("label", F.coalesce("root", "label").alias("root"))
+            labels = checkpointed(gathered(_found(labels, later, "label", known, known).select("id", F.col("root").alias("label")), known))
+        else:
+            labels, known = roots, ends
+        for end in ("u", "v"):
+            edges = _found(edges, roots.select(F.col("id").alias(end), F.col("label").alias(f"_{end}")), end, n, ends)
+        edges = checkpointed(gathered(edges.where("_u <> _v").select(F.least("_u", "_v").alias("u"), F.greatest("_u", "_v").alias("v")).distinct(), n))
+        n = edges.count()
     return labels
 
 
@@ -243,6 +265,8 @@ def linked_components(shared: DataFrame, nodes: DataFrame, sets: DataFrame, over
        has beyond it. Members outside of their centre's part are compared with those that this and the Hamming distance
        leave, as a rule none: both would be near the centre.
     """
+    n_cells, n_texts = shared.count(), nodes.count()
+    shared, nodes = gathered(shared, n_cells), gathered(nodes, n_texts, GATHER_WIDE)
     few, hot = shared.where(F.col("n") <= WIDE_PAIRS), shared.where(F.col("n") > WIDE_PAIRS).select("key", "fp")
     pairs = few.select("key", F.col("fp").alias("u")).join(few.select("key", F.col("fp").alias("v")), "key").where("u < v").select("u", "v")
     linked = lambda found: found.where("near").select("u", "v")
@@ -253,11 +277,11 @@ def linked_components(shared: DataFrame, nodes: DataFrame, sets: DataFrame, over
     marks = checkpointed(held.join(broadcast_if_small(often), "shingle"))
     one, whole = NEAR
     counts = marks.groupBy("fp").agg(F.count("*").alias("known"), F.count(F.when(F.col("n") > WIDE_PAIRS, 1)).alias("core"))
-    texts = checkpointed(nodes.select("fp", "size").join(counts, "fp").where(F.col("known") * whole >= F.col("size") * one))
-    members = checkpointed(hot.join(texts, "fp"))
+    texts = checkpointed(gathered(nodes.select("fp", "size").join(counts, "fp").where(F.col("known") * whole >= F.col("size") * one), n_texts))
+    members = checkpointed(gathered(hot.join(texts, "fp"), n_cells))
     middle = F.struct(2 * F.col("core") - F.col("size"), F.col("fp").alias("centre"), F.col("size").alias("_size"), F.col("known").alias("_known"))
-    central = checkpointed(members.groupBy("key").agg(F.max(middle).alias("m")).select("key", "m.centre", "m._size", "m._known"))
-    cells = checkpointed(members.join(broadcast_if_small(central), "key"))
+    central = checkpointed(gathered(members.groupBy("key").agg(F.max(middle).alias("m")).select("key", "m.centre", "m._size", "m._known"), n_cells))
+    cells = checkpointed(gathered(members.join(broadcast_if_small(central), "key"), n_cells))
     near = _enough(F.col("size"), F.col("_size"), F.least("known", "_known")) & F.expr("fp <> centre")
     stars = overlaps(cells.where(near).select(F.col("centre").alias("u"), F.col("fp").alias("v")).distinct())
     first = checkpointed(connected(linked(overlaps(pairs.distinct())).unionAll(linked(stars)).distinct())).withColumnRenamed("id", "fp")
@@ -280,8 +304,8 @@ def linked_components(shared: DataFrame, nodes: DataFrame, sets: DataFrame, over
     # of the shared ones some may be rare shingles of the home, so as many more of the core may lie outside of it
     out = F.greatest(F.lit(0), F.col("core") - F.col("in") + F.col("_rare"))
     homely = homely.select("fp", "part", "core", "size", "home", F.least("in", "core").alias("in"), out.alias("out"), "wide")
-    heavy = checkpointed(hot.join(homely, "fp"))
-    mains = checkpointed(part(central.select("key", F.col("centre").alias("fp"))).select("key", F.col("part").alias("main")))
+    heavy = checkpointed(gathered(hot.join(homely, "fp"), n_cells, GATHER_WIDE))
+    mains = checkpointed(gathered(part(central.select("key", F.col("centre").alias("fp"))).select("key", F.col("part").alias("main")), n_cells))
     outside = heavy.join(broadcast_if_small(mains), "key").where("part <> main")
     more = ("key", "home", "in", "out", "wide")
     within = end(outside, "u", *more, "main").join(end(heavy, "v", *more), F.col("key_u") == F.col("key_v"))
@@ -330,20 +354,25 @@ def _overlaps(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     side = lambda name: nodes.select(F.col("fp").alias(name), F.col("wide").alias(f"_w{name}"), F.col("size").alias(f"_n{name}"))
     close = (F.least("_nu", "_nv") * whole >= F.greatest("_nu", "_nv") * part) & _close("_wu", "_wv", F.col("_nu"), F.col("_nv"))
     pairs = checkpointed(pairs)
-    ends = checkpointed(pairs.groupBy("u").agg(F.count("*").alias("n")))
-    few = checkpointed(join_hot(pairs, side("u"), "u", ends, pairs.count(), HUBS).join(side("v"), "v").where(close).select(*pairs.columns))
+    n = pairs.count()
+    pairs = gathered(pairs, n)
+    ends = checkpointed(gathered(pairs.groupBy("u").agg(F.count("*").alias("n")), n))
+    few = checkpointed(join_hot(pairs, side("u"), "u", ends, n, HUBS).join(side("v"), "v").where(close).select(*pairs.columns))
     end = lambda name: sets.select(F.col("fp").alias(name), F.col("shingles").alias(f"_s{name}"))
     # one centre may be in most pairs; its set may be long, so few are broadcast
-    counts = checkpointed(few.groupBy("u").agg(F.count("*").alias("n")))
-    found = join_hot(few, end("u"), "u", counts, few.count(), HUBS).join(end("v"), "v").withColumn("both", F.size(F.array_intersect("_su", "_sv")))
+    n = few.count()
+    few = gathered(few, n)
+    counts = checkpointed(gathered(few.groupBy("u").agg(F.count("*").alias("n")), n))
+    found = join_hot(few, end("u"), "u", counts, n, HUBS).join(end("v"), "v").withColumn("both", F.size(F.array_intersect("_su", "_sv")))
     near = _enough(F.size("_su"), F.size("_sv"), F.col("both"))
-    return checkpointed(found.select(*pairs.columns, "both", near.alias("near")))
+    return gathered(checkpointed(found.select(*pairs.columns, "both", near.alias("near"))), n)
 
 
 def near_copy_labels(nodes: DataFrame, sets: DataFrame, shared: DataFrame) -> DataFrame:
     """(fp, label) for each text of ``nodes`` that is linked to others over ``shared`` cells."""
     small = nodes.join(shared.select("fp").distinct(), "fp", "left_semi").select("fp", "wide", "size")
     small = checkpointed(small)
+    small = gathered(small, small.count(), GATHER_WIDE)
     return linked_components(shared, small, sets, lambda pairs: _overlaps(pairs, small, sets))
 
 
